@@ -198,7 +198,7 @@ SELECT c_custkey, k AS nation_key, lineage, lineage_xml, lineage_ids,
        WHEN c_custkey % 3 = 0 THEN taxon_id
        ELSE cast(900000 + (c_custkey - c_custkey % 2) AS string) END AS raw_id,
   CASE WHEN c_custkey % 3 = 0 THEN organism
-       ELSE concat(organism, ' strain ', cast(c_custkey AS string)) END AS scientific_name,
+       ELSE trim(concat(organism, ' strain ', cast(c_custkey AS string))) END AS scientific_name,
   CASE WHEN c_custkey % 3 = 0 THEN 'species' ELSE 'strain' END AS taxon_rank
 FROM {{customer}}
 JOIN {ORGANISM_DIM} AS organism_rows ON c_nationkey = k
