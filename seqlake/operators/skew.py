@@ -11,15 +11,17 @@ MAX_BROADCAST_ROWS = 200_000
 
 def salted_join(
     fact: DataFrame, dim: DataFrame, key: str, spread_by: list[str],
-    how: str = "inner", hot_rows: int = HOT_KEY_ROWS,
+    how: str = "inner", hot_rows: int = HOT_KEY_ROWS, sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Join where keys with more than `hot_rows` fact rows are split over several tasks.
 
     The list of hot keys has at most (fact rows / hot_rows) entries, which bounds the broadcast.
-    Only the dimension rows of hot keys are repeated, once per salt.
+    Only the dimension rows of hot keys are repeated, once per salt. `sized_by` may name a table
+    that is cheaper to count than the fact table and has at least as many rows of each key.
     """
+    counted = fact if sized_by is None else sized_by
     hot = F.broadcast(
-        fact.where(F.col(key).isNotNull())
+        counted.where(F.col(key).isNotNull())
         .groupBy(key).agg(F.count("*").alias("__rows"))
         .where(F.col("__rows") > hot_rows)
         .select(key, F.ceil(F.col("__rows") / hot_rows).cast("int").alias("__salts"))

@@ -80,7 +80,8 @@ def domain_library_strategy(
         "sample_accession", "sample_domain"
     )
     joined = salted_join(
-        reduced, domains, "sample_accession", ["experiment_accession"], hot_rows=hot_rows
+        reduced, domains, "sample_accession", ["experiment_accession"],
+        hot_rows=hot_rows, sized_by=runs,
     )
     return joined.groupBy("sample_domain", "library_strategy").agg(
         F.sum("n").alias("run_count"),

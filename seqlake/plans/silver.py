@@ -44,14 +44,10 @@ def classify_samples(
     samples: DataFrame, attributes: DataFrame, taxonomy: DataFrame | None = None
 ) -> DataFrame:
     """Classification of every sample; a complete taxonomy row overrides the heuristic rules."""
-    key = key_or_spread("sample_accession", "biosample_accession")
-    signals = attribute_signals(attributes).withColumnRenamed("sample_accession", "__key")
-    rows = (
-        samples.fillna("").withColumn("__key", key).join(signals, "__key", "left").drop("__key")
-    )
+    rows = samples.fillna("")
     if taxonomy is None:
-        rows = rows.withColumns({"__group": F.lit(None).cast("string"),
-                                 "__domain": F.lit(None).cast("string")})
+        unknown = F.lit(None).cast("string")
+        rows = rows.withColumns({"__group": unknown, "__domain": unknown})
     else:
         complete = taxonomy.where(
             ~is_blank(F.col("organism_group")) & ~is_blank(F.col("sample_domain"))
@@ -60,6 +56,9 @@ def classify_samples(
                  F.col("sample_domain").alias("__domain"))
         rows = lookup_join(rows, complete, "taxon_id",
                            ["sample_accession", "biosample_accession"])
+    key = key_or_spread("sample_accession", "biosample_accession")
+    signals = attribute_signals(attributes).withColumnRenamed("sample_accession", "__key")
+    rows = rows.withColumn("__key", key).join(signals, "__key", "left").drop("__key")
 
     organism, taxon_id, dataset = F.col("organism"), F.col("taxon_id"), F.col("source_dataset")
     flag = {name: F.coalesce(name, F.lit(False)) for name in SIGNAL_FLAGS.values()}

@@ -66,8 +66,15 @@ def parse_packages(landed: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def _exploded(df: DataFrame, keep: list, array: str | Column, position: str, element: str) -> DataFrame:
+    """One row per array element. An inner explode would make the optimizer add a filter on the
+    array's size, and with it parse every payload again."""
+    rows = df.select(*keep, F.posexplode_outer(array).alias(position, element))
+    return rows.where(F.col(position).isNotNull())
+
+
 def _packages(parsed: DataFrame, keep: list[str]) -> DataFrame:
-    return parsed.select(*keep, F.posexplode("packages").alias("package_index", "p"))
+    return _exploded(parsed, keep, "packages", "package_index", "p")
 
 
 def run_records(parsed: DataFrame, keep: list[str] = ()) -> DataFrame:
@@ -110,12 +117,13 @@ def sample_attributes(parsed: DataFrame, keep: list[str] = ()) -> DataFrame:
     keep = list(keep)
     p = F.col("p")
     sample = p["SAMPLE"]
-    return _packages(parsed, keep).select(
+    owners = [
         *keep, "package_index",
         null_to_blank(sample["_accession"]).alias("sample_accession"),
         _external_id(sample, "BioSample").alias("biosample_accession"),
-        F.posexplode(sample["SAMPLE_ATTRIBUTES"]["SAMPLE_ATTRIBUTE"]).alias("attribute_index", "a"),
-    ).select(
+    ]
+    listed = sample["SAMPLE_ATTRIBUTES"]["SAMPLE_ATTRIBUTE"]
+    return _exploded(_packages(parsed, keep), owners, listed, "attribute_index", "a").select(
         *keep, "package_index", "attribute_index", "sample_accession", "biosample_accession",
         _text(F.col("a.TAG")).alias("attribute_name"),
         _text(F.col("a.VALUE")).alias("attribute_value"),
@@ -129,7 +137,7 @@ def taxonomy_rows(landed: DataFrame, order: str, body: str = "body") -> DataFram
     entries without an id are dropped.
     """
     parsed = F.from_xml(F.col(body), TAXA, {"mode": "FAILFAST", "columnNameOfCorruptRecord": BAD})
-    taxa = landed.select(F.col(order).alias("__doc"), F.posexplode(parsed["Taxon"]).alias("__pos", "t"))
+    taxa = _exploded(landed, [F.col(order).alias("__doc")], parsed["Taxon"], "__pos", "t")
     t = F.col("t")
     lineage = F.coalesce(t["LineageEx"]["Taxon"], F.array().cast(
         "array<struct<TaxId: string, ScientificName: string, Rank: string>>"))
@@ -170,7 +178,8 @@ def _search(landed: DataFrame, body: str) -> DataFrame:
 
 def search_ids(landed: DataFrame, keep: list[str] = (), body: str = "body") -> DataFrame:
     """One row per id of each search response."""
-    return _search(landed, body).select(*keep, F.explode("__result.idlist").alias("uid"))
+    found = _exploded(_search(landed, body), list(keep), "__result.idlist", "__pos", "uid")
+    return found.select(*keep, "uid")
 
 
 def search_history(landed: DataFrame, keep: list[str] = (), body: str = "body") -> DataFrame:

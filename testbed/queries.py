@@ -24,7 +24,7 @@ ROOT = "/lake/batches"
 # --- landed payloads -------------------------------------------------------------------------
 
 def _packages(s: Stages) -> DataFrame:
-    return payloads.parse_packages(s.sql(inputs.PACKAGE_PAYLOADS, "lineitem"))
+    return payloads.parse_packages(s.packages())
 
 
 def xml_run_records(s: Stages) -> DataFrame:
@@ -37,20 +37,16 @@ def xml_sample_attributes(s: Stages) -> DataFrame:
     return attributes.categorize(rows, s.dictionary, spread).select(*schemas.BRONZE_ATTRIBUTE)
 
 
-def _taxon_payloads(s: Stages) -> DataFrame:
-    return s.sql(inputs.TAXON_PAYLOADS, "customer")
-
-
 def xml_taxonomy_reference(s: Stages) -> DataFrame:
-    return payloads.taxonomy_rows(_taxon_payloads(s), "landed_order")
+    return payloads.taxonomy_rows(s.taxa(), "landed_order")
 
 
 def json_search_ids(s: Stages) -> DataFrame:
-    return payloads.search_ids(s.sql(inputs.SEARCH_PAYLOADS, "orders"), ["o_orderkey"])
+    return payloads.search_ids(s.searches(), ["o_orderkey"])
 
 
 def json_search_history(s: Stages) -> DataFrame:
-    parsed = payloads.search_history(s.sql(inputs.SEARCH_PAYLOADS, "orders"), ["o_orderkey"])
+    parsed = payloads.search_history(s.searches(), ["o_orderkey"])
     return parsed.withColumn("ids", F.array_join("ids", LIST_SEPARATOR))
 
 
@@ -88,7 +84,7 @@ def manifest_completed_offsets(s: Stages) -> DataFrame:
 def ingest_landed_batches(s: Stages) -> DataFrame:
     """Half of the jobs are landed first; the second ingestion then skips what is done."""
     def write(path: str) -> None:
-        landed = s.stored("landing", lambda: _landing(s))
+        landed = s.packages()
         even = landed.where(F.regexp_extract("job_id", "([0-9]+)$", 1).cast("bigint") % 2 == 0)
         for number, part in enumerate((even, landed)):
             ingest.ingest_batches(part, path, f"{path}/manifest", f"run-{number}", s.dictionary)
@@ -98,21 +94,11 @@ def ingest_landed_batches(s: Stages) -> DataFrame:
     return rows.select("job_id", "retstart", *schemas.BRONZE_RUN)
 
 
-def _landing(s: Stages) -> DataFrame:
-    return s.sql(inputs.PACKAGE_PAYLOADS, "lineitem").select(
-        F.concat(F.lit("job-"), "l_suppkey").alias("job_id"),
-        F.lit(1).cast("bigint").alias("batch_number"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("retstart"),
-        F.lit(1).cast("bigint").alias("retmax"),
-        "body",
-    )
-
-
 def ingest_incremental(s: Stages) -> DataFrame:
     def write(path: str) -> None:
-        s.stored("landing", lambda: _landing(s))
+        s.packages()
         ingest.ingest_stream(
-            s.spark, s.path("landing", lambda p: None), path, f"{path}/manifest",
+            s.spark, s.path("landed/packages", lambda p: None), path, f"{path}/manifest",
             f"{path}/checkpoint", s.dictionary, max_files=4)
 
     path = s.path("streamed", write)

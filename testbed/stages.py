@@ -49,6 +49,12 @@ class Stages:
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return self.spark.read.parquet(self.path(name, lambda p: build().write.parquet(p)))
 
+    def landed(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """An input table, stored as many files the way batches land, not as the one file
+        that the driver tables come in."""
+        files = self.spark.sparkContext.defaultParallelism
+        return self.stored(f"landed/{name}", lambda: build().repartition(files))
+
     @property
     def dictionary(self) -> DataFrame:
         return attribute_dictionary(self.spark)
@@ -62,7 +68,7 @@ class Stages:
             rows = self.sql(inputs.RUN_RAW, "lineitem", "orders", "customer")
             return rows.select(*schemas.LINEAGE, *schemas.BRONZE_RUN,
                                F.struct(*inputs.RUN_ORDER).alias(ORDER))
-        return self.stored("raw/runs", build)
+        return self.landed("runs", build)
 
     def raw_attributes(self) -> DataFrame:
         def build() -> DataFrame:
@@ -70,7 +76,22 @@ class Stages:
             return rows.select(
                 *schemas.LINEAGE, "sample_accession", "biosample_accession", "attribute_name",
                 "attribute_value", F.struct(*inputs.ATTRIBUTE_ORDER).alias(ORDER))
-        return self.stored("raw/attributes", build)
+        return self.landed("attributes", build)
+
+    def packages(self) -> DataFrame:
+        return self.landed(
+            "packages", lambda: self.sql(inputs.PACKAGE_PAYLOADS, "lineitem").select(
+                F.concat(F.lit("job-"), "l_suppkey").alias("job_id"),
+                F.lit(1).cast("bigint").alias("batch_number"),
+                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("retstart"),
+                F.lit(1).cast("bigint").alias("retmax"),
+                "body"))
+
+    def taxa(self) -> DataFrame:
+        return self.landed("taxa", lambda: self.sql(inputs.TAXON_PAYLOADS, "customer"))
+
+    def searches(self) -> DataFrame:
+        return self.landed("searches", lambda: self.sql(inputs.SEARCH_PAYLOADS, "orders"))
 
     @staticmethod
     def source_order() -> list:
@@ -102,7 +123,12 @@ class Stages:
         return self.stored(f"silver/{name}", build[name])
 
     def silver(self) -> dict[str, DataFrame]:
-        return {name: blanks_to_null(self.silver_text(name)) for name in schemas.SILVER}
+        """Silver as gold reads it: a missing value is NULL."""
+        return {
+            name: self.stored(
+                f"silver-parquet/{name}", lambda n=name: blanks_to_null(self.silver_text(n)))
+            for name in schemas.SILVER
+        }
 
     def build_facts(self) -> DataFrame:
         tables = self.silver()
