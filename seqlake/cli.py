@@ -10,9 +10,9 @@ from seqlake.functions.text import utc_stamp
 from seqlake.operators.attributes import attribute_dictionary, profile_attributes
 from seqlake.plans import lake, quality, reports, serving, taxonomy
 from seqlake.plans.lake import LakePaths
-from seqlake.schemas import BRONZE_ATTRIBUTE, GOLD, LANDING, SILVER
+from seqlake.schemas import BRONZE_ATTRIBUTE, GOLD, LANDING
 from seqlake.session import build_session
-from seqlake.sources.files import read_bronze_batches, read_csv_strings, read_tables, write_csv
+from seqlake.sources.files import read_bronze_batches, read_tables, write_csv
 from seqlake.streaming.ingest import ingest_stream, preview
 
 
@@ -24,7 +24,7 @@ def _parser() -> argparse.ArgumentParser:
     for name, text in {
         "combine": "merge bronze batches",
         "silver": "build the silver tables",
-        "export-silver": "silver CSV to Parquet",
+        "export-silver": "existing silver CSV tables to Parquet",
         "gold": "build the gold tables",
         "summarize": "write the silver summaries",
     }.items():
@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}: {count} rows")
     elif args.command == "build":
         result = lake.build_lake(spark, paths, args.dictionary, args.max_unknown_samples)
-        for step in ("bronze", "silver", "silver_parquet", "gold", "summary"):
+        for step in ("bronze", "silver", "gold", "summary"):
             print(f"{step}: {result[step]}")
         print(f"Quality checks passed: {result['passed']}")
         return 0 if result["passed"] else 1
@@ -108,7 +108,7 @@ def main(argv: list[str] | None = None) -> int:
         write_csv(runs, f"{args.root}/bronze/sra/preview-{stamp}/runs.csv")
         write_csv(attributes, f"{args.root}/bronze/sra/preview-{stamp}/attributes.csv")
     elif args.command == "taxonomy":
-        samples = read_csv_strings(spark, paths.silver_csv()["sra_sample"], SILVER["sra_sample"])
+        samples = spark.read.parquet(paths.silver_tables()["sra_sample"])
         landed = spark.read.schema(LANDING).parquet(args.landing)
         print(taxonomy.update_reference(
             spark, samples, landed, paths.taxonomy_reference, paths.taxonomy_manifest,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -156,15 +158,21 @@ def quality_summary(
     return totals.withColumn("unknown_sample_pct", F.round(share * 100, 4))
 
 
-def build_gold(silver: dict[str, DataFrame], facts: DataFrame) -> dict[str, DataFrame]:
+# Gold table: how it is built from the silver tables and the sample facts.
+BUILDERS = {
+    "sra_domain_summary": lambda silver, facts: domain_summary(facts),
+    "sra_context_summary": lambda silver, facts: context_summary(facts),
+    "sra_domain_library_strategy_summary": lambda silver, facts: domain_library_strategy(
+        silver["sra_run"], silver["sra_sample_classification"]),
+    "sra_top_organisms_by_domain": lambda silver, facts: top_organisms(
+        silver["sra_sample"], silver["sra_sample_classification"]),
+    "sra_attribute_category_by_domain": lambda silver, facts: attribute_category_by_domain(
+        silver["sra_sample_attribute"], silver["sra_sample_classification"]),
+    "sra_quality_summary": lambda silver, facts: quality_summary(
+        silver["sra_sample_classification"], silver["sra_run"], silver["sra_sample_attribute"]),
+}
+
+
+def build_gold(silver: Mapping[str, DataFrame], facts: DataFrame) -> dict[str, DataFrame]:
     """All gold tables; `facts` are the (stored) sample facts of the same silver tables."""
-    runs, samples = silver["sra_run"], silver["sra_sample"]
-    attributes, classification = silver["sra_sample_attribute"], silver["sra_sample_classification"]
-    return {
-        "sra_domain_summary": domain_summary(facts),
-        "sra_context_summary": context_summary(facts),
-        "sra_domain_library_strategy_summary": domain_library_strategy(runs, classification),
-        "sra_top_organisms_by_domain": top_organisms(samples, classification),
-        "sra_attribute_category_by_domain": attribute_category_by_domain(attributes, classification),
-        "sra_quality_summary": quality_summary(classification, runs, attributes),
-    }
+    return {name: build(silver, facts) for name, build in BUILDERS.items()}

@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from seqlake import schemas
+from seqlake.functions.text import utc_stamp
 from seqlake.operators.attributes import attribute_dictionary
 from seqlake.plans import bronze, gold, quality, silver, summary, taxonomy
 from seqlake.session import materialize
 from seqlake.sources.files import (
-    blanks_to_null, exists, read_csv_strings, read_tables, write_csv, write_parquet,
+    blanks_to_null, exists, latest_matching, read_csv_strings, read_tables, require, write_csv,
+    write_parquet,
 )
 
 
@@ -49,58 +51,79 @@ class LakePaths:
     def silver_csv(self) -> dict[str, str]:
         return {name: f"{self.silver}/{name}.csv" for name in schemas.SILVER}
 
+    def silver_tables(self) -> dict[str, str]:
+        return {name: f"{self.silver_parquet}/{name}.parquet" for name in schemas.SILVER}
+
     def gold_tables(self) -> dict[str, str]:
         return {name: f"{self.gold}/{name}.parquet" for name in schemas.GOLD}
 
 
+# Combined bronze tables, one per run of `combine`; a UTC stamp follows the prefix.
+COMBINED = {"runs": "sra-bronze-combined", "attributes": "sra-sample-attributes-combined"}
+
+
 def combine(spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None) -> dict[str, int]:
-    """Write combined bronze (Parquet, with the row order that later steps rely on)."""
+    """Write combined bronze as Parquet, with the row order that silver relies on."""
     merged = bronze.combine_batches(
         spark, paths.batches, attribute_dictionary(spark, dictionary_path))
-    return {name: write_parquet(df, f"{paths.combined}/{name}.parquet") for name, df in merged.items()}
+    stamp = spark.range(1).select(utc_stamp()).first()[0]
+    return {
+        name: write_parquet(df, f"{paths.combined}/{COMBINED[name]}-{stamp}.parquet")
+        for name, df in merged.items()
+    }
+
+
+def read_combined(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
+    """The newest combined tables."""
+    return {
+        name: spark.read.parquet(latest_matching(spark, paths.combined, f"{prefix}-*.parquet"))
+        for name, prefix in COMBINED.items()
+    }
 
 
-def read_combined(spark: SparkSession, paths: LakePaths) -> tuple[DataFrame, DataFrame]:
-    tables = read_tables(spark, paths.combined, ["runs", "attributes"], "combined bronze table")
-    return tables["runs"], tables["attributes"]
+def _read_silver(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
+    return read_tables(spark, paths.silver_parquet, list(schemas.SILVER), "Silver Parquet table")
 
 
 def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
-    """Write the silver CSV tables. Samples and attributes are written before they are used
-    for the classification, so they are derived only once."""
-    runs, attributes = read_combined(spark, paths)
-    files = paths.silver_csv()
-    read = lambda name: read_csv_strings(spark, files[name], schemas.SILVER[name])
-    write_csv(silver.silver_runs(runs), files["sra_run"])
-    write_csv(silver.silver_samples(runs), files["sra_sample"])
-    write_csv(silver.silver_attributes(attributes), files["sra_sample_attribute"])
+    """Write silver as Parquet, where a missing value is NULL, and as CSV for people to read.
+
+    Samples and attributes are stored before the classification reads them, so each is derived
+    once; the CSV files are copies that no later step parses.
+    """
+    combined, files, counts = read_combined(spark, paths), paths.silver_tables(), {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        counts[name] = write_parquet(blanks_to_null(df), files[name])
+        stored = spark.read.parquet(files[name])
+        write_csv(stored, paths.silver_csv()[name])
+        return stored.fillna("")
+
+    store("sra_run", silver.silver_runs(combined["runs"]))
+    samples = store("sra_sample", silver.silver_samples(combined["runs"]))
+    attributes = store("sra_sample_attribute", silver.silver_attributes(combined["attributes"]))
     reference = (
         taxonomy.read_reference(spark, paths.taxonomy_reference)
         if exists(spark, paths.taxonomy_reference) else None
     )
-    classified = silver.classify_samples(
-        read("sra_sample"), read("sra_sample_attribute"), reference)
-    write_csv(classified, files["sra_sample_classification"])
-    return {name: read(name).count() for name in files}
+    store("sra_sample_classification", silver.classify_samples(samples, attributes, reference))
+    return counts
 
 
 def export_silver(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
-    """Silver CSV to Parquet, where a missing value is NULL."""
+    """Silver CSV tables from elsewhere to the Parquet tables that gold reads."""
     files = paths.silver_csv()
-    for path in files.values():
-        if not exists(spark, path):
-            raise ValueError(f"Missing required Silver CSV table: {path}")
+    require(spark, files, "Silver CSV table")
     return {
         name: write_parquet(
             blanks_to_null(read_csv_strings(spark, path, schemas.SILVER[name])),
-            f"{paths.silver_parquet}/{name}.parquet")
+            paths.silver_tables()[name])
         for name, path in files.items()
     }
 
 
 def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
-    tables = read_tables(
-        spark, paths.silver_parquet, list(schemas.SILVER), "Silver Parquet table")
+    tables = _read_silver(spark, paths)
     # Written once, because two gold tables aggregate it.
     facts = materialize(gold.sample_facts(
         tables["sra_sample_classification"], tables["sra_run"], tables["sra_sample_attribute"],
@@ -112,12 +135,7 @@ def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
 
 
 def summarize(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
-    files = paths.silver_csv()
-    for path in files.values():
-        if not exists(spark, path):
-            raise ValueError(f"Missing required Silver table: {path}")
-    tables = {n: read_csv_strings(spark, p, schemas.SILVER[n]) for n, p in files.items()}
-    return summary.summarize_silver(tables, paths.summary)
+    return summary.summarize_silver(_read_silver(spark, paths), paths.summary)
 
 
 def validate(
@@ -125,10 +143,14 @@ def validate(
     max_unknown_samples: int = quality.MAX_UNKNOWN_SAMPLES,
 ) -> DataFrame:
     """Write the quality report and return it as stored."""
+    def read(path: str, columns: list[str]) -> DataFrame:
+        if path.endswith(".csv"):
+            return read_csv_strings(spark, path, columns)
+        return spark.read.parquet(path)
+
     report = quality.validate_lake(
-        spark, paths.silver_csv(), lambda p, c: read_csv_strings(spark, p, c),
-        paths.gold_tables(), paths.taxonomy_reference, paths.taxonomy_manifest,
-        max_unknown_samples,
+        spark, paths.silver_tables(), read, paths.gold_tables(), paths.taxonomy_reference,
+        paths.taxonomy_manifest, max_unknown_samples,
     )
     write_csv(report, paths.quality_report, single_file=True)
     return read_csv_strings(spark, paths.quality_report, schemas.QUALITY_CHECK)
@@ -142,7 +164,6 @@ def build_lake(
     result: dict = {
         "bronze": combine(spark, paths, dictionary_path),
         "silver": build_silver(spark, paths),
-        "silver_parquet": export_silver(spark, paths),
         "gold": build_gold(spark, paths),
         "summary": summarize(spark, paths),
     }

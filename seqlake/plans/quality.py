@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -127,7 +128,7 @@ def taxonomy_coverage(name: str, samples: DataFrame, taxonomy: DataFrame) -> Dat
 
 
 def content_checks(
-    silver: dict[str, DataFrame],
+    silver: Mapping[str, DataFrame],
     max_unknown_samples: int = MAX_UNKNOWN_SAMPLES,
     max_unknown_fraction: float = MAX_UNKNOWN_FRACTION,
 ) -> list[DataFrame]:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 DOMAINS = "sra_domain_summary"
 CONTEXTS = "sra_context_summary"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,11 @@ from seqlake.schemas import GOLD
 from seqlake.sources.files import read_tables
 
 
-def serving_table(name: str, gold: dict[str, DataFrame]) -> DataFrame:
+def serving_table(name: str, gold: Mapping[str, DataFrame]) -> DataFrame:
     return gold[name].select(*[F.col(c).cast(kind).alias(c) for c, kind in GOLD[name].items()])
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of every table, stacked."""
     counted = [
         df.agg(F.count("*").alias("row_count"))

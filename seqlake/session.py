@@ -25,14 +25,14 @@ def build_session(app: str = "seqlake", **conf: str) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder. Only a local session may fall back to a folder of its own."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
+    folder = folder or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"Set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="seqlake-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="seqlake-"))
+        folder = context.getCheckpointDir()
     return folder
 
 

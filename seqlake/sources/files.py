@@ -10,14 +10,14 @@ from seqlake.functions.text import blank_to_null, file_name, path_parts, source_
 from seqlake.operators.dedupe import ORDER
 
 
-def _matching(spark: SparkSession, pattern: str) -> list:
+def matching_files(spark: SparkSession, pattern: str) -> list:
     """File status of each path that matches a glob, on whichever file system it names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     return list(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or [])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return bool(_matching(spark, path))
+    return bool(matching_files(spark, path))
 
 
 def require(spark: SparkSession, paths: dict[str, str], what: str) -> None:
@@ -28,7 +28,7 @@ def require(spark: SparkSession, paths: dict[str, str], what: str) -> None:
 
 def latest_matching(spark: SparkSession, folder: str, pattern: str) -> str:
     """The most recently modified file or table folder in `folder` that matches `pattern`."""
-    found = _matching(spark, f"{folder.rstrip('/')}/{pattern}")
+    found = matching_files(spark, f"{folder.rstrip('/')}/{pattern}")
     if not found:
         raise ValueError(f"No files matched {pattern} in {folder}")
     newest = max(found, key=lambda status: status.getModificationTime())

@@ -15,7 +15,7 @@ from seqlake.sources import files, manifest, payloads
 from seqlake.streaming import ingest
 from seqlake.vocab import LIST_SEPARATOR, SAMPLE_DOMAINS
 from testbed import inputs
-from testbed.stages import Stages
+from testbed.stages import Stages, Tables
 
 BATCH_SIZE = 200
 ROOT = "/lake/batches"
@@ -490,9 +490,9 @@ def _summary(name: str) -> Callable[[Stages], DataFrame]:
     return lambda s: summary.count_by_fields(s.silver_text(table), fields)
 
 
-def _serving(s: Stages) -> dict[str, DataFrame]:
+def _serving(s: Stages) -> Tables:
     tables = s.gold()
-    return {name: serving.serving_table(name, tables) for name in schemas.GOLD}
+    return Tables(schemas.GOLD, lambda name: serving.serving_table(name, tables))
 
 
 def registry() -> dict[str, Callable[[Stages], DataFrame]]:

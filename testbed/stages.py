@@ -7,20 +7,41 @@ spark.checkpoint.dir names; changed input files lead to fresh tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from seqlake import schemas
 from seqlake.operators.attributes import attribute_dictionary
 from seqlake.operators.dedupe import ORDER
 from seqlake.plans import bronze, gold, silver
 from seqlake.session import scratch_path
-from seqlake.sources.files import _matching, blanks_to_null
+from seqlake.sources.files import blanks_to_null, matching_files
 from testbed import inputs
 
+# (session, input files, table name): its path, and its schema once it has been read
 _written: dict[tuple, str] = {}
+_schemas: dict[str, StructType] = {}
+
+
+class Tables(Mapping):
+    """Named tables that are opened (and if need be built) only when they are asked for."""
+
+    def __init__(self, names: Iterable[str], open_table: Callable[[str], DataFrame]) -> None:
+        self.names, self.open_table = list(names), open_table
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        return self.open_table(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
 
 
 class Stages:
@@ -28,7 +49,7 @@ class Stages:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         files = sorted(
             (s.getPath().toString(), s.getLen(), s.getModificationTime())
-            for s in _matching(spark, f"{self.sf_dir}/*.parquet"))
+            for s in matching_files(spark, f"{self.sf_dir}/*.parquet"))
         self.key = (spark.sparkContext.applicationId, tuple(files))
 
     def table(self, name: str) -> DataFrame:
@@ -47,7 +68,10 @@ class Stages:
         return _written[key]
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return self.spark.read.parquet(self.path(name, lambda p: build().write.parquet(p)))
+        path = self.path(name, lambda p: build().write.parquet(p))
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def landed(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """An input table, stored as many files the way batches land, not as the one file
@@ -122,13 +146,10 @@ class Stages:
         }
         return self.stored(f"silver/{name}", build[name])
 
-    def silver(self) -> dict[str, DataFrame]:
+    def silver(self) -> Tables:
         """Silver as gold reads it: a missing value is NULL."""
-        return {
-            name: self.stored(
-                f"silver-parquet/{name}", lambda n=name: blanks_to_null(self.silver_text(n)))
-            for name in schemas.SILVER
-        }
+        return Tables(schemas.SILVER, lambda name: self.stored(
+            f"silver-parquet/{name}", lambda: blanks_to_null(self.silver_text(name))))
 
     def build_facts(self) -> DataFrame:
         tables = self.silver()
@@ -140,7 +161,8 @@ class Stages:
         """Stored once, because two gold tables aggregate it."""
         return self.stored("gold/facts", self.build_facts)
 
-    def gold(self) -> dict[str, DataFrame]:
-        built = gold.build_gold(self.silver(), self.facts())
-        return {name: self.stored(f"gold/{name}", lambda df=df: df.coalesce(1))
-                for name, df in built.items()}
+    def gold(self) -> Tables:
+        def build(name: str) -> DataFrame:
+            return gold.BUILDERS[name](self.silver(), self.facts()).coalesce(1)
+
+        return Tables(schemas.GOLD, lambda name: self.stored(f"gold/{name}", lambda: build(name)))
