@@ -20,6 +20,8 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="seqlake", description=__doc__)
     parser.add_argument("--root", default="data", help="folder that holds the lake")
     parser.add_argument("--dictionary", help="CSV with the columns name, category")
+    parser.add_argument("--by-name", action="store_true",
+                        help="batch folders may differ in their CSV headers")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, text in {
         "combine": "merge bronze batches",
@@ -63,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     stamp = spark.range(1).select(utc_stamp()).first()[0]
 
     simple = {
-        "combine": lambda: lake.combine(spark, paths, args.dictionary),
+        "combine": lambda: lake.combine(spark, paths, args.dictionary, args.by_name),
         "silver": lambda: lake.build_silver(spark, paths),
         "export-silver": lambda: lake.export_silver(spark, paths),
         "gold": lambda: lake.build_gold(spark, paths),
@@ -73,7 +75,8 @@ def main(argv: list[str] | None = None) -> int:
         for name, count in simple[args.command]().items():
             print(f"{name}: {count} rows")
     elif args.command == "build":
-        result = lake.build_lake(spark, paths, args.dictionary, args.max_unknown_samples)
+        result = lake.build_lake(
+            spark, paths, args.dictionary, args.max_unknown_samples, args.by_name)
         for step in ("bronze", "silver", "gold", "summary"):
             print(f"{step}: {result[step]}")
         print(f"Quality checks passed: {result['passed']}")

@@ -37,19 +37,19 @@ def combine_attributes(
 
 def combine_files(
     spark: SparkSession, folder: str, pattern: str, columns: list[str], keys: list[str],
-    transform: Callable[[DataFrame], DataFrame] | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None, by_name: bool = False,
 ) -> DataFrame:
     """Merge any set of batch files, with an optional transformation of the scanned rows."""
-    rows = read_bronze_batches(spark, folder, pattern, columns)
+    rows = read_bronze_batches(spark, folder, pattern, columns, by_name)
     return merge_duplicates(rows.transform(transform) if transform else rows, keys,
                             source_path_order())
 
 
 def combine_batches(
-    spark: SparkSession, folder: str, dictionary: DataFrame
+    spark: SparkSession, folder: str, dictionary: DataFrame, by_name: bool = False
 ) -> dict[str, DataFrame]:
-    runs = read_bronze_batches(spark, folder, RUN_PATTERN, schemas.BRONZE_RUN)
+    runs = read_bronze_batches(spark, folder, RUN_PATTERN, schemas.BRONZE_RUN, by_name)
     attributes = read_bronze_batches(
-        spark, folder, ATTRIBUTE_PATTERN, schemas.BRONZE_ATTRIBUTE
+        spark, folder, ATTRIBUTE_PATTERN, schemas.BRONZE_ATTRIBUTE, by_name
     )
     return {"runs": combine_runs(runs), "attributes": combine_attributes(attributes, dictionary)}

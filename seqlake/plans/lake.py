@@ -62,10 +62,13 @@ class LakePaths:
 COMBINED = {"runs": "sra-bronze-combined", "attributes": "sra-sample-attributes-combined"}
 
 
-def combine(spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None) -> dict[str, int]:
+def combine(
+    spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None,
+    by_name: bool = False,
+) -> dict[str, int]:
     """Write combined bronze as Parquet, with the row order that silver relies on."""
     merged = bronze.combine_batches(
-        spark, paths.batches, attribute_dictionary(spark, dictionary_path))
+        spark, paths.batches, attribute_dictionary(spark, dictionary_path), by_name)
     stamp = spark.range(1).select(utc_stamp()).first()[0]
     return {
         name: write_parquet(df, f"{paths.combined}/{COMBINED[name]}-{stamp}.parquet")
@@ -158,11 +161,11 @@ def validate(
 
 def build_lake(
     spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None,
-    max_unknown_samples: int = quality.MAX_UNKNOWN_SAMPLES,
+    max_unknown_samples: int = quality.MAX_UNKNOWN_SAMPLES, by_name: bool = False,
 ) -> dict:
     """Rebuild everything from the batch files; returns the counts of every step."""
     result: dict = {
-        "bronze": combine(spark, paths, dictionary_path),
+        "bronze": combine(spark, paths, dictionary_path, by_name),
         "silver": build_silver(spark, paths),
         "gold": build_gold(spark, paths),
         "summary": summarize(spark, paths),

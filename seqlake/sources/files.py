@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +45,14 @@ def latest_rows(df: DataFrame, snapshot: str) -> DataFrame:
 
 def read_csv_strings(
     spark: SparkSession, path: str, columns: list[str],
-    pattern: str | None = None, with_source: bool = False,
+    pattern: str | None = None, with_source: bool = False, datasets: list[str] | None = None,
 ) -> DataFrame:
     """CSV with a header as text columns; quoted line breaks are kept; a missing value is ''.
 
     With `with_source`, files below `path` are read recursively and every row gets
-    source_dataset, source_file and `row_order`. A header that differs from `columns` is an error.
+    source_dataset, source_file and `row_order`; `datasets` then limits the scan to some of the
+    folders (`root` for the files in `path` itself). A header that differs from `columns` is an
+    error.
     """
     reader = (
         spark.read.schema(schemas.strings(columns))
@@ -57,7 +61,9 @@ def read_csv_strings(
     )
     if pattern is not None:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    rows = reader.csv(path)
+    base = path.rstrip("/")
+    rows = reader.csv(path if datasets is None else [
+        f"{base}/{pattern}" if name == "root" else f"{base}/{name}" for name in datasets])
     if not with_source:
         return rows.fillna("")
     # A multi-line file is never split: within a file the running id follows the rows.
@@ -75,16 +81,49 @@ def read_csv_strings(
 
 
 def read_bronze_batches(
-    spark: SparkSession, folder: str, pattern: str, columns: list[str]
+    spark: SparkSession, folder: str, pattern: str, columns: list[str], by_name: bool = False
 ) -> DataFrame:
+    """All batch files below a folder. With `by_name`, headers may differ between the folders of
+    the batches: columns are matched by name, a missing one reads as '', an extra one is an error.
+    """
     if not exists(spark, folder):
         raise ValueError(f"No CSV files matched {pattern} in {folder}")
+    if by_name:
+        return _read_by_name(spark, folder, pattern, columns)
     rows = read_csv_strings(spark, folder, columns, pattern, with_source=True)
     if not rows.inputFiles():
         raise ValueError(f"No CSV files matched {pattern} in {folder}")
     return rows
 
 
+def _read_by_name(
+    spark: SparkSession, folder: str, pattern: str, columns: list[str]
+) -> DataFrame:
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    header = F.regexp_extract("value", r"^\ufeff?([^\r\n]*)", 1)
+    # One row per folder and header: as many as there are query folders, not files.
+    found = (
+        spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+        .select(source_dataset_name(path, folder).alias("dataset"), header.alias("header"))
+        .where("header <> ''").distinct().collect()
+    )
+    layouts = {row.dataset: [c.strip('"') for c in row.header.split(",")] for row in found}
+    if not found:
+        raise ValueError(f"No CSV files matched {pattern} in {folder}")
+    if len(layouts) < len(found):
+        raise ValueError(f"Batch files of one folder below {folder} differ in their headers")
+    extra = {c for layout in layouts.values() for c in layout} - set(columns)
+    if extra:
+        raise ValueError(f"Unexpected columns below {folder}: {', '.join(sorted(extra))}")
+    parts = []
+    for layout in {tuple(names) for names in layouts.values()}:
+        datasets = [name for name, names in layouts.items() if tuple(names) == layout]
+        rows = read_csv_strings(
+            spark, folder, list(layout), pattern, with_source=True, datasets=datasets)
+        parts.append(project_fields(rows, [*schemas.LINEAGE, *columns, ORDER]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header that `read_csv_strings` (or any RFC 4180 reader) reads back unchanged."""
     out = df.coalesce(1) if single_file else df

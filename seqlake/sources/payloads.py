@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,10 +56,21 @@ def _external_id(owner: Column, namespace: str) -> Column:
     return _text(F.get(named, F.lit(0))["_VALUE"])
 
 
+def _without_map_attributes(xml: Column) -> Column:
+    """In the two elements that are read as maps, an attribute would look like an entry: bare their
+    start tags. The plain text search spares almost every payload the rewrite."""
+    starts = [f"<{tag}{space}" for tag in ("PLATFORM", "LIBRARY_LAYOUT") for space in " \t\r\n"]
+    present = reduce(lambda a, b: a | b, [F.contains(xml, F.lit(start)) for start in starts])
+    bared = F.regexp_replace(xml, r"<(PLATFORM|LIBRARY_LAYOUT)\s[^>]*?(/?)>", "<$1$2>")
+    return F.when(present, bared).otherwise(xml)
+
+
 def parse_packages(landed: DataFrame, body: str = "body") -> DataFrame:
     """Parse each XML payload once: adds `packages` and `parse_error` (NULL when well formed)."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
-    parsed = F.from_xml(F.col(body), PACKAGES, options)
+    # Text is stripped where it is used; attributes are kept as they are.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD,
+               "ignoreSurroundingSpaces": "false"}
+    parsed = F.from_xml(_without_map_attributes(F.col(body)), PACKAGES, options)
     return (
         landed.withColumn("__xml", parsed)
         .withColumn("packages", F.col("__xml.EXPERIMENT_PACKAGE"))

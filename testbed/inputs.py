@@ -130,12 +130,16 @@ JOIN {NAME_DIM} AS name_rows ON wanted_name = name_idx
 RUN_ORDER = ["source_dataset", "source_file", "ord1", "ord2", "ord3", "ord4"]
 ATTRIBUTE_ORDER = ["source_dataset", "source_file", "ord1"]
 
-# Landed XML, one payload per lineitem. Text is padded, and escapes occur in text and attributes.
-PACKAGE_PAYLOADS = f"""
+# Landed XML: one package per lineitem, landed in batches of 200 in this order. Text is padded, and
+# escapes occur in it.
+PACKAGES_PER_BATCH = 200
+PACKAGE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+                 "l_quantity", "l_returnflag", "l_linestatus"]
+PACKAGES = f"""
 SELECT
-  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+  {", ".join(PACKAGE_ORDER)},
   concat(
-    '<EXPERIMENT_PACKAGE_SET><EXPERIMENT_PACKAGE><EXPERIMENT accession="SRX',
+    '<EXPERIMENT_PACKAGE><EXPERIMENT accession="SRX',
     cast(l_orderkey AS string), '">',
     CASE WHEN l_suppkey % 2 = 0 THEN concat('<STUDY_REF accession="SRP-ref',
       cast(l_suppkey AS string), '"/>') ELSE '' END,
@@ -169,7 +173,7 @@ SELECT
       '" total_bases="', cast(cast(floor(l_extendedprice) AS bigint) AS string), '"/>',
       CASE WHEN l_linenumber = 2 THEN concat('<RUN accession="SRR', cast(l_orderkey AS string),
         '-again"/>') ELSE '' END, '</RUN_SET>') END,
-    '</EXPERIMENT_PACKAGE></EXPERIMENT_PACKAGE_SET>') AS body
+    '</EXPERIMENT_PACKAGE>') AS package
 FROM {{lineitem}}
 """
 

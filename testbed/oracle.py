@@ -310,7 +310,9 @@ XML_ATTRIBUTES = """
       UNION ALL
       SELECT *, 'Dose & time', '5 > 4', 'dose_time', 'other' FROM lineitem
       WHERE l_linenumber = 1) AS attributes"""
-JOB = ", concat('job-', l_suppkey) AS job_id, l_orderkey * 10 + l_linenumber AS retstart"
+JOB = f", concat('job-', pos // {SIZE} % 4) AS job_id, pos // {SIZE} * {SIZE} AS retstart"
+NUMBERED = f"""WITH numbered AS (SELECT *,
+    row_number() OVER (ORDER BY {', '.join(inputs.PACKAGE_ORDER)}) - 1 AS pos FROM lineitem)"""
 
 _CLADES = "string_split(lower(lineage), '; ')"
 
@@ -473,8 +475,8 @@ def statements() -> dict[str, str]:
     # landed payloads
     out["xml_run_records"] = XML_RUNS.format(extra="")
     out["xml_sample_attributes"] = XML_ATTRIBUTES.format(extra="")
-    out["ingest_landed_batches"] = XML_RUNS.format(extra=JOB)
-    out["ingest_incremental"] = XML_ATTRIBUTES.format(extra=JOB)
+    out["ingest_landed_batches"] = NUMBERED + XML_RUNS.format(extra=JOB).replace("FROM lineitem", "FROM numbered")
+    out["ingest_incremental"] = NUMBERED + XML_ATTRIBUTES.format(extra=JOB).replace("FROM lineitem", "FROM numbered")
     out["xml_taxonomy_reference"] = f"WITH {TAXA} SELECT * FROM taxon_parsed"
     out["json_search_ids"] = """
         SELECT o_orderkey, cast(o_orderkey AS varchar) AS uid FROM orders WHERE o_orderkey % 5 <> 0

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from seqlake import schemas
 from seqlake.operators.attributes import attribute_dictionary
+from seqlake.operators.batches import with_row_index
 from seqlake.operators.dedupe import ORDER
 from seqlake.plans import bronze, gold, silver
 from seqlake.session import scratch_path
@@ -103,13 +104,23 @@ class Stages:
         return self.landed("attributes", build)
 
     def packages(self) -> DataFrame:
-        return self.landed(
-            "packages", lambda: self.sql(inputs.PACKAGE_PAYLOADS, "lineitem").select(
-                F.concat(F.lit("job-"), "l_suppkey").alias("job_id"),
-                F.lit(1).cast("bigint").alias("batch_number"),
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("retstart"),
-                F.lit(1).cast("bigint").alias("retmax"),
-                "body"))
+        """Landed batches as (job_id, batch_number, retstart, retmax, body)."""
+        def build() -> DataFrame:
+            size = inputs.PACKAGES_PER_BATCH
+            rows = with_row_index(self.sql(inputs.PACKAGES, "lineitem"), inputs.PACKAGE_ORDER)
+            batch = F.floor(F.col("row_index") / size)
+            members = F.array_sort(F.collect_list(F.struct("row_index", "package")))
+            joined = F.array_join(F.transform(members, lambda m: m["package"]), "")
+            return rows.groupBy(batch.alias("batch")).agg(
+                joined.alias("packages"), F.count("*").alias("retmax")
+            ).select(
+                F.concat(F.lit("job-"), F.col("batch") % 4).alias("job_id"),
+                (F.col("batch") + 1).alias("batch_number"),
+                (F.col("batch") * size).alias("retstart"),
+                "retmax",
+                F.concat(F.lit("<EXPERIMENT_PACKAGE_SET>"), "packages",
+                         F.lit("</EXPERIMENT_PACKAGE_SET>")).alias("body"))
+        return self.landed("packages", build)
 
     def taxa(self) -> DataFrame:
         return self.landed("taxa", lambda: self.sql(inputs.TAXON_PAYLOADS, "customer"))

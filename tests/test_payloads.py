@@ -63,6 +63,16 @@ def test_sample_attributes_keep_document_order(spark):
         ("p0", "SAMN1", "Tissue", "blood & bone"), ("p0", "SAMN1", "geo loc name", "")]
 
 
+def test_attributes_on_mapped_elements_are_no_entries(spark):
+    marked = PACKAGES.replace("<PLATFORM>", '<PLATFORM\n a="1" >').replace(
+        "<LIBRARY_LAYOUT>", '<LIBRARY_LAYOUT b="2">').replace("<PLATFORM/>", '<PLATFORM c="3"/>')
+    first, _, bare, _ = payloads.run_records(payloads.parse_packages(landed(spark, marked))).orderBy(
+        "package_index", "run_index").collect()
+    assert (first.platform, first.instrument_model, first.library_layout) == (
+        "ILLUMINA", "NovaSeq", "PAIRED")
+    assert bare.platform == ""
+
+
 def test_malformed_payload_is_reported(spark):
     parsed = payloads.parse_packages(landed(spark, PACKAGES, "<EXPERIMENT_PACKAGE_SET><EXP"))
     assert {r.source_path for r in parsed.where("parse_error IS NOT NULL").collect()} == {"p1"}
