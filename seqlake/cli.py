@@ -99,9 +99,9 @@ def main(argv: list[str] | None = None) -> int:
         print(f"Output profile: {output}")
     elif args.command == "ingest":
         ingest_stream(
-            spark, args.landing, f"{args.root}/bronze/sra/ingested",
-            f"{args.root}/manifests/sra/ingested.jsonl", f"{args.root}/manifests/sra/checkpoint",
-            attribute_dictionary(spark, args.dictionary))
+            spark, args.landing, paths.ingested, paths.ingest_manifest,
+            f"{args.root}/manifests/sra/checkpoint",
+            attribute_dictionary(spark, args.dictionary), schema=LANDING)
     elif args.command == "preview":
         land = lambda path: spark.read.schema(LANDING).parquet(path)
         ids, runs, attributes = preview(land(args.search), land(args.fetched), args.retmax)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqlake import schemas
+from seqlake.functions.text import path_parts
 from seqlake.operators.attributes import categorize, normalize_names
 from seqlake.operators.dedupe import ORDER, merge_duplicates
-from seqlake.sources.files import read_bronze_batches
+from seqlake.sources.files import exists, read_bronze_batches
+from seqlake.sources.manifest import read_ingested
 
 RUN_PATTERN = "sra-bronze-batch-*.csv"
 ATTRIBUTE_PATTERN = "sra-sample-attributes-batch-*.csv"
@@ -45,11 +48,39 @@ def combine_files(
                             source_path_order())
 
 
+def ingested_rows(spark: SparkSession, folder: str, manifest: str, kind: str, root: str) -> DataFrame:
+    """Ingested batches with the lineage and order that their batch files below `root` would have."""
+    prefix, position = {
+        "runs": ("sra-bronze-batch", "run_index"),
+        "attributes": ("sra-sample-attributes-batch", "attribute_index"),
+    }[kind]
+    rows = read_ingested(spark, folder, manifest, kind)
+    file = F.format_string(f"{prefix}-%06d.csv", "batch_number")
+    # Packages keep their order in the payload, and rows their order in the package.
+    at = F.col("package_index").cast("bigint") * (1 << 31) + F.coalesce(position, F.lit(0))
+    columns = {"runs": schemas.BRONZE_RUN, "attributes": schemas.BRONZE_ATTRIBUTE}[kind]
+    return rows.withColumns({
+        "source_dataset": F.col("job_id"),
+        "source_file": file,
+        ORDER: F.struct(
+            F.concat(path_parts(F.lit(root.rstrip("/"))), F.array("job_id", file)).alias("path"),
+            at.alias("row")),
+    }).select(*schemas.LINEAGE, *columns, ORDER)
+
+
 def combine_batches(
-    spark: SparkSession, folder: str, dictionary: DataFrame, by_name: bool = False
+    spark: SparkSession, folder: str, dictionary: DataFrame, by_name: bool = False,
+    ingested: str | None = None, manifest: str | None = None,
 ) -> dict[str, DataFrame]:
-    runs = read_bronze_batches(spark, folder, RUN_PATTERN, schemas.BRONZE_RUN, by_name)
-    attributes = read_bronze_batches(
-        spark, folder, ATTRIBUTE_PATTERN, schemas.BRONZE_ATTRIBUTE, by_name
-    )
+    """Merge the batch files below `folder` and the ingested batches, whichever there are."""
+    def rows(kind: str, pattern: str, columns: list[str]) -> DataFrame:
+        parts = []
+        if exists(spark, folder) or not (ingested and exists(spark, ingested)):
+            parts.append(read_bronze_batches(spark, folder, pattern, columns, by_name))
+        if ingested and exists(spark, ingested):
+            parts.append(ingested_rows(spark, ingested, manifest, kind, folder))
+        return reduce(DataFrame.unionByName, parts)
+
+    runs = rows("runs", RUN_PATTERN, schemas.BRONZE_RUN)
+    attributes = rows("attributes", ATTRIBUTE_PATTERN, schemas.BRONZE_ATTRIBUTE)
     return {"runs": combine_runs(runs), "attributes": combine_attributes(attributes, dictionary)}

@@ -10,7 +10,7 @@ from seqlake import schemas
 from seqlake.functions.text import utc_stamp
 from seqlake.operators.attributes import attribute_dictionary
 from seqlake.plans import bronze, gold, quality, silver, summary, taxonomy
-from seqlake.session import materialize
+from seqlake.session import stored
 from seqlake.sources.files import (
     blanks_to_null, exists, latest_matching, read_csv_strings, read_tables, require, write_csv,
     write_parquet,
@@ -23,6 +23,8 @@ class LakePaths:
 
     root: str = "data"
     batches: str = ""
+    ingested: str = ""
+    ingest_manifest: str = ""
     combined: str = ""
     silver: str = ""
     silver_parquet: str = ""
@@ -35,6 +37,8 @@ class LakePaths:
     def __post_init__(self) -> None:
         defaults = {
             "batches": "bronze/sra/batches",
+            "ingested": "bronze/sra/ingested",
+            "ingest_manifest": "manifests/sra/ingested.jsonl",
             "combined": "bronze/sra/combined",
             "silver": "silver/sra",
             "silver_parquet": "silver/sra/parquet",
@@ -66,9 +70,11 @@ def combine(
     spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None,
     by_name: bool = False,
 ) -> dict[str, int]:
-    """Write combined bronze as Parquet, with the row order that silver relies on."""
+    """Write combined bronze as Parquet, with the row order that silver relies on. Its input is
+    batch files, batches ingested from landed XML, or both."""
     merged = bronze.combine_batches(
-        spark, paths.batches, attribute_dictionary(spark, dictionary_path), by_name)
+        spark, paths.batches, attribute_dictionary(spark, dictionary_path), by_name,
+        paths.ingested, paths.ingest_manifest)
     stamp = spark.range(1).select(utc_stamp()).first()[0]
     return {
         name: write_parquet(df, f"{paths.combined}/{COMBINED[name]}-{stamp}.parquet")
@@ -98,9 +104,9 @@ def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
 
     def store(name: str, df: DataFrame) -> DataFrame:
         counts[name] = write_parquet(blanks_to_null(df), files[name])
-        stored = spark.read.parquet(files[name])
-        write_csv(stored, paths.silver_csv()[name])
-        return stored.fillna("")
+        table = spark.read.parquet(files[name])
+        write_csv(table, paths.silver_csv()[name])
+        return table.fillna("")
 
     store("sra_run", silver.silver_runs(combined["runs"]))
     samples = store("sra_sample", silver.silver_samples(combined["runs"]))
@@ -127,14 +133,14 @@ def export_silver(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
 
 def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
     tables = _read_silver(spark, paths)
+    facts = gold.sample_facts(
+        tables["sra_sample_classification"], tables["sra_run"], tables["sra_sample_attribute"])
     # Written once, because two gold tables aggregate it.
-    facts = materialize(gold.sample_facts(
-        tables["sra_sample_classification"], tables["sra_run"], tables["sra_sample_attribute"],
-    ), "sample-facts")
-    return {
-        name: write_parquet(df.coalesce(1), f"{paths.gold}/{name}.parquet")
-        for name, df in gold.build_gold(tables, facts).items()
-    }
+    with stored(facts, "sample-facts") as once:
+        return {
+            name: write_parquet(df.coalesce(1), paths.gold_tables()[name])
+            for name, df in gold.build_gold(tables, once).items()
+        }
 
 
 def summarize(spark: SparkSession, paths: LakePaths) -> dict[str, int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from seqlake import schemas
 from seqlake.functions.text import is_blank, null_to_blank, strip
 from seqlake.operators.batches import batch_ids
 from seqlake.operators.dedupe import keep_last, upsert
-from seqlake.session import materialize
+from seqlake.session import stored
 from seqlake.sources.files import exists, project_fields, read_csv_strings, write_csv
 from seqlake.sources.manifest import append_events
 from seqlake.sources.payloads import taxonomy_rows
@@ -99,22 +100,23 @@ def update_reference(
     """
     keep = exists(spark, path) and not rebuild
     blank = spark.createDataFrame([], schemas.strings(schemas.TAXONOMY))
-    existing = materialize(read_reference(spark, path), "taxonomy") if keep else blank
-    wanted = missing_ids(samples, existing)
-    if wanted.isEmpty():
-        fetched, batches = blank, 0
-    else:
-        fetched = materialize(taxonomy_rows(landed, order), "taxonomy")
-        batches = landed.count()
-    merged = materialize(upsert(existing, fetched, "taxon_id"), "taxonomy")
-    counts = update_counts(samples, existing, fetched).first()
+    with ExitStack() as tables:
+        once = lambda df: tables.enter_context(stored(df, "taxonomy"))
+        existing = once(read_reference(spark, path)) if keep else blank
+        wanted = missing_ids(samples, existing)
+        requested = wanted.count()
+        fetched = once(taxonomy_rows(landed, order)) if requested else blank
+        # Stored before the reference it was read from is replaced.
+        merged = once(upsert(existing, fetched, "taxon_id"))
+        counts = update_counts(samples, existing, fetched).first()
+        write_reference(merged, path)
     event = {
-        "status": "success" if batches else "noop",
-        "requested_taxon_ids": wanted.count() if batches else 0,
+        "status": "success" if requested else "noop",
+        "requested_taxon_ids": requested,
         "fetched_taxon_ids": counts.fetched_taxon_ids,
         "output_path": path,
         "rebuild": rebuild,
     }
     append_events(spark.createDataFrame([event]), manifest)
-    write_reference(merged, path)
+    batches = landed.count() if requested else 0
     return TaxonomyUpdate(**counts.asDict(), batch_count=batches)

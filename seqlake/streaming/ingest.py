@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqlake.functions.text import path_parts
 from seqlake.operators.attributes import categorize, normalize_names
-from seqlake.operators.batches import pending_batches
-from seqlake.session import materialize
+from seqlake.operators.batches import batch_windows, pending_batches
+from seqlake.schemas import LANDING
+from seqlake.session import stored
 from seqlake.sources.manifest import append_events, completed_offsets, read_manifest
 from seqlake.sources.payloads import (
-    parse_packages, run_records, sample_attributes, search_ids,
+    parse_packages, run_records, sample_attributes, search_history, search_ids,
 )
 
 BATCH_KEY = ["job_id", "retstart"]
@@ -27,7 +29,6 @@ BATCHES = T.StructType([
     T.StructField("retmax", T.LongType()),
     T.StructField("body", T.StringType()),
 ])
-KINDS = ("runs", "attributes")
 
 
 class IngestError(ValueError):
@@ -63,51 +64,75 @@ def ingest_batches(
     spark = landed.sparkSession
     done = completed_offsets(read_manifest(spark, manifest), "job_id")
     pending = pending_batches(landed, done, BATCH_KEY)
-    # Written once: both bronze tables and the manifest read the parsed packages.
-    parsed = materialize(parse_packages(pending).drop("body"), "parsed")
-    good = parsed.where("parse_error IS NULL")
     keep = ["job_id", "batch_number", "retstart"]
-    attributes = categorize(
-        normalize_names(sample_attributes(good, keep)), dictionary,
-        ["sample_accession", "attribute_value"])
-    tables = {"runs": run_records(good, keep), "attributes": attributes}
-    for kind in KINDS:
-        tables[kind].write.mode("overwrite").parquet(f"{bronze}/{kind}/ingest_id={ingest_id}")
-    events = _events(parsed, ingest_id)
-    append_events(events, manifest)
-    totals = events.agg(
-        F.count_if(F.col("status") == "success").alias("completed_batches"),
-        F.count_if(F.col("status") == "failure").alias("failed_batches"),
-        F.coalesce(F.sum("run_rows"), F.lit(0)).alias("run_rows"),
-        F.coalesce(F.sum("sample_attribute_rows"), F.lit(0)).alias("sample_attribute_rows"),
-    ).first().asDict()
+    # Written once: both bronze tables and the manifest read the parsed packages.
+    with stored(parse_packages(pending).drop("body"), "parsed") as parsed:
+        good = parsed.where("parse_error IS NULL")
+        attributes = categorize(
+            normalize_names(sample_attributes(good, keep)), dictionary,
+            ["sample_accession", "attribute_value"])
+        for kind, rows in {"runs": run_records(good, keep), "attributes": attributes}.items():
+            rows.write.mode("overwrite").parquet(f"{bronze}/{kind}/ingest_id={ingest_id}")
+        events = _events(parsed, ingest_id)
+        append_events(events, manifest)
+        totals = events.agg(
+            F.count_if(F.col("status") == "success").alias("completed_batches"),
+            F.count_if(F.col("status") == "failure").alias("failed_batches"),
+            F.coalesce(F.sum("run_rows"), F.lit(0)).alias("run_rows"),
+            F.coalesce(F.sum("sample_attribute_rows"), F.lit(0)).alias("sample_attribute_rows"),
+        ).first().asDict()
     if totals["failed_batches"]:
         raise IngestError(f"{totals['failed_batches']} landed batches could not be parsed, see {manifest}")
     return {**totals, "skipped_batches": landed.count() - totals["completed_batches"]}
 
 
-def read_ingested(spark: SparkSession, bronze: str, manifest: str, kind: str) -> DataFrame:
-    """Bronze rows of every ingestion that the manifest confirms."""
-    confirmed = (
-        read_manifest(spark, manifest).where("status = 'success'").select("ingest_id").distinct()
+def plan_fetches(
+    searches: DataFrame, events: DataFrame, batch_size: int, max_records: int | None = None
+) -> DataFrame:
+    """Batches still to be fetched: windows over each job's search result, minus finished ones.
+
+    `searches` holds (job_id, body) with one search response per job. A response without history
+    handles is an error, since its records could not be fetched.
+    """
+    if max_records is not None and max_records <= 0:
+        raise ValueError("max_records must be positive when provided")
+    found = search_history(searches, ["job_id"])
+    target = F.col("count") if max_records is None else F.least("count", F.lit(max_records))
+    handled = (F.col("query_key") != "") & (F.col("webenv") != "")
+    total = F.when(handled, target).otherwise(
+        F.raise_error(F.lit("Search did not return history handles")).cast("bigint"))
+    windows = batch_windows(
+        found.select("job_id", "query_key", "webenv", total.alias("total")), "total", batch_size)
+    return pending_batches(windows, completed_offsets(events, "job_id"), BATCH_KEY)
+
+
+def landed_batches(landed: DataFrame) -> DataFrame:
+    """The fetched payloads of a landing table as batches. The job is the folder a payload landed
+    in; offset and size are the ones it was requested with."""
+    offset = F.col("params")["retstart"].cast("bigint")
+    size = F.col("params")["retmax"].cast("bigint")
+    return landed.where((F.col("utility") == "efetch") & offset.isNotNull()).select(
+        F.element_at(path_parts(F.col("source_path")), -2).alias("job_id"),
+        (F.floor(F.try_divide(offset, size)) + 1).alias("batch_number"),
+        offset.alias("retstart"), size.alias("retmax"), "body",
     )
-    return spark.read.parquet(f"{bronze}/{kind}").withColumn(
-        "ingest_id", F.col("ingest_id").cast("string")).join(confirmed, "ingest_id", "left_semi")
 
 
 def ingest_stream(
     spark: SparkSession, landing: str, bronze: str, manifest: str, checkpoint: str,
-    dictionary: DataFrame, max_files: int = 1000,
+    dictionary: DataFrame, max_files: int = 1000, schema: T.StructType = BATCHES,
 ) -> None:
     """Ingest every landed file that has not been seen yet, then stop.
 
-    Each micro-batch overwrites the folder of its own number, so a replayed one changes nothing.
+    The files hold batches, or raw responses when `schema` is the landing schema. Each micro-batch
+    overwrites the folder of its own number, so a replayed one changes nothing.
     """
-    def write(batch: DataFrame, epoch: int) -> None:
-        ingest_batches(batch, bronze, manifest, f"epoch-{epoch:09d}", dictionary)
+    def write(arrived: DataFrame, epoch: int) -> None:
+        batches = landed_batches(arrived) if schema == LANDING else arrived
+        ingest_batches(batches, bronze, manifest, f"epoch-{epoch:09d}", dictionary)
 
     query = (
-        spark.readStream.schema(BATCHES).option("maxFilesPerTrigger", max_files).parquet(landing)
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

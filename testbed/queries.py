@@ -90,7 +90,7 @@ def ingest_landed_batches(s: Stages) -> DataFrame:
             ingest.ingest_batches(part, path, f"{path}/manifest", f"run-{number}", s.dictionary)
 
     path = s.path("ingested", write)
-    rows = ingest.read_ingested(s.spark, path, f"{path}/manifest", "runs")
+    rows = manifest.read_ingested(s.spark, path, f"{path}/manifest", "runs")
     return rows.select("job_id", "retstart", *schemas.BRONZE_RUN)
 
 
@@ -102,7 +102,7 @@ def ingest_incremental(s: Stages) -> DataFrame:
             f"{path}/checkpoint", s.dictionary, max_files=4)
 
     path = s.path("streamed", write)
-    rows = ingest.read_ingested(s.spark, path, f"{path}/manifest", "attributes")
+    rows = manifest.read_ingested(s.spark, path, f"{path}/manifest", "attributes")
     return rows.select("job_id", "retstart", *schemas.BRONZE_ATTRIBUTE)
 
 

@@ -163,10 +163,10 @@ def test_ingestion_is_resumable(spark, tmp_path):
                      "sample_attribute_rows": 4, "skipped_batches": 0}
     again = ingest.ingest_batches(landed, bronze, log, "two", dictionary)
     assert (again["completed_batches"], again["skipped_batches"], again["run_rows"]) == (0, 2, 0)
-    runs = ingest.read_ingested(spark, bronze, log, "runs")
+    runs = manifest.read_ingested(spark, bronze, log, "runs")
     assert runs.count() == 8
     assert {r.run_accession for r in runs.where("retstart = 200").collect()} == {"ERR1", "ERR2", ""}
-    attributes = ingest.read_ingested(spark, bronze, log, "attributes")
+    attributes = manifest.read_ingested(spark, bronze, log, "attributes")
     assert {r.attribute_category for r in attributes.collect()} == {"host_material", "spatiotemporal"}
 
 
@@ -176,13 +176,13 @@ def test_a_failing_batch_is_recorded_and_raised(spark, tmp_path):
     broken = batches(spark, PACKAGES, "<EXPERIMENT_PACKAGE_SET><EXPERIMENT")
     with pytest.raises(ingest.IngestError):
         ingest.ingest_batches(broken, bronze, log, "one", dictionary)
-    assert ingest.read_ingested(spark, bronze, log, "runs").count() == 4
+    assert manifest.read_ingested(spark, bronze, log, "runs").count() == 4
     events = manifest.read_manifest(spark, log)
     assert {(r.retstart, r.status) for r in events.collect()} == {(0, "success"), (200, "failure")}
     mended = batches(spark, PACKAGES, PACKAGES)
     result = ingest.ingest_batches(mended, bronze, log, "two", dictionary)
     assert (result["completed_batches"], result["skipped_batches"]) == (1, 1)
-    assert ingest.read_ingested(spark, bronze, log, "runs").count() == 8
+    assert manifest.read_ingested(spark, bronze, log, "runs").count() == 8
 
 
 def test_unconfirmed_rows_stay_invisible(spark, tmp_path):
@@ -190,7 +190,7 @@ def test_unconfirmed_rows_stay_invisible(spark, tmp_path):
     dictionary = attribute_dictionary(spark)
     ingest.ingest_batches(batches(spark, PACKAGES), bronze, log, "one", dictionary)
     spark.read.parquet(f"{bronze}/runs/ingest_id=one").write.parquet(f"{bronze}/runs/ingest_id=lost")
-    assert ingest.read_ingested(spark, bronze, log, "runs").count() == 4
+    assert manifest.read_ingested(spark, bronze, log, "runs").count() == 4
 
 
 def test_stream_picks_up_new_files_only(spark, tmp_path):
@@ -200,14 +200,78 @@ def test_stream_picks_up_new_files_only(spark, tmp_path):
         spark, landing, bronze, log, str(tmp_path / "checkpoint"), dictionary, max_files=1)
     batches(spark, PACKAGES, PACKAGES).repartition(2).write.parquet(landing)
     stream()
-    assert ingest.read_ingested(spark, bronze, log, "runs").count() == 8
+    assert manifest.read_ingested(spark, bronze, log, "runs").count() == 8
     stream()
     batches(spark, PACKAGES, start=5).write.mode("append").parquet(landing)
     stream()
-    assert ingest.read_ingested(spark, bronze, log, "runs").count() == 12
+    assert manifest.read_ingested(spark, bronze, log, "runs").count() == 12
     assert manifest.read_manifest(spark, log).count() == 3
 
 
+def test_ingested_batches_feed_the_lake(spark, root):
+    """Ingested XML and batch files merge into one bronze table, with lineage of both."""
+    paths = LakePaths(str(root))
+    known = PACKAGES.replace("SRR1", "SRR9")
+    ingest.ingest_batches(batches(spark, PACKAGES, known, job="job-x"), paths.ingested,
+                          paths.ingest_manifest, "one", attribute_dictionary(spark))
+    result = lake.build_lake(spark, paths)
+    # SRX1/SRR1 is known from two batch files; new are SRR2, SRR9, the bare package and the empty one.
+    assert result["bronze"]["runs"] == 2 + 4
+    run = spark.read.parquet(paths.silver_tables()["sra_run"])
+    # SRR2 is in SRX1 of job-x and in SRX2 of mixed; the folder that sorts first wins.
+    assert {r.run_accession: r.source_dataset for r in run.collect()} == {
+        "SRR1": "human | job-x | mixed", "SRR2": "job-x", "SRR9": "job-x"}
+    merged = lake.read_combined(spark, paths)["runs"]
+    first = merged.where("run_accession = 'SRR1'").first()
+    assert first.source_file == "sra-bronze-batch-000001.csv"
+    assert first.library_strategy == "RNA-Seq" and first.platform == ""
+    again = merged.where("experiment_accession = 'SRX2' AND run_accession = ''").first()
+    assert again.source_file == "sra-bronze-batch-000001.csv | sra-bronze-batch-000002.csv"
+
+
+def test_a_lake_can_be_built_from_ingested_batches_alone(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    ingest.ingest_batches(batches(spark, PACKAGES), paths.ingested, paths.ingest_manifest, "one",
+                          attribute_dictionary(spark))
+    result = lake.build_lake(spark, paths)
+    assert result["silver"]["sra_run"] == 2 and not result["passed"]
+
+
+def test_fetches_are_planned_from_searches_and_manifest(spark, tmp_path):
+    answer = lambda count, key: json.dumps(
+        {"esearchresult": {"count": str(count), "querykey": key, "webenv": "W"}})
+    searches = spark.createDataFrame([("a", answer(450, "1")), ("b", answer(5000, "2"))],
+                                     "job_id string, body string")
+    log = str(tmp_path / "log")
+    manifest.append_events(spark.sql("SELECT 'success' AS status, 'a' AS job_id, 200L AS retstart"), log)
+    events = manifest.read_manifest(spark, log)
+    planned = ingest.plan_fetches(searches, events, 200, 1000).collect()
+    assert sorted((r.job_id, r.batch_number, r.retstart, r.retmax, r.query_key) for r in planned) == [
+        ("a", 1, 0, 200, "1"), ("a", 3, 400, 50, "1"),
+        *[("b", i + 1, i * 200, 200, "2") for i in range(5)]]
+    with pytest.raises(ValueError, match="max_records"):
+        ingest.plan_fetches(searches, events, 200, 0)
+    bare = spark.createDataFrame([("c", answer(5, ""))], "job_id string, body string")
+    with pytest.raises(Exception, match="history handles"):
+        ingest.plan_fetches(bare, events, 200).collect()
+
+
+def test_raw_landing_is_ingested_from_the_command_line(spark, tmp_path):
+    landing = spark.createDataFrame([
+        ("/raw/sra/job-7/esearch.json", "esearch", "u", {"retstart": "0"}, 200, "json", "{}"),
+        ("/raw/sra/job-7/b1.xml", "efetch", "u", {"retstart": "0", "retmax": "200"}, 200, "xml", PACKAGES),
+        ("/raw/sra/job-7/b2.xml", "efetch", "u", {"retstart": "200", "retmax": "200"}, 200, "xml",
+         PACKAGES.replace("SRR", "ERR")),
+    ], schemas.LANDING)
+    landing.write.parquet(str(tmp_path / "landing"))
+    command = ["--root", str(tmp_path), "ingest", "--landing", str(tmp_path / "landing")]
+    assert cli.main(command) == 0 and cli.main(command) == 0
+    paths = LakePaths(str(tmp_path))
+    rows = manifest.read_ingested(spark, paths.ingested, paths.ingest_manifest, "runs")
+    assert {(r.job_id, r.batch_number) for r in rows.collect()} == {("job-7", 1), ("job-7", 2)}
+    assert rows.count() == 8
+
+
 def test_preview(spark):
     search = spark.createDataFrame([('{"esearchresult": {"idlist": ["1", "2", "3", "4"]}}',)], "body string")
     ids, runs, attributes = ingest.preview(search, batches(spark, PACKAGES), 3)
