@@ -70,7 +70,9 @@ def parse_packages(landed: DataFrame, body: str = "body") -> DataFrame:
     # Text is stripped where it is used; attributes are kept as they are.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD,
                "ignoreSurroundingSpaces": "false"}
-    parsed = F.from_xml(_without_map_attributes(F.col(body)), PACKAGES, options)
+    # An absent body is no well-formed document either.
+    xml = _without_map_attributes(null_to_blank(F.col(body)))
+    parsed = F.from_xml(xml, PACKAGES, options)
     return (
         landed.withColumn("__xml", parsed)
         .withColumn("packages", F.col("__xml.EXPERIMENT_PACKAGE"))

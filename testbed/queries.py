@@ -295,7 +295,7 @@ def attribute_signals(s: Stages) -> DataFrame:
 
 
 def silver_empty_to_null(s: Stages) -> DataFrame:
-    return files.blanks_to_null(s.silver_text("sra_sample_attribute"))
+    return files.blanks_to_null(silver.silver_attributes(s.bronze_attributes()))
 
 
 # --- taxonomy reference ----------------------------------------------------------------------

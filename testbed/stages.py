@@ -145,8 +145,8 @@ class Stages:
     def bronze_attributes(self) -> DataFrame:
         return self.stored("bronze/attributes", self.combine_attributes)
 
-    def silver_text(self, name: str) -> DataFrame:
-        """Silver before the NULL boundary: a missing value is ''."""
+    def silver_table(self, name: str) -> DataFrame:
+        """Silver as it is stored: a missing value is NULL."""
         build = {
             "sra_run": lambda: silver.silver_runs(self.bronze_runs()),
             "sra_sample": lambda: silver.silver_samples(self.bronze_runs()),
@@ -155,12 +155,14 @@ class Stages:
                 self.silver_text("sra_sample"), self.silver_text("sra_sample_attribute"),
                 self.taxonomy),
         }
-        return self.stored(f"silver/{name}", build[name])
+        return self.stored(f"silver/{name}", lambda: blanks_to_null(build[name]()))
+
+    def silver_text(self, name: str) -> DataFrame:
+        """Silver as text, where a missing value is ''."""
+        return self.silver_table(name).fillna("")
 
     def silver(self) -> Tables:
-        """Silver as gold reads it: a missing value is NULL."""
-        return Tables(schemas.SILVER, lambda name: self.stored(
-            f"silver-parquet/{name}", lambda: blanks_to_null(self.silver_text(name))))
+        return Tables(schemas.SILVER, self.silver_table)
 
     def build_facts(self) -> DataFrame:
         tables = self.silver()

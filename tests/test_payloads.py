@@ -74,8 +74,10 @@ def test_attributes_on_mapped_elements_are_no_entries(spark):
 
 
 def test_malformed_payload_is_reported(spark):
-    parsed = payloads.parse_packages(landed(spark, PACKAGES, "<EXPERIMENT_PACKAGE_SET><EXP"))
-    assert {r.source_path for r in parsed.where("parse_error IS NOT NULL").collect()} == {"p1"}
+    parsed = payloads.parse_packages(landed(
+        spark, PACKAGES, "<EXPERIMENT_PACKAGE_SET><EXP", "", None, "text", "<EXPERIMENT_PACKAGE_SET/>"))
+    assert {r.source_path for r in parsed.where("parse_error IS NOT NULL").collect()} == {
+        "p1", "p2", "p3", "p4"}
 
 
 def taxon(taxon_id, name, rank="species", entries=()):
