@@ -53,6 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     publish.add_argument("--jdbc-url", help="a database; default: the Spark catalog")
     publish.add_argument("--user")
     publish.add_argument("--password")
+    query = commands.add_parser("sql", help="run SQL over the silver and gold tables")
+    query.add_argument("text")
     report = commands.add_parser("report", help="show a report or dashboard card")
     report.add_argument("name", choices=sorted({*reports.report_names(), *reports.card_names()}))
     return parser
@@ -125,6 +127,9 @@ def main(argv: list[str] | None = None) -> int:
             counts = serving.publish_to_catalog(spark, paths.gold, args.schema)
         for name, count in counts.items():
             print(f"{args.schema}.{name}: {count}")
+    elif args.command == "sql":
+        lake.register_views(spark, paths)
+        spark.sql(args.text).show(100, truncate=False)
     elif args.command == "report":
         tables = read_tables(spark, paths.gold, list(GOLD), "Gold Parquet table")
         show = reports.report if args.name in reports.report_names() else reports.card

@@ -143,6 +143,15 @@ def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
         }
 
 
+def register_views(spark: SparkSession, paths: LakePaths) -> list[str]:
+    """Temporary views over the stored silver and gold tables, for ad-hoc SQL."""
+    stored_tables = {**paths.silver_tables(), **paths.gold_tables()}
+    found = {name: path for name, path in stored_tables.items() if exists(spark, path)}
+    for name, path in found.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    return list(found)
+
+
 def summarize(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
     return summary.summarize_silver(_read_silver(spark, paths), paths.summary)
 

@@ -231,3 +231,12 @@ SELECT o_orderkey, concat(
   ']}}}}') AS body
 FROM {orders}
 """
+
+# One search response per supplier.
+JOB_SEARCHES = """
+SELECT concat('job-', cast(l_suppkey AS string)) AS job_id, concat(
+  '{{"esearchresult": {{"count": "', cast(count(*) AS string), '", "querykey": "1", "webenv": "W',
+  cast(l_suppkey AS string), '"}}}}') AS body
+FROM {lineitem}
+GROUP BY l_suppkey
+"""

@@ -530,6 +530,20 @@ def statements() -> dict[str, str]:
           'api_key=%5BREDACTED%5D&term=a+b%2Fc&empty=', substr(url, length(base) + 1))
           AS redacted_url
         FROM (SELECT *, split_part(url, '#', 1) AS base FROM pages) AS parts"""
+    out["redact_params"] = """
+        SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN '[REDACTED]' END AS api_key,
+          CASE WHEN page_id % 2 = 1 THEN concat('k', page_id) END AS my_api_key FROM pages"""
+    out["plan_fetches"] = f"""
+        WITH done AS (SELECT concat('job-', event_id % 100) AS job_id,
+            event_id // 100 % 8 * {SIZE} AS retstart FROM events WHERE event_type <> 'error'),
+          totals AS (SELECT l_suppkey, count(*) AS total FROM lineitem GROUP BY l_suppkey),
+          windows AS (SELECT l_suppkey, total, unnest(range((total + {SIZE - 1}) // {SIZE})) AS pos
+            FROM totals)
+        SELECT concat('job-', l_suppkey) AS job_id, '1' AS query_key,
+          concat('W', l_suppkey) AS webenv, pos * {SIZE} AS retstart,
+          least({SIZE}, total - pos * {SIZE}) AS retmax, pos + 1 AS batch_number
+        FROM windows WHERE NOT EXISTS (SELECT 1 FROM done
+          WHERE done.job_id = concat('job-', l_suppkey) AND done.retstart = pos * {SIZE})"""
     out["merge_source_value"] = f"""{LAKE} SELECT experiment_accession, run_accession,
         source_dataset AS again, concat(source_dataset, ' | ', library_layout) AS grown
         FROM bronze_runs"""

@@ -178,6 +178,17 @@ def redact_url(s: Stages) -> DataFrame:
     return s.table("pages").select("page_id", text.redact_url(keyed).alias("redacted_url"))
 
 
+def redact_params(s: Stages) -> DataFrame:
+    params = F.create_map(
+        F.lit("url"), "url",
+        F.when(F.col("page_id") % 2 == 0, "api_key").otherwise("my_api_key"),
+        F.concat(F.lit("k"), "page_id"))
+    hidden = text.redact_params(params)
+    return s.table("pages").select(
+        "page_id", hidden["url"].alias("url"), hidden["api_key"].alias("api_key"),
+        hidden["my_api_key"].alias("my_api_key"))
+
+
 def merge_source_value(s: Stages) -> DataFrame:
     first = F.col("row_order.source_dataset")
     return s.bronze_runs().select(
@@ -349,6 +360,20 @@ def pending_batches(s: Stages) -> DataFrame:
     return batches.pending_batches(windows, manifest.completed_offsets(_manifest(s)), ["retstart"])
 
 
+def plan_fetches(s: Stages) -> DataFrame:
+    """One search per supplier over its lineitems; some windows are done already."""
+    def write(path: str) -> None:
+        manifest.append_events(s.table("events").select(
+            F.when(F.col("event_type") == "error", "failure").otherwise("success").alias("status"),
+            F.concat(F.lit("job-"), F.col("event_id") % 100).alias("job_id"),
+            (F.floor(F.col("event_id") / 100) % 8 * BATCH_SIZE).alias("retstart"),
+        ), path)
+
+    done = manifest.read_manifest(s.spark, s.path("fetch-manifest", write))
+    searches = s.sql(inputs.JOB_SEARCHES, "lineitem")
+    return ingest.plan_fetches(searches, done, BATCH_SIZE)
+
+
 # --- quality and profile ---------------------------------------------------------------------
 
 def quality_unique_keys(s: Stages) -> DataFrame:
@@ -435,14 +460,14 @@ PLAIN = [
     json_search_history, scan_csv_strings, latest_snapshot, manifest_completed_offsets,
     ingest_landed_batches, ingest_incremental,
     normalize_attribute_name, categorize_attribute, known_attribute_names, renormalize_attributes,
-    source_dataset_name, redact_url, slugify, merge_source_value, attribute_category_summary,
+    source_dataset_name, redact_url, redact_params, slugify, merge_source_value, attribute_category_summary,
     classification_basis, batch_windows, batched_ids,
     bronze_runs_combined, bronze_attributes_combined, silver_run, silver_sample,
     silver_sample_attribute, silver_sample_classification, silver_empty_to_null,
     classify_organism_group, classify_sample_domain, classify_sample_context,
     taxonomy_organism_group, taxonomy_sample_domain, attribute_signals,
     unique_taxon_ids, taxonomy_dimension, taxonomy_sorted, taxonomy_missing_ids, taxonomy_upsert,
-    taxonomy_update_summary, pending_batches,
+    taxonomy_update_summary, pending_batches, plan_fetches,
     quality_unique_keys, quality_row_count_match, quality_required_fields, quality_allowed_values,
     quality_unknown_threshold, quality_taxonomy_coverage, quality_report, quality_gate,
     attribute_profile, attribute_profile_other_count, lake_build_counts,

@@ -72,6 +72,10 @@ def test_command_line(spark, root, capsys, tmp_path):
         assert cli.main(["--root", str(root), command]) == 0
     assert cli.main(["--root", str(root), "report", "overview"]) == 0
     assert cli.main(["--root", str(root), "report", "top_strategies"]) == 0
+    query = "SELECT sum(run_count) + 39 AS n FROM sra_domain_summary JOIN sra_sample_classification " \
+            "USING (sample_domain)"
+    assert cli.main(["--root", str(root), "sql", query]) == 0
+    assert "|41 |" in capsys.readouterr().out
     assert cli.main(["--root", str(root), "profile"]) == 0
     assert "Profiled attributes: 1" in capsys.readouterr().out
     reference = root / "reference/ncbi_taxonomy/taxonomy_reference.csv"
