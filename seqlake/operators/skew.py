@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 HOT_KEY_ROWS = 1_000_000
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_CHARS = 32_000_000
 
 
 def salted_join(
@@ -41,12 +42,18 @@ def lookup_join(
     fact: DataFrame, dim: DataFrame, key: str, spread_by: list[str],
     max_rows: int = MAX_BROADCAST_ROWS, hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Left join to a reference table: broadcast when it is counted and small, salted beyond."""
-    if dim.count() <= max_rows:
+    """Left join to a reference table: broadcast when it is measured and small, salted beyond."""
+    if _is_small(dim, max_rows):
         return fact.join(F.broadcast(dim), key, "left")
     return salted_join(fact, dim, key, spread_by, "left", hot_rows)
 
 
+def _is_small(dim: DataFrame, max_rows: int) -> bool:
+    width = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in dim.columns]))
+    size = dim.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("chars")).first()
+    return size["rows"] <= max_rows and size["chars"] <= MAX_BROADCAST_CHARS
+
+
 def key_or_spread(key: str, spread_by: str) -> Column:
     """The key, or for rows without one a value that matches nothing and differs by row.
 

@@ -14,7 +14,8 @@ def append_events(events: DataFrame, path: str) -> None:
     """Append one JSON line per event, with created_at added and keys in sorted order."""
     stamped = events.withColumn("created_at", utc_stamp())
     line = F.to_json(F.struct(*sorted(stamped.columns)))
-    stamped.select(line.alias("value")).write.mode("append").text(path)
+    # Lines are few and small: let AQE pack them into few files, however many tasks made them.
+    stamped.select(line.alias("value")).repartition("value").write.mode("append").text(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

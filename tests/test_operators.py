@@ -73,6 +73,23 @@ def test_salted_join_equals_a_plain_join(spark, how):
         map(key, plain.select("k", "id", "d").collect()))
 
 
+def test_lookup_broadcasts_only_small_tables(spark, monkeypatch):
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        fact = spark.range(50).select(F.col("id").cast("string").alias("k"))
+        dim = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit("x" * 50).alias("v"))
+        joins = lambda **limits: skew.lookup_join(
+            fact, dim, "k", ["k"], **limits)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in joins()
+        assert "SortMergeJoin" in joins(max_rows=9)
+        monkeypatch.setattr(skew, "MAX_BROADCAST_CHARS", 100)
+        assert "SortMergeJoin" in joins()
+    finally:
+        spark.conf.set(conf, before)
+
+
 def test_salted_join_spreads_the_hot_key(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     before = {k: spark.conf.get(k) for k in conf}
