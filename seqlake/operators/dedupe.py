@@ -33,10 +33,11 @@ def merge_duplicates(df: DataFrame, keys: list[str], source_order: list[Column])
     One aggregation: each task reduces a key to its first row and its set of sources before the
     shuffle, so a key that repeats across the whole table moves one small row per task.
     """
-    payload = [c for c in df.columns if c not in (*keys, *LINEAGE)]
+    # With the order as leading field, the smallest struct is the first row.
+    payload = [ORDER, *[c for c in df.columns if c not in (*keys, *LINEAGE, ORDER)]]
     dataset, file = LINEAGE
     merged = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*payload), F.col(ORDER)).alias("__first"),
+        F.min(F.struct(*payload)).alias("__first"),
         F.array_sort(
             F.collect_set(F.struct(F.struct(*source_order).alias("at"), dataset, file))
         ).alias("__seen"),

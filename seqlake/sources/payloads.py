@@ -18,24 +18,32 @@ from seqlake.vocab import LIST_SEPARATOR
 BAD = "_corrupt_record"
 
 # Tag names carry data in PLATFORM and LIBRARY_LAYOUT, hence maps from tag to content.
-_EXTERNAL_IDS = "IDENTIFIERS struct<EXTERNAL_ID: array<struct<_VALUE: string, _namespace: string>>>"
-_PACKAGE = f"""
-  EXPERIMENT struct<
+_EXTERNAL_IDS = "IDENTIFIERS: struct<EXTERNAL_ID: array<struct<_VALUE: string, _namespace: string>>>"
+_RUN_PARTS = f"""
+  EXPERIMENT: struct<
     _accession: string,
     STUDY_REF: struct<_accession: string>,
     DESIGN: struct<LIBRARY_DESCRIPTOR: struct<
       LIBRARY_STRATEGY: string, LIBRARY_SOURCE: string, LIBRARY_SELECTION: string,
       LIBRARY_LAYOUT: map<string, string>>>,
     PLATFORM: map<string, struct<INSTRUMENT_MODEL: string>>>,
-  STUDY struct<_accession: string, {_EXTERNAL_IDS}>,
-  SAMPLE struct<
-    _accession: string, {_EXTERNAL_IDS},
-    SAMPLE_NAME: struct<SCIENTIFIC_NAME: string, TAXON_ID: string>,
-    SAMPLE_ATTRIBUTES: struct<SAMPLE_ATTRIBUTE: array<struct<TAG: string, VALUE: string>>>>,
-  RUN_SET struct<RUN: array<struct<
+  STUDY: struct<_accession: string, {_EXTERNAL_IDS}>,
+  RUN_SET: struct<RUN: array<struct<
     _accession: string, _total_spots: string, _total_bases: string>>>
 """
-PACKAGES = f"EXPERIMENT_PACKAGE array<struct<{_PACKAGE}>>, {BAD} string"
+_SAMPLE_NAME = "SAMPLE_NAME: struct<SCIENTIFIC_NAME: string, TAXON_ID: string>"
+_SAMPLE_ATTRIBUTES = """SAMPLE_ATTRIBUTES: struct<SAMPLE_ATTRIBUTE: array<struct<
+  TAG: string, VALUE: string>>>"""
+
+
+def _package_schema(runs: bool, attributes: bool) -> str:
+    """Only what the wanted rows need: the parser skips elements that the schema leaves out."""
+    sample = ["_accession: string", _EXTERNAL_IDS]
+    sample += [_SAMPLE_NAME] * runs + [_SAMPLE_ATTRIBUTES] * attributes
+    parts = [f"SAMPLE: struct<{', '.join(sample)}>"] + [_RUN_PARTS] * runs
+    return f"EXPERIMENT_PACKAGE array<struct<{', '.join(parts)}>>, {BAD} string"
+
+
 TAXA = f"""
   Taxon array<struct<
     TaxId: string, ScientificName: string, Rank: string, ParentTaxId: string, Lineage: string,
@@ -65,14 +73,19 @@ def _without_map_attributes(xml: Column) -> Column:
     return F.when(present, bared).otherwise(xml)
 
 
-def parse_packages(landed: DataFrame, body: str = "body") -> DataFrame:
-    """Parse each XML payload once: adds `packages` and `parse_error` (NULL when well formed)."""
+def parse_packages(
+    landed: DataFrame, body: str = "body", runs: bool = True, attributes: bool = True
+) -> DataFrame:
+    """Parse each XML payload once: adds `packages` and `parse_error` (NULL when well formed).
+
+    `runs` and `attributes` say which rows will be taken from the packages.
+    """
     # Text is stripped where it is used; attributes are kept as they are.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD,
                "ignoreSurroundingSpaces": "false"}
     # An absent body is no well-formed document either.
     xml = _without_map_attributes(null_to_blank(F.col(body)))
-    parsed = F.from_xml(xml, PACKAGES, options)
+    parsed = F.from_xml(xml, _package_schema(runs, attributes), options)
     return (
         landed.withColumn("__xml", parsed)
         .withColumn("packages", F.col("__xml.EXPERIMENT_PACKAGE"))

@@ -23,16 +23,14 @@ ROOT = "/lake/batches"
 
 # --- landed payloads -------------------------------------------------------------------------
 
-def _packages(s: Stages) -> DataFrame:
-    return payloads.parse_packages(s.packages())
-
-
 def xml_run_records(s: Stages) -> DataFrame:
-    return payloads.run_records(_packages(s)).select(*schemas.BRONZE_RUN)
+    parsed = payloads.parse_packages(s.packages(), attributes=False)
+    return payloads.run_records(parsed).select(*schemas.BRONZE_RUN)
 
 
 def xml_sample_attributes(s: Stages) -> DataFrame:
-    rows = attributes.normalize_names(payloads.sample_attributes(_packages(s)))
+    parsed = payloads.parse_packages(s.packages(), runs=False)
+    rows = attributes.normalize_names(payloads.sample_attributes(parsed))
     spread = ["sample_accession", "attribute_value"]
     return attributes.categorize(rows, s.dictionary, spread).select(*schemas.BRONZE_ATTRIBUTE)
 
