@@ -19,7 +19,7 @@ from seqlake.operators.batches import with_row_index
 from seqlake.operators.dedupe import ORDER
 from seqlake.plans import bronze, gold, silver
 from seqlake.session import scratch_path
-from seqlake.sources.files import blanks_to_null, matching_files
+from seqlake.sources.files import blanks_to_null, exists, matching_files
 from testbed import inputs
 
 # (session, input files, table name): its path, and its schema once it has been read
@@ -62,7 +62,7 @@ class Stages:
     def path(self, name: str, write: Callable[[str], object]) -> str:
         """Path of a stored table, written by `write(path)` on first use."""
         key = (*self.key, name)
-        if key not in _written:
+        if key not in _written or not exists(self.spark, _written[key]):
             path = scratch_path(self.spark, name.replace("/", "-"))
             write(path)
             _written[key] = path

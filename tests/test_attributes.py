@@ -1,7 +1,6 @@
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from seqlake import vocab
 from seqlake.operators import attributes
