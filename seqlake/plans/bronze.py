@@ -12,7 +12,7 @@ from seqlake import schemas
 from seqlake.functions.text import path_parts
 from seqlake.operators.attributes import categorize, normalize_names
 from seqlake.operators.dedupe import ORDER, merge_duplicates
-from seqlake.sources.files import exists, read_bronze_batches
+from seqlake.sources.files import NoInputError, exists, read_bronze_batches
 from seqlake.sources.manifest import read_ingested
 
 RUN_PATTERN = "sra-bronze-batch-*.csv"
@@ -75,10 +75,13 @@ def combine_batches(
     """Merge the batch files below `folder` and the ingested batches, whichever there are."""
     def rows(kind: str, pattern: str, columns: list[str]) -> DataFrame:
         parts = []
-        if exists(spark, folder) or not (ingested and exists(spark, ingested)):
-            parts.append(read_bronze_batches(spark, folder, pattern, columns, by_name))
         if ingested and exists(spark, ingested):
             parts.append(ingested_rows(spark, ingested, manifest, kind, folder))
+        try:
+            parts.append(read_bronze_batches(spark, folder, pattern, columns, by_name))
+        except NoInputError:
+            if not parts:
+                raise
         return reduce(DataFrame.unionByName, parts)
 
     runs = rows("runs", RUN_PATTERN, schemas.BRONZE_RUN)

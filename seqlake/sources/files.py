@@ -12,6 +12,10 @@ from seqlake.functions.text import blank_to_null, file_name, path_parts, source_
 from seqlake.operators.dedupe import ORDER
 
 
+class NoInputError(ValueError):
+    """No file matches what was asked for."""
+
+
 def matching_files(spark: SparkSession, pattern: str) -> list:
     """File status of each path that matches a glob, on whichever file system it names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -32,7 +36,7 @@ def latest_matching(spark: SparkSession, folder: str, pattern: str) -> str:
     """The most recently modified file or table folder in `folder` that matches `pattern`."""
     found = matching_files(spark, f"{folder.rstrip('/')}/{pattern}")
     if not found:
-        raise ValueError(f"No files matched {pattern} in {folder}")
+        raise NoInputError(f"No files matched {pattern} in {folder}")
     newest = max(found, key=lambda status: status.getModificationTime())
     return newest.getPath().toString()
 
@@ -87,12 +91,12 @@ def read_bronze_batches(
     the batches: columns are matched by name, a missing one reads as '', an extra one is an error.
     """
     if not exists(spark, folder):
-        raise ValueError(f"No CSV files matched {pattern} in {folder}")
+        raise NoInputError(f"No CSV files matched {pattern} in {folder}")
     if by_name:
         return _read_by_name(spark, folder, pattern, columns)
     rows = read_csv_strings(spark, folder, columns, pattern, with_source=True)
     if not rows.inputFiles():
-        raise ValueError(f"No CSV files matched {pattern} in {folder}")
+        raise NoInputError(f"No CSV files matched {pattern} in {folder}")
     return rows
 
 
@@ -109,7 +113,7 @@ def _read_by_name(
     )
     layouts = {row.dataset: [c.strip('"') for c in row.header.split(",")] for row in found}
     if not found:
-        raise ValueError(f"No CSV files matched {pattern} in {folder}")
+        raise NoInputError(f"No CSV files matched {pattern} in {folder}")
     if len(layouts) < len(found):
         raise ValueError(f"Batch files of one folder below {folder} differ in their headers")
     extra = {c for layout in layouts.values() for c in layout} - set(columns)

@@ -1,12 +1,15 @@
 """Resumable ingestion of landed XML batches into bronze, as a batch job or a stream.
 
-A landed batch is a row (job_id, batch_number, retstart, retmax, body). Each ingestion writes its
-rows below its own ingest_id and then records its batches in the manifest, so a job that dies
-half way leaves nothing that readers see, and running it again redoes only what is missing.
+A landed batch is a row (job_id, batch_number, retstart, retmax, body). Each attempt writes its
+rows below an ingest_id of its own and then records its batches in the manifest. Readers see only
+rows that the manifest confirms: a job that dies half way leaves nothing visible, and running it
+again redoes only what is missing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,13 +58,15 @@ def _events(parsed: DataFrame, ingest_id: str) -> DataFrame:
 
 
 def ingest_batches(
-    landed: DataFrame, bronze: str, manifest: str, ingest_id: str, dictionary: DataFrame
+    landed: DataFrame, bronze: str, manifest: str, label: str, dictionary: DataFrame
 ) -> dict[str, int]:
     """Parse the batches the manifest does not list as done; returns what was done and skipped.
 
-    Well-formed batches are kept even when others are not; then an IngestError is raised.
+    Well-formed batches are kept even when others are not; then an IngestError is raised. Every
+    attempt writes below an id of its own, so that repeating one never touches confirmed rows.
     """
     spark = landed.sparkSession
+    ingest_id = f"{label}-{uuid.uuid4().hex}"
     done = completed_offsets(read_manifest(spark, manifest), "job_id")
     pending = pending_batches(landed, done, BATCH_KEY)
     keep = ["job_id", "batch_number", "retstart"]
@@ -72,7 +77,7 @@ def ingest_batches(
             normalize_names(sample_attributes(good, keep)), dictionary,
             ["sample_accession", "attribute_value"])
         for kind, rows in {"runs": run_records(good, keep), "attributes": attributes}.items():
-            rows.write.mode("overwrite").parquet(f"{bronze}/{kind}/ingest_id={ingest_id}")
+            rows.write.parquet(f"{bronze}/{kind}/ingest_id={ingest_id}")
         events = _events(parsed, ingest_id)
         append_events(events, manifest)
         totals = events.agg(
@@ -124,8 +129,8 @@ def ingest_stream(
 ) -> None:
     """Ingest every landed file that has not been seen yet, then stop.
 
-    The files hold batches, or raw responses when `schema` is the landing schema. Each micro-batch
-    overwrites the folder of its own number, so a replayed one changes nothing.
+    The files hold batches, or raw responses when `schema` is the landing schema. A micro-batch
+    that is replayed after a failure finds in the manifest what it had finished.
     """
     def write(arrived: DataFrame, epoch: int) -> None:
         batches = landed_batches(arrived) if schema == LANDING else arrived

@@ -189,11 +189,22 @@ def test_a_failing_batch_is_recorded_and_raised(spark, tmp_path):
     assert manifest.read_ingested(spark, bronze, log, "runs").count() == 8
 
 
+def test_a_replayed_micro_batch_keeps_what_was_confirmed(spark, tmp_path):
+    landing, bronze, log = (str(tmp_path / n) for n in ("landing", "bronze", "log"))
+    batches(spark, PACKAGES, "<EXPERIMENT_PACKAGE_SET><EXPERIMENT").write.parquet(landing)
+    for _ in range(2):
+        with pytest.raises(Exception, match="could not be parsed"):
+            ingest.ingest_stream(spark, landing, bronze, log, str(tmp_path / "checkpoint"),
+                                 attribute_dictionary(spark))
+        assert manifest.read_ingested(spark, bronze, log, "runs").count() == 4
+        assert manifest.read_ingested(spark, bronze, log, "attributes").count() == 2
+
+
 def test_unconfirmed_rows_stay_invisible(spark, tmp_path):
     bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
     dictionary = attribute_dictionary(spark)
     ingest.ingest_batches(batches(spark, PACKAGES), bronze, log, "one", dictionary)
-    spark.read.parquet(f"{bronze}/runs/ingest_id=one").write.parquet(f"{bronze}/runs/ingest_id=lost")
+    spark.read.parquet(f"{bronze}/runs").drop("ingest_id").write.parquet(f"{bronze}/runs/ingest_id=lost")
     assert manifest.read_ingested(spark, bronze, log, "runs").count() == 4
 
 
@@ -237,6 +248,7 @@ def test_a_lake_can_be_built_from_ingested_batches_alone(spark, tmp_path):
     paths = LakePaths(str(tmp_path))
     ingest.ingest_batches(batches(spark, PACKAGES), paths.ingested, paths.ingest_manifest, "one",
                           attribute_dictionary(spark))
+    (tmp_path / "bronze/sra/batches/empty").mkdir(parents=True)
     result = lake.build_lake(spark, paths)
     assert result["silver"]["sra_run"] == 2 and not result["passed"]
 
