@@ -13,7 +13,7 @@ from seqlake.functions.text import is_blank, null_to_blank, strip
 from seqlake.operators.batches import batch_ids
 from seqlake.operators.dedupe import keep_last, upsert
 from seqlake.session import stored
-from seqlake.sources.files import exists, project_fields, read_csv_strings, write_csv
+from seqlake.sources.files import exists, project_fields, read_csv_strings, replace_csv
 from seqlake.sources.manifest import append_events
 from seqlake.sources.payloads import taxonomy_rows
 
@@ -51,7 +51,7 @@ def read_reference(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_reference(reference: DataFrame, path: str) -> None:
-    write_csv(project_fields(reference, schemas.TAXONOMY).orderBy(*numeric_order()), path)
+    replace_csv(project_fields(reference, schemas.TAXONOMY).orderBy(*numeric_order()), path)
 
 
 @dataclass(frozen=True)

@@ -139,6 +139,17 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     )
 
 
+def replace_csv(df: DataFrame, path: str) -> None:
+    """Write beside the stored table and swap, so that a failed write leaves the old one."""
+    spark, fresh = df.sparkSession, f"{path}.next"
+    write_csv(df, fresh)
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(old, True)
+    if not system.rename(new, old):
+        raise OSError(f"Could not move {fresh} to {path}")
+
+
 def blanks_to_null(df: DataFrame) -> DataFrame:
     """The silver Parquet boundary: '' before it, NULL after it."""
     text = {name for name, kind in df.dtypes if kind == "string"}
