@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEY_ROWS = 1_000_000
+NO_KEY_SALTS = 1024
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_CHARS = 32_000_000
 
@@ -28,8 +29,10 @@ def salted_join(
         .select(key, F.ceil(F.col("__rows") / hot_rows).cast("int").alias("__salts"))
     )
     salts = F.coalesce("__salts", F.lit(1))
+    # Rows without a key match nothing, so they may go anywhere.
+    fact_salts = F.when(F.col(key).isNull(), NO_KEY_SALTS).otherwise(salts)
     salted_fact = fact.join(hot, key, "left").withColumn(
-        "__salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
+        "__salt", F.pmod(F.xxhash64(*spread_by), fact_salts).cast("int")
     )
     salted_dim = dim.join(hot, key, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
