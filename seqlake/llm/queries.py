@@ -6,21 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqlake.llm import bpe, simple8b
+from seqlake.llm import bpe, chat, language, oracle, personal_data, quality, simple8b
 from seqlake.llm.rows import table
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts look like control strings."""
+    conflict = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", conflict), (-1, 1, "assistant", conflict)],
+        "conv_id bigint, turn bigint, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select(*extra.columns)
+    return chat.conversation_digests(conversations.unionAll(extra))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.token_file_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_spans(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op6_simple8b)
+    f.__name__: f for f in (
+        op2_chat, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language)
 }
 
 #: DuckDB SQL where it can express a query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_chat": oracle.CHAT, "op5_quality": oracle.QUALITY}
