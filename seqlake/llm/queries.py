@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqlake.llm import bpe, chat, language, oracle, personal_data, quality, simple8b
+from seqlake.llm import bpe, chat, html_text, language, oracle, personal_data, quality, simple8b
 from seqlake.llm.rows import table
 
 
@@ -40,9 +40,14 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_chat, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language)
+        op2_chat, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
+        op9_html)
 }
 
 #: DuckDB SQL where it can express a query.
