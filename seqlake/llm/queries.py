@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqlake.llm import bpe, chat, html_text, language, oracle, personal_data, quality, simple8b
+from seqlake.llm import bpe, chat, html_text, language, near_duplicates, oracle, personal_data, quality, simple8b
 from seqlake.llm.rows import table
 
 
@@ -44,10 +44,15 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.group_documents(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_chat, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
-        op9_html)
+        op9_html, op10_near_duplicates)
 }
 
 #: DuckDB SQL where it can express a query.

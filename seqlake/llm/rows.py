@@ -32,3 +32,41 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable]) -> DataF
                     schema=target)
 
     return df.mapInArrow(run, struct)
+
+
+def map_groups(df: DataFrame, key: str, schema: str, work: Callable, partitions: int) -> DataFrame:
+    """`work(rows)` for the rows (dicts) of each key, yielding tuples of `schema`. Keys are dealt
+    out by hash, sorted in each task and read as runs; only one key's rows are held at a time, so
+    keys must be bounded by their maker."""
+    struct = _parse_datatype_string(schema)
+    assert isinstance(struct, StructType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = to_arrow_schema(struct)
+
+        def flush(out: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*out)) if out else [[] for _ in target]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+
+        held: list[dict] = []
+        out: list[tuple] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                for row in batch.slice(at, 512).to_pylist():
+                    if held and row[key] != held[0][key]:
+                        out.extend(work(held))
+                        held = []
+                    held.append(row)
+                if len(out) > 4096:
+                    yield flush(out)
+                    out = []
+        if held:
+            out.extend(work(held))
+        yield flush(out)
+
+    return df.repartition(partitions, key).sortWithinPartitions(key).mapInArrow(run, struct)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
