@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqlake.llm import bpe, chat, html_text, language, near_duplicates, oracle, personal_data, quality, simple8b
+from seqlake.llm import (
+    bpe, chat, decontaminate, html_text, language, near_duplicates, oracle, personal_data, quality,
+    simple8b,
+)
 from seqlake.llm.rows import table
 
 
@@ -20,6 +23,11 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(conversations.unionAll(extra))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
@@ -51,7 +59,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_chat, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
+        op2_chat, op3_decontaminate, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
         op9_html, op10_near_duplicates)
 }
 
