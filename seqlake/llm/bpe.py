@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlake.llm.rows import map_rows
-from seqlake.llm.vocabulary import BYTE_BPE, PieceMemo, broadcast_file
+from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file, per_worker
 
 LONG_WORD = 192
 NO_RANK = 1 << 60
@@ -61,7 +61,7 @@ class BpeCodec:
         longest_first = sorted(added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, longest_first)))
         self.words: dict[str, bytes] = {}
-        self.memo = PieceMemo(self.encode_whole, vocab[symbols[10]])
+        self.pieces = PieceEncoder(self.encode_whole)
 
     def merge_short(self, ids: list[int]) -> list[int]:
         pair = self.merges.get
@@ -128,7 +128,7 @@ class BpeCodec:
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return self.memo.ids(text)
+        return self.pieces.ids(text)
 
     def decode(self, ids: bytes | None) -> str:
         numbers = np.frombuffer(ids or b"", "<u4").tolist()
@@ -140,7 +140,7 @@ def encode_documents(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     file = broadcast_file(docs.sparkSession, path)
 
     def start():
-        codec = BpeCodec(file.value)
+        codec = per_worker("bpe", file.value, BpeCodec)
         return lambda doc_id, text: (doc_id, [codec.encode(t) for t in text])
 
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids binary", start)
@@ -151,7 +151,7 @@ def decode_documents(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     file = broadcast_file(encoded.sparkSession, path)
 
     def start():
-        codec = BpeCodec(file.value)
+        codec = per_worker("bpe", file.value, BpeCodec)
         return lambda doc_id, ids: (doc_id, ids, [codec.decode(i) for i in ids])
 
     return map_rows(

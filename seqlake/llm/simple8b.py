@@ -17,6 +17,7 @@ gives empty files.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
+from tokenizers import Tokenizer
 
 from seqlake.llm.rows import map_rows
-from seqlake.llm.vocabulary import BYTE_BPE, PieceMemo, broadcast_file
+from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file, per_worker
 from seqlake.session import scratch_path
 
 BLOCK = 1024
@@ -144,6 +146,18 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return _unpack_words(words[offsets[begin, 0] : stop])[first - skip : last - skip]
 
 
+def library_encoder(file: bytes) -> PieceEncoder:
+    """The tokenizers library behind remembered pieces."""
+    tokenizer = Tokenizer.from_str(file.decode())
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+
+    def encode(text: str) -> bytes:
+        return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    return PieceEncoder(encode)
+
+
 def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> None:
     """Tokenize every text with the tokenizers library, append END_ID and write packed files in
     ascending doc_id order. Each task packs one range of ids, run by run."""
@@ -152,16 +166,7 @@ def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> Non
     struct = _parse_datatype_string(FILE_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(vocabulary.value.decode())
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-
-        def encode(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-        memo = PieceMemo(encode, int(np.frombuffer(encode("\n"), "<u4")[0]))
+        encoder = per_worker("tokenizers", vocabulary.value, library_encoder)
         end = END_ID.to_bytes(4, "little")
         file_no = TaskContext.get().partitionId()
         schema = to_arrow_schema(struct)
@@ -178,7 +183,7 @@ def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> Non
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                own = memo.ids(text.as_py()) + end
+                own = encoder.ids(text.as_py()) + end
                 ids.append(own)
                 doc_ids.append(doc_id)
                 lengths.append(len(own) // 4)

@@ -5,6 +5,7 @@ A file is a few MB whatever the corpus, so its bytes are broadcast: executors ne
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
@@ -13,62 +14,91 @@ from pyspark.sql import SparkSession
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: Remembered pieces per Python worker: bounds its memory, not what is encoded.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 700_000
+#: Cuts a text into pieces; a text that has it is encoded otherwise.
+CUT = "\x1f"
 
 
 def broadcast_file(spark: SparkSession, path: str = BYTE_BPE) -> Broadcast:
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-#: Below this every alphabetic character is a letter of the byte-level word pattern.
-LATIN_END = "\u0250"
-
-
 class Irregular(Exception):
-    """The text has white space whose runs must be seen as a whole."""
+    """The pieces of this cut cannot be encoded one by one."""
 
 
-class PieceMemo(dict):
-    """Remembers the ids (little-endian uint32 bytes) of text pieces.
+class Memo(dict):
+    """Ids of pieces in two generations: when the young one is full it becomes the old one, so that
+    frequent pieces survive."""
 
-    The byte-level pattern never joins a single space or line break to what stands before it, so a
-    text whose white space is single spaces and single line breaks falls apart at these into pieces
-    that can be encoded alone. Keys are `word` for " word" and `\\nword` for "\\n" + "word". Other
-    texts are encoded whole.
-    """
-
-    def __init__(self, encode, newline: int) -> None:
+    def __init__(self, make: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.marks: dict[str, bytes] = {}
-        self.encode, self.newline = encode, newline.to_bytes(4, "little")
+        self.make, self.old = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        first = key[:1] == "\n"
-        core = key[1:] if first else key
-        if not core or core[0].isspace() or core[-1].isspace():
-            raise Irregular
-        stem = core.rstrip(".,;:!?")
-        if 0 < len(stem) < len(core) and stem.isalpha() and max(stem) < LATIN_END:
-            mark = core[len(stem):]
-            if mark not in self.marks:
-                self.marks[mark] = self.encode(mark)
-            return self[key[: len(key) - len(mark)]] + self.marks[mark]
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        if first:
-            ids = self.newline + self.encode(core)
-        else:
-            ids = self.encode(" " + core)
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
         if len(key) <= 64:
+            if len(self) >= MEMO_ENTRIES // 2:
+                self.old = dict(self)
+                self.clear()
             self[key] = ids
         return ids
 
+
+class PieceEncoder:
+    """Encodes texts piece by piece (little-endian uint32 ids) with remembered pieces.
+
+    The byte-level pattern keeps letters, digits, other marks and white space apart, and joins a
+    single space to what follows it. So plain prose can be cut before spaces, around line breaks
+    and before a full stop or comma that follows a letter or digit; other texts with single spaces
+    and line breaks only at these. A cut that meets a piece it does not hold for is given up for
+    the next one, and in the end the text is encoded whole.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        self.encode = encode
+        self.prose, self.spaced = Memo(self._prose), Memo(self._spaced)
+
+    def _prose(self, piece: str) -> bytes:
+        if piece in (".", ",", "\n"):
+            return self.encode(piece)
+        core = piece[1:] if piece[:1] == " " else piece
+        if not core or core[0].isspace() or not core[-1].isalnum():
+            raise Irregular
+        return self.encode(piece)
+
+    def _spaced(self, piece: str) -> bytes:
+        core = piece[1:] if piece[:1] == " " else piece
+        if piece != "\n" and (not core or core[0].isspace() or core[-1].isspace()):
+            raise Irregular
+        return self.encode(piece)
+
     def ids(self, text: str | None) -> bytes:
         """Ids of a whole text; empty for null."""
         if not text:
             return b""
+        if CUT in text:
+            return self.encode(text)
+        spaced = text.replace(" ", CUT + " ").replace("\n", CUT + "\n" + CUT)
+        if not (".." in text or ",," in text or ".," in text or ",." in text):
+            prose = spaced.replace(",", CUT + ",").replace(".", CUT + ".")
+            try:
+                return b"".join(map(self.prose.__getitem__, prose.split(CUT)))
+            except Irregular:
+                pass
         try:
-            keys = ("\n" + text).replace("\n", " \n").split(" ")
-            return b"".join(map(self.__getitem__, keys[1:]))[4:]
+            return b"".join(map(self.spaced.__getitem__, spaced.split(CUT)))
         except Irregular:
             return self.encode(text)
+
+
+_made: dict[tuple[str, bytes], object] = {}
+
+
+def per_worker(name: str, file: bytes, make: Callable[[bytes], object]):
+    """What `make` builds from a vocabulary file, once per Python worker rather than per task."""
+    if (name, file) not in _made:
+        _made[name, file] = make(file)
+    return _made[name, file]
