@@ -380,5 +380,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows whose text holds a passage of the benchmark; all columns are kept."""
     leaks = find_leaks(docs, benchmark).select(F.col("key").alias("leak_key"))
     leaks = F.broadcast(leaks) if leaks.count() <= BROADCAST_KEYS else leaks
-    key = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
-    return docs.join(leaks, key == F.col("leak_key"), "left_anti").select(*docs.columns)
+    key = F.when(docs["text"].isNotNull(), F.xxhash64(docs["text"]))
+    return docs.join(leaks, key == leaks["leak_key"], "left_anti").select(*docs.columns)

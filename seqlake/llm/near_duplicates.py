@@ -354,5 +354,5 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     gone = group_documents(docs, words, percent).where("not kept") \
         .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
     return docs.join(
-        gone, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_key")),
+        gone, (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_key"]),
         "left_anti").select(*docs.columns)

@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable]) -> DataFrame:
     """`start()` runs once per task and returns a function from the columns of an Arrow batch (as
     lists) to the columns of `schema` (lists or arrays of any common length)."""
