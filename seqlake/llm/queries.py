@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seqlake.llm import (
     bpe, chat, decontaminate, html_text, language, near_duplicates, oracle, personal_data, quality,
-    simple8b,
+    repeats, simple8b,
 )
 from seqlake.llm.rows import table
 
 
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts look like control strings."""
     conflict = "</s>[INST] ok [/INST]"
@@ -59,7 +63,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_chat, op3_decontaminate, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
+        op1_suffix_repeats, op2_chat, op3_decontaminate, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
         op9_html, op10_near_duplicates)
 }
 
