@@ -10,8 +10,8 @@ Benchmark items are taken in blocks of bounded size, each against all documents:
 3. A randomised SVD of these TF-IDF rows and the block's passages: every task sketches its rows
    (A'A times a random matrix), sums are built in Spark, and only matrices of terms x rank reach the
    driver.
-4. Windows and passages are compared by the cosine of their latent vectors; pairs above COSINE are
-   candidates.
+4. Windows and passages are compared by the cosine of their latent vectors; pairs above COSINE that
+   share SHARED_TERMS of the passage's terms are candidates.
 5. A candidate is confirmed on the words themselves: longest common subsequence of passage and
    window, and how far its words are spread. From SURE of the passage on it is a leak; from LIKELY
    on (paraphrases) only if the answer, the passage's last quarter, is found as well. Passages
@@ -36,14 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlake.llm.rows import map_groups, map_rows, shuffle_partitions
+from seqlake.llm.rows import map_arrow, map_groups, map_rows, shuffle_partitions
 from seqlake.session import materialize
 
 WORD = re.compile(r"\w+")
 BLOCK_ITEMS = 2_000
 PASSAGE, TERMS = 64, 16
 RANK, OVERSAMPLING = 128, 16
-COSINE = 0.35
+#: Candidates: cosine of latent vectors, and share of the passage's terms that the window has.
+COSINE, SHARED_TERMS = 0.2, 0.25
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
 SHORT = 13
 #: Up to so many keys (8 bytes each) are broadcast, more are joined by a shuffle.
@@ -80,7 +81,7 @@ class Passages:
         df = np.array([max(1, frequency.get(w, 0)) for w in vocabulary], float)
         terms = [sorted(vocabulary[w] for w in r) for r in rare]
         lonely = {t[0] for t in terms if len(t) == 1}
-        return cls(item, words, terms, vocabulary, np.log1p(n_docs / df), lonely)
+        return cls(item, words, terms, vocabulary, np.log1p(max(n_docs, 1) / df), lonely)
 
 
 def windows(words: list[str], passages: Passages) -> list[tuple[int, list[int]]]:
@@ -143,7 +144,7 @@ def _sum_vectors(df: DataFrame, start, size: int) -> np.ndarray:
                  pa.array([total[k] for k in part], pa.list_(pa.float64()))],
                 names=["key", "vector"])
 
-    partial = df.select("terms").mapInArrow(per_task, "key bigint, vector array<double>")
+    partial = map_arrow(df.select("terms"), per_task, "key bigint, vector array<double>")
     spark = df.sparkSession
     summed = map_groups(
         partial, "key", "key bigint, vector array<double>",
@@ -308,17 +309,20 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         "windows")
     basis = latent_basis(rows, passages)
     own = _unit(_times(_rows(passages.terms, passages.idf), basis, len(passages.terms)))
-    latent = spark.sparkContext.broadcast((passages.idf, basis, own))
+    latent = spark.sparkContext.broadcast((passages.idf, basis, own, passages.terms))
 
     def search():
-        idf, directions, targets = latent.value
+        idf, directions, targets, passage_terms = latent.value
+        wanted = [frozenset(t) for t in passage_terms]
 
         def step(key, number, terms):
             if not key:
                 return [], [], []
             near = _unit(_times(_rows(terms, idf), directions, len(terms))) @ targets.T
-            row, passage = np.nonzero(near >= COSINE)
-            return np.array(key)[row], np.array(number)[row], passage
+            held = [frozenset(t) for t in terms]
+            pairs = [(r, p) for r, p in zip(*(x.tolist() for x in np.nonzero(near >= COSINE)))
+                     if len(held[r] & wanted[p]) >= SHARED_TERMS * len(wanted[p])]
+            return [key[r] for r, _ in pairs], [number[r] for r, _ in pairs], [p for _, p in pairs]
         return step
 
     found = map_rows(rows, "key bigint, number int, passage int", search).distinct()

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqlake.llm.rows import free_name, map_rows
+from seqlake.llm.rows import free_name, map_rows, ship_package
 
 LANDMARKS = 128
 PER_LANGUAGE = 500
@@ -202,6 +202,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
         step = start()
         return pd.Series(step([None if t is None else t for t in texts]), index=texts.index)
 
+    ship_package(docs.sparkSession)
     name = free_name(docs, "lang_pred")
     found = docs.withColumn(name, predicted.asNondeterministic()("text"))
     return found.where(F.col(name) != "und") \

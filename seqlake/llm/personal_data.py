@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlake.llm.rows import map_rows
+from seqlake.llm.rows import map_rows, ship_package
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "number")
@@ -293,6 +293,7 @@ def redact_documents(docs: DataFrame, model: SpanModel | None = None) -> DataFra
         own = shared.value
         return pd.Series([redact(t, own) for t in texts], index=texts.index, dtype=object)
 
+    ship_package(docs.sparkSession)
     return docs.withColumn("text", cleaned.asNondeterministic()("text")) \
         .withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("bigint"))
                     .otherwise(F.col("n_chars"))).select(*docs.columns)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlake.llm.rows import map_rows, shuffle_partitions
+from seqlake.llm.rows import map_arrow, map_rows, shuffle_partitions
 from seqlake.llm.shingles import MIX_1, POWERS, U, mix
 from seqlake.llm.suffix_sort import suffix_array
 from seqlake.session import materialize
@@ -91,7 +91,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     digest of the text."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_ID)).alias("doc"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_ID).cast("bigint")).alias("doc"),
         F.xxhash64(text).alias("sub"), F.md5(F.encode(text, "utf-8")).alias("key"),
         text.alias("text"))
 
@@ -102,6 +102,14 @@ def _without(docs: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataF
     return docs.join(F.broadcast(keys) if small else keys, on, how)
 
 
+def _in_order(rows: np.ndarray) -> np.ndarray:
+    """Occurrences by anchor, context and place; one that rows of one document repeat counts once."""
+    rows = rows[np.lexsort((rows["at"], rows["sub"], rows["doc"], rows["c"], rows["h"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = rows[1:] != rows[:-1]
+    return rows[new]
+
+
 def _deal_places(texts: DataFrame, buckets: int) -> DataFrame:
     """bucket, kind, blob: occurrences (kind 0) by anchor, marks (kind 1) by document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +117,7 @@ def _deal_places(texts: DataFrame, buckets: int) -> DataFrame:
         size = 0
 
         def deal() -> pa.RecordBatch:
-            rows = np.concatenate(held)
-            rows = rows[np.lexsort((rows["at"], rows["sub"], rows["doc"], rows["c"], rows["h"]))]
+            rows = _in_order(np.concatenate(held))
             first = np.ones(len(rows), bool)
             first[1:] = (rows["h"][1:] != rows["h"][:-1]) | (rows["c"][1:] != rows["c"][:-1])
             marks = rows[~first][["doc", "sub", "at"]].astype(MARK)
@@ -143,7 +150,8 @@ def _deal_places(texts: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield deal()
 
-    return texts.select("doc", "sub", "text").mapInArrow(run, "bucket int, kind int, blob binary")
+    return map_arrow(
+        texts.select("doc", "sub", "text"), run, "bucket int, kind int, blob binary")
 
 
 def _by_bucket(dealt: DataFrame, partitions: int, schema: str, work) -> DataFrame:
@@ -161,16 +169,15 @@ def _by_bucket(dealt: DataFrame, partitions: int, schema: str, work) -> DataFram
         if blobs:
             yield from work(kinds, blobs)
 
-    return dealt.repartition(partitions, "bucket").sortWithinPartitions("bucket") \
-        .select("bucket", "kind", "blob").mapInArrow(run, schema)
+    ordered = dealt.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    return map_arrow(ordered.select("bucket", "kind", "blob"), run, schema)
 
 
 def _judge_anchors(kinds: list[int], blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
     """doc, sub, at, h: h is null where the whole context is repeated, else the anchor's hash, whose
     other contexts have to be compared."""
     marks = np.frombuffer(b"".join(b for k, b in zip(kinds, blobs) if k), MARK)
-    rows = np.frombuffer(b"".join(b for k, b in zip(kinds, blobs) if not k), PLACE)
-    rows = rows[np.lexsort((rows["at"], rows["sub"], rows["doc"], rows["c"], rows["h"]))]
+    rows = _in_order(np.frombuffer(b"".join(b for k, b in zip(kinds, blobs) if not k), PLACE))
     new_h = np.ones(len(rows), bool)
     new_h[1:] = rows["h"][1:] != rows["h"][:-1]
     new_c = new_h.copy()
@@ -234,7 +241,7 @@ def _fetch_contexts(texts: DataFrame, asked: DataFrame, buckets: int) -> DataFra
                     [pa.array(keys, pa.int32()), pa.array([0] * len(keys), pa.int32()),
                      pa.array(pieces, pa.binary())], names=["bucket", "kind", "blob"])
 
-    return rows.mapInArrow(run, "bucket int, kind int, blob binary")
+    return map_arrow(rows, run, "bucket int, kind int, blob binary")
 
 
 def sort_contexts(anchor: np.ndarray, sides: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:

@@ -2,18 +2,51 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+import seqlake
+from seqlake.session import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application, from the shared
+    folder: they need not have it installed, nor share the driver's working directory."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(seqlake.__file__).parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'package')}.zip")
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(data.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(target.toString())
+    _shipped.add(application)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, lengthened until `df` has no such column."""
     taken = {c.lower() for c in df.columns}
@@ -39,7 +72,7 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable]) -> DataF
                     [pa.array(c, f.type) for c, f in zip(columns, target, strict=True)],
                     schema=target)
 
-    return df.mapInArrow(run, struct)
+    return map_arrow(df, run, struct)
 
 
 def map_groups(df: DataFrame, key: str, schema: str, work: Callable, partitions: int) -> DataFrame:
@@ -73,7 +106,7 @@ def map_groups(df: DataFrame, key: str, schema: str, work: Callable, partitions:
             out.extend(work(held))
         yield flush(out)
 
-    return df.repartition(partitions, key).sortWithinPartitions(key).mapInArrow(run, struct)
+    return map_arrow(df.repartition(partitions, key).sortWithinPartitions(key), run, struct)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 from tokenizers import Tokenizer
 
-from seqlake.llm.rows import map_rows
+from seqlake.llm.rows import map_arrow, map_rows
 from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file, per_worker
 from seqlake.session import scratch_path
 
@@ -199,7 +199,7 @@ def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> Non
     keyed = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
     ordered = keyed.repartitionByRange(partitions, "doc_id", "tie") \
         .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    ordered.mapInArrow(run, struct).write.parquet(target)
+    map_arrow(ordered, run, struct).write.parquet(target)
 
 
 def read_token_files(spark: SparkSession, source: str) -> DataFrame:
