@@ -11,9 +11,10 @@
 4. Buckets that still hold several components are compared in tiles of bounded size: the nodes
    outside the bucket's largest component against all of its nodes. Here the parity bitmap holds the
    whole set: its population count never exceeds the true difference, so a pair whose bound is
-   below the limit is no link, without any chance of error. Of the others, a spanning forest of the
-   clear ones and all close ones between different components go to confirmation. Should a clear
-   one fail it, the tiles are run again with every possible pair.
+   below the limit is no link, without any chance of error. Of the possible pairs, a spanning forest
+   over the components, most similar pairs first, goes to confirmation. Confirmed pairs join their
+   components, refuted ones are passed over, and the tiles are run again until no possible pair
+   between two components is left.
 5. Confirmed links are joined into components by alternating stars in Spark.
 
 Pairs within a group are thus never all emitted: a group is first contracted by one link per node.
@@ -142,7 +143,7 @@ def _meetings(members: DataFrame, buckets: DataFrame, nodes: DataFrame) -> DataF
 
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) \
         -> DataFrame:
-    """a, b, link, clear: `pairs` judged on the full shingle sets of their texts."""
+    """a, b, link: `pairs` judged on the full shingle sets of their texts."""
     spark = docs.sparkSession
     pairs = materialize(pairs, "pairs")
     asked = materialize(
@@ -164,29 +165,28 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, per
     texts = map_rows(texts, "node bigint, text string", own)  # not a row with a repeated id
     texts = materialize(texts.dropDuplicates(["node"]), "texts")
     side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"t{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "clear", "ta", "tb")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
 
     def start():
-        def step(a, b, clear, ta, tb):
+        def step(a, b, ta, tb):
             link = []
             for x, y in zip(ta, tb):
                 x, y = shingle_set(x, words), shingle_set(y, words)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 link.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            return a, b, link, clear
+            return a, b, link
         return step
 
-    return materialize(
-        map_rows(both, "a bigint, b bigint, link boolean, clear boolean", start), "judged")
+    return materialize(map_rows(both, "a bigint, b bigint, link boolean", start), "judged")
 
 
 def _fold(rows: np.ndarray, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), axis=1)
 
 
-def compare_tile(rows: list[dict], percent: int, every: bool):
-    """Pairs (a, b, clear) of one tile worth confirming. `left` rows meet `right` rows and each
-    other; pairs within one component are passed over."""
+def compare_tile(rows: list[dict], percent: int):
+    """Pairs (a, b) of one tile to confirm: a spanning forest of its possible pairs over their
+    components. `left` rows meet `right` rows and each other; refuted pairs are passed over."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -199,7 +199,7 @@ def compare_tile(rows: list[dict], percent: int, every: bool):
     for row in rows:
         by_width.setdefault(len(row["bitmap"]) // 8, []).append(row)
     left = {w: [r for r in group if r["left"]] for w, group in by_width.items()}
-    clear_pairs, close_pairs = [], []
+    possible_pairs: list[tuple[float, int, int, int, int]] = []
     for width, mine in left.items():
         if not mine:
             continue
@@ -222,25 +222,23 @@ def compare_tile(rows: list[dict], percent: int, every: bool):
                     other, size = others[k], 64 * common
                     if other["left"] and other["node"] <= row["node"]:
                         continue
+                    if other["node"] in (row["refuted"] or ()):
+                        continue
                     difference = -size / 2 * np.log1p(-min(2 * z[k] / size, 1 - 1e-9))
-                    worst = difference + 6 * np.sqrt(difference**2 / size + 1)
-                    shared = (total[k] - worst) / 2
-                    clear = 100 * shared >= percent * (total[k] - shared)
-                    pair = (row, other)
-                    (clear_pairs if clear and not every else close_pairs).append(
-                        (difference / total[k], pair))
-    for clear, pairs in ((True, sorted(clear_pairs, key=lambda p: p[0])), (False, close_pairs)):
-        for _, (x, y) in pairs:
-            i, j = find(x["component"]), find(y["component"])
-            if i != j:
-                if clear:
-                    root[max(i, j)] = min(i, j)
-                yield min(x["node"], y["node"]), max(x["node"], y["node"]), clear
-
-
-def _tiles(members: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
+                    possible_pairs.append((difference / total[k], row["node"], other["node"],
+                                           row["component"], other["component"]))
+    for _, a, b, x, y in sorted(possible_pairs):
+        i, j = find(x), find(y)
+        if i != j:
+            root[max(i, j)] = min(i, j)
+            yield min(a, b), max(a, b)
+
+
+def _tiles(
+    members: DataFrame, known: DataFrame, nodes: DataFrame, tested: DataFrame
+) -> DataFrame:
     """Rows of tiles: the nodes of a bucket outside its largest component (`left`) in blocks,
-    against blocks of all its nodes."""
+    against blocks of all its nodes. Each row knows with whom it was refuted."""
     held = members.join(known, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component"))
     still = held.groupBy("bucket").agg(
@@ -248,9 +246,13 @@ def _tiles(members: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
     held = held.join(still.select("bucket"), "bucket", "left_semi")
     per = held.groupBy("bucket", "component").agg(F.count("*").alias("size"))
     largest = per.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"))
+    refuted = tested.where("not link").select(
+        F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")),
+                          F.struct(F.col("b").alias("node"), F.col("a").alias("other"))))
+        .alias("p")).groupBy("p.node").agg(F.collect_set("p.other").alias("refuted"))
     bitmap = nodes.select("node", "n", "bitmap")
-    rows = held.join(largest, "bucket").join(bitmap, "node").select(
-        "bucket", "node", "component", "n", "bitmap",
+    rows = held.join(largest, "bucket").join(bitmap, "node").join(refuted, "node", "left").select(
+        "bucket", "node", "component", "n", "bitmap", "refuted",
         (F.col("component") != F.col("top.component")).alias("left"))
     amount = rows.groupBy("bucket", "left").agg(
         F.ceil(F.greatest(F.count("*") / TILE_NODES,
@@ -273,7 +275,7 @@ def _tiles(members: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
         F.xxhash64("bucket", "place.i", "place.j").alias("tile"),
         # in a tile of two different left blocks or of a left and a right block only pairs across
         # count; pairs within a block have their own tile
-        "node", "component", "n", "bitmap", "left")
+        "node", "component", "n", "bitmap", "refuted", "left")
 
 
 def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
@@ -297,9 +299,8 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
     best = each.groupBy("m.node").agg(
         F.max(F.struct("m.similarity", "m.other")).alias("m")).select(
         F.least("node", "m.other").alias("a"), F.greatest("node", "m.other").alias("b")).distinct()
-    first = confirm(best.withColumn("clear", F.lit(False)), nodes, docs, words, percent)
-    links = first.where("link").select("a", "b")
-    known = materialize(components(links), "components")
+    tested = confirm(best, nodes, docs, words, percent)
+    known = materialize(components(tested.where("link").select("a", "b")), "components")
 
     # buckets of two nodes have met in full; larger ones go on in tiles
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
@@ -309,21 +310,19 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
     apart = met.join(twos, ["a", "b"], "left_semi").join(comp("a"), "a", "left") \
         .join(comp("b"), "b", "left") \
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")) \
-        .select("a", "b", F.lit(False).alias("clear"))
+        .select("a", "b")
     wide = members.join(sizes.where("size > 2").select("bucket"), "bucket", "left_semi")
-    tiles = _tiles(wide, known, nodes)
-    tested = first.select("a", "b")
-    for every in (False, True):
+    while True:
         found = map_groups(
-            tiles, "tile", "a bigint, b bigint, clear boolean",
-            lambda rows, every=every: compare_tile(rows, percent, every), shuffle_partitions(spark))
-        pairs = found.unionAll(apart).groupBy("a", "b").agg(F.max("clear").alias("clear")) \
-            .join(tested, ["a", "b"], "left_anti")
-        second = confirm(pairs, nodes, docs, words, percent)
-        if second.where("clear and not link").isEmpty():
-            break
-    return materialize(components(links.unionAll(second.where("link").select("a", "b"))),
-                       "components")
+            _tiles(wide, known, nodes, tested), "tile", "a bigint, b bigint",
+            lambda rows: compare_tile(rows, percent), shuffle_partitions(spark))
+        pairs = found if apart is None else found.unionAll(apart)
+        judged = confirm(pairs.distinct().join(tested, ["a", "b"], "left_anti"),
+                         nodes, docs, words, percent)
+        if judged.isEmpty():
+            return known
+        tested, apart = tested.unionAll(judged), None
+        known = materialize(components(tested.where("link").select("a", "b")), "components")
 
 
 def group_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
