@@ -13,15 +13,14 @@ from seqlake.plans.lake import LakePaths
 from seqlake.schemas import BRONZE_ATTRIBUTE, GOLD, LANDING
 from seqlake.session import build_session
 from seqlake.sources.files import read_bronze_batches, read_tables, write_csv
-from seqlake.streaming.ingest import ingest_stream, preview
+from seqlake.streaming.ingest import IngestError, ingest_stream, preview
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="seqlake", description=__doc__)
     parser.add_argument("--root", default="data", help="folder that holds the lake")
     parser.add_argument("--dictionary", help="CSV with the columns name, category")
-    parser.add_argument("--by-name", action="store_true",
-                        help="batch folders may differ in their CSV headers")
+    parser.add_argument("--csv", action="store_true", help="write silver as CSV, too")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, text in {
         "combine": "merge bronze batches",
@@ -55,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     publish.add_argument("--password")
     query = commands.add_parser("sql", help="run SQL over the silver and gold tables")
     query.add_argument("text")
+    query.add_argument("--rows", type=int, default=100, help="rows to print")
     report = commands.add_parser("report", help="show a report or dashboard card")
     report.add_argument("name", choices=sorted({*reports.report_names(), *reports.card_names()}))
     return parser
@@ -67,8 +67,8 @@ def main(argv: list[str] | None = None) -> int:
     stamp = spark.range(1).select(utc_stamp()).first()[0]
 
     simple = {
-        "combine": lambda: lake.combine(spark, paths, args.dictionary, args.by_name),
-        "silver": lambda: lake.build_silver(spark, paths),
+        "combine": lambda: lake.combine(spark, paths, args.dictionary),
+        "silver": lambda: lake.build_silver(spark, paths, args.csv),
         "export-silver": lambda: lake.export_silver(spark, paths),
         "gold": lambda: lake.build_gold(spark, paths),
         "summarize": lambda: lake.summarize(spark, paths),
@@ -78,14 +78,14 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name}: {count} rows")
     elif args.command == "build":
         result = lake.build_lake(
-            spark, paths, args.dictionary, args.max_unknown_samples, args.by_name)
+            spark, paths, args.dictionary, args.max_unknown_samples, args.csv)
         for step in ("bronze", "silver", "gold", "summary"):
             print(f"{step}: {result[step]}")
         print(f"Quality checks passed: {result['passed']}")
         return 0 if result["passed"] else 1
     elif args.command == "validate":
         checks = lake.validate(spark, paths, args.max_unknown_samples)
-        checks.show(50, truncate=False)
+        checks.show(max(1, checks.count()), truncate=False)
         return 0 if quality.gate(checks).first().passed else 1
     elif args.command == "profile":
         folder = args.input or f"{args.root}/bronze/sra/batches"
@@ -100,10 +100,14 @@ def main(argv: list[str] | None = None) -> int:
               f"{stored.where(F.col('attribute_category') == 'other').count()}")
         print(f"Output profile: {output}")
     elif args.command == "ingest":
-        ingest_stream(
-            spark, args.landing, paths.ingested, paths.ingest_manifest,
-            f"{args.root}/manifests/sra/checkpoint",
-            attribute_dictionary(spark, args.dictionary), schema=LANDING)
+        try:
+            ingest_stream(
+                spark, args.landing, paths.ingested, paths.ingest_manifest,
+                f"{args.root}/manifests/sra/checkpoint",
+                attribute_dictionary(spark, args.dictionary), schema=LANDING)
+        except IngestError as error:
+            print(error)
+            return 1
     elif args.command == "preview":
         land = lambda path: spark.read.schema(LANDING).parquet(path)
         ids, runs, attributes = preview(land(args.search), land(args.fetched), args.retmax)
@@ -129,9 +133,10 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{args.schema}.{name}: {count}")
     elif args.command == "sql":
         lake.register_views(spark, paths)
-        spark.sql(args.text).show(100, truncate=False)
+        spark.sql(args.text).show(args.rows, truncate=False)
     elif args.command == "report":
         tables = read_tables(spark, paths.gold, list(GOLD), "Gold Parquet table")
         show = reports.report if args.name in reports.report_names() else reports.card
-        show(args.name, tables).show(100, truncate=False)
+        found = show(args.name, tables)
+        found.show(max(1, found.count()), truncate=False)
     return 0

@@ -40,10 +40,10 @@ def combine_attributes(
 
 def combine_files(
     spark: SparkSession, folder: str, pattern: str, columns: list[str], keys: list[str],
-    transform: Callable[[DataFrame], DataFrame] | None = None, by_name: bool = False,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Merge any set of batch files, with an optional transformation of the scanned rows."""
-    rows = read_bronze_batches(spark, folder, pattern, columns, by_name)
+    rows = read_bronze_batches(spark, folder, pattern, columns)
     return merge_duplicates(rows.transform(transform) if transform else rows, keys,
                             source_path_order())
 
@@ -69,7 +69,7 @@ def ingested_rows(spark: SparkSession, folder: str, manifest: str, kind: str, ro
 
 
 def combine_batches(
-    spark: SparkSession, folder: str, dictionary: DataFrame, by_name: bool = False,
+    spark: SparkSession, folder: str, dictionary: DataFrame,
     ingested: str | None = None, manifest: str | None = None,
 ) -> dict[str, DataFrame]:
     """Merge the batch files below `folder` and the ingested batches, whichever there are."""
@@ -78,7 +78,7 @@ def combine_batches(
         if ingested and exists(spark, ingested):
             parts.append(ingested_rows(spark, ingested, manifest, kind, folder))
         try:
-            parts.append(read_bronze_batches(spark, folder, pattern, columns, by_name))
+            parts.append(read_bronze_batches(spark, folder, pattern, columns))
         except NoInputError:
             if not parts:
                 raise

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlake.functions.text import or_else
-from seqlake.operators.skew import HOT_KEY_ROWS, key_or_spread, salted_join
+from seqlake.operators.skew import key_or_spread
 from seqlake.schemas import GOLD
 from seqlake.vocab import MISSING
 
@@ -67,11 +67,10 @@ def context_summary(facts: DataFrame) -> DataFrame:
     ).orderBy(F.desc("sample_count"), "sample_context")
 
 
-def domain_library_strategy(
-    runs: DataFrame, classification: DataFrame, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def domain_library_strategy(runs: DataFrame, classification: DataFrame) -> DataFrame:
     """Runs by domain and strategy. Runs of one sample may be any share of the table: they are
-    reduced to (sample, strategy, experiment) first, and a sample that is still hot is salted."""
+    reduced to (sample, strategy, experiment) first; the join of what is left is split at run time
+    where a sample is still hot."""
     reduced = (
         runs.where(F.col("sample_accession").isNotNull())
         .groupBy("sample_accession", "library_strategy", "experiment_accession")
@@ -81,17 +80,13 @@ def domain_library_strategy(
     domains = classification.where(F.col("sample_accession").isNotNull()).select(
         "sample_accession", "sample_domain"
     )
-    joined = salted_join(
-        reduced, domains, "sample_accession", ["experiment_accession"],
-        hot_rows=hot_rows, sized_by=runs,
-    )
-    return joined.groupBy("sample_domain", "library_strategy").agg(
+    return reduced.join(domains, "sample_accession").groupBy("sample_domain", "library_strategy").agg(
         F.sum("n").alias("run_count"),
         F.count_distinct("sample_accession").alias("sample_count"),
         F.count_distinct("experiment_accession").alias("experiment_count"),
         F.sum("spots").alias("total_spots"),
         F.sum("bases").alias("total_bases"),
-    ).orderBy(F.desc("run_count"), "sample_domain", "library_strategy")
+    ).orderBy(F.desc("run_count"), "sample_domain", F.asc_nulls_last("library_strategy"))
 
 
 def top_organisms(
@@ -133,7 +128,7 @@ def attribute_category_by_domain(attributes: DataFrame, classification: DataFram
         "sample_domain", "attribute_category"
     ).agg(
         F.sum("n").alias("attribute_count"), F.count("*").alias("sample_count")
-    ).orderBy("sample_domain", F.desc("attribute_count"), "attribute_category")
+    ).orderBy("sample_domain", F.desc("attribute_count"), F.asc_nulls_last("attribute_category"))
 
 
 def quality_summary(

@@ -12,8 +12,8 @@ from seqlake.operators.attributes import attribute_dictionary
 from seqlake.plans import bronze, gold, quality, silver, summary, taxonomy
 from seqlake.session import stored
 from seqlake.sources.files import (
-    blanks_to_null, exists, latest_matching, read_csv_strings, read_tables, require, write_csv,
-    write_parquet,
+    blanks_to_null, exists, latest_matching, newest_snapshot, read_csv_strings, read_tables,
+    require, write_csv, write_parquet,
 )
 
 
@@ -68,12 +68,11 @@ COMBINED = {"runs": "sra-bronze-combined", "attributes": "sra-sample-attributes-
 
 def combine(
     spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None,
-    by_name: bool = False,
 ) -> dict[str, int]:
     """Write combined bronze as Parquet, with the row order that silver relies on. Its input is
     batch files, batches ingested from landed XML, or both."""
     merged = bronze.combine_batches(
-        spark, paths.batches, attribute_dictionary(spark, dictionary_path), by_name,
+        spark, paths.batches, attribute_dictionary(spark, dictionary_path),
         paths.ingested, paths.ingest_manifest)
     stamp = spark.range(1).select(utc_stamp()).first()[0]
     return {
@@ -94,18 +93,21 @@ def _read_silver(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     return read_tables(spark, paths.silver_parquet, list(schemas.SILVER), "Silver Parquet table")
 
 
-def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
-    """Write silver as Parquet, where a missing value is NULL, and as CSV for people to read.
+def build_silver(
+    spark: SparkSession, paths: LakePaths, text_copies: bool = False
+) -> dict[str, int]:
+    """Write silver as Parquet, where a missing value is NULL, and on request also as CSV.
 
     Samples and attributes are stored before the classification reads them, so each is derived
-    once; the CSV files are copies that no later step parses.
+    once; the CSV files are copies for people to read, which no later step parses.
     """
     combined, files, counts = read_combined(spark, paths), paths.silver_tables(), {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
         counts[name] = write_parquet(blanks_to_null(df), files[name])
         table = spark.read.parquet(files[name])
-        write_csv(table, paths.silver_csv()[name])
+        if text_copies:
+            write_csv(table, paths.silver_csv()[name])
         return table.fillna("")
 
     store("sra_run", silver.silver_runs(combined["runs"]))
@@ -113,7 +115,7 @@ def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
     attributes = store("sra_sample_attribute", silver.silver_attributes(combined["attributes"]))
     reference = (
         taxonomy.read_reference(spark, paths.taxonomy_reference)
-        if exists(spark, paths.taxonomy_reference) else None
+        if newest_snapshot(spark, paths.taxonomy_reference) else None
     )
     store("sra_sample_classification", silver.classify_samples(samples, attributes, reference))
     return counts
@@ -166,8 +168,9 @@ def validate(
             return read_csv_strings(spark, path, columns)
         return spark.read.parquet(path)
 
+    reference = newest_snapshot(spark, paths.taxonomy_reference) or paths.taxonomy_reference
     report = quality.validate_lake(
-        spark, paths.silver_tables(), read, paths.gold_tables(), paths.taxonomy_reference,
+        spark, paths.silver_tables(), read, paths.gold_tables(), reference,
         paths.taxonomy_manifest, max_unknown_samples,
     )
     write_csv(report, paths.quality_report, single_file=True)
@@ -176,12 +179,12 @@ def validate(
 
 def build_lake(
     spark: SparkSession, paths: LakePaths, dictionary_path: str | None = None,
-    max_unknown_samples: int = quality.MAX_UNKNOWN_SAMPLES, by_name: bool = False,
+    max_unknown_samples: int = quality.MAX_UNKNOWN_SAMPLES, text_copies: bool = False,
 ) -> dict:
     """Rebuild everything from the batch files; returns the counts of every step."""
     result: dict = {
-        "bronze": combine(spark, paths, dictionary_path, by_name),
-        "silver": build_silver(spark, paths),
+        "bronze": combine(spark, paths, dictionary_path),
+        "silver": build_silver(spark, paths, text_copies),
         "gold": build_gold(spark, paths),
         "summary": summarize(spark, paths),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +34,33 @@ def _counts(tables: dict[str, DataFrame]) -> dict[str, int]:
 def publish_to_catalog(
     spark: SparkSession, gold_folder: str, schema: str = "gold_sra"
 ) -> dict[str, int]:
-    """Replace the catalog tables of `schema`; returns the row count of each."""
+    """Publish all gold tables of `schema` as one change; returns the row count of each.
+
+    Every load writes tables of its own into a schema beside it and checks their counts. Only then
+    the published views are pointed at them, so a load that fails leaves the old tables readable.
+    The load before is kept for readers that are still on it; older ones are dropped.
+    """
     gold = read_tables(spark, gold_folder, list(GOLD), "Gold Parquet table")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    loads, stamp = f"{schema}_loads", datetime.now(UTC).strftime("%Y%m%d_%H%M%S_%f")
+    for needed in (schema, loads):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{needed}`")
+    fresh = {name: f"`{loads}`.`{name}_{stamp}`" for name in GOLD}
+    for name, table in fresh.items():
+        serving_table(name, gold).write.saveAsTable(table)
+    counts = _counts({name: spark.table(table) for name, table in fresh.items()})
+    if counts != _counts(gold):
+        raise ValueError(f"The load {stamp} of {schema} is incomplete; nothing was published")
+    published = {
+        t.name: t.tableType for t in spark.catalog.listTables(schema) if not t.isTemporary}
+    for name, table in fresh.items():
+        if published.get(name, "VIEW") != "VIEW":  # published before there were loads
+            spark.sql(f"DROP TABLE `{schema}`.`{name}`")
+        spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS SELECT * FROM {table}")
+    tables = sorted(t.name for t in spark.catalog.listTables(loads) if not t.isTemporary)
     for name in GOLD:
-        serving_table(name, gold).write.mode("overwrite").saveAsTable(f"`{schema}`.`{name}`")
-    return _counts({name: spark.table(f"`{schema}`.`{name}`") for name in GOLD})
+        for old in [t for t in tables if t[: -len(stamp) - 1] == name][:-2]:
+            spark.sql(f"DROP TABLE `{loads}`.`{old}`")
+    return counts
 
 
 def publish_to_database(

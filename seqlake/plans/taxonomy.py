@@ -13,7 +13,9 @@ from seqlake.functions.text import is_blank, null_to_blank, strip
 from seqlake.operators.batches import batch_ids
 from seqlake.operators.dedupe import keep_last, upsert
 from seqlake.session import stored
-from seqlake.sources.files import exists, project_fields, read_csv_strings, replace_csv
+from seqlake.sources.files import (
+    newest_snapshot, project_fields, read_csv_strings, write_snapshot,
+)
 from seqlake.sources.manifest import append_events
 from seqlake.sources.payloads import taxonomy_rows
 
@@ -46,12 +48,16 @@ def missing_ids(samples: DataFrame, reference: DataFrame | None) -> DataFrame:
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_csv_strings(spark, path, schemas.TAXONOMY)
-    return dimension(rows.withColumn("row_order", F.monotonically_increasing_id()))
+    """The newest snapshot of the reference at `path`; later files and rows count."""
+    rows = read_csv_strings(
+        spark, newest_snapshot(spark, path) or path, schemas.TAXONOMY, "*", with_source=True)
+    return dimension(rows)
 
 
-def write_reference(reference: DataFrame, path: str) -> None:
-    replace_csv(project_fields(reference, schemas.TAXONOMY).orderBy(*numeric_order()), path)
+def write_reference(reference: DataFrame, path: str) -> str:
+    """A new snapshot, sorted by id; readers see it once it is complete."""
+    return write_snapshot(
+        project_fields(reference, schemas.TAXONOMY).orderBy(*numeric_order()), path)
 
 
 @dataclass(frozen=True)
@@ -98,7 +104,7 @@ def update_reference(
     Only ids that samples use and the reference lacks are needed; payloads for them are expected
     in `landed`. With `rebuild` the existing reference is ignored.
     """
-    keep = exists(spark, path) and not rebuild
+    keep = newest_snapshot(spark, path) is not None and not rebuild
     blank = spark.createDataFrame([], schemas.strings(schemas.TAXONOMY))
     with ExitStack() as tables:
         once = lambda df: tables.enter_context(stored(df, "taxonomy"))
@@ -106,15 +112,14 @@ def update_reference(
         wanted = missing_ids(samples, existing)
         requested = wanted.count()
         fetched = once(taxonomy_rows(landed, order)) if requested else blank
-        # Stored before the reference it was read from is replaced.
         merged = once(upsert(existing, fetched, "taxon_id"))
         counts = update_counts(samples, existing, fetched).first()
-        write_reference(merged, path)
+        written = write_reference(merged, path)
     event = {
         "status": "success" if requested else "noop",
         "requested_taxon_ids": requested,
         "fetched_taxon_ids": counts.fetched_taxon_ids,
-        "output_path": path,
+        "output_path": written,
         "rebuild": rebuild,
     }
     append_events(spark.createDataFrame([event]), manifest)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,14 +51,13 @@ def latest_rows(df: DataFrame, snapshot: str) -> DataFrame:
 
 def read_csv_strings(
     spark: SparkSession, path: str, columns: list[str],
-    pattern: str | None = None, with_source: bool = False, datasets: list[str] | None = None,
+    pattern: str | None = None, with_source: bool = False, paths: list[str] | None = None,
 ) -> DataFrame:
     """CSV with a header as text columns; quoted line breaks are kept; a missing value is ''.
 
     With `with_source`, files below `path` are read recursively and every row gets
-    source_dataset, source_file and `row_order`; `datasets` then limits the scan to some of the
-    folders (`root` for the files in `path` itself). A header that differs from `columns` is an
-    error.
+    source_dataset, source_file and `row_order`; `paths` then limits the scan to some of the files
+    and folders below `path`. A header that differs from `columns` is an error.
     """
     reader = (
         spark.read.schema(schemas.strings(columns))
@@ -65,9 +66,7 @@ def read_csv_strings(
     )
     if pattern is not None:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    base = path.rstrip("/")
-    rows = reader.csv(path if datasets is None else [
-        f"{base}/{pattern}" if name == "root" else f"{base}/{name}" for name in datasets])
+    rows = reader.csv(path if paths is None else paths)
     if not with_source:
         return rows.fillna("")
     # A multi-line file is never split: within a file the running id follows the rows.
@@ -85,49 +84,62 @@ def read_csv_strings(
 
 
 def read_bronze_batches(
-    spark: SparkSession, folder: str, pattern: str, columns: list[str], by_name: bool = False
-) -> DataFrame:
-    """All batch files below a folder. With `by_name`, headers may differ between the folders of
-    the batches: columns are matched by name, a missing one reads as '', an extra one is an error.
-    """
-    if not exists(spark, folder):
-        raise NoInputError(f"No CSV files matched {pattern} in {folder}")
-    if by_name:
-        return _read_by_name(spark, folder, pattern, columns)
-    rows = read_csv_strings(spark, folder, columns, pattern, with_source=True)
-    if not rows.inputFiles():
-        raise NoInputError(f"No CSV files matched {pattern} in {folder}")
-    return rows
-
-
-def _read_by_name(
     spark: SparkSession, folder: str, pattern: str, columns: list[str]
 ) -> DataFrame:
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    header = F.regexp_extract("value", r"^\ufeff?([^\r\n]*)", 1)
-    # One row per folder and header: as many as there are query folders, not files.
-    found = (
-        spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
-        .select(source_dataset_name(path, folder).alias("dataset"), header.alias("header"))
-        .where("header <> ''").distinct().collect()
-    )
-    layouts = {row.dataset: [c.strip('"') for c in row.header.split(",")] for row in found}
-    if not found:
+    """All batch files below a folder. Headers may differ from file to file: columns are matched by
+    name, a missing one reads as '', an extra one is an error."""
+    layouts = _layouts(spark, folder, pattern) if exists(spark, folder) else []
+    if not layouts:
         raise NoInputError(f"No CSV files matched {pattern} in {folder}")
-    if len(layouts) < len(found):
-        raise ValueError(f"Batch files of one folder below {folder} differ in their headers")
-    extra = {c for layout in layouts.values() for c in layout} - set(columns)
+    extra = {c for names, _ in layouts for c in names} - set(columns)
     if extra:
         raise ValueError(f"Unexpected columns below {folder}: {', '.join(sorted(extra))}")
-    parts = []
-    for layout in {tuple(names) for names in layouts.values()}:
-        datasets = [name for name, names in layouts.items() if tuple(names) == layout]
-        rows = read_csv_strings(
-            spark, folder, list(layout), pattern, with_source=True, datasets=datasets)
-        parts.append(project_fields(rows, [*schemas.LINEAGE, *columns, ORDER]))
+    parts = [
+        project_fields(
+            read_csv_strings(spark, folder, list(names), pattern, with_source=True, paths=paths),
+            [*schemas.LINEAGE, *columns, ORDER])
+        for names, paths in layouts
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _layouts(
+    spark: SparkSession, folder: str, pattern: str
+) -> list[tuple[tuple[str, ...], list[str] | None]]:
+    """Each header among the files with the paths that have it; None stands for the whole folder.
+
+    The first line of a file is kept in the scan, line by line, so no file is held as a whole. The
+    driver sees one row per query folder and header, and file names only of folders whose files
+    differ."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern) \
+        .text(folder).where(F.col("_metadata.file_block_start") == 0) \
+        .select(path.alias("path"), "value", F.monotonically_increasing_id().alias("line"))
+    first = lines.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    folders = first.groupBy(source_dataset_name(F.col("path"), folder).alias("dataset"), "header") \
+        .agg(F.count("*").alias("n"), F.min("path").alias("example"))
+    found = folders.orderBy("dataset", "header").collect()
+    if not found:
+        return []
+    names = {r.header: next(csv.reader([r.header.lstrip("\ufeff").rstrip("\r")]), [])
+             for r in found}
+    if len({tuple(v) for v in names.values()}) == 1:
+        return [(tuple(next(iter(names.values()))), None)]
+    headers: dict[str, set[str]] = {}
+    for r in found:
+        headers.setdefault(r.dataset, set()).add(r.header)
+    mixed = [d for d, own in headers.items() if len(own) > 1]
+    base, paths = folder.rstrip("/"), {}
+    for r in found:
+        if r.dataset not in mixed:
+            paths.setdefault(tuple(names[r.header]), []).append(
+                f"{base}/{pattern}" if r.dataset == "root" else f"{base}/{r.dataset}")
+    if mixed:
+        for r in first.where(source_dataset_name(F.col("path"), folder).isin(mixed)).collect():
+            paths.setdefault(tuple(names[r.header]), []).append(r.path)
+    return list(paths.items())
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header that `read_csv_strings` (or any RFC 4180 reader) reads back unchanged."""
     out = df.coalesce(1) if single_file else df
@@ -139,15 +151,23 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     )
 
 
-def replace_csv(df: DataFrame, path: str) -> None:
-    """Write beside the stored table and swap, so that a failed write leaves the old one."""
-    spark, fresh = df.sparkSession, f"{path}.next"
+def write_snapshot(df: DataFrame, path: str) -> str:
+    """Write a table beside its earlier snapshots; nothing stored is touched or renamed."""
+    stamp = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%fZ")
+    fresh = f"{path.removesuffix('.csv')}-{stamp}.csv"
     write_csv(df, fresh)
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
-    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(old, True)
-    if not system.rename(new, old):
-        raise OSError(f"Could not move {fresh} to {path}")
+    return fresh
+
+
+def newest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The newest complete snapshot of a table, else the table at `path` itself, else None."""
+    written = [s.getPath().toString() for s in
+               matching_files(spark, f"{path.removesuffix('.csv')}-[0-9]*T[0-9]*Z.csv")]
+    # a write that broke off leaves no success mark
+    whole = [p for p in sorted(written) if exists(spark, f"{p}/_SUCCESS")]
+    if whole:
+        return whole[-1]
+    return path if exists(spark, path) else None
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:

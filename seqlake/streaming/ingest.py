@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from seqlake.functions.text import path_parts
 from seqlake.operators.attributes import categorize, normalize_names
 from seqlake.operators.batches import batch_windows, pending_batches
+from seqlake.operators.skew import MAX_BROADCAST_ROWS
 from seqlake.schemas import LANDING
 from seqlake.session import stored
 from seqlake.sources.manifest import append_events, completed_offsets, read_manifest
@@ -38,7 +39,8 @@ class IngestError(ValueError):
     """A landed batch could not be parsed; the manifest has the details."""
 
 
-def _events(parsed: DataFrame, ingest_id: str) -> DataFrame:
+def _counted(parsed: DataFrame) -> DataFrame:
+    """Row counts beside the packages, so that events need not read the packages again."""
     runs = F.aggregate(
         "packages", F.lit(0).cast("bigint"),
         lambda n, p: n + F.greatest(F.coalesce(F.size(p["RUN_SET"]["RUN"]), F.lit(0)), F.lit(1)))
@@ -47,31 +49,57 @@ def _events(parsed: DataFrame, ingest_id: str) -> DataFrame:
         lambda n, p: n + F.greatest(F.coalesce(
             F.size(p["SAMPLE"]["SAMPLE_ATTRIBUTES"]["SAMPLE_ATTRIBUTE"]), F.lit(0)), F.lit(0)))
     good = F.col("parse_error").isNull()
+    return parsed.withColumns({
+        "run_rows": F.when(good, F.coalesce(runs, F.lit(0))),
+        "sample_attribute_rows": F.when(good, F.coalesce(attributes, F.lit(0))),
+    })
+
+
+def _events(parsed: DataFrame, ingest_id: str) -> DataFrame:
+    good = F.col("parse_error").isNull()
     return parsed.select(
         F.when(good, "success").otherwise("failure").alias("status"),
-        "job_id", "batch_number", "retstart", "retmax",
-        F.when(good, F.coalesce(runs, F.lit(0))).alias("run_rows"),
-        F.when(good, F.coalesce(attributes, F.lit(0))).alias("sample_attribute_rows"),
+        "job_id", "batch_number", "retstart", "retmax", "run_rows", "sample_attribute_rows",
         F.lit(ingest_id).alias("ingest_id"),
         F.when(~good, F.lit("payload is not well-formed XML")).alias("error"),
     )
 
 
+def _pending(landed: DataFrame, manifest: str) -> tuple[DataFrame, int]:
+    """Landed batches that are not done, one row per batch, and how many batches have landed.
+
+    Only keys meet the manifest, cut to the jobs at hand; payloads are then picked by row. The keys
+    of the rows to parse are broadcast while they are few next to the payloads they name."""
+    spark = landed.sparkSession
+    numbered = landed.withColumn("__row", F.monotonically_increasing_id())
+    keys = numbered.groupBy(*BATCH_KEY).agg(F.min("__row").alias("__row"))
+    events = read_manifest(spark, manifest).join(
+        landed.select("job_id").distinct(), "job_id", "left_semi")
+    seen = keys.join(completed_offsets(events, "job_id").withColumn("__done", F.lit(True)),
+                     BATCH_KEY, "left")
+    counted = seen.agg(F.count("*").alias("landed"), F.count("__done").alias("done")).first()
+    wanted = seen.where("__done IS NULL").select("__row")
+    if counted.landed - counted.done <= MAX_BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return numbered.join(wanted, "__row", "left_semi").drop("__row"), counted.landed
+
+
 def ingest_batches(
-    landed: DataFrame, bronze: str, manifest: str, label: str, dictionary: DataFrame
+    landed: DataFrame, bronze: str, manifest: str, label: str, dictionary: DataFrame,
+    quarantine: bool = False,
 ) -> dict[str, int]:
     """Parse the batches the manifest does not list as done; returns what was done and skipped.
 
-    Well-formed batches are kept even when others are not; then an IngestError is raised. Every
-    attempt writes below an id of its own, so that repeating one never touches confirmed rows.
+    Well-formed batches are kept even when others are not. Failed ones are recorded in the manifest
+    and in the quarantine table (key and error); then an IngestError is raised, or with `quarantine`
+    the caller finds their number in the result. A batch that lands again, mended, is ingested.
+    Every attempt writes below an id of its own, so that repeating one never touches confirmed rows.
     """
-    spark = landed.sparkSession
     ingest_id = f"{label}-{uuid.uuid4().hex}"
-    done = completed_offsets(read_manifest(spark, manifest), "job_id")
-    pending = pending_batches(landed, done, BATCH_KEY)
+    pending, batches = _pending(landed, manifest)
     keep = ["job_id", "batch_number", "retstart"]
     # Written once: both bronze tables and the manifest read the parsed packages.
-    with stored(parse_packages(pending).drop("body"), "parsed") as parsed:
+    with stored(_counted(parse_packages(pending).drop("body")), "parsed") as parsed:
         good = parsed.where("parse_error IS NULL")
         attributes = categorize(
             normalize_names(sample_attributes(good, keep)), dictionary,
@@ -86,9 +114,13 @@ def ingest_batches(
             F.coalesce(F.sum("run_rows"), F.lit(0)).alias("run_rows"),
             F.coalesce(F.sum("sample_attribute_rows"), F.lit(0)).alias("sample_attribute_rows"),
         ).first().asDict()
-    if totals["failed_batches"]:
-        raise IngestError(f"{totals['failed_batches']} landed batches could not be parsed, see {manifest}")
-    return {**totals, "skipped_batches": landed.count() - totals["completed_batches"]}
+        failed = totals["failed_batches"]
+        if failed:
+            events.where("status = 'failure'").select(*BATCH_KEY, "batch_number", "error") \
+                .write.parquet(f"{bronze}/quarantine/ingest_id={ingest_id}")
+    if failed and not quarantine:
+        raise IngestError(f"{failed} landed batches could not be parsed, see {manifest}")
+    return {**totals, "skipped_batches": batches - totals["completed_batches"] - failed}
 
 
 def plan_fetches(
@@ -130,11 +162,18 @@ def ingest_stream(
     """Ingest every landed file that has not been seen yet, then stop.
 
     The files hold batches, or raw responses when `schema` is the landing schema. A micro-batch
-    that is replayed after a failure finds in the manifest what it had finished.
+    that is replayed after a failure finds in the manifest what it had finished. Payloads that
+    cannot be parsed go to quarantine and do not hold up what lands after them; if there were any,
+    an IngestError is raised once everything has been seen.
     """
+    failed = 0
+
     def write(arrived: DataFrame, epoch: int) -> None:
+        nonlocal failed
         batches = landed_batches(arrived) if schema == LANDING else arrived
-        ingest_batches(batches, bronze, manifest, f"epoch-{epoch:09d}", dictionary)
+        failed += ingest_batches(
+            batches, bronze, manifest, f"epoch-{epoch:09d}", dictionary, quarantine=True,
+        )["failed_batches"]
 
     query = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
@@ -142,6 +181,8 @@ def ingest_stream(
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    if failed:
+        raise IngestError(f"{failed} landed batches could not be parsed, see {manifest}")
 
 
 def preview(

@@ -10,13 +10,13 @@ ORGANISMS = [
     (3, "Bombyx mori", "7091"), (4, "Drosophila simulans", "7240"), (5, "Zea mays", "4577"),
     (6, "Haematococcus lacustris", "44745"), (7, "Saccharomyces cerevisiae", "4932"),
     (8, "Candida albicans", "5476"), (9, "Plasmodium falciparum", "5833"),
-    (10, "Anthozoaphila gnarlus", "2783686"), (11, "Methanosarcina mazei", "2209"),
+    (10, "Lankesteria ascidiae", "1134081"), (11, "Methanosarcina mazei", "2209"),
     (12, "Measles virus", "11234"), (13, "Escherichia coli", "562"),
     (14, "Klebsiella pneumoniae", "573"), (15, "soil metagenome", "410658"),
-    (16, "wastewater metagenome", "527639"), (17, "Lacerta agilis", "80427"),
+    (16, "wastewater metagenome", "527639"), (17, "Podarcis muralis", "64176"),
     (18, "unidentified", "32644"), (19, "synthetic construct", "32630"), (20, "", ""),
     (21, "", "12908"), (22, "Homo sapiens", "63221"), (23, "Rattus norvegicus", "10116"),
-    (24, "Rare lineage example", "12345"),
+    (24, "Jakoba libera", "143017"),
 ]
 
 # nation key: lineage names below, ranks and ids are positional (see taxon_payload)
@@ -52,7 +52,7 @@ TAXONOMY = [
     ("44745", "Viridiplantae", "plant"), ("4932", "Fungi", "fungi"), ("5476", "Fungi", "fungi"),
     ("5833", "Protists", "protist"), ("11234", "Viruses", "virus"),
     ("562", "Bacteria", "microorganism"), ("573", "Bacteria", ""),
-    ("410658", "Metagenome", "metagenome"), ("12345", "Protists", "protist"),
+    ("410658", "Metagenome", "metagenome"), ("143017", "Protists", "protist"),
 ]
 
 

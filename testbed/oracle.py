@@ -491,6 +491,12 @@ def statements() -> dict[str, str]:
         FROM orders"""
     out["scan_csv_strings"] = f"""{LAKE} SELECT concat('source_dataset=', source_dataset)
         AS source_dataset, {_listed(schemas.BRONZE_RUN)} FROM raw_runs"""
+    short = {"library_strategy", "sample_accession", "run_accession", "experiment_accession"}
+    kept = ", ".join(
+        c if c in short else f"CASE WHEN length(experiment_accession) % 2 = 0 THEN {c} ELSE '' END AS {c}"
+        for c in schemas.BRONZE_RUN)
+    out["scan_csv_by_name"] = f"""{LAKE} SELECT concat('source_dataset=', source_dataset)
+        AS source_dataset, {kept} FROM raw_runs"""
     out["latest_snapshot"] = """
         SELECT strftime(ts, '%Y%m%d') AS snapshot, event_id, event_type FROM events
         WHERE cast(ts AS date) = (SELECT max(cast(ts AS date)) FROM events)"""
@@ -535,7 +541,8 @@ def statements() -> dict[str, str]:
           CASE WHEN page_id % 2 = 1 THEN concat('k', page_id) END AS my_api_key FROM pages"""
     out["plan_fetches"] = f"""
         WITH done AS (SELECT concat('job-', event_id % 100) AS job_id,
-            event_id // 100 % 8 * {SIZE} AS retstart FROM events WHERE event_type <> 'error'),
+            event_id // 100 % 8 * {SIZE} AS retstart FROM events WHERE event_type <> 'error'
+              AND (event_id % 100 + event_id // 100 % 8) % 3 <> 0),
           totals AS (SELECT l_suppkey, count(*) AS total FROM lineitem GROUP BY l_suppkey),
           windows AS (SELECT l_suppkey, total, unnest(range((total + {SIZE - 1}) // {SIZE})) AS pos
             FROM totals)
@@ -595,6 +602,10 @@ def statements() -> dict[str, str]:
         WHERE taxon_id <> ''"""
     out["taxonomy_dimension"] = f"""WITH {TAXA} SELECT taxon_id, scientific_name, rank, lineage,
         {_BLANK_TAXON} FROM taxon_parsed"""
+    out["taxonomy_stored_reference"] = f"""WITH {TAXA} SELECT raw_id AS taxon_id,
+        max(CASE WHEN c_custkey % 7 = 0 THEN 'b' WHEN c_custkey % 7 < 4 THEN 'c' ELSE 'a' END)
+          || ':' || raw_id AS scientific_name
+        FROM taxon_source WHERE raw_id <> '' GROUP BY raw_id"""
     out["taxonomy_sorted"] = f"""WITH {TAXA} SELECT taxon_id, scientific_name,
         row_number() OVER (ORDER BY cast(taxon_id AS bigint)) - 1 AS row_index FROM taxon_parsed"""
     out["taxonomy_missing_ids"] = f"""{LAKE} SELECT DISTINCT taxon_id FROM raw_runs

@@ -59,6 +59,22 @@ def scan_csv_strings(s: Stages) -> DataFrame:
     return scanned.select("source_dataset", *schemas.BRONZE_RUN)
 
 
+def scan_csv_by_name(s: Stages) -> DataFrame:
+    """Batch files whose headers differ: columns in another order, and without some of them."""
+    short = ["library_strategy", "sample_accession", "run_accession", "experiment_accession"]
+
+    def write(path: str) -> None:
+        rows = s.raw_runs().select("source_dataset", *schemas.BRONZE_RUN)
+        half = F.length("experiment_accession") % 2 == 0
+        for part in (rows.where(half), rows.where(~half).select("source_dataset", *short)):
+            part.write.partitionBy("source_dataset").mode("append").option("header", True) \
+                .option("escape", '"').option("emptyValue", "").csv(path)
+
+    path = s.path("batch-csv-by-name", write)
+    scanned = files.read_bronze_batches(s.spark, path, "*.csv", schemas.BRONZE_RUN)
+    return scanned.select("source_dataset", *schemas.BRONZE_RUN)
+
+
 def latest_snapshot(s: Stages) -> DataFrame:
     events = s.table("events").withColumn("snapshot", F.date_format("ts", "yyyyMMdd"))
     return files.latest_rows(events, "snapshot").select("snapshot", "event_id", "event_type")
@@ -325,6 +341,23 @@ def taxonomy_dimension(s: Stages) -> DataFrame:
     return taxonomy.dimension(_stored_taxonomy(s))
 
 
+def taxonomy_stored_reference(s: Stages) -> DataFrame:
+    """A stored reference of files of unequal size in which ids repeat: later files count."""
+    def write(path: str) -> None:
+        rows = _taxon_rows(s).where("raw_id <> ''").withColumn(
+            "part", F.when(F.col("c_custkey") % 7 == 0, "b").when(F.col("c_custkey") % 7 < 4, "c")
+            .otherwise("a"))
+        filled = files.project_fields(rows.select(
+            F.col("raw_id").alias("taxon_id"), F.concat("part", F.lit(":"), "raw_id").alias(
+                "scientific_name"), "part"), [*schemas.TAXONOMY, "part"])
+        for part in "abc":
+            files.write_csv(filled.where(F.col("part") == part).drop("part")
+                            .dropDuplicates(["taxon_id"]), f"{path}.csv/{part}")
+
+    path = s.path("stored-reference", write)
+    return taxonomy.read_reference(s.spark, f"{path}.csv").select("taxon_id", "scientific_name")
+
+
 def taxonomy_sorted(s: Stages) -> DataFrame:
     rows = taxonomy.dimension(_stored_taxonomy(s)).select("taxon_id", "scientific_name")
     return batches.with_row_index(rows, taxonomy.numeric_order())
@@ -362,7 +395,10 @@ def plan_fetches(s: Stages) -> DataFrame:
     """One search per supplier over its lineitems; some windows are done already."""
     def write(path: str) -> None:
         manifest.append_events(s.table("events").select(
-            F.when(F.col("event_type") == "error", "failure").otherwise("success").alias("status"),
+            # a third of the windows never succeeds, whatever the scale
+            F.when((F.col("event_type") == "error")
+                   | ((F.col("event_id") % 100 + F.floor(F.col("event_id") / 100) % 8) % 3 == 0),
+                   "failure").otherwise("success").alias("status"),
             F.concat(F.lit("job-"), F.col("event_id") % 100).alias("job_id"),
             (F.floor(F.col("event_id") / 100) % 8 * BATCH_SIZE).alias("retstart"),
         ), path)
@@ -455,7 +491,7 @@ def lake_build_counts(s: Stages) -> DataFrame:
 
 PLAIN = [
     xml_run_records, xml_sample_attributes, xml_taxonomy_reference, json_search_ids,
-    json_search_history, scan_csv_strings, latest_snapshot, manifest_completed_offsets,
+    json_search_history, scan_csv_strings, scan_csv_by_name, latest_snapshot, manifest_completed_offsets,
     ingest_landed_batches, ingest_incremental,
     normalize_attribute_name, categorize_attribute, known_attribute_names, renormalize_attributes,
     source_dataset_name, redact_url, redact_params, slugify, merge_source_value, attribute_category_summary,
@@ -464,7 +500,7 @@ PLAIN = [
     silver_sample_attribute, silver_sample_classification, silver_empty_to_null,
     classify_organism_group, classify_sample_domain, classify_sample_context,
     taxonomy_organism_group, taxonomy_sample_domain, attribute_signals,
-    unique_taxon_ids, taxonomy_dimension, taxonomy_sorted, taxonomy_missing_ids, taxonomy_upsert,
+    unique_taxon_ids, taxonomy_dimension, taxonomy_sorted, taxonomy_stored_reference, taxonomy_missing_ids, taxonomy_upsert,
     taxonomy_update_summary, pending_batches, plan_fetches,
     quality_unique_keys, quality_row_count_match, quality_required_fields, quality_allowed_values,
     quality_unknown_threshold, quality_taxonomy_coverage, quality_report, quality_gate,

@@ -7,17 +7,17 @@ from seqlake.sources import payloads
 PACKAGES = """<?xml version="1.0"?>
 <EXPERIMENT_PACKAGE_SET>
   <EXPERIMENT_PACKAGE>
-    <EXPERIMENT accession="SRX1"><STUDY_REF accession="SRP-ref"/>
+    <EXPERIMENT accession="SRX70"><STUDY_REF accession="SRP-ref"/>
       <DESIGN><LIBRARY_DESCRIPTOR><LIBRARY_STRATEGY> RNA-Seq
         </LIBRARY_STRATEGY><LIBRARY_SOURCE>TRANSCRIPTOMIC</LIBRARY_SOURCE>
         <LIBRARY_SELECTION>cDNA</LIBRARY_SELECTION>
         <LIBRARY_LAYOUT><PAIRED NOMINAL_LENGTH="3"/></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR></DESIGN>
       <PLATFORM><ILLUMINA><INSTRUMENT_MODEL> NovaSeq </INSTRUMENT_MODEL></ILLUMINA></PLATFORM>
     </EXPERIMENT>
-    <STUDY accession="SRP1"><IDENTIFIERS><EXTERNAL_ID namespace="Other">x</EXTERNAL_ID>
+    <STUDY accession="SRP71"><IDENTIFIERS><EXTERNAL_ID namespace="Other">x</EXTERNAL_ID>
       <EXTERNAL_ID namespace="BioProject"></EXTERNAL_ID>
       <EXTERNAL_ID namespace="BioProject">PRJ1</EXTERNAL_ID></IDENTIFIERS></STUDY>
-    <SAMPLE accession="SRS1"><IDENTIFIERS>
+    <SAMPLE accession="SRS72"><IDENTIFIERS>
         <EXTERNAL_ID namespace="BioSample">SAMN1</EXTERNAL_ID></IDENTIFIERS>
       <SAMPLE_NAME><TAXON_ID>9606</TAXON_ID><SCIENTIFIC_NAME>Homo sapiens</SCIENTIFIC_NAME></SAMPLE_NAME>
       <SAMPLE_ATTRIBUTES>
@@ -45,8 +45,8 @@ def test_run_records(spark):
     assert [r.run_accession for r in found] == ["SRR1", "SRR2", "", ""]
     first, second, bare, empty = found
     assert first.asDict() | {"package_index": 0, "run_index": 0} == {
-        "package_index": 0, "run_index": 0, "experiment_accession": "SRX1", "run_accession": "SRR1",
-        "study_accession": "SRP1", "bioproject_accession": "PRJ1", "sample_accession": "SRS1",
+        "package_index": 0, "run_index": 0, "experiment_accession": "SRX70", "run_accession": "SRR1",
+        "study_accession": "SRP71", "bioproject_accession": "PRJ1", "sample_accession": "SRS72",
         "biosample_accession": "SAMN1", "organism": "Homo sapiens", "taxon_id": "9606",
         "library_strategy": "RNA-Seq", "library_source": "TRANSCRIPTOMIC",
         "library_selection": "cDNA", "library_layout": "PAIRED", "platform": "ILLUMINA",

@@ -22,7 +22,7 @@ def root(tmp_path):
     """Two overlapping batch folders, a taxonomy reference and its manifest."""
     base = tmp_path / "data"
     batches = base / "bronze/sra/batches"
-    run = {"experiment_accession": "SRX1", "run_accession": "SRR1", "sample_accession": "SRS1",
+    run = {"experiment_accession": "SRX70", "run_accession": "SRR1", "sample_accession": "SRS72",
            "biosample_accession": "SAMN1", "organism": "Homo sapiens", "taxon_id": "9606",
            "library_strategy": "RNA-Seq", "total_spots": "10", "total_bases": "100"}
     other = {**run, "experiment_accession": "SRX2", "run_accession": "SRR2", "sample_accession": "SRS2",
@@ -31,7 +31,7 @@ def root(tmp_path):
     write(batches / "mixed" / "sra-bronze-batch-000001.csv", schemas.BRONZE_RUN, run, other)
     for folder in ("human", "mixed"):
         write(batches / folder / "sra-sample-attributes-batch-000001.csv", schemas.BRONZE_ATTRIBUTE,
-              {"sample_accession": "SRS1", "biosample_accession": "SAMN1",
+              {"sample_accession": "SRS72", "biosample_accession": "SAMN1",
                "attribute_name": "Diagnosis", "attribute_value": "none"})
     write(base / "reference/ncbi_taxonomy/taxonomy_reference.csv", schemas.TAXONOMY,
           {"taxon_id": "9606", "organism_group": "Eukaryota", "sample_domain": "human"},
@@ -43,7 +43,7 @@ def root(tmp_path):
 
 
 def test_full_build(spark, root):
-    result = lake.build_lake(spark, LakePaths(str(root)))
+    result = lake.build_lake(spark, LakePaths(str(root)), text_copies=True)
     assert result["bronze"] == {"runs": 2, "attributes": 1}
     assert result["silver"] == lake.export_silver(spark, LakePaths(str(root))) == {
         "sra_run": 2, "sra_sample": 2, "sra_sample_attribute": 1, "sra_sample_classification": 2}
@@ -59,7 +59,7 @@ def test_full_build(spark, root):
     run = files.read_csv_strings(spark, paths.silver_csv()["sra_run"], schemas.SILVER["sra_run"])
     assert run.where("run_accession = 'SRR1'").first().source_dataset == "human | mixed"
     classified = spark.read.parquet(f"{paths.silver_parquet}/sra_sample_classification.parquet")
-    human = classified.where("sample_accession = 'SRS1'").first()
+    human = classified.where("sample_accession = 'SRS72'").first()
     assert (human.sample_context, human.clinical_present, human.sample_domain) == (
         "clinical", "True", "human")
     assert human.classification_basis.endswith("; clinical_attribute_present; taxonomy_reference_present")
@@ -67,7 +67,7 @@ def test_full_build(spark, root):
 
 def test_command_line(spark, root, capsys, tmp_path):
     # An uncovered taxon id fails the gate.
-    assert cli.main(["--root", str(root), "build"]) == 0
+    assert cli.main(["--root", str(root), "--csv", "build"]) == 0
     for command in ("combine", "silver", "export-silver", "gold", "summarize", "validate"):
         assert cli.main(["--root", str(root), command]) == 0
     assert cli.main(["--root", str(root), "report", "overview"]) == 0
@@ -114,13 +114,30 @@ def test_steps_need_their_inputs(spark, tmp_path):
         serving.publish_to_catalog(spark, str(tmp_path), "nowhere")
 
 
-def test_publish_replaces_the_tables(spark, root):
+def test_publish_replaces_the_tables(spark, root, monkeypatch):
     paths = LakePaths(str(root))
     lake.combine(spark, paths)
     lake.build_silver(spark, paths)
     counts = lake.build_gold(spark, paths)
     assert serving.publish_to_catalog(spark, paths.gold, "gold_test") == counts
     assert serving.publish_to_catalog(spark, paths.gold, "gold_test") == counts
+    # an incomplete load leaves what was published before
+    before = spark.table("gold_test.sra_domain_summary").collect()
+    fourth = list(schemas.GOLD)[3]
+    whole = serving.serving_table
+
+    def broken(name, gold):
+        if name == fourth:
+            raise OSError("disk full")
+        return whole(name, gold).limit(0)
+
+    monkeypatch.setattr(serving, "serving_table", broken)
+    with pytest.raises(OSError):
+        serving.publish_to_catalog(spark, paths.gold, "gold_test")
+    monkeypatch.setattr(serving, "serving_table", lambda n, g: whole(n, g).limit(0))
+    with pytest.raises(ValueError, match="incomplete"):
+        serving.publish_to_catalog(spark, paths.gold, "gold_test")
+    assert spark.table("gold_test.sra_domain_summary").collect() == before
     stored = spark.table("gold_test.sra_quality_summary")
     assert dict(stored.dtypes) == schemas.GOLD["sra_quality_summary"]
     assert stored.first().sample_count == 2
@@ -144,12 +161,31 @@ def test_taxonomy_update_is_incremental(spark, rows, tmp_path):
     assert (third.fetched_taxon_ids, third.output_taxon_ids, third.batch_count) == (0, 2, 0)
     rebuilt = taxonomy.update_reference(spark, samples, landed, path, log, rebuild=True)
     assert (rebuilt.existing_taxon_ids, rebuilt.fetched_taxon_ids) == (0, 2)
-    stored = files.read_csv_strings(spark, path, schemas.TAXONOMY)
+    newest = files.newest_snapshot(spark, path)
+    stored = files.read_csv_strings(spark, newest, schemas.TAXONOMY)
     assert [r.taxon_id for r in stored.collect()] == ["5833", "9606"]
+    # a write that broke off is not read
+    (tmp_path / "reference-29990101T000000000000Z.csv").mkdir()
+    assert files.newest_snapshot(spark, path) == newest
+    assert taxonomy.read_reference(spark, path).count() == 2
     events = [json.loads(r.value) for r in spark.read.text(log).collect()]
     assert sorted(e["status"] for e in events) == ["noop", "success", "success", "success"]
 
 
+def test_later_files_of_a_stored_reference_count(spark, tmp_path):
+    """Files of unequal size: Spark packs the large one first, but order goes by path and row."""
+    folder = tmp_path / "reference.csv"
+    small = [{"taxon_id": "7", "scientific_name": "early"}]
+    large = [{"taxon_id": str(i), "scientific_name": f"late {i}"} for i in range(2000)]
+    write(folder / "part-00000.csv", schemas.TAXONOMY, *small)
+    write(folder / "part-00001.csv", schemas.TAXONOMY, *large,
+          {"taxon_id": "9", "scientific_name": "last row"})
+    found = {r.taxon_id: r.scientific_name for r in
+             taxonomy.read_reference(spark, str(folder)).collect()}
+    assert len(found) == 2000
+    assert (found["7"], found["9"]) == ("late 7", "last row")
+
+
 # --- ingestion -------------------------------------------------------------------------------
 
 def batches(spark, *bodies, job="job", start=0):
@@ -189,15 +225,51 @@ def test_a_failing_batch_is_recorded_and_raised(spark, tmp_path):
     assert manifest.read_ingested(spark, bronze, log, "runs").count() == 8
 
 
-def test_a_replayed_micro_batch_keeps_what_was_confirmed(spark, tmp_path):
+def test_a_broken_payload_does_not_stop_the_stream(spark, tmp_path):
     landing, bronze, log = (str(tmp_path / n) for n in ("landing", "bronze", "log"))
-    batches(spark, PACKAGES, "<EXPERIMENT_PACKAGE_SET><EXPERIMENT").write.parquet(landing)
-    for _ in range(2):
-        with pytest.raises(Exception, match="could not be parsed"):
-            ingest.ingest_stream(spark, landing, bronze, log, str(tmp_path / "checkpoint"),
-                                 attribute_dictionary(spark))
-        assert manifest.read_ingested(spark, bronze, log, "runs").count() == 4
-        assert manifest.read_ingested(spark, bronze, log, "attributes").count() == 2
+    dictionary = attribute_dictionary(spark)
+    broken = "<EXPERIMENT_PACKAGE_SET><EXPERIMENT"
+
+    def stream():
+        ingest.ingest_stream(spark, landing, bronze, log, str(tmp_path / "checkpoint"), dictionary,
+                             max_files=1)
+
+    batches(spark, broken).coalesce(1).write.parquet(landing)
+    batches(spark, PACKAGES, start=1).coalesce(1).write.mode("append").parquet(landing)
+    with pytest.raises(ingest.IngestError, match="1 landed batches"):
+        stream()
+    runs = manifest.read_ingested(spark, bronze, log, "runs")
+    assert {r.retstart for r in runs.collect()} == {200}
+    held = spark.read.parquet(f"{bronze}/quarantine").collect()
+    assert [(r.job_id, r.retstart, r.error) for r in held] == [
+        ("job", 0, "payload is not well-formed XML")]
+    # the mended payload, and what else lands
+    batches(spark, PACKAGES).coalesce(1).write.mode("append").parquet(landing)
+    batches(spark, PACKAGES, start=2).coalesce(1).write.mode("append").parquet(landing)
+    stream()
+    runs = manifest.read_ingested(spark, bronze, log, "runs")
+    assert {r.retstart for r in runs.collect()} == {0, 200, 400} and runs.count() == 12
+    events = manifest.read_manifest(spark, log)
+    assert sorted((r.retstart, r.status) for r in events.collect()) == [
+        (0, "failure"), (0, "success"), (200, "success"), (400, "success")]
+
+
+def test_a_batch_that_landed_twice_is_ingested_once(spark, tmp_path):
+    bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+    landed = batches(spark, PACKAGES).unionAll(batches(spark, PACKAGES))
+    result = ingest.ingest_batches(landed, bronze, log, "one", attribute_dictionary(spark))
+    assert (result["completed_batches"], result["run_rows"], result["skipped_batches"]) == (1, 4, 0)
+    assert manifest.read_ingested(spark, bronze, log, "runs").count() == 4
+
+
+def test_payloads_are_not_shuffled(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    batches(spark, PACKAGES, PACKAGES).write.parquet(landing)
+    pending, landed = ingest._pending(spark.read.schema(ingest.BATCHES).parquet(landing),
+                                      str(tmp_path / "log"))
+    plan = pending._jdf.queryExecution().executedPlan().toString()
+    assert landed == 2 and pending.count() == 2
+    assert not any("body" in line for line in plan.split("\n") if "Exchange" in line)
 
 
 def test_unconfirmed_rows_stay_invisible(spark, tmp_path):
@@ -230,10 +302,10 @@ def test_ingested_batches_feed_the_lake(spark, root):
     ingest.ingest_batches(batches(spark, PACKAGES, known, job="job-x"), paths.ingested,
                           paths.ingest_manifest, "one", attribute_dictionary(spark))
     result = lake.build_lake(spark, paths)
-    # SRX1/SRR1 is known from two batch files; new are SRR2, SRR9, the bare package and the empty one.
+    # SRX70/SRR1 is known from two batch files; new are SRR2, SRR9, the bare package and the empty one.
     assert result["bronze"]["runs"] == 2 + 4
     run = spark.read.parquet(paths.silver_tables()["sra_run"])
-    # SRR2 is in SRX1 of job-x and in SRX2 of mixed; the folder that sorts first wins.
+    # SRR2 is in SRX70 of job-x and in SRX2 of mixed; the folder that sorts first wins.
     assert {r.run_accession: r.source_dataset for r in run.collect()} == {
         "SRR1": "human | job-x | mixed", "SRR2": "job-x", "SRR9": "job-x"}
     merged = lake.read_combined(spark, paths)["runs"]

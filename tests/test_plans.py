@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from testbed.queries import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_no_cross_join_and_no_python_in_any_plan(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -43,7 +44,7 @@ def test_merge_is_one_shuffle(spark):
 
 def test_single_partition_steps_are_small(spark):
     """Only aggregates of a whole table may end in one task; no sort or window runs in one."""
-    for name in sorted(entry.queries()):
+    for name in sorted(registry()):
         lines = plan_of(entry.queries()[name](spark, SF_DIR)).split("\n")
         for above, line in zip(lines, lines[1:]):
             if "Exchange SinglePartition" in line:
