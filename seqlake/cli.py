@@ -12,8 +12,9 @@ from seqlake.plans import lake, quality, reports, serving, taxonomy
 from seqlake.plans.lake import LakePaths
 from seqlake.schemas import BRONZE_ATTRIBUTE, GOLD, LANDING
 from seqlake.session import build_session
-from seqlake.sources.files import read_bronze_batches, read_tables, write_csv
-from seqlake.streaming.ingest import IngestError, ingest_stream, preview
+from seqlake.sources.files import newest_snapshot, read_bronze_batches, read_tables, write_csv
+from seqlake.sources.manifest import read_manifest
+from seqlake.streaming.ingest import IngestError, ingest_stream, plan_fetches, preview
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -47,6 +48,14 @@ def _parser() -> argparse.ArgumentParser:
     taxa = commands.add_parser("taxonomy", help="merge landed taxonomy XML into the reference")
     taxa.add_argument("--landing", required=True)
     taxa.add_argument("--rebuild", action="store_true")
+    fetches = commands.add_parser("plan-fetches", help="batches that are still to be fetched")
+    fetches.add_argument("--searches", required=True, help="table of (job_id, body of the search)")
+    fetches.add_argument("--batch-size", type=int, default=200)
+    fetches.add_argument("--max-records", type=int)
+    fetches.add_argument("--output", required=True)
+    requests = commands.add_parser("taxonomy-batches", help="missing taxon ids in request batches")
+    requests.add_argument("--batch-size", type=int, default=200)
+    requests.add_argument("--output", required=True)
     publish = commands.add_parser("publish", help="load gold into the serving schema")
     publish.add_argument("--schema", default="gold_sra")
     publish.add_argument("--jdbc-url", help="a database; default: the Spark catalog")
@@ -122,6 +131,16 @@ def main(argv: list[str] | None = None) -> int:
         print(taxonomy.update_reference(
             spark, samples, landed, paths.taxonomy_reference, paths.taxonomy_manifest,
             args.rebuild))
+    elif args.command == "plan-fetches":
+        searches = spark.read.schema("job_id string, body string").parquet(args.searches)
+        write_csv(plan_fetches(searches, read_manifest(spark, paths.ingest_manifest),
+                               args.batch_size, args.max_records), args.output)
+    elif args.command == "taxonomy-batches":
+        samples = spark.read.parquet(paths.silver_tables()["sra_sample"])
+        stored = newest_snapshot(spark, paths.taxonomy_reference)
+        reference = taxonomy.read_reference(spark, paths.taxonomy_reference) if stored else None
+        requests = taxonomy.request_batches(samples, reference, args.batch_size)
+        write_csv(requests.withColumn("ids", F.array_join("ids", ",")), args.output)
     elif args.command == "publish":
         if args.jdbc_url:
             login = {"user": args.user or "", "password": args.password or ""}

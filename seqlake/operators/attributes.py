@@ -9,6 +9,7 @@ from seqlake import vocab
 from seqlake.functions.text import is_blank, normalize_attribute_name
 from seqlake.operators.dedupe import keep_first
 from seqlake.operators.skew import lookup_join
+from seqlake.session import materialize
 
 # Categories that raise a flag on the sample, and the flag's column.
 SIGNAL_FLAGS = {
@@ -81,15 +82,19 @@ def profile_attributes(
 ) -> DataFrame:
     """Per normalized name: category, rows, distinct values, raw spellings and example values.
 
-    Values are counted before they are grouped by name, and examples are ranked per task, so a
-    name that holds a large share of the rows is never gathered in one place.
+    The attributes are read once, into rows per (name, spelling, value); everything else comes from
+    those. Examples are ranked per task, so a name that holds a large share of the rows is never
+    gathered in one place.
     """
     if max_examples <= 0:
         raise ValueError("max_examples must be positive")
     name = "normalized_attribute_name"
     value = F.nullif(F.col("attribute_value"), F.lit(""))
-    named = normalize_names(attributes).where(F.col(name) != "")
-    by_value = named.groupBy(name, value.alias("value")).agg(F.count("*").alias("n"))
+    named = materialize(
+        normalize_names(attributes).where(F.col(name) != "")
+        .groupBy(name, "attribute_name", value.alias("value")).agg(F.count("*").alias("n")),
+        "profile")
+    by_value = named.groupBy(name, "value").agg(F.sum("n").alias("n"))
     totals = by_value.groupBy(name).agg(
         F.sum("n").alias("count"), F.count("value").alias("distinct_value_count")
     )
@@ -99,7 +104,7 @@ def profile_attributes(
     )
     first_values = Window.partitionBy(name).orderBy("value")
     examples = (
-        named.select(name, value.alias("value")).where(F.col("value").isNotNull()).distinct()
+        named.select(name, "value").where(F.col("value").isNotNull()).distinct()
         .withColumn("rank", F.row_number().over(first_values))
         .where(F.col("rank") <= max_examples)
         .groupBy(name).agg(F.array_sort(F.collect_list("value")).alias("examples"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Written intermediate tables that are still there, by application.
+_written: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "seqlake", **conf: str) -> SparkSession:
@@ -44,10 +47,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, which cuts its lineage."""
-    path = scratch_path(df.sparkSession, label)
+    """Write a table to the shared folder and read it back, which cuts its lineage. It lasts as long
+    as results may be derived from it: until `discard_scratch`, or the end of the program."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager
@@ -58,5 +68,17 @@ def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, path)
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete every table that `materialize` wrote for this application."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+@atexit.register
+def _discard_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _written:
+        discard_scratch(spark)

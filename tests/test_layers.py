@@ -118,13 +118,19 @@ def test_gold_types_are_the_serving_types(tables):
         assert dict(tables[name].dtypes) == columns and tables[name].columns == list(columns)
 
 
-def test_hot_samples_are_salted_without_changing_the_result(lake):
-    nulls, _ = lake
-    plain, salted = (
-        gold.domain_library_strategy(
-            nulls["sra_run"], nulls["sra_sample_classification"], hot).collect()
-        for hot in (10**6, 1))
-    assert plain == salted
+def test_a_hot_sample_counts_like_the_others(spark):
+    """One sample with most of the runs, experiments that repeat, and runs without a sample."""
+    rows = [("HOT", "WGS", f"E{i % 40}", "1", "") for i in range(400)] \
+        + [("S1", "WGS", "E1", None, "5"), ("S2", None, "E1", "2", "5"), (None, "WGS", "E9", "1", "1")]
+    runs = spark.createDataFrame(
+        rows, "sample_accession string, library_strategy string, experiment_accession string, "
+              "total_spots string, total_bases string")
+    domains = spark.createDataFrame(
+        [("HOT", "human"), ("S1", "human"), ("S2", "animal"), (None, "unknown")],
+        "sample_accession string, sample_domain string")
+    found = gold.domain_library_strategy(runs, domains).collect()
+    assert [tuple(r) for r in found] == [
+        ("human", "WGS", 401, 2, 40, 400, 5), ("animal", None, 1, 1, 1, 2, 5)]
 
 
 def test_no_samples_divides_by_nothing(lake):
@@ -271,3 +277,18 @@ def test_dimension_keeps_the_last_row(rows):
     found = taxonomy.dimension(df)
     assert found.columns == schemas.TAXONOMY
     assert [(r.taxon_id, r.rank, r.lineage) for r in found.collect()] == [("1", "new", "")]
+
+
+def test_missing_values_come_last_among_ties(spark):
+    runs = spark.createDataFrame(
+        [("S1", s, f"E{i}", "1", "2") for i, s in enumerate([None, "WGS", "AMPLICON"])],
+        "sample_accession string, library_strategy string, experiment_accession string, "
+        "total_spots string, total_bases string")
+    domains = spark.createDataFrame([("S1", "human")], "sample_accession string, sample_domain string")
+    found = gold.domain_library_strategy(runs, domains).collect()
+    assert [r.library_strategy for r in found] == ["AMPLICON", "WGS", None]
+    attributes = spark.createDataFrame(
+        [("S1", c) for c in (None, "host", "clinical")],
+        "sample_accession string, attribute_category string")
+    found = gold.attribute_category_by_domain(attributes, domains).collect()
+    assert [r.attribute_category for r in found] == ["clinical", "host", None]

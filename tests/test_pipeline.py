@@ -360,6 +360,34 @@ def test_raw_landing_is_ingested_from_the_command_line(spark, tmp_path):
     assert rows.count() == 8
 
 
+def test_planning_commands(spark, root, tmp_path):
+    paths = LakePaths(str(root))
+    lake.combine(spark, paths)
+    lake.build_silver(spark, paths)
+    answer = json.dumps({"esearchresult": {"count": "450", "querykey": "1", "webenv": "W"}})
+    spark.createDataFrame([("a", answer)], "job_id string, body string").write.parquet(
+        str(tmp_path / "searches"))
+    out = str(tmp_path / "out")
+    assert cli.main(["--root", str(root), "plan-fetches", "--searches", str(tmp_path / "searches"),
+                     "--output", f"{out}-fetches"]) == 0
+    assert spark.read.option("header", True).csv(f"{out}-fetches").count() == 3
+    write(root / "reference/ncbi_taxonomy/taxonomy_reference.csv", schemas.TAXONOMY)
+    assert cli.main(["--root", str(root), "taxonomy-batches", "--batch-size", "1",
+                     "--output", f"{out}-ids"]) == 0
+    rows = spark.read.option("header", True).csv(f"{out}-ids").collect()
+    assert sorted((r.batch_number, r.ids) for r in rows) == [("1", "4577"), ("2", "9606")]
+
+
+def test_scratch_is_discarded(spark, tmp_path):
+    from seqlake import session
+
+    kept = session.materialize(spark.range(3), "kept")
+    path = kept.inputFiles()[0]
+    assert files.exists(spark, path)
+    session.discard_scratch(spark)
+    assert not files.exists(spark, path)
+
+
 def test_preview(spark):
     search = spark.createDataFrame([('{"esearchresult": {"idlist": ["1", "2", "3", "4"]}}',)], "body string")
     ids, runs, attributes = ingest.preview(search, batches(spark, PACKAGES), 3)
