@@ -17,6 +17,7 @@ gives empty files.
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -49,8 +50,10 @@ FILE_SCHEMA = ("file_no int, run_no int, run_start bigint, doc_ids array<bigint>
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits of each value; a float's exponent is exact below 2**53."""
-    big = values >> np.uint64(50)
     low = np.frexp(values.astype(np.float64))[1]
+    if not len(values) or int(values.max()) < 1 << 50:
+        return low.astype(np.uint8)
+    big = values >> np.uint64(50)
     return np.where(big > 0, np.frexp(big.astype(np.float64))[1] + 50, low).astype(np.uint8)
 
 
@@ -76,10 +79,11 @@ def pack(values: np.ndarray) -> bytes:
     values = np.ascontiguousarray(values, np.uint64)
     n = len(values)
     most = _widest_ahead(_bit_lengths(values))
-    choice = np.zeros(n, np.uint8)
-    for selector in range(len(LAYOUTS), 0, -1):  # ends with the layout of most values that fits
-        count, bits = LAYOUTS[selector - 1]
-        choice[most[count] <= bits] = selector
+    # a layout that fits is followed by layouts that fit: fewer values, more bits for each
+    fits = np.zeros(n, np.uint8)
+    for count, bits in LAYOUTS:
+        fits += most[count] <= bits
+    choice = np.where(fits > 0, np.uint8(len(LAYOUTS) + 1) - fits, np.uint8(0))
     step = COUNTS[choice].tolist()
     starts, at = [], 0
     while at < n:
@@ -166,6 +170,8 @@ def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> Non
     struct = _parse_datatype_string(FILE_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task has one core; the library would start threads of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = per_worker("tokenizers", vocabulary.value, library_encoder)
         end = END_ID.to_bytes(4, "little")
         file_no = TaskContext.get().partitionId()

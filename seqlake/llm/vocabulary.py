@@ -29,16 +29,17 @@ class Irregular(Exception):
 
 class Memo(dict):
     """Ids of pieces in two generations: when the young one is full it becomes the old one, so that
-    frequent pieces survive."""
+    frequent pieces survive. `check` raises Irregular for a piece that cannot stand alone."""
 
-    def __init__(self, make: Callable[[str], bytes]) -> None:
+    def __init__(self, check: Callable[[str], None], encode: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.make, self.old = make, {}
+        self.check, self.encode, self.old = check, encode, {}
 
     def __missing__(self, key: str) -> bytes:
         ids = self.old.get(key)
         if ids is None:
-            ids = self.make(key)
+            self.check(key)
+            ids = self.encode(key)
         if len(key) <= 64:
             if len(self) >= MEMO_ENTRIES // 2:
                 self.old = dict(self)
@@ -47,6 +48,20 @@ class Memo(dict):
         return ids
 
 
+def _prose(piece: str) -> None:
+    if piece in (".", ",", "\n"):
+        return
+    core = piece[1:] if piece[:1] == " " else piece
+    if not core or core[0].isspace() or not core[-1].isalnum():
+        raise Irregular
+
+
+def _spaced(piece: str) -> None:
+    core = piece[1:] if piece[:1] == " " else piece
+    if piece != "\n" and (not core or core[0].isspace() or core[-1].isspace()):
+        raise Irregular
+
+
 class PieceEncoder:
     """Encodes texts piece by piece (little-endian uint32 ids) with remembered pieces.
 
@@ -59,39 +74,33 @@ class PieceEncoder:
 
     def __init__(self, encode: Callable[[str], bytes]) -> None:
         self.encode = encode
-        self.prose, self.spaced = Memo(self._prose), Memo(self._spaced)
-
-    def _prose(self, piece: str) -> bytes:
-        if piece in (".", ",", "\n"):
-            return self.encode(piece)
-        core = piece[1:] if piece[:1] == " " else piece
-        if not core or core[0].isspace() or not core[-1].isalnum():
-            raise Irregular
-        return self.encode(piece)
-
-    def _spaced(self, piece: str) -> bytes:
-        core = piece[1:] if piece[:1] == " " else piece
-        if piece != "\n" and (not core or core[0].isspace() or core[-1].isspace()):
-            raise Irregular
-        return self.encode(piece)
+        self.prose, self.spaced = Memo(_prose, encode), Memo(_spaced, encode)
 
-    def ids(self, text: str | None) -> bytes:
-        """Ids of a whole text; empty for null."""
-        if not text:
-            return b""
-        if CUT in text:
-            return self.encode(text)
+    def cut(self, text: str | None) -> tuple[Memo, list[str]] | None:
+        """The memo and the pieces of the finest cut that the text may take."""
+        if not text or CUT in text:
+            return None
         spaced = text.replace(" ", CUT + " ").replace("\n", CUT + "\n" + CUT)
-        if not (".." in text or ",," in text or ".," in text or ",." in text):
-            prose = spaced.replace(",", CUT + ",").replace(".", CUT + ".")
-            try:
-                return b"".join(map(self.prose.__getitem__, prose.split(CUT)))
-            except Irregular:
-                pass
+        if ".." in text or ",," in text or ".," in text or ",." in text:
+            return self.spaced, spaced.split(CUT)
+        prose = spaced.replace(",", CUT + ",").replace(".", CUT + ".")
+        return self.prose, prose.split(CUT)
+
+    def joined(self, text: str | None, cut: tuple[Memo, list[str]] | None) -> bytes:
+        if cut is None:
+            return self.encode(text) if text else b""
+        memo, pieces = cut
         try:
-            return b"".join(map(self.spaced.__getitem__, spaced.split(CUT)))
+            return b"".join(map(memo.__getitem__, pieces))
         except Irregular:
-            return self.encode(text)
+            if memo is self.spaced:
+                return self.encode(text)
+        spaced = text.replace(" ", CUT + " ").replace("\n", CUT + "\n" + CUT)
+        return self.joined(text, (self.spaced, spaced.split(CUT)))
+
+    def ids(self, text: str | None) -> bytes:
+        """Ids of a whole text; empty for null."""
+        return self.joined(text, self.cut(text))
 
 
 _made: dict[tuple[str, bytes], object] = {}
