@@ -5,13 +5,14 @@ Benchmark items are taken in blocks of bounded size, each against all documents:
 1. Items become passages of at most PASSAGE words. A passage is described by its TERMS rarest
    words; document frequencies are counted over all documents.
 2. Documents become overlapping windows of two passages' length, so that every passage lies in one
-   window as a whole. A window keeps its TF-IDF weights over the block's terms; windows without two
-   of them (or one, if a passage has but one) cannot hold a passage and are dropped.
+   window as a whole. A window keeps its TF-IDF weights over the block's terms. Windows whose terms
+   weigh less than SHARED_WEIGHT of every passage that they have a term of cannot be candidates and
+   are dropped. Words are compared by 64-bit hashes up to here.
 3. A randomised SVD of these TF-IDF rows and the block's passages: every task sketches its rows
    (A'A times a random matrix), sums are built in Spark, and only matrices of terms x rank reach the
    driver.
-4. Windows and passages are compared by the cosine of their latent vectors; pairs above COSINE that
-   share SHARED_TERMS of the passage's terms are candidates.
+4. Windows and passages are compared by the cosine of their latent vectors; pairs above COSINE whose
+   common terms have SHARED_WEIGHT of the passage's squared weights are candidates.
 5. A candidate is confirmed on the words themselves: longest common subsequence of passage and
    window, and how far its words are spread. From SURE of the passage on it is a leak; from LIKELY
    on (paraphrases) only if the answer, the passage's last quarter, is found as well. Passages
@@ -28,7 +29,6 @@ items are all reported; empty tables give clean or empty results.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,24 +37,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlake.llm.rows import map_arrow, map_groups, map_rows, shuffle_partitions
+from seqlake.llm.shingles import U, run_hashes
 from seqlake.session import materialize
 
 WORD = re.compile(r"\w+")
 BLOCK_ITEMS = 2_000
 PASSAGE, TERMS = 64, 16
 RANK, OVERSAMPLING = 128, 16
-#: Candidates: cosine of latent vectors, and share of the passage's terms that the window has.
-COSINE, SHARED_TERMS = 0.2, 0.25
+#: Candidates: cosine of latent vectors, and share of the passage's weight that the window has.
+COSINE, SHARED_WEIGHT = 0.2, 0.3
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
 SHORT = 13
-#: Up to so many keys (8 bytes each) are broadcast, more are joined by a shuffle.
-BROADCAST_KEYS = 1_000_000
+#: Up to so many keys of texts are broadcast, with their few candidates or alone.
+BROADCAST_CANDIDATES, BROADCAST_KEYS = 50_000, 1_000_000
+NOT_ASCII_NOR_WORD = re.compile(r"[^\w\x00-\x7f]")
+IN_WORD = np.zeros(256, bool)
+IN_WORD[[*range(128, 256), *b"_abcdefghijklmnopqrstuvwxyz0123456789"]] = True
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+def hashes_of(text: str | None) -> np.ndarray:
+    """A hash per word of `words_of`, in order, without a Python step per word."""
+    if not text:
+        return np.zeros(0, U)
+    text = text.lower()
+    if not text.isascii():
+        text = NOT_ASCII_NOR_WORD.sub(" ", text)
+    return run_hashes(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), IN_WORD)
+
+
+@dataclass
+class Vocabulary:
+    """Words by the order of their hashes."""
+
+    hashes: np.ndarray
+    words: list[str]
+
+    @classmethod
+    def of(cls, words: set[str]) -> Vocabulary:
+        # a word alone has exactly one hash
+        found = sorted((int(hashes_of(w)[0]), w) for w in words)
+        return cls(np.array([h for h, _ in found], U), [w for _, w in found])
+
+    def places(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Places in the text of known words, their numbers, and how many words the text has."""
+        hashes = hashes_of(text)
+        if not len(self.hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), len(hashes)
+        number = np.searchsorted(self.hashes, hashes)
+        number[number == len(self.hashes)] = 0
+        at = np.flatnonzero(self.hashes[number] == hashes)
+        return at, number[at], len(hashes)
+
+
 @dataclass
 class Passages:
     """The passages of one block of items and their terms."""
@@ -62,9 +100,10 @@ class Passages:
     item: list[int]
     words: list[list[str]]
     terms: list[list[int]]
-    vocabulary: dict[str, int]
+    vocabulary: Vocabulary
     idf: np.ndarray
-    lonely: set[int]  # terms of passages that have no second term
+    weight: np.ndarray  # of each passage: squared weights of its terms
+    needed: np.ndarray  # of each term: least weight that a window with it must have
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_docs: int) -> Passages:
@@ -77,28 +116,33 @@ class Passages:
                                        (k + 1) * len(all_words) // parts])
                 item.append(item_id)
         rare = [sorted(set(w), key=lambda x: (frequency.get(x, 0), x))[:TERMS] for w in words]
-        vocabulary = {w: i for i, w in enumerate(sorted({w for r in rare for w in r}))}
-        df = np.array([max(1, frequency.get(w, 0)) for w in vocabulary], float)
-        terms = [sorted(vocabulary[w] for w in r) for r in rare]
-        lonely = {t[0] for t in terms if len(t) == 1}
-        return cls(item, words, terms, vocabulary, np.log1p(max(n_docs, 1) / df), lonely)
-
-
-def windows(words: list[str], passages: Passages) -> list[tuple[int, list[int]]]:
+        vocabulary = Vocabulary.of({w for r in rare for w in r})
+        number = {w: i for i, w in enumerate(vocabulary.words)}
+        df = np.array([max(1, frequency.get(w, 0)) for w in vocabulary.words], float)
+        idf = np.log1p(max(n_docs, 1) / df)
+        terms = [sorted(number[w] for w in r) for r in rare]
+        weight = np.array([(idf[t] ** 2).sum() for t in terms])
+        needed = np.full(len(idf), np.inf)
+        for t, w in zip(terms, weight):
+            needed[t] = np.minimum(needed[t], SHARED_WEIGHT * w)
+        return cls(item, words, terms, vocabulary, idf, weight, needed)
+
+
+def windows(text: str, passages: Passages) -> list[tuple[int, list[int]]]:
     """(window number, distinct terms) of the windows that can hold a passage."""
-    term = passages.vocabulary.get
-    cells: dict[int, set[int]] = {}
-    for place, word in enumerate(words):
-        t = term(word)
-        if t is not None:
-            cells.setdefault(place // PASSAGE, set()).add(t)
-    last = max(0, -(-len(words) // PASSAGE) - 2)
-    out, none = [], set()
-    for k in sorted({min(max(c - d, 0), last) for c in cells for d in (0, 1)}):
-        terms = cells.get(k, none) | cells.get(k + 1, none)
-        if len(terms) > 1 or terms & passages.lonely:
-            out.append((k, sorted(terms)))
-    return out
+    place, term, n_words = passages.vocabulary.places(text)
+    if not len(place):
+        return []
+    last = max(0, -(-n_words // PASSAGE) - 2)
+    cell, n_terms = place // PASSAGE, len(passages.idf)
+    both = np.concatenate((np.minimum(cell, last), np.clip(cell - 1, 0, last)))
+    window, term = np.divmod(np.unique(both * n_terms + np.tile(term, 2)), n_terms)
+    number, start = np.unique(window, return_index=True)
+    weight = np.add.reduceat(passages.idf[term] ** 2, start)
+    needed = np.minimum.reduceat(passages.needed[term], start)
+    stop = np.append(start[1:], len(term))
+    return [(int(number[i]), term[start[i] : stop[i]].tolist())
+            for i in np.flatnonzero(weight >= needed * (1 - 1e-9))]
 
 
 def _rows(terms: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,23 +308,27 @@ def leak_score(passage: list[str], window: list[str]) -> float:
     return share if share >= LIKELY and found >= ANSWER * (n - answer) else 0.0
 
 
-def _frequencies(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
-    """Documents that have each word of `vocabulary`, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(vocabulary))
+def _frequencies(docs: DataFrame, words: set[str]) -> dict[str, int]:
+    """Documents that have each of `words`, over all documents."""
+    vocabulary = Vocabulary.of(words)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def start():
         known = shared.value
 
         def step(text):
-            seen: Counter = Counter()
+            total = np.zeros(len(known.hashes), np.int64)
             for t in text:
-                seen.update(known.intersection(words_of(t)))
-            return list(seen), list(seen.values())
+                seen = np.zeros(len(total), bool)
+                seen[known.places(t)[1]] = True
+                total += seen
+            found = np.flatnonzero(total)
+            return found, total[found]
         return step
 
-    rows = map_rows(docs.select("text"), "word string, n bigint", start) \
+    rows = map_rows(docs.select("text"), "word bigint, n bigint", start) \
         .groupBy("word").agg(F.sum("n").alias("n")).collect()
-    return {r["word"]: r["n"] for r in rows}
+    return {vocabulary.words[r["word"]]: r["n"] for r in rows}
 
 
 def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int) -> DataFrame | None:
@@ -298,7 +346,7 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         def step(key, text):
             out: tuple[list, list, list] = ([], [], [])
             for k, t in zip(key, text):
-                for number, terms in windows(words_of(t), block):
+                for number, terms in windows(t, block):
                     for column, value in zip(out, (k, number, terms)):
                         column.append(value)
             return out
@@ -309,11 +357,12 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         "windows")
     basis = latent_basis(rows, passages)
     own = _unit(_times(_rows(passages.terms, passages.idf), basis, len(passages.terms)))
-    latent = spark.sparkContext.broadcast((passages.idf, basis, own, passages.terms))
+    latent = spark.sparkContext.broadcast((basis, own))
 
     def search():
-        idf, directions, targets, passage_terms = latent.value
-        wanted = [frozenset(t) for t in passage_terms]
+        block, (directions, targets) = shared.value, latent.value
+        idf, square = block.idf, block.idf**2
+        wanted = [frozenset(t) for t in block.terms]
 
         def step(key, number, terms):
             if not key:
@@ -321,7 +370,8 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
             near = _unit(_times(_rows(terms, idf), directions, len(terms))) @ targets.T
             held = [frozenset(t) for t in terms]
             pairs = [(r, p) for r, p in zip(*(x.tolist() for x in np.nonzero(near >= COSINE)))
-                     if len(held[r] & wanted[p]) >= SHARED_TERMS * len(wanted[p])]
+                     if sum(square[t] for t in held[r] & wanted[p])
+                     >= SHARED_WEIGHT * block.weight[p] * (1 - 1e-9)]
             return [key[r] for r, _ in pairs], [number[r] for r, _ in pairs], [p for _, p in pairs]
         return step
 
@@ -329,7 +379,7 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
     asked = materialize(
         found.groupBy("key").agg(F.collect_list(F.struct("number", "passage")).alias("pairs")),
         "candidates")  # at most windows x passages of one block for one text
-    small = F.broadcast(asked) if asked.count() <= 10_000 else asked
+    small = F.broadcast(asked) if asked.count() <= BROADCAST_CANDIDATES else asked
     texts = docs.select("key", "text").join(small, "key").select("key", "text", "pairs")
 
     def check():

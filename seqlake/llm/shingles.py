@@ -41,18 +41,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
+def run_hashes(data: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Hashes of the maximal runs of bytes that `inside` (256 flags) holds for."""
     if not len(data):
         return np.zeros(0, U)
-    blank = np.concatenate(([True], BLANK[data], [True]))
-    change = np.flatnonzero(blank[1:] != blank[:-1])
+    held = np.concatenate(([False], inside[data], [False]))
+    change = np.flatnonzero(held[1:] != held[:-1])
     starts, ends = change[::2], change[1::2]
     up, down = POWERS.upto(len(data))
     sums = np.concatenate((np.zeros(1, U), np.cumsum((data.astype(U) + U(1)) * up)))
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
+    return run_hashes(data, ~BLANK)
+
+
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Distinct shingle hashes in ascending order; empty for a text without words."""
     h = word_hashes(text)

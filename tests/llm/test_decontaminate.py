@@ -21,6 +21,16 @@ def test_longest_common_subsequences(a, b):
     assert places == sorted(places)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["Word", " ", "É", "_", "9", "—", "\xa0", "́", "İ", "ß", ",", "x\n", "字", "٣", "😀"])).map("".join))
+def test_hashes_follow_the_words(text):
+    found = dc.words_of(text)
+    hashes = dc.hashes_of(text).tolist()
+    assert len(hashes) == len(found)
+    assert hashes == [int(dc.hashes_of(w)[0]) for w in found]
+
+
 def words(rng, n, tag="w"):
     return [f"{tag}{rng.randrange(400)}" for _ in range(n)]
 
