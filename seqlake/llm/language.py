@@ -127,9 +127,17 @@ def fit_model(docs: DataFrame) -> KernelModel | None:
         "not held_out and doc_id is not null and lang is not null"
         f" and length(text) between {SAMPLE_CHARS[0]} and {SAMPLE_CHARS[1]}"
     ).select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("draw"))
-    # the rank limit is applied in each task before the shuffle, on ids without their texts
+    # Ids whose hash is below a share of its range go on: some times the rows that are wanted of a
+    # language, however many it has. The rank then cuts these to PER_LANGUAGE.
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not counts:
+        return None
+    low = F.create_map(*[F.lit(x) for r in counts for x in (
+        r["lang"], min(1 << 20, -(-4 * PER_LANGUAGE * (1 << 20) // r["n"])))])
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    chosen = usable.select("doc_id", "lang", "draw").withColumn("rank", F.row_number().over(order)) \
+    chosen = usable.select("doc_id", "lang", "draw") \
+        .where(F.pmod("draw", F.lit(1 << 20)) < F.element_at(low, F.col("lang"))) \
+        .withColumn("rank", F.row_number().over(order)) \
         .where(F.col("rank") <= PER_LANGUAGE).select("doc_id", "lang", "rank", "draw").collect()
     if not chosen:
         return None
