@@ -24,17 +24,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         .unionAll(least.select("u", F.col("m").alias("v")))
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node only, which itself hangs on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+        .unionAll(edges.select(F.col("v"), F.lit(0), F.lit(1)))
+    per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.where("up > 1 or up > 0 and down > 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of `links` (bigint columns a, b)."""
-    edges = links.where("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = materialize(edges, "edges"), None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-        stars = _star(_star(edges, large=True).distinct(), large=False).where("u <> v").distinct()
+    edges = materialize(links.where("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    while not _are_stars(edges):
+        stars = _star(_star(edges, large=True), large=False).where("u <> v").distinct()
         edges = materialize(stars, "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)

@@ -184,54 +184,75 @@ def _fold(rows: np.ndarray, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), axis=1)
 
 
+def _forest(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs of a spanning forest over components x and y, `order` giving the most
+    similar pairs first: every component takes its first pair, until none is left between two."""
+    root = np.arange(int(max(x.max(), y.max())) + 1)
+    pair, x, y = order, x[order], y[order]
+    taken: list[np.ndarray] = []
+    while len(pair):
+        first = np.full(len(root), len(pair))
+        np.minimum.at(first, x, np.arange(len(pair)))
+        np.minimum.at(first, y, np.arange(len(pair)))
+        chosen = np.unique(first[first < len(pair)])
+        taken.append(pair[chosen])
+        for i, j in zip(x[chosen].tolist(), y[chosen].tolist()):
+            while root[i] != i:
+                i = int(root[i])
+            while root[j] != j:
+                j = int(root[j])
+            root[max(i, j)] = min(i, j)
+        while (root[root] != root).any():
+            root = root[root]
+        x, y = root[x], root[y]
+        apart = x != y
+        pair, x, y = pair[apart], x[apart], y[apart]
+    return np.concatenate(taken)
+
+
 def compare_tile(rows: list[dict], percent: int):
     """Pairs (a, b) of one tile to confirm: a spanning forest of its possible pairs over their
     components. `left` rows meet `right` rows and each other; refuted pairs are passed over."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    by_width: dict[int, list[dict]] = {}
-    for row in rows:
-        by_width.setdefault(len(row["bitmap"]) // 8, []).append(row)
-    left = {w: [r for r in group if r["left"]] for w, group in by_width.items()}
-    possible_pairs: list[tuple[float, int, int, int, int]] = []
-    for width, mine in left.items():
-        if not mine:
-            continue
+    node = np.array([r["node"] for r in rows])
+    n = np.array([r["n"] for r in rows])
+    is_left = np.array([r["left"] for r in rows])
+    _, component = np.unique([r["component"] for r in rows], return_inverse=True)
+    width = np.array([len(r["bitmap"]) // 8 for r in rows])
+    bitmaps = {int(w): np.frombuffer(b"".join(rows[i]["bitmap"] for i in np.flatnonzero(width == w)),
+                                     U).reshape(-1, w) for w in np.unique(width)}
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for w in bitmaps:
         # sizes of linked sets differ by less than a factor of two, so do their bitmaps
-        for other_width in (width // 2, width, width * 2):
-            others = by_width.get(other_width, [])
-            if not others:
+        for other_w in (w // 2, w, w * 2):
+            if other_w not in bitmaps:
                 continue
-            common = min(width, other_width)
-            read = lambda group, w: _fold(np.frombuffer(
-                b"".join(r["bitmap"] for r in group), U).reshape(len(group), w), common)
-            b_bits, b_n = read(others, other_width), np.array([r["n"] for r in others])
-            b_comp = np.array([r["component"] for r in others])
-            for row, bits in zip(mine, read(mine, width)):
-                z = np.bitwise_count(b_bits ^ bits).sum(1).astype(np.int64)
-                total = b_n + row["n"]
+            common = min(w, other_w)
+            mine, others = np.flatnonzero(width == w), np.flatnonzero(width == other_w)
+            their_bits = _fold(bitmaps[other_w], common)
+            for i, bits in zip(mine, _fold(bitmaps[w], common)):
+                if not is_left[i]:
+                    continue
+                z = np.bitwise_count(their_bits ^ bits).sum(1).astype(np.int64)
+                total = n[others] + n[i]
                 most_shared = (total - z) // 2
                 possible = 100 * most_shared >= percent * (total - most_shared)
-                for k in np.flatnonzero(possible & (b_comp != row["component"])):
-                    other, size = others[k], 64 * common
-                    if other["left"] and other["node"] <= row["node"]:
-                        continue
-                    if other["node"] in (row["refuted"] or ()):
-                        continue
-                    difference = -size / 2 * np.log1p(-min(2 * z[k] / size, 1 - 1e-9))
-                    possible_pairs.append((difference / total[k], row["node"], other["node"],
-                                           row["component"], other["component"]))
-    for _, a, b, x, y in sorted(possible_pairs):
-        i, j = find(x), find(y)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-            yield min(a, b), max(a, b)
+                possible &= component[others] != component[i]
+                possible &= ~is_left[others] | (node[others] > node[i])  # each pair once
+                if rows[i]["refuted"]:
+                    possible &= ~np.isin(node[others], rows[i]["refuted"])
+                k = np.flatnonzero(possible)
+                if len(k):
+                    size = 64 * common
+                    share = np.minimum(2 * z[k] / size, 1 - 1e-9)
+                    found.append((-size * np.log1p(-share) / total[k],
+                                  np.full(len(k), i), others[k]))
+    if not found:
+        return
+    difference, a, b = (np.concatenate(column) for column in zip(*found))
+    order = np.lexsort((node[b], node[a], difference))
+    for k in _forest(order, component[a], component[b]):
+        x, y = int(node[a[k]]), int(node[b[k]])
+        yield min(x, y), max(x, y)
 
 
 def _tiles(
@@ -322,7 +343,8 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
         if judged.isEmpty():
             return known
         tested, apart = tested.unionAll(judged), None
-        known = materialize(components(tested.where("link").select("a", "b")), "components")
+        if not judged.where("link").isEmpty():
+            known = materialize(components(tested.where("link").select("a", "b")), "components")
 
 
 def group_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
