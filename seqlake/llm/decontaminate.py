@@ -5,14 +5,15 @@ Benchmark items are taken in blocks of bounded size, each against all documents:
 1. Items become passages of at most PASSAGE words. A passage is described by its TERMS rarest
    words; document frequencies are counted over all documents.
 2. Documents become overlapping windows of two passages' length, so that every passage lies in one
-   window as a whole. A window keeps its TF-IDF weights over the block's terms. Windows whose terms
-   weigh less than SHARED_WEIGHT of every passage that they have a term of cannot be candidates and
-   are dropped. Words are compared by 64-bit hashes up to here.
+   window as a whole. A window keeps its TF-IDF weights over the block's terms. A candidate has
+   SHARED_WEIGHT of a passage's squared weights (short passages: all of them), so it has one of the
+   passage's key terms, the heaviest ones that make up the rest; windows without, or too light for
+   every passage whose key terms they have, are dropped. Words are compared by 64-bit hashes here.
 3. A randomised SVD of these TF-IDF rows and the block's passages: every task sketches its rows
    (A'A times a random matrix), sums are built in Spark, and only matrices of terms x rank reach the
    driver.
 4. Windows and passages are compared by the cosine of their latent vectors; pairs above COSINE whose
-   common terms have SHARED_WEIGHT of the passage's squared weights are candidates.
+   common terms have that share of the passage's weights are candidates.
 5. A candidate is confirmed on the words themselves: longest common subsequence of passage and
    window, and how far its words are spread. From SURE of the passage on it is a leak; from LIKELY
    on (paraphrases) only if the answer, the passage's last quarter, is found as well. Passages
@@ -45,7 +46,7 @@ BLOCK_ITEMS = 2_000
 PASSAGE, TERMS = 64, 16
 RANK, OVERSAMPLING = 128, 16
 #: Candidates: cosine of latent vectors, and share of the passage's weight that the window has.
-COSINE, SHARED_WEIGHT = 0.2, 0.3
+COSINE, SHARED_WEIGHT = 0.2, 0.4
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
 SHORT = 13
 #: Up to so many keys of texts are broadcast, with their few candidates or alone.
@@ -75,22 +76,26 @@ class Vocabulary:
 
     hashes: np.ndarray
     words: list[str]
+    seen: np.ndarray  # whether some word's hash has these upper bits
 
     @classmethod
     def of(cls, words: set[str]) -> Vocabulary:
         # a word alone has exactly one hash
         found = sorted((int(hashes_of(w)[0]), w) for w in words)
-        return cls(np.array([h for h, _ in found], U), [w for _, w in found])
+        hashes = np.array([h for h, _ in found], U)
+        seen = np.zeros(1 << 20, bool)
+        seen[hashes >> U(44)] = True
+        return cls(hashes, [w for _, w in found], seen)
 
     def places(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
         """Places in the text of known words, their numbers, and how many words the text has."""
         hashes = hashes_of(text)
-        if not len(self.hashes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), len(hashes)
-        number = np.searchsorted(self.hashes, hashes)
+        at = np.flatnonzero(self.seen[hashes >> U(44)])
+        held = hashes[at]
+        number = np.searchsorted(self.hashes, held)
         number[number == len(self.hashes)] = 0
-        at = np.flatnonzero(self.hashes[number] == hashes)
-        return at, number[at], len(hashes)
+        same = self.hashes[number] == held if len(at) else np.zeros(0, bool)
+        return at[same], number[same], len(hashes)
 
 
 @dataclass
@@ -103,7 +108,8 @@ class Passages:
     vocabulary: Vocabulary
     idf: np.ndarray
     weight: np.ndarray  # of each passage: squared weights of its terms
-    needed: np.ndarray  # of each term: least weight that a window with it must have
+    share: np.ndarray  # of each passage: part of its weight that a candidate has
+    needed: np.ndarray  # of each key term: least weight of a window with it, else infinite
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_docs: int) -> Passages:
@@ -122,27 +128,37 @@ class Passages:
         idf = np.log1p(max(n_docs, 1) / df)
         terms = [sorted(number[w] for w in r) for r in rare]
         weight = np.array([(idf[t] ** 2).sum() for t in terms])
+        share = np.array([1.0 if len(w) < SHORT else SHARED_WEIGHT for w in words]) - 1e-9
         needed = np.full(len(idf), np.inf)
-        for t, w in zip(terms, weight):
-            needed[t] = np.minimum(needed[t], SHARED_WEIGHT * w)
-        return cls(item, words, terms, vocabulary, idf, weight, needed)
+        for t, w, part in zip(terms, weight, share):
+            heaviest = np.array(t)[np.argsort(-idf[t], kind="stable")]
+            covered = np.cumsum(idf[heaviest] ** 2)
+            key = heaviest[: 1 + int(np.searchsorted(covered, (1 - part) * w, "right"))]
+            needed[key] = np.minimum(needed[key], part * w)
+        return cls(item, words, terms, vocabulary, idf, weight, share, needed)
 
 
 def windows(text: str, passages: Passages) -> list[tuple[int, list[int]]]:
     """(window number, distinct terms) of the windows that can hold a passage."""
     place, term, n_words = passages.vocabulary.places(text)
-    if not len(place):
+    if not len(place) or passages.needed[term].min() == np.inf:
         return []
     last = max(0, -(-n_words // PASSAGE) - 2)
     cell, n_terms = place // PASSAGE, len(passages.idf)
     both = np.concatenate((np.minimum(cell, last), np.clip(cell - 1, 0, last)))
-    window, term = np.divmod(np.unique(both * n_terms + np.tile(term, 2)), n_terms)
+    term = np.tile(term, 2)
+    # only windows with a key term
+    wanted = np.zeros(last + 1, bool)
+    wanted[both[passages.needed[term] < np.inf]] = True
+    kept = wanted[both]
+    both = both[kept] * n_terms + term[kept]
+    window, term = np.divmod(np.unique(both), n_terms)
     number, start = np.unique(window, return_index=True)
     weight = np.add.reduceat(passages.idf[term] ** 2, start)
     needed = np.minimum.reduceat(passages.needed[term], start)
     stop = np.append(start[1:], len(term))
     return [(int(number[i]), term[start[i] : stop[i]].tolist())
-            for i in np.flatnonzero(weight >= needed * (1 - 1e-9))]
+            for i in np.flatnonzero(weight >= needed)]
 
 
 def _rows(terms: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -371,7 +387,7 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
             held = [frozenset(t) for t in terms]
             pairs = [(r, p) for r, p in zip(*(x.tolist() for x in np.nonzero(near >= COSINE)))
                      if sum(square[t] for t in held[r] & wanted[p])
-                     >= SHARED_WEIGHT * block.weight[p] * (1 - 1e-9)]
+                     >= block.share[p] * block.weight[p]]
             return [key[r] for r, _ in pairs], [number[r] for r, _ in pairs], [p for _, p in pairs]
         return step
 
