@@ -44,7 +44,7 @@ from seqlake.session import materialize
 WORD = re.compile(r"\w+")
 BLOCK_ITEMS = 2_000
 PASSAGE, TERMS = 64, 16
-RANK, OVERSAMPLING = 128, 16
+RANK, OVERSAMPLING = 64, 8
 #: Candidates: cosine of latent vectors, and share of the passage's weight that the window has.
 COSINE, SHARED_WEIGHT = 0.2, 0.4
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
