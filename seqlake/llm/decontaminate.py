@@ -2,18 +2,21 @@
 
 Benchmark items are taken in blocks of bounded size, each against all documents:
 
-1. Items become passages of at most PASSAGE words. A passage is described by its TERMS rarest
-   words; document frequencies are counted over all documents.
+1. Items become passages of at most PASSAGE words. Document frequencies of their words are counted
+   over all documents; they give the weights and the order of rarity.
 2. Documents become overlapping windows of two passages' length, so that every passage lies in one
-   window as a whole. A window keeps its TF-IDF weights over the block's terms. A candidate has
-   SHARED_WEIGHT of a passage's squared weights (short passages: all of them), so it has one of the
-   passage's key terms, the heaviest ones that make up the rest; windows without, or too light for
-   every passage whose key terms they have, are dropped. Words are compared by 64-bit hashes here.
-3. A randomised SVD of these TF-IDF rows and the block's passages: every task sketches its rows
-   (A'A times a random matrix), sums are built in Spark, and only matrices of terms x rank reach the
-   driver.
-4. Windows and passages are compared by the cosine of their latent vectors; pairs above COSINE whose
-   common terms have that share of the passage's weights are candidates.
+   window as a whole. Step 5 accepts nothing below LIKELY of a passage's n words (short passages: all
+   of them), say `need`. So a window with a leak has at least k of the passage's n - need + k rarest
+   words, for any k: the others are only need - k. With k = need / KEY_PART, windows for which this
+   holds for no passage are dropped; no leak is lost. Words are compared by 64-bit hashes here.
+3. A randomised SVD of the TF-IDF rows of these windows and of the block's passages: every task
+   sketches its rows (A'A times a random matrix), sums are built in Spark, and only matrices of terms
+   x rank reach the driver.
+4. Windows and passages are compared by their latent vectors. The latent product and the product of
+   the lengths that the latent space leaves out bound what both have in common from above; pairs
+   whose bound is below the least weight that `need` words of the passage can have are dropped. The
+   bound holds for any rank, so the rank decides on the work that is left but never on the result.
+   Windows that have `need` words of the passage, in any order, are its candidates.
 5. A candidate is confirmed on the words themselves: longest common subsequence of passage and
    window, and how far its words are spread. From SURE of the passage on it is a leak; from LIKELY
    on (paraphrases) only if the answer, the passage's last quarter, is found as well. Passages
@@ -29,7 +32,9 @@ items are all reported; empty tables give clean or empty results.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,12 +48,14 @@ from seqlake.session import materialize
 
 WORD = re.compile(r"\w+")
 BLOCK_ITEMS = 2_000
-PASSAGE, TERMS = 64, 16
+PASSAGE = 64
 RANK, OVERSAMPLING = 64, 8
-#: Candidates: cosine of latent vectors, and share of the passage's weight that the window has.
-COSINE, SHARED_WEIGHT = 0.2, 0.4
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
 SHORT = 13
+#: A leak has so many words of a passage; one in KEY_PART of them is asked among the rarest ones.
+KEY_PART = 5
+#: Slack for rounding in cosines: the root of a difference of 1e-16 is 1e-8.
+ROUNDING = 1e-7
 #: Up to so many keys of texts are broadcast, with their few candidates or alone.
 BROADCAST_CANDIDATES, BROADCAST_KEYS = 50_000, 1_000_000
 NOT_ASCII_NOR_WORD = re.compile(r"[^\w\x00-\x7f]")
@@ -98,6 +105,13 @@ class Vocabulary:
         return at[same], number[same], len(hashes)
 
 
+def least_weight(weights: np.ndarray, counts: np.ndarray, need: int) -> float:
+    """No choice of words that stand for `need` places of a passage weighs less than this."""
+    order = np.argsort(weights / counts, kind="stable")
+    places = np.minimum(np.cumsum(counts[order]), need)
+    return float((np.diff(places, prepend=0) * weights[order] / counts[order]).sum())
+
+
 @dataclass
 class Passages:
     """The passages of one block of items and their terms."""
@@ -105,11 +119,17 @@ class Passages:
     item: list[int]
     words: list[list[str]]
     terms: list[list[int]]
+    counts: list[list[int]]  # how often each passage has each of its terms
+    needed: list[int]  # of each passage: so many of its words does a leak have
     vocabulary: Vocabulary
     idf: np.ndarray
-    weight: np.ndarray  # of each passage: squared weights of its terms
-    share: np.ndarray  # of each passage: part of its weight that a candidate has
-    needed: np.ndarray  # of each key term: least weight of a window with it, else infinite
+    least: np.ndarray  # of each passage: least squared weights that it shares with a leak
+    hits: np.ndarray  # of each passage: k, so many of its rarest words does a leak have
+    fewest: int  # places of such words in a text with a leak
+    rare: np.ndarray  # of each term: whether it is among the rarest words of some passage
+    first: np.ndarray  # of each term: where its postings begin, and the end of the last
+    passage: np.ndarray  # postings: passages that have the term among their rarest words
+    count: np.ndarray  # postings: how often
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_docs: int) -> Passages:
@@ -121,44 +141,73 @@ class Passages:
                 words.append(all_words[k * len(all_words) // parts :
                                        (k + 1) * len(all_words) // parts])
                 item.append(item_id)
-        rare = [sorted(set(w), key=lambda x: (frequency.get(x, 0), x))[:TERMS] for w in words]
-        vocabulary = Vocabulary.of({w for r in rare for w in r})
+        vocabulary = Vocabulary.of({x for w in words for x in w})
         number = {w: i for i, w in enumerate(vocabulary.words)}
         df = np.array([max(1, frequency.get(w, 0)) for w in vocabulary.words], float)
         idf = np.log1p(max(n_docs, 1) / df)
-        terms = [sorted(number[w] for w in r) for r in rare]
-        weight = np.array([(idf[t] ** 2).sum() for t in terms])
-        share = np.array([1.0 if len(w) < SHORT else SHARED_WEIGHT for w in words]) - 1e-9
-        needed = np.full(len(idf), np.inf)
-        for t, w, part in zip(terms, weight, share):
-            heaviest = np.array(t)[np.argsort(-idf[t], kind="stable")]
-            covered = np.cumsum(idf[heaviest] ** 2)
-            key = heaviest[: 1 + int(np.searchsorted(covered, (1 - part) * w, "right"))]
-            needed[key] = np.minimum(needed[key], part * w)
-        return cls(item, words, terms, vocabulary, idf, weight, share, needed)
+        terms, times, needed, least, hits, postings = [], [], [], [], [], []
+        for p, w in enumerate(words):
+            n = len(w)
+            need = n if n < SHORT else math.ceil(LIKELY * n - 1e-9)
+            found, counts = np.unique([number[x] for x in w], return_counts=True)
+            terms.append(found.tolist())
+            times.append(counts.tolist())
+            needed.append(need)
+            least.append(least_weight(idf[found] ** 2, counts, need))
+            hits.append(-(-need // KEY_PART))
+            rarest = sorted(w, key=lambda x: (frequency.get(x, 0), x))[: n - need + hits[-1]]
+            postings += [(number[x], p, c) for x, c in Counter(rarest).items()]
+        table = np.array(sorted(postings), np.int64).reshape(-1, 3)
+        first = np.searchsorted(table[:, 0], np.arange(len(idf) + 1))
+        fewest = max(1, min(-(-h // max(c.values())) for h, c in zip(hits, map(Counter, words))))
+        return cls(item, words, terms, times, needed, vocabulary, idf, np.array(least), np.array(hits), fewest,
+                   np.diff(first) > 0, first, table[:, 1], table[:, 2])
+
+    def holds(self, p: int, terms: set[int]) -> bool:
+        """Whether a window of these terms can have as many words of passage p as a leak has."""
+        return sum(c for t, c in zip(self.terms[p], self.counts[p]) if t in terms) >= self.needed[p]
+
+    def near(self, row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, passage) wherever the row's distinct terms have enough of the passage's rarest
+        words."""
+        begin = self.first[term]
+        size = self.first[term + 1] - begin
+        at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        pair = np.repeat(row, size) * len(self.hits) + self.passage[at]
+        order = np.argsort(pair)
+        pair = pair[order]
+        start = np.flatnonzero(np.diff(pair, prepend=-1))
+        found = np.add.reduceat(self.count[at[order]], start) if len(pair) else pair
+        row, passage = np.divmod(pair[start], len(self.hits))
+        enough = found >= self.hits[passage]
+        return row[enough], passage[enough]
 
 
 def windows(text: str, passages: Passages) -> list[tuple[int, list[int]]]:
     """(window number, distinct terms) of the windows that can hold a passage."""
     place, term, n_words = passages.vocabulary.places(text)
-    if not len(place) or passages.needed[term].min() == np.inf:
+    rare = passages.rare[term]
+    if np.count_nonzero(rare) < passages.fewest:
         return []
     last = max(0, -(-n_words // PASSAGE) - 2)
-    cell, n_terms = place // PASSAGE, len(passages.idf)
-    both = np.concatenate((np.minimum(cell, last), np.clip(cell - 1, 0, last)))
-    term = np.tile(term, 2)
-    # only windows with a key term
+    n_terms = len(passages.idf)
+
+    def of_windows(place, term, wanted=None):
+        cell, term = place // PASSAGE, np.tile(term, 2)
+        both = np.concatenate((np.minimum(cell, last), np.clip(cell - 1, 0, last)))
+        if wanted is not None:
+            both, term = both[wanted[both]], term[wanted[both]]
+        both = np.sort(both * n_terms + term)
+        return np.divmod(both[np.diff(both, prepend=-1) > 0], n_terms)
+
+    near, _ = passages.near(*of_windows(place[rare], term[rare]))
+    if not len(near):
+        return []
     wanted = np.zeros(last + 1, bool)
-    wanted[both[passages.needed[term] < np.inf]] = True
-    kept = wanted[both]
-    both = both[kept] * n_terms + term[kept]
-    window, term = np.divmod(np.unique(both), n_terms)
+    wanted[near] = True
+    window, term = of_windows(place, term, wanted)
     number, start = np.unique(window, return_index=True)
-    weight = np.add.reduceat(passages.idf[term] ** 2, start)
-    needed = np.minimum.reduceat(passages.needed[term], start)
-    stop = np.append(start[1:], len(term))
-    return [(int(number[i]), term[start[i] : stop[i]].tolist())
-            for i in np.flatnonzero(weight >= needed)]
+    return [(int(n), t.tolist()) for n, t in zip(number, np.split(term, start[1:]))]
 
 
 def _rows(terms: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -262,8 +311,20 @@ def latent_basis(rows: DataFrame, passages: Passages) -> np.ndarray:
     return q @ vectors[:, ::-1][:, :RANK]
 
 
-def _unit(rows: np.ndarray) -> np.ndarray:
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+def _latent(terms: list[list[int]], idf: np.ndarray, basis: np.ndarray):
+    """Latent vectors of unit-length rows, the lengths that the basis leaves out, and the rows' own
+    lengths."""
+    sparse = _rows(terms, idf)
+    vectors = _times(sparse, basis, len(terms))
+    rest = np.sqrt(np.maximum(1 - (vectors**2).sum(1), 0))
+    return vectors, rest, np.sqrt(np.bincount(sparse[2], idf[sparse[0]] ** 2, len(terms)))
+
+
+def common_weight(rows, targets, r: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Upper bound of the squared weights of the terms that row r and target p have in common, for
+    any orthonormal basis."""
+    cosine = (rows[0][r] * targets[0][p]).sum(1) + rows[1][r] * targets[1][p]
+    return (cosine + ROUNDING) * rows[2][r] * targets[2][p]
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
@@ -372,23 +433,22 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         map_rows(docs.select("key", "text"), "key bigint, number int, terms array<int>", cut),
         "windows")
     basis = latent_basis(rows, passages)
-    own = _unit(_times(_rows(passages.terms, passages.idf), basis, len(passages.terms)))
-    latent = spark.sparkContext.broadcast((basis, own))
+    latent = spark.sparkContext.broadcast((basis, *_latent(passages.terms, passages.idf, basis)))
 
     def search():
-        block, (directions, targets) = shared.value, latent.value
-        idf, square = block.idf, block.idf**2
-        wanted = [frozenset(t) for t in block.terms]
+        block, (directions, *targets) = shared.value, latent.value
 
         def step(key, number, terms):
             if not key:
                 return [], [], []
-            near = _unit(_times(_rows(terms, idf), directions, len(terms))) @ targets.T
-            held = [frozenset(t) for t in terms]
-            pairs = [(r, p) for r, p in zip(*(x.tolist() for x in np.nonzero(near >= COSINE)))
-                     if sum(square[t] for t in held[r] & wanted[p])
-                     >= block.share[p] * block.weight[p]]
-            return [key[r] for r, _ in pairs], [number[r] for r, _ in pairs], [p for _, p in pairs]
+            row = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+            r, p = block.near(row, np.concatenate([np.array(t, np.int64) for t in terms]))
+            bound = common_weight(_latent(terms, block.idf, directions), targets, r, p)
+            likely = bound >= block.least[p]
+            held = {i: set(terms[i]) for i in r[likely].tolist()}
+            pairs = [(i, j) for i, j in zip(r[likely].tolist(), p[likely].tolist())
+                     if block.holds(j, held[i])]
+            return [key[i] for i, _ in pairs], [number[i] for i, _ in pairs], [j for _, j in pairs]
         return step
 
     found = map_rows(rows, "key bigint, number int, passage int", search).distinct()

@@ -102,3 +102,46 @@ def test_whole_table_against_brute_force(spark, sf_dir):
     left = dc.drop_contaminated(docs, items)
     assert left.columns == docs.columns
     assert {r["doc_id"] for r in left.collect()} == {d for d, found in want.items() if not found}
+
+
+def test_leaks_without_their_rarest_words(documents, benchmark):
+    rng = random.Random(5)
+    items, rows = [], []
+    for i in range(20):
+        common, rare = words(rng, 33), [f"rare{i}x{j}" for j in range(7)]
+        item = common[:]
+        for j, w in enumerate(rare):
+            item.insert(5 * j, w)
+        items.append((i, " ".join(item)))
+        rows.append((i, " ".join([*words(rng, 70), *[f"new{j}" if w in rare else w for j, w in
+                                                     enumerate(item)], *words(rng, 70)])))
+    rows += [(100 + i, " ".join(words(rng, 300))) for i in range(100)]
+    got = {r["doc_id"]: r["items"] for r in dc.judge(documents(rows), benchmark(items)).collect()}
+    assert got == {d: [d] if d < 100 else [] for d, _ in rows}
+
+
+@pytest.mark.parametrize("kept", [0.6, 0.8])
+def test_no_window_that_the_words_confirm_is_dropped(kept):
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(300)]
+    weights = [1 / (i + 1) for i in range(300)]
+    prose = lambda n: rng.choices(vocabulary, weights, k=n)
+    items = [(i, " ".join(prose(rng.randrange(1, 140)))) for i in range(60)]
+    frequency = {w: 1000 // (i + 1) for i, w in enumerate(vocabulary)}
+    block = dc.Passages.of(items, frequency, 1000)
+    confirmed = 0
+    for number, passage in enumerate(block.words):
+        changed = set(rng.sample(range(len(passage)), int((1 - kept) * len(passage))))
+        text = [*prose(70), *["-new" if i in changed else w for i, w in enumerate(passage)]]
+        found = dict(dc.windows(" ".join(text), block))
+        text = dc.words_of(" ".join(text))
+        for k in range(max(1, -(-len(text) // dc.PASSAGE) - 1)):
+            if dc.leak_score(passage, text[k * dc.PASSAGE :][: 2 * dc.PASSAGE]):
+                confirmed += 1
+                row, term = [0] * len(found[k]), found[k]
+                near = block.near(dc.np.array(row), dc.np.array(term))[1]
+                assert number in near and block.holds(number, set(term))
+                shared = dc.np.isin(block.terms[number], term)
+                assert (block.idf[dc.np.array(block.terms[number])[shared]] ** 2).sum() \
+                    >= block.least[number] - 1e-6
+    assert confirmed > 30
