@@ -145,3 +145,25 @@ def test_no_window_that_the_words_confirm_is_dropped(kept):
                 assert (block.idf[dc.np.array(block.terms[number])[shared]] ** 2).sum() \
                     >= block.least[number] - 1e-6
     assert confirmed > 30
+
+
+def test_the_bound_on_common_weights_holds_for_any_basis():
+    rng = dc.np.random.default_rng(4)
+    idf = rng.uniform(0.5, 9, 80)
+    terms = [sorted(rng.choice(80, rng.integers(1, 40), replace=False).tolist()) for _ in range(40)]
+    for rank in (1, 5, 40, 80):
+        basis, _ = dc.np.linalg.qr(rng.standard_normal((80, rank)))
+        latent = dc._latent(terms, idf, basis)
+        for r in range(40):
+            bound = dc.common_weight(latent, latent, dc.np.full(40, r), dc.np.arange(40))
+            common = [sum(idf[t] ** 2 for t in {*terms[r]} & {*u}) for u in terms]
+            assert all(bound >= common)
+
+
+def test_no_copy_is_lost_in_a_block_of_many_items(documents, benchmark):
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"w{rng.randrange(20_000)}" for _ in range(n))
+    items = [(i, prose(rng.randrange(15, 61))) for i in range(2000)]
+    rows = [(i, f"{prose(rng.randrange(200))} {t} {prose(rng.randrange(200))}") for i, t in items]
+    got = dc.judge(documents(rows), benchmark(items)).collect()
+    assert [r["doc_id"] for r in got if r["doc_id"] not in r["items"]] == []
