@@ -9,12 +9,14 @@ One-versus-rest kernel ridge regression on these features gives a score per lang
 texts is scored by two matrix products: presence x landmarks, then kernel values x weights.
 
 The classifier is fitted on a bounded sample: PER_LANGUAGE labelled rows of each language, chosen
-by a hash of their id, among texts of SAMPLE_CHARS characters, never on held-out rows
-(crc32(doc_id as text) mod 4 = 2). The driver sees the landmarks' texts and the sample's kernel
+by a hash of their id, never on held-out rows (crc32(doc_id as text) mod 4 = 2). Texts of SAMPLE_CHARS
+characters are taken first; a language that has too few of them is filled up with its shorter and
+longer texts that have a letter, of which the first SAMPLE_CHARS[1] characters are read. The driver sees the landmarks' texts and the sample's kernel
 values only. Every whole text is then scored.
 
 Defined results: null text or no letter gives `und` and score 0; a null id is not held out and not
-learned from; without any labelled row everything is `und`; rows with equal ids are scored one by
+learned from; without any labelled row with a letter everything is `und`, and `keep_identified` keeps
+the rows with a letter and leaves their `lang` as it is; rows with equal ids are scored one by
 one; ties go to the first language in sort order; empty tables give empty results.
 """
 
@@ -37,6 +39,7 @@ RIDGE = 1e-2
 #: Letter classes; letters of larger alphabets share classes.
 CLASSES = 128
 LETTER = re.compile(r"[^\W\d_]")
+ANY_LETTER = r"\\p{L}"
 
 
 @dataclass
@@ -123,20 +126,27 @@ def held_out() -> F.Column:
 def fit_model(docs: DataFrame) -> KernelModel | None:
     """The model, or None if no row is labelled."""
     spark = docs.sparkSession
+    low_chars, high_chars = SAMPLE_CHARS
     usable = docs.select("doc_id", "text", "lang", held_out().alias("held_out")).where(
         "not held_out and doc_id is not null and lang is not null"
-        f" and length(text) between {SAMPLE_CHARS[0]} and {SAMPLE_CHARS[1]}"
-    ).select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("draw"))
+    ).select("doc_id", F.substring("text", 1, high_chars).alias("text"), "lang",
+             F.xxhash64("doc_id").alias("draw"),
+             (~F.length("text").between(low_chars, high_chars)).alias("other"))
+    usable = usable.where(f"not other or text rlike '{ANY_LETTER}'")
     # Ids whose hash is below a share of its range go on: some times the rows that are wanted of a
     # language, however many it has. The rank then cuts these to PER_LANGUAGE.
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    counts = usable.groupBy("lang", "other").agg(F.count("*").alias("n")).collect()
     if not counts:
         return None
-    low = F.create_map(*[F.lit(x) for r in counts for x in (
-        r["lang"], min(1 << 20, -(-4 * PER_LANGUAGE * (1 << 20) // r["n"])))])
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    chosen = usable.select("doc_id", "lang", "draw") \
-        .where(F.pmod("draw", F.lit(1 << 20)) < F.element_at(low, F.col("lang"))) \
+    enough = {r["lang"] for r in counts if not r["other"] and r["n"] >= PER_LANGUAGE}
+    share = {(r["lang"], r["other"]): min(1 << 20, -(-4 * PER_LANGUAGE * (1 << 20) // r["n"]))
+             for r in counts if not (r["other"] and r["lang"] in enough)}
+    low = F.create_map(*[F.lit(x) for (lang, other), n in sorted(share.items())
+                         for x in (f"{int(other)}{lang}", n)])
+    name = F.concat(F.col("other").cast("int").cast("string"), "lang")
+    order = Window.partitionBy("lang").orderBy("other", "draw", "doc_id")
+    chosen = usable.select("doc_id", "lang", "draw", "other") \
+        .where(F.pmod("draw", F.lit(1 << 20)) < F.element_at(low, name)) \
         .withColumn("rank", F.row_number().over(order)) \
         .where(F.col("rank") <= PER_LANGUAGE).select("doc_id", "lang", "rank", "draw").collect()
     if not chosen:
@@ -187,8 +197,8 @@ def identify(docs: DataFrame, model: KernelModel | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows whose language is `und`; a missing `lang` becomes the predicted one.
-    All columns are kept."""
+    """`docs` without the rows that have no letter; a missing `lang` becomes the predicted one, if
+    there is a model. All columns are kept."""
     model = fit_model(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -197,7 +207,11 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
         def step(text):
             out: list[str | None] = ["und"] * len(text)
-            known = [i for i, t in enumerate(text) if own and t and LETTER.search(t)]
+            known = [i for i, t in enumerate(text) if t and LETTER.search(t)]
+            if own is None:
+                for i in known:
+                    out[i] = None
+                return out
             for at in range(0, len(known), 128):
                 part = known[at : at + 128]
                 for i, name in zip(part, own.predict([text[i] for i in part])[0]):
@@ -213,5 +227,5 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
     name = free_name(docs, "lang_pred")
     found = docs.withColumn(name, predicted.asNondeterministic()("text"))
-    return found.where(F.col(name) != "und") \
+    return found.where(F.col(name).isNull() | (F.col(name) != "und")) \
         .withColumn("lang", F.coalesce("lang", name)).select(*docs.columns)

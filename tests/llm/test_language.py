@@ -61,3 +61,18 @@ def test_stage_keeps_columns(mixed):
     found = {r["doc_id"]: r["lang"] for r in kept.collect()}
     assert set(found) == {r[0] for r in rows} | {500}
     assert found[500] == "en"
+
+
+def test_short_and_long_texts_teach_where_others_are_missing(documents):
+    rows = [(i, EN[i % 7 : 60], "en") if i % 2 else (i, EL[i % 7 :] * 120, "el") for i in range(60)]
+    fresh = documents([(900, EN), (901, EL)])
+    got = language.identify(fresh, language.fit_model(documents(rows))).collect()
+    assert [r["lang_pred"] for r in got] == ["en", "el"]
+    kept = language.keep_identified(documents([*rows, (902, EL), (903, "12")])).collect()
+    assert sorted(r["doc_id"] for r in kept) == [*range(60), 902]
+
+
+def test_stage_keeps_texts_with_letters_without_a_model(documents):
+    docs = documents([(1, EN), (2, "Short"), (3, "12"), (4, None), (5, "")])
+    kept = language.keep_identified(docs).collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in kept) == [(1, None), (2, None)]
