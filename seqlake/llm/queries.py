@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seqlake.llm import (
-    bpe, chat, decontaminate, html_text, language, near_duplicates, oracle, personal_data, quality,
-    repeats, simple8b,
+    bit_planes, bpe, chat, decontaminate, divergence, html_text, language, near_duplicates, oracle,
+    personal_data, quality, repeats, simple8b,
 )
 from seqlake.llm.rows import table
 
@@ -61,11 +61,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.cluster_digests(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_repeats, op2_chat, op3_decontaminate, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
-        op9_html, op10_near_duplicates)
+        op9_html, op10_near_duplicates, op11_divergence, op12_bit_plane_clusters)
 }
 
 #: DuckDB SQL where it can express a query.
-ORACLE_SQL: dict[str, str] = {"op2_chat": oracle.CHAT, "op5_quality": oracle.QUALITY}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat": oracle.CHAT, "op5_quality": oracle.QUALITY, "op11_divergence": oracle.DIVERGENCE,
+    "op12_bit_plane_clusters": oracle.clusters(),
+}

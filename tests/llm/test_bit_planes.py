@@ -1,0 +1,103 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from seqlake.llm import bit_planes
+from seqlake.llm.rows import table
+
+
+def brute(rows, k=16, rounds=3):
+    kept = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    key = lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1])
+    centroids = [v for _, v in sorted(kept, key=key)[:k]]
+
+    def assign():
+        out = []
+        for _, v in kept:
+            d = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centroids]
+            out.append((min(d), d.index(min(d))))
+        return out
+
+    for _ in range(rounds):
+        clusters = assign()
+        for c in range(len(centroids)):
+            members = [v for (_, v), (_, x) in zip(kept, clusters) if x == c]
+            if members:
+                centroids[c] = [sum(col) // len(members) for col in zip(*members)]
+    found = assign()
+    inertia = [sum(d for d, x in found if x == c) for c in range(len(centroids))]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, x, d, inertia[x], sum(inertia), digest[x])
+                   for (i, _), (d, x) in zip(kept, found)), key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(
+        [(i, v, 3, 4, 5.0) for i, v in rows],
+        "vec_id bigint, embedding array<double>, id int, cluster int, norm double")
+
+
+def got(df):
+    assert df.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def vectors(seed, n, scale):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(x) for x in rng.normal(0, scale, 64)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("scale", [0.001, 0.2, 700.0])
+def test_equals_brute_force(spark, scale):
+    rows = vectors(1, 120, scale)
+    broken = [(900, None), (901, []), (902, [0.1] * 63), (903, [0.1] * 65), (904, [None] + [0.1] * 63),
+              (905, [float("nan")] + [0.1] * 63), (906, [float("inf")] * 64), (907, [-float("inf")] * 64)]
+    rows += [(5, rows[5][1]), (6, rows[9][1]), (None, rows[3][1]), (None, rows[4][1]), *broken]
+    assert got(bit_planes.cluster_digests(frame(spark, rows))) == brute(rows)
+
+
+def test_ties_copies_and_few_vectors(spark):
+    same = [(i, [0.5] * 64) for i in range(30)]
+    assert got(bit_planes.cluster_digests(frame(spark, same))) == brute(same)
+    # halfway between two centroids: the smaller number wins
+    line = [(i, [float(i % 3)] + [0.0] * 63) for i in range(9)]
+    assert got(bit_planes.cluster_digests(frame(spark, line))) == brute(line)
+    few = vectors(3, 5, 1.0)
+    assert got(bit_planes.cluster_digests(frame(spark, few))) == brute(few)
+
+
+def test_empty_table_and_zeros(spark):
+    assert got(bit_planes.cluster_digests(frame(spark, [(1, None)]).where("false"))) == []
+    assert got(bit_planes.cluster_digests(frame(spark, [(1, None)]))) == []
+    zeros = [(1, [0.0] * 64), (2, [-0.0] * 64)]
+    assert got(bit_planes.cluster_digests(frame(spark, zeros))) == brute(zeros)
+
+
+def test_dot_products_are_those_of_the_integers():
+    rng = np.random.default_rng(2)
+    for planes in (1, 2, 7, 20, 28):
+        low, high = -(1 << (planes - 1)), (1 << (planes - 1)) - 1
+        x = rng.integers(low, high + 1, (50, 64))
+        words = bit_planes.pack(x, planes).astype(np.uint64)
+        assert (np.einsum("p,npc->nc", bit_planes.weights(planes), bit_planes.unpack(words)) == x).all()
+        assert (bit_planes.dot_products(words, words[7]) == x @ x[7]).all()
+
+
+def test_integers_too_wide_for_exact_distances_are_refused(spark):
+    with pytest.raises(ValueError, match="2\\*\\*27"):
+        bit_planes.cluster_digests(frame(spark, [(1, [1e30] * 64)]))
+
+
+def test_interface_with_other_parameters(spark):
+    assigned, centroids = bit_planes.cluster(frame(spark, vectors(4, 40, 1.0)), k=3, rounds=1, scale=8)
+    assert assigned.columns == ["id", "cluster", "distance"] and assigned.count() == 40
+    assert centroids.count() == 3
+
+
+def test_query_equals_brute_force_on_the_given_table(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
+    assert got(bit_planes.cluster_digests(vectors)) == brute(rows)

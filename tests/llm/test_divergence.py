@@ -1,0 +1,105 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from seqlake.llm import divergence
+from seqlake.llm.rows import table
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def brute(rows, min_docs):
+    """Sorted (lang, source, part, item, value, rank) from (text, lang, source) rows."""
+    groups, docs, counts = defaultdict(set), defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        words = TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        groups[lang].add(source)
+        docs[lang].update(set(words))
+        counts[lang, source].update(words)
+    out = []
+    for lang, sources in groups.items():
+        kept = [w for w, n in docs[lang].items() if n >= min_docs]
+
+        def p(c):
+            total = sum(c[w] for w in kept)
+            return {w: 1 + 10**9 * (c[w] + 5) // (total + 5 * len(kept)) for w in kept}
+
+        whole = p(sum((counts[lang, s] for s in sources), Counter()))
+        each = {s: p(counts[lang, s]) for s in sources}
+        for s in sources:
+            pairs = [(sum(abs(each[s][w] - each[o][w]) for w in kept), o) for o in sources if o != s]
+            above = [(each[s][w] - whole[w], w) for w in kept
+                     if counts[lang, s][w] and each[s][w] > whole[w]]
+            for part, found, limit in (("pair", pairs, None), ("term", above, 50)):
+                found.sort(key=lambda f: (-f[0], f[1].encode()))
+                out += [(lang, s, part, w, v, i + 1) for i, (v, w) in enumerate(found[:limit])]
+    return sorted(out)
+
+
+def random_rows(seed, n, sources):
+    rng = np.random.default_rng(seed)
+    words = ["%s%s" % (a, b) for a in "abcdeÉß語😀" for b in ["", "x", "Xy", "zé"]]
+    for _ in range(n):
+        k = int(rng.integers(0, 30))
+        text = " ,1".join(rng.choice(words, k, p=None)) if k else None
+        yield text, ["en", "de", None][rng.integers(3)], f"s{rng.integers(sources)}"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, la, so, 1, "x", 2) for i, (t, la, so) in enumerate(rows)],
+        "doc_id bigint, text string, lang string, source string, n bigint, term string, block int")
+
+
+def got(df):
+    assert df.columns == ["lang", "source", "part", "item", "value", "rank"]
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_a_cube_of_many_cells_equals_brute_force(spark):
+    rows = [*random_rows(1, 300, 11), ("only one group here", "fr", None), (None, "xx", "a"),
+            ("", "xx", "b"), ("rare", "xx", "c")]
+    rows += rows[:20]
+    result = got(divergence.audit(frame(spark, rows), 3, terms_per_block=4, groups_per_block=3))
+    assert result == brute(rows, 3)
+    assert {r[4] for r in result if r[0] == "xx"} == {0}
+
+
+def test_one_block_and_more_than_fifty_terms(spark):
+    rows = [(f"{'common ' * 3}" + " ".join(f"w{chr(97 + i)}{chr(97 + j)}" for j in range(16)), "en", f"s{i % 3}")
+            for i in range(24) for _ in range(2)]
+    result = got(divergence.audit(frame(spark, rows), 2))
+    assert result == brute(rows, 2)
+    assert max(r[5] for r in result if r[2] == "term") == 50
+
+
+def test_a_task_that_sends_its_counts_in_parts(spark, monkeypatch):
+    rows = [*random_rows(5, 40, 3)]
+    whole = sorted(map(tuple, divergence.count_terms(frame(spark, rows)).groupBy("lang", "source", "term")
+                       .sum("n", "docs").collect()))
+    monkeypatch.setattr(divergence, "HELD", 2)
+    parts = divergence.count_terms(frame(spark, rows)).groupBy("lang", "source", "term").sum("n", "docs")
+    assert sorted(map(tuple, parts.collect())) == whole
+
+
+def test_very_long_text_and_empty_table(spark):
+    rows = [("long Word " * 200_000, "en", "a"), ("word" * 100_000, "en", "b"), ("word", "en", "c")]
+    assert got(divergence.audit(frame(spark, rows), 1)) == brute(rows, 1)
+    assert got(divergence.audit(frame(spark, rows).where("false"))) == []
+
+
+def test_shares_are_exact_beyond_64_bits():
+    counts = np.array([0, 5, 10**14, 10**15 - 7, 10**15])
+    for total in (10**15, 2**53 + 11, 2**62):
+        assert divergence.shares(counts, total).tolist() == \
+            [1 + 10**9 * int(c) // total for c in counts]
+
+
+def test_query_equals_brute_force_on_the_given_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = [(r["text"], r["lang"], r["source"]) for r in docs.collect()]
+    result = got(divergence.audit(docs))
+    assert result == brute(rows, 30) and result

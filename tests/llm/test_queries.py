@@ -19,8 +19,10 @@ COLUMNS = {
     "op8_language": "doc_id held_out lang_pred score",
     "op9_html": "page_id url text n_chars",
     "op10_near_duplicates": "doc_id n_shingles component_id kept",
+    "op11_divergence": "lang source part item value rank",
+    "op12_bit_plane_clusters": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
-ROWS = {"op2_chat": None, "op9_html": "pages"}
+ROWS = {"op2_chat": None, "op9_html": "pages", "op12_bit_plane_clusters": "embeddings"}
 
 
 @pytest.mark.parametrize("name", COLUMNS)
@@ -30,6 +32,10 @@ def test_a_query_returns_a_row_for_every_row(spark, sf_dir, name):
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     if name == "op2_chat":
         want = read("conversations").select("conv_id").distinct().count() + 1
+    elif name == "op11_divergence":
+        groups = read("documents").select("lang", "source").distinct()
+        want = groups.alias("a").join(groups.alias("b"), "lang").where("a.source <> b.source").count()
+        df = df.where("part = 'pair'")
     else:
         want = read(ROWS.get(name, "documents")).count()
     assert df.count() == want
