@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seqlake.llm import (
     bit_planes, bpe, chat, decontaminate, divergence, html_text, language, near_duplicates, oracle,
-    personal_data, quality, repeats, simple8b,
+    personal_data, quality, repeats, simple8b, toxicity,
 )
 from seqlake.llm.rows import table
 
@@ -69,10 +69,16 @@ def op12_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.cluster_digests(table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("evidence")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_repeats, op2_chat, op3_decontaminate, op4_bpe, op5_quality, op6_simple8b, op7_personal_data, op8_language,
-        op9_html, op10_near_duplicates, op11_divergence, op12_bit_plane_clusters)
+        op9_html, op10_near_duplicates, op11_divergence, op12_bit_plane_clusters,
+        op13_toxicity)
 }
 
 #: DuckDB SQL where it can express a query.

@@ -21,6 +21,7 @@ COLUMNS = {
     "op10_near_duplicates": "doc_id n_shingles component_id kept",
     "op11_divergence": "lang source part item value rank",
     "op12_bit_plane_clusters": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op13_toxicity": "doc_id held_out score predicted",
 }
 ROWS = {"op2_chat": None, "op9_html": "pages", "op12_bit_plane_clusters": "embeddings"}
 
