@@ -42,18 +42,19 @@ from seqlake.llm.rows import map_arrow, map_rows
 from seqlake.session import materialize
 
 LEARN_ROWS, INDEX_ROWS, TERMS = 8_000, 1_500, 4_095
-NEIGHBOURS, BLOCK = 15, 64
+NEIGHBOURS, BLOCK = 15, 128
 #: Least chi-square of an index term, and the least labelled texts that have it.
 CHI_SQUARE, LEAST_TEXTS = 24.0, 3
 BEGINNINGS, LONGEST = (4, 5, 6), 64
+HEAD = min(BEGINNINGS)
 #: Distinct entries that a task counts or remembers before it starts anew.
 HELD = 250_000
 SLACK = 1e-9
 WORD = re.compile("[A-Za-z\x80-\U0010ffff]+")
 
 
-def words(text: str | None) -> Counter:
-    return Counter(WORD.findall(text.lower())) if text else Counter()
+def words(text: str | None) -> list[str]:
+    return WORD.findall(text.lower()) if text else []
 
 
 def terms_of(word: str) -> list[str]:
@@ -64,29 +65,40 @@ def terms_of(word: str) -> list[str]:
 
 
 class Vectors:
-    """Counts index terms of texts; what a word holds is remembered in bounded memory."""
+    """Counts index terms of texts. Only words that begin like an index term are looked at one by
+    one; what such a word holds is remembered in bounded memory."""
 
     def __init__(self, terms: list[str]) -> None:
         self.place = {t: i for i, t in enumerate(terms)}
         self.rest = len(terms)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.heads = {t.rstrip(" ")[:HEAD] for t in terms}
+        self.known: dict[str, list[int]] = {}
 
-    def of_word(self, word: str) -> tuple[int, ...]:
+    def of_word(self, word: str) -> list[int]:
         found = self.known.get(word)
         if found is None:
-            found = tuple(self.place[t] for t in terms_of(word) if t in self.place) or (self.rest,)
-            if len(word) <= LONGEST:
-                if len(self.known) >= HELD:
-                    self.known.clear()
-                self.known[word] = found
+            found = [self.place[t] for t in terms_of(word) if t in self.place]
+            if len(self.known) >= HELD:
+                self.known.clear()
+            self.known[word] = found
         return found
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Index terms of a text in ascending order, and their frequencies."""
+        all_words, heads = words(text), self.heads
         total: dict[int, int] = {}
-        for word, n in words(text).items():
-            for i in self.of_word(word):
-                total[i] = total.get(i, 0) + n
+        others = len(all_words)
+        alike = [w for w in set(all_words) if w[:HEAD] in heads and len(w) <= LONGEST]
+        times = Counter(all_words) if len(alike) > 4 else {w: all_words.count(w) for w in alike}
+        for word in alike:
+            found = self.of_word(word)
+            if found:
+                n = times[word]
+                others -= n
+                for i in found:
+                    total[i] = total.get(i, 0) + n
+        if others:
+            total[self.rest] = others
         ids = np.array(sorted(total), np.int64)
         return ids, np.array([total[i] for i in ids.tolist()], np.float64)
 
@@ -104,7 +116,7 @@ class Index:
     ids: list
     toxic: np.ndarray
     greatest: np.ndarray  # terms x blocks
-    rows: list[np.ndarray]  # of a block: term -> row of its weights, -1 if it has none
+    rows: list[np.ndarray]  # of a block: term -> row of its weights; the last row is zero
     weights: list[np.ndarray]
 
     @classmethod
@@ -119,12 +131,12 @@ class Index:
         rows, weights = [], []
         for b, block in enumerate(blocks):
             held = np.unique(np.concatenate([e[2] for e in block]))
-            row = np.full(n_terms, -1, np.int32)
+            row = np.full(n_terms, len(held), np.int32)
             row[held] = np.arange(len(held))
-            table = np.zeros((len(held), BLOCK))
+            table = np.zeros((len(held) + 1, BLOCK))
             for slot, example in enumerate(block):
                 table[row[example[2]], slot] = example[3]
-            greatest[held, b] = table.max(1)
+            greatest[held, b] = table[:-1].max(1)
             rows.append(row)
             weights.append(table)
         return cls([e[0] for e in placed], np.array([e[1] for e in placed], np.float64),
@@ -138,17 +150,18 @@ class Index:
         for b in np.argsort(-bound, kind="stable").tolist():
             if bound[b] <= 0 or (len(cosines) == k and bound[b] < cosines[-1] - SLACK):
                 break
-            row = self.rows[b][terms]
-            has = row >= 0
-            # rounded, so that equal cosines are equal whatever the order of their sums
-            near = np.round(w[has] @ self.weights[b][row[has]], 12)[: len(self.ids) - b * BLOCK]
-            at = np.flatnonzero(near > 0)
+            near = w @ self.weights[b][self.rows[b][terms]]
+            read += 1
+            at = np.flatnonzero(near > (cosines[-1] - SLACK if len(cosines) == k else 0))
+            if not len(at):
+                continue
             if without is not None:
                 at = at[[self.ids[b * BLOCK + i] != without for i in at.tolist()]]
             places = np.concatenate((places, at + b * BLOCK))
-            cosines = np.concatenate((cosines, near[at]))
+            # rounded, so that equal cosines are equal whatever the order of their sums
+            cosines = np.concatenate((cosines, np.round(near[at], 12)))
             best = np.lexsort((places, -cosines))[:k]
-            places, cosines, read = places[best], cosines[best], read + 1
+            places, cosines = places[best], cosines[best]
         return places, cosines, read
 
 
