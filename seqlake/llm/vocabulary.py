@@ -13,8 +13,9 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Remembered pieces per Python worker: bounds its memory, not what is encoded.
-MEMO_ENTRIES = 700_000
+#: Remembered pieces per Python worker and kind of cut, some 200 bytes each: bounds its memory, not
+#: what is encoded.
+MEMO_ENTRIES = 160_000
 #: Cuts a text into pieces; a text that has it is encoded otherwise.
 CUT = "\x1f"
 
@@ -27,25 +28,36 @@ class Irregular(Exception):
     """The pieces of this cut cannot be encoded one by one."""
 
 
-class Memo(dict):
+class Memo:
     """Ids of pieces in two generations: when the young one is full it becomes the old one, so that
     frequent pieces survive. `check` raises Irregular for a piece that cannot stand alone."""
 
-    def __init__(self, check: Callable[[str], None], encode: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self.check, self.encode, self.old = check, encode, {}
-
-    def __missing__(self, key: str) -> bytes:
-        ids = self.old.get(key)
-        if ids is None:
-            self.check(key)
-            ids = self.encode(key)
-        if len(key) <= 64:
-            if len(self) >= MEMO_ENTRIES // 2:
-                self.old = dict(self)
-                self.clear()
-            self[key] = ids
-        return ids
+    def __init__(self, check: Callable[[str], None],
+                 encode_all: Callable[[list[str]], list[bytes]]) -> None:
+        self.check, self.encode_all = check, encode_all
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece; those not remembered are encoded together."""
+        found = list(map(self.young.get, pieces))
+        if None not in found:
+            return found
+        fresh, wanted = {}, []
+        for piece in {p for p, ids in zip(pieces, found) if ids is None}:
+            ids = self.old.get(piece)
+            if ids is None:
+                self.check(piece)
+                wanted.append(piece)
+            else:
+                fresh[piece] = ids
+        fresh.update(zip(wanted, self.encode_all(wanted)))
+        for piece, ids in fresh.items():
+            if len(piece) <= 64:
+                if len(self.young) >= MEMO_ENTRIES // 2:
+                    self.old, self.young = self.young, {}
+                self.young[piece] = ids
+        return [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
 
 
 def _prose(piece: str) -> None:
@@ -72,9 +84,12 @@ class PieceEncoder:
     the next one, and in the end the text is encoded whole.
     """
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, encode: Callable[[str], bytes],
+                 encode_all: Callable[[list[str]], list[bytes]] | None = None) -> None:
+        """`encode_all` encodes pieces that passed a check, none of them blank, at once."""
         self.encode = encode
-        self.prose, self.spaced = Memo(_prose, encode), Memo(_spaced, encode)
+        encode_all = encode_all or (lambda pieces: [encode(p) for p in pieces])
+        self.prose, self.spaced = Memo(_prose, encode_all), Memo(_spaced, encode_all)
 
     def cut(self, text: str | None) -> tuple[Memo, list[str]] | None:
         """The memo and the pieces of the finest cut that the text may take."""
@@ -91,7 +106,7 @@ class PieceEncoder:
             return self.encode(text) if text else b""
         memo, pieces = cut
         try:
-            return b"".join(map(memo.__getitem__, pieces))
+            return b"".join(memo.ids(pieces))
         except Irregular:
             if memo is self.spaced:
                 return self.encode(text)
