@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqlake.operators.lineage import named_sources, number_sources, source_words
 from seqlake.schemas import LINEAGE
-from seqlake.vocab import LIST_SEPARATOR
 
 ORDER = "row_order"
 
@@ -30,25 +30,19 @@ def keep_last(df: DataFrame, keys: list[str | Column], order: str = ORDER) -> Da
 def merge_duplicates(df: DataFrame, keys: list[str], source_order: list[Column]) -> DataFrame:
     """First row per key, carrying every source the key was seen in, by first appearance.
 
-    One aggregation: each task reduces a key to its first row and its set of sources before the
-    shuffle, so a key that repeats across the whole table moves one small row per task.
+    First rows and sources are aggregated apart, each reduced per task before its shuffle: a key that
+    repeats across the whole table moves one wide row and a few bitmap words per task. Both sides are
+    then dealt out by the key, so they join without a further shuffle. A missing key part reads
+    as ''.
     """
     # With the order as leading field, the smallest struct is the first row.
     payload = [ORDER, *[c for c in df.columns if c not in (*keys, *LINEAGE, ORDER)]]
-    dataset, file = LINEAGE
-    merged = df.groupBy(*keys).agg(
-        F.min(F.struct(*payload)).alias("__first"),
-        F.array_sort(
-            F.collect_set(F.struct(F.struct(*source_order).alias("at"), dataset, file))
-        ).alias("__seen"),
-    )
-    listed = lambda name: F.array_join(
-        F.array_distinct(F.transform("__seen", lambda s: s[name])), LIST_SEPARATOR
-    )
-    return merged.select(
-        listed(dataset).alias(dataset), listed(file).alias(file), *keys,
-        *[F.col("__first")[c].alias(c) for c in payload],
-    )
+    filled = df.fillna("", keys)
+    first = filled.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("__first"))
+    sources = number_sources(filled, source_order)
+    lists = named_sources(source_words(filled, keys, source_order, sources), keys, sources)
+    return first.join(lists, keys).select(
+        *LINEAGE, *keys, *[F.col("__first")[c].alias(c) for c in payload])
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from seqlake.operators import batches, dedupe, skew
+from seqlake.operators import batches, dedupe, distinct, lineage, skew
 
 
 def ordered(spark, data):
@@ -149,3 +149,65 @@ def test_pending_batches(spark):
     done = spark.sql("SELECT * FROM VALUES ('j', 200L), ('other', 0L), ('j', 200L) AS t(job_id, retstart)")
     left = batches.pending_batches(windows, done, ["job_id", "retstart"])
     assert sorted(r.retstart for r in left.collect()) == [0, 400]
+
+
+# --- lineage bitmaps and distinct states -----------------------------------------------------
+
+def test_a_key_in_very_many_sources(spark):
+    """70,000 sources of one key are some thousand words, and come out in reading order."""
+    n = 70_000
+    df = spark.range(n).selectExpr(
+        "concat('d', lpad(id div 1000, 3, '0')) AS source_dataset",
+        "concat('f', lpad(id, 6, '0'), '.csv') AS source_file",
+        "if(id % 2 = 0, 'hot', concat('k', id)) AS k", "id AS v").repartition(8)
+    df = df.withColumn("row_order", F.struct("source_dataset", "source_file"))
+    order = [F.col("row_order.source_dataset"), F.col("row_order.source_file")]
+    sources = lineage.number_sources(df, order)
+    words = lineage.source_words(df, ["k"], order, sources)
+    hot = words.where("k = 'hot'").agg(
+        F.count("*").alias("words"), F.sum(F.bit_count("bits").cast("bigint")).alias("bits")).first()
+    assert hot.words == -(-n // 64) and hot.bits == n // 2
+    merged = dedupe.merge_duplicates(df, ["k"], order).where("k = 'hot'").first()
+    assert merged.source_file == " | ".join(f"f{i:06d}.csv" for i in range(0, n, 2))
+    assert merged.source_dataset == " | ".join(f"d{i:03d}" for i in range(70))
+
+
+def test_words_of_parts_add_up(spark):
+    df = ordered(spark, [("a", f"f{i % 5}.csv", i, f"k{i % 3}", "v") for i in range(60)])
+    order = [F.col("row_order.source_dataset"), F.col("row_order.source_file")]
+    sources = lineage.number_sources(df, order)
+    parts = [lineage.source_words(df.where(f"v = 'v' AND row_order.at % 2 = {r}"), ["k"], order, sources)
+             for r in (0, 1)]
+    added = lineage.merge_words(parts[0].unionByName(parts[1]), ["k"])
+    whole = lineage.source_words(df, ["k"], order, sources)
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_missing_key_parts_merge_as_blank(spark):
+    df = spark.createDataFrame(
+        [("a", "1", 1, None, "x"), ("a", "2", 1, "", "y"), ("b", "1", 1, "k", "z")],
+        "source_dataset string, source_file string, at int, k string, v string") \
+        .withColumn("row_order", F.struct("source_dataset", "source_file", "at")).drop("at")
+    order = [F.col("row_order.source_dataset"), F.col("row_order.source_file")]
+    found = {r.k: (r.v, r.source_file) for r in dedupe.merge_duplicates(df, ["k"], order).collect()}
+    assert found == {"": ("x", "1 | 2"), "k": ("z", "1")}
+
+
+def test_distinct_states_add_up_over_snapshots(spark):
+    draw = random.Random(7)
+    rows = [(draw.choice("ab"), draw.choice([None, *map(str, range(500))]), i % 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v string, snapshot int")
+    numbers = state = None
+    for snapshot in range(3):
+        part = df.where(F.col("snapshot") == snapshot)
+        before = dict(map(tuple, numbers.collect())) if numbers else {}
+        numbers = distinct.number_values(part, "v", numbers)
+        now = dict(map(tuple, numbers.collect()))
+        # numbers are unique, and once given they stay
+        assert len(set(now.values())) == len(now) and before.items() <= now.items()
+        fresh = distinct.distinct_state(part, ["g"], "v", numbers)
+        state = fresh if state is None else distinct.merge_states(state.unionByName(fresh), ["g"])
+    found = {r.g: r.n for r in distinct.count_state(state, ["g"], "n").collect()}
+    assert found == {g: len({v for x, v, _ in rows if x == g and v is not None}) for g in "ab"}
+    assert distinct.count_state(distinct.distinct_state(
+        df.where("v IS NULL"), ["g"], "v", numbers), ["g"], "n").collect() == []
