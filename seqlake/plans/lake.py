@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from seqlake.sources.files import (
     blanks_to_null, exists, latest_matching, newest_snapshot, read_csv_strings, read_tables,
     require, write_csv, write_parquet,
 )
+from seqlake.sources.snapshots import commit_snapshot, newest_tables
 
 
 @dataclass(frozen=True)
@@ -75,16 +77,21 @@ def combine(
         spark, paths.batches, attribute_dictionary(spark, dictionary_path),
         paths.ingested, paths.ingest_manifest)
     stamp = spark.range(1).select(utc_stamp()).first()[0]
-    return {
-        name: write_parquet(df, f"{paths.combined}/{COMBINED[name]}-{stamp}.parquet")
-        for name, df in merged.items()
-    }
+    files = {name: f"{paths.combined}/{prefix}-{stamp}-{uuid.uuid4().hex[:8]}.parquet"
+             for name, prefix in COMBINED.items()}
+    counts = {name: write_parquet(df, files[name]) for name, df in merged.items()}
+    commit_snapshot(spark, paths.combined, files)
+    return counts
 
 
 def read_combined(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    """The newest combined tables."""
+    """The combined tables that were committed last. A lake from before the log has tables only; of
+    those the newest whole ones are read."""
+    committed = newest_tables(spark, paths.combined)
     return {
-        name: spark.read.parquet(latest_matching(spark, paths.combined, f"{prefix}-*.parquet"))
+        name: spark.read.parquet(
+            committed[name] if committed
+            else latest_matching(spark, paths.combined, f"{prefix}-*.parquet"))
         for name, prefix in COMBINED.items()
     }
 

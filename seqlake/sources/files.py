@@ -6,12 +6,13 @@ import csv
 from datetime import UTC, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from seqlake import schemas
 from seqlake.functions.text import blank_to_null, file_name, path_parts, source_dataset_name
 from seqlake.operators.dedupe import ORDER
+from seqlake.sources.csv_split import read_split_csv
 
 
 class NoInputError(ValueError):
@@ -28,6 +29,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(matching_files(spark, path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def require(spark: SparkSession, paths: dict[str, str], what: str) -> None:
     for path in paths.values():
         if not exists(spark, path):
@@ -35,47 +41,59 @@ def require(spark: SparkSession, paths: dict[str, str], what: str) -> None:
 
 
 def latest_matching(spark: SparkSession, folder: str, pattern: str) -> str:
-    """The most recently modified file or table folder in `folder` that matches `pattern`."""
-    found = matching_files(spark, f"{folder.rstrip('/')}/{pattern}")
+    """The most recently modified file or whole table folder in `folder` that matches `pattern`."""
+    found = [s for s in matching_files(spark, f"{folder.rstrip('/')}/{pattern}")
+             if s.isFile() or exists(spark, f"{s.getPath().toString()}/_SUCCESS")]
     if not found:
         raise NoInputError(f"No files matched {pattern} in {folder}")
     newest = max(found, key=lambda status: status.getModificationTime())
     return newest.getPath().toString()
 
 
-def latest_rows(df: DataFrame, snapshot: str) -> DataFrame:
-    """Rows of the newest snapshot of a table that keeps one snapshot id per load."""
-    newest = df.select(F.max(snapshot).alias("newest"))
-    return df.where(F.col(snapshot) == newest.scalar())
+#: CSV files above this size are read by several tasks each.
+SPLIT_ABOVE = 256 * 1024 * 1024
+
+
+def _file_path() -> Column:
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def read_csv_strings(
     spark: SparkSession, path: str, columns: list[str],
     pattern: str | None = None, with_source: bool = False, paths: list[str] | None = None,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """CSV with a header as text columns; quoted line breaks are kept; a missing value is ''.
 
     With `with_source`, files below `path` are read recursively and every row gets
     source_dataset, source_file and `row_order`; `paths` then limits the scan to some of the files
-    and folders below `path`. A header that differs from `columns` is an error.
+    and folders below `path`. A header that differs from `columns` is an error. Files up to
+    `split_above` bytes are read by one task each, larger ones block by block.
     """
+    def scan(reader: DataFrameReader) -> DataFrameReader:
+        return reader if pattern is None else reader.option(
+            "recursiveFileLookup", True).option("pathGlobFilter", pattern)
+
+    where = path if paths is None else paths
+    size = F.col("_metadata.file_size")
     reader = (
-        spark.read.schema(schemas.strings(columns))
+        scan(spark.read).schema(schemas.strings(columns))
         .option("header", True).option("enforceSchema", False)
         .option("escape", '"').option("multiLine", True)
     )
-    if pattern is not None:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    rows = reader.csv(path if paths is None else paths)
+    # A multi-line file is never split here: within a file the running id follows the rows.
+    rows = reader.csv(where).where(size <= split_above).select(
+        _file_path().alias("__path"), F.monotonically_increasing_id().alias("__row"), *columns)
+    listed = scan(spark.read.format("binaryFile")).load(where).select("length")
+    if not listed.where(F.col("length") > split_above).isEmpty():
+        lines = scan(spark.read.option("lineSep", "\n")).text(where).where(size > split_above)
+        split = read_split_csv(lines, columns, _file_path())
+        rows = rows.unionAll(split.select("path", "row", *columns))
     if not with_source:
-        return rows.fillna("")
-    # A multi-line file is never split: within a file the running id follows the rows.
-    at = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        return rows.select(*columns).fillna("")
     return (
-        rows.select("*", at.alias("__path"))
-        .withColumn(ORDER, F.struct(
-            path_parts(F.col("__path")).alias("path"),
-            F.monotonically_increasing_id().alias("row")))
+        rows.withColumn(ORDER, F.struct(
+            path_parts(F.col("__path")).alias("path"), F.col("__row").alias("row")))
         .withColumn("source_dataset", source_dataset_name(F.col("__path"), path))
         .withColumn("source_file", file_name(F.col("__path")))
         .select("source_dataset", "source_file", *columns, ORDER)
@@ -84,7 +102,8 @@ def read_csv_strings(
 
 
 def read_bronze_batches(
-    spark: SparkSession, folder: str, pattern: str, columns: list[str]
+    spark: SparkSession, folder: str, pattern: str, columns: list[str],
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """All batch files below a folder. Headers may differ from file to file: columns are matched by
     name, a missing one reads as '', an extra one is an error."""
@@ -96,7 +115,8 @@ def read_bronze_batches(
         raise ValueError(f"Unexpected columns below {folder}: {', '.join(sorted(extra))}")
     parts = [
         project_fields(
-            read_csv_strings(spark, folder, list(names), pattern, with_source=True, paths=paths),
+            read_csv_strings(spark, folder, list(names), pattern, with_source=True, paths=paths,
+                             split_above=split_above),
             [*schemas.LINEAGE, *columns, ORDER])
         for names, paths in layouts
     ]
@@ -111,7 +131,7 @@ def _layouts(
     The first line of a file is kept in the scan, line by line, so no file is held as a whole. The
     driver sees one row per query folder and header, and file names only of folders whose files
     differ."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = _file_path()
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern) \
         .text(folder).where(F.col("_metadata.file_block_start") == 0) \
         .select(path.alias("path"), "value", F.monotonically_increasing_id().alias("line"))

@@ -1,4 +1,5 @@
 import os
+import random
 import time
 
 import pytest
@@ -109,9 +110,12 @@ def test_latest_matching(spark, tmp_path):
         files.latest_matching(spark, str(tmp_path), "z*")
 
 
-def test_latest_rows(spark):
-    df = spark.sql("SELECT * FROM VALUES ('a', 1), ('b', 2), ('b', 3) AS t(snapshot, v)")
-    assert sorted(r.v for r in files.latest_rows(df, "snapshot").collect()) == [2, 3]
+def test_a_table_that_broke_off_is_not_the_latest(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "t-1.parquet"))
+    spark.range(1).write.parquet(str(tmp_path / "t-2.parquet"))
+    (tmp_path / "t-2.parquet" / "_SUCCESS").unlink()
+    os.utime(tmp_path / "t-2.parquet", (time.time() + 60,) * 2)
+    assert files.latest_matching(spark, str(tmp_path), "t-*.parquet").endswith("/t-1.parquet")
 
 
 def test_required_tables(spark, tmp_path):
@@ -137,3 +141,61 @@ def test_manifest(spark, tmp_path):
     assert sorted(r.retstart for r in done.collect()) == [0, 400, 800]
     line = spark.read.text(path).where("value LIKE '%failure%'").first().value
     assert line.startswith('{"created_at":"2') and line.index("retstart") < line.index("status")
+
+
+# --- large files -----------------------------------------------------------------------------
+
+def random_csv(seed, records, newline):
+    """Fields with quotes, commas and line breaks, quoted or not, and quotes inside plain fields."""
+    draw = random.Random(seed)
+
+    def field():
+        if draw.random() < 0.4:
+            inner = "".join(draw.choice(['a', 'é', ',', '""', newline, ' ', '""""']) for _ in range(draw.randrange(12)))
+            return f'"{inner}"'
+        return "".join(draw.choice("xyz 0") for _ in range(draw.randrange(1, 6))) + draw.choice(["", 'q"q', '"'])
+    return newline.join(",".join(field() for _ in range(3)) for _ in range(records)) + newline
+
+
+@pytest.mark.parametrize("seed, newline, block", [
+    (1, "\n", 40), (2, "\n", 7), (3, "\r\n", 50), (4, "\n", 4000), (5, "\n", 300)])
+def test_a_large_file_is_read_in_blocks(spark, tmp_path, seed, newline, block):
+    columns = ["a", "b", "c"]
+    path = tmp_path / "q" / "t.csv"
+    path.parent.mkdir()
+    path.write_bytes((f"a,b,c{newline}" + random_csv(seed, 300, newline)).encode())
+    (tmp_path / "q" / "u.csv").write_text('a,b,c\n"x\n""y""",2,3\n')
+    read = lambda split: files.read_csv_strings(
+        spark, str(tmp_path), columns, "*.csv", with_source=True, split_above=split)
+    order = ["row_order.path", "row_order.row"]
+    whole = [tuple(r) for r in read(1 << 40).orderBy(*order).select("source_file", *columns).collect()]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        split = read(100)
+        if block < 1000:
+            scanned = spark.read.option("lineSep", "\n").text(str(path))
+            assert scanned.rdd.getNumPartitions() > 3
+        rows = split.orderBy(*order).select("source_file", *columns).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(r) for r in rows] == whole
+    assert len(whole) == 301
+
+
+def test_a_quoted_field_over_many_blocks(spark, tmp_path):
+    long = "\n".join(f"line {i}, of many" for i in range(400))
+    (tmp_path / "t.csv").write_text(f'a,b\n1,"{long}"\n2,"x"\n3,"{long}"')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        rows = files.read_csv_strings(spark, str(tmp_path / "t.csv"), ["a", "b"], split_above=0).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(tuple, rows)) == [("1", long), ("2", "x"), ("3", long)]
+
+
+def test_a_large_file_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,c\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv_strings(spark, str(tmp_path / "t.csv"), ["a", "b"], split_above=0).collect()
+    (tmp_path / "empty.csv").write_text("a,b\n")
+    assert files.read_csv_strings(spark, str(tmp_path / "empty.csv"), ["a", "b"], split_above=0).collect() == []
