@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlake.functions.text import or_else
+from seqlake.operators.distinct import count_state, distinct_state, merge_states, number_values
 from seqlake.operators.skew import key_or_spread
 from seqlake.schemas import GOLD
+from seqlake.session import materialize
 from seqlake.vocab import MISSING
 
 TOP_ORGANISMS = 10
@@ -67,26 +71,95 @@ def context_summary(facts: DataFrame) -> DataFrame:
     ).orderBy(F.desc("sample_count"), "sample_context")
 
 
-def domain_library_strategy(runs: DataFrame, classification: DataFrame) -> DataFrame:
-    """Runs by domain and strategy. Runs of one sample may be any share of the table: they are
-    reduced to (sample, strategy, experiment) first; the join of what is left is split at run time
-    where a sample is still hot."""
+def _sample_domains(classification: DataFrame) -> DataFrame:
+    return classification.where(F.col("sample_accession").isNotNull()).select(
+        "sample_accession", "sample_domain")
+
+
+STRATEGY_GROUP = ["sample_domain", "library_strategy"]
+
+
+def strategy_rows(runs: DataFrame, classification: DataFrame) -> DataFrame:
+    """Runs reduced to (sample, strategy, experiment), with the domain of their sample. Runs of one
+    sample may be any share of the table: they are reduced first, and the join of what is left
+    is split at run time where a sample is still hot."""
     reduced = (
         runs.where(F.col("sample_accession").isNotNull())
         .groupBy("sample_accession", "library_strategy", "experiment_accession")
         .agg(F.count("*").alias("n"), F.sum(_bigint("total_spots")).alias("spots"),
              F.sum(_bigint("total_bases")).alias("bases"))
     )
-    domains = classification.where(F.col("sample_accession").isNotNull()).select(
-        "sample_accession", "sample_domain"
-    )
-    return reduced.join(domains, "sample_accession").groupBy("sample_domain", "library_strategy").agg(
+    return reduced.join(_sample_domains(classification), "sample_accession")
+
+
+def domain_library_strategy(runs: DataFrame, classification: DataFrame) -> DataFrame:
+    """Runs by domain and strategy. The two distinct counts are counts of groups: experiments from the
+    groups that carry the sums, samples from groups of two columns, so no row is multiplied."""
+    per_experiment = strategy_rows(runs, classification) \
+        .groupBy(*STRATEGY_GROUP, "experiment_accession") \
+        .agg(F.sum("n").alias("n"), F.sum("spots").alias("spots"), F.sum("bases").alias("bases"))
+    sums = per_experiment.groupBy(*STRATEGY_GROUP).agg(
         F.sum("n").alias("run_count"),
-        F.count_distinct("sample_accession").alias("sample_count"),
-        F.count_distinct("experiment_accession").alias("experiment_count"),
-        F.sum("spots").alias("total_spots"),
-        F.sum("bases").alias("total_bases"),
-    ).orderBy(F.desc("run_count"), "sample_domain", F.asc_nulls_last("library_strategy"))
+        F.count("experiment_accession").alias("experiment_count"),
+        F.sum("spots").alias("total_spots"), F.sum("bases").alias("total_bases"))
+    per_sample = (
+        runs.where(F.col("sample_accession").isNotNull())
+        .select("sample_accession", "library_strategy").distinct()
+        .join(_sample_domains(classification), "sample_accession")
+        .select("sample_accession", *STRATEGY_GROUP).distinct()
+    )
+    samples = per_sample.groupBy(*STRATEGY_GROUP).agg(F.count("*").alias("sample_count"))
+    # a few rows of either kind meet by group, a missing strategy included
+    both = sums.unionByName(samples, allowMissingColumns=True)
+    columns = list(GOLD["sra_domain_library_strategy_summary"])
+    return both.groupBy(*STRATEGY_GROUP).agg(
+        *[F.max(c).alias(c) for c in columns if c not in STRATEGY_GROUP]
+    ).select(*columns).orderBy(
+        F.desc("run_count"), "sample_domain", F.asc_nulls_last("library_strategy"))
+
+
+@dataclass(frozen=True)
+class StrategyState:
+    """What one or more snapshots of runs add to the summary by domain and strategy: sums, and
+    the samples and experiments seen as bitmaps. `numbers` holds the value numbers by column."""
+
+    sums: DataFrame
+    seen: dict[str, DataFrame]
+    numbers: dict[str, DataFrame]
+
+
+COUNTED = {"sample_accession": "sample_count", "experiment_accession": "experiment_count"}
+
+
+def strategy_state(
+    runs: DataFrame, classification: DataFrame, before: StrategyState | None = None
+) -> StrategyState:
+    """The state of the runs of a snapshot, merged with the state before it. Only the snapshot's runs
+    are read; a sample or experiment that was seen before is not counted again."""
+    rows = materialize(strategy_rows(runs, classification), "strategy-rows")
+    sums = rows.groupBy(*STRATEGY_GROUP).agg(
+        F.sum("n").alias("run_count"), F.sum("spots").alias("total_spots"),
+        F.sum("bases").alias("total_bases"))
+    numbers = {c: number_values(rows, c, before.numbers[c] if before else None) for c in COUNTED}
+    seen = {c: distinct_state(rows, STRATEGY_GROUP, c, numbers[c]) for c in COUNTED}
+    if before:
+        sums = sums.unionByName(before.sums).groupBy(*STRATEGY_GROUP).agg(
+            *[F.sum(c).alias(c) for c in ("run_count", "total_spots", "total_bases")])
+        seen = {c: merge_states(seen[c].unionByName(before.seen[c]), STRATEGY_GROUP) for c in COUNTED}
+    return StrategyState(
+        materialize(sums, "strategy-sums"),
+        {c: materialize(words, "strategy-seen") for c, words in seen.items()}, numbers)
+
+
+def strategy_summary(state: StrategyState) -> DataFrame:
+    """The gold table from a state."""
+    parts = [state.sums, *[
+        count_state(state.seen[c], STRATEGY_GROUP, name) for c, name in COUNTED.items()]]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    columns = list(GOLD["sra_domain_library_strategy_summary"])
+    return both.groupBy(*STRATEGY_GROUP).agg(*[
+        F.coalesce(F.max(c), F.lit(0)).alias(c) if c in COUNTED.values() else F.max(c).alias(c)
+        for c in columns if c not in STRATEGY_GROUP]).select(*columns)
 
 
 def top_organisms(

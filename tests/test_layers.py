@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from seqlake import schemas
 from seqlake.plans import gold, quality, reports, silver, summary, taxonomy
 from seqlake.sources.files import blanks_to_null
+from seqlake.vocab import SAMPLE_DOMAINS
 
 RUN_COLUMNS = [*schemas.LINEAGE, *schemas.BRONZE_RUN]
 
@@ -251,9 +252,74 @@ def test_required_fields_and_row_counts(lake):
     assert check(quality.row_count_match("n", df, df.limit(1)))[:3] == ("fail", "4", "1")
 
 
+def single_checks(silver, taxonomy):
+    """The report as single checks, each with a scan of its own."""
+    classified, samples = silver["sra_sample_classification"], silver["sra_sample"]
+    return quality.stack([
+        quality.unique_key("sra_run_run_accession_unique", silver["sra_run"], "run_accession"),
+        quality.unique_key("sra_sample_sample_accession_unique", samples, "sample_accession"),
+        quality.unique_key("sra_classification_sample_accession_unique", classified, "sample_accession"),
+        quality.row_count_match("sra_sample_classification_matches_samples", classified, samples),
+        quality.required_fields("sra_sample_attribute_required_fields_present",
+                                silver["sra_sample_attribute"],
+                                ["sample_accession", "normalized_attribute_name", "attribute_category"]),
+        quality.allowed_values("sra_sample_domain_allowed_values", classified, "sample_domain",
+                               SAMPLE_DOMAINS),
+        quality.below_threshold("sra_unknown_sample_count_below_threshold", classified,
+                                F.col("sample_domain") == "unknown", 1, 0.001),
+        quality.unique_key("taxonomy_reference_taxon_id_unique", taxonomy, "taxon_id"),
+        quality.allowed_values("taxonomy_reference_sample_domain_allowed_values", taxonomy,
+                               "sample_domain", SAMPLE_DOMAINS),
+        quality.taxonomy_coverage("taxonomy_reference_covers_sample_taxon_ids", samples, taxonomy),
+    ])
+
+
+def test_one_pass_report_equals_the_single_checks(spark, rows, tmp_path):
+    """Faults of every kind; the report reads each table once."""
+    faulty = {
+        "sra_run": rows([{"run_accession": r} for r in ("R1", "R1", "R1", "", "R2")]),
+        "sra_sample": rows([{"sample_accession": f"S{i % 40}", "taxon_id": str(i % 30) if i else ""}
+                            for i in range(50)]),
+        "sra_sample_attribute": rows([
+            {"sample_accession": "S1", "normalized_attribute_name": "", "attribute_category": ""},
+            {"sample_accession": "", "normalized_attribute_name": "n", "attribute_category": "c"}]),
+        "sra_sample_classification": rows([
+            {"sample_accession": f"S{i}", "sample_domain": d} for i, d in enumerate(
+                ["human", "unknown", "unknown", "marsian", "", "venusian", "marsian"])]),
+    }
+    taxonomy = rows([{"taxon_id": t, "sample_domain": d} for t, d in
+                     (("1", "human"), ("1", "plant"), ("", "x"), ("99", "y"))])
+    empty = {n: t.limit(0) for n, t in faulty.items()}
+    for n, (tables, reference) in enumerate([(faulty, taxonomy), (empty, taxonomy.limit(0)),
+                                             (empty, taxonomy), (faulty, taxonomy.limit(0))]):
+        report = quality.content_report(tables, reference, max_unknown_samples=1)
+        assert [tuple(r) for r in report.collect()] == [
+            tuple(r) for r in single_checks(tables, reference).collect()], n
+    stored = {}
+    for name, table in {**faulty, "taxonomy": taxonomy}.items():
+        table.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    report = quality.content_report(stored, stored["taxonomy"])
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == len(stored) and plan.count("ReusedExchange") == 1
+
+
+def test_many_offenders_are_counted_beyond_those_listed(spark, rows, monkeypatch):
+    monkeypatch.setattr(quality, "LISTED", 3)
+    table = rows([{"sample_accession": f"S{i}", "sample_domain": f"d{i}"} for i in range(8)])
+    blank = rows([{"run_accession": "", "taxon_id": "", "normalized_attribute_name": "", "attribute_category": "",
+                   "sample_accession": ""}])
+    report = quality.content_report({
+        "sra_run": blank, "sra_sample": blank, "sra_sample_attribute": blank,
+        "sra_sample_classification": table})
+    row = report.where("name = 'sra_sample_domain_allowed_values'").first()
+    assert row.observed == "d0 | d1 | d2 | and 5 more"
+
+
 def test_gate(lake):
     _, text = lake
-    checks = quality.stack(quality.content_checks(text))
+    checks = quality.content_report(text)
     assert [r.status for r in checks.collect()] == [
         "pass", "fail", "fail", "pass", "fail", "pass", "pass"]
     assert quality.gate(checks).first().passed is False
