@@ -1,4 +1,7 @@
-"""Column layouts of every stored table. Text columns are strings; nothing is ever inferred."""
+"""Column layouts of every stored table. Text columns are strings; nothing is ever inferred.
+
+Fixed values: names, order and types of the columns are those that readers of the tables know.
+"""
 
 from __future__ import annotations
 
@@ -95,6 +98,10 @@ MANIFEST = T.StructType([
     T.StructField("run_rows", T.LongType()),
     T.StructField("sample_attribute_rows", T.LongType()),
     T.StructField("ingest_id", T.StringType()),
+    T.StructField("query", T.StringType()),
+    T.StructField("raw_xml_path", T.StringType()),
+    T.StructField("bronze_path", T.StringType()),
+    T.StructField("sample_attributes_path", T.StringType()),
     T.StructField("error", T.StringType()),
 ])
 

@@ -9,6 +9,8 @@ again redoes only what is missing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from seqlake.operators.batches import batch_windows, pending_batches
 from seqlake.operators.skew import MAX_BROADCAST_ROWS
 from seqlake.schemas import LANDING
 from seqlake.session import stored
-from seqlake.sources.manifest import append_events, completed_offsets, read_manifest
+from seqlake.sources.manifest import append_batch_events, completed_offsets, read_manifest
 from seqlake.sources.payloads import (
     parse_packages, run_records, sample_attributes, search_history, search_ids,
 )
@@ -33,6 +35,8 @@ BATCHES = T.StructType([
     T.StructField("retmax", T.LongType()),
     T.StructField("body", T.StringType()),
 ])
+#: What a batch may say about itself beside that: the search it belongs to and its landed file.
+ORIGIN = ["query", "raw_xml_path"]
 
 
 class IngestError(ValueError):
@@ -55,33 +59,57 @@ def _counted(parsed: DataFrame) -> DataFrame:
     })
 
 
-def _events(parsed: DataFrame, ingest_id: str) -> DataFrame:
+def _events(parsed: DataFrame, bronze: str, ingest_id: str) -> DataFrame:
     good = F.col("parse_error").isNull()
+    wrote = lambda kind: F.when(good, F.lit(f"{bronze}/{kind}/ingest_id={ingest_id}"))
     return parsed.select(
         F.when(good, "success").otherwise("failure").alias("status"),
         "job_id", "batch_number", "retstart", "retmax", "run_rows", "sample_attribute_rows",
-        F.lit(ingest_id).alias("ingest_id"),
+        *ORIGIN, wrote("runs").alias("bronze_path"),
+        wrote("attributes").alias("sample_attributes_path"), F.lit(ingest_id).alias("ingest_id"),
         F.when(~good, F.lit("payload is not well-formed XML")).alias("error"),
     )
 
 
-def _pending(landed: DataFrame, manifest: str) -> tuple[DataFrame, int]:
+@contextmanager
+def _pending(landed: DataFrame, manifest: str) -> Iterator[tuple[DataFrame, int]]:
     """Landed batches that are not done, one row per batch, and how many batches have landed.
 
-    Only keys meet the manifest, cut to the jobs at hand; payloads are then picked by row. The keys
-    of the rows to parse are broadcast while they are few next to the payloads they name."""
+    Only keys meet the manifest, of which only the folders of these keys are read. A payload is
+    known by its key and digest, which are the same however often and in whatever order the landed
+    files are read; where copies of one have landed, the copies alone are made distinct. The payloads
+    to parse are named by a broadcast while they are few."""
     spark = landed.sparkSession
-    numbered = landed.withColumn("__row", F.monotonically_increasing_id())
-    keys = numbered.groupBy(*BATCH_KEY).agg(F.min("__row").alias("__row"))
-    events = read_manifest(spark, manifest).join(
-        landed.select("job_id").distinct(), "job_id", "left_semi")
-    seen = keys.join(completed_offsets(events, "job_id").withColumn("__done", F.lit(True)),
-                     BATCH_KEY, "left")
-    counted = seen.agg(F.count("*").alias("landed"), F.count("__done").alias("done")).first()
-    wanted = seen.where("__done IS NULL").select("__row")
-    if counted.landed - counted.done <= MAX_BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    return numbered.join(wanted, "__row", "left_semi").drop("__row"), counted.landed
+    payload = ["__body", "batch_number", "retmax"]
+    known = landed.withColumn("__body", F.xxhash64("body"))
+    counted = known.groupBy(*BATCH_KEY, *payload).agg(F.count("*").alias("__copies"))
+    first = counted.groupBy(*BATCH_KEY).agg(F.min(F.struct(*payload, "__copies")).alias("__pick"))
+    with stored(first, "landed-batches") as keys:
+        events = read_manifest(spark, manifest, keys)
+        done = completed_offsets(events, "job_id").withColumn("__done", F.lit(True))
+        seen = keys.join(done, BATCH_KEY, "left")
+        open_ = F.col("__done").isNull()
+        totals = seen.agg(
+            F.count("*").alias("landed"), F.count("__done").alias("done"),
+            F.max(F.when(open_, F.col("__pick.__copies"))).alias("copies")).first()
+        picked = seen.where(open_).select(
+            *[F.col(c).alias(f"__{c}") for c in BATCH_KEY], "__pick")
+        if totals.landed - totals.done <= MAX_BROADCAST_ROWS:
+            picked = F.broadcast(picked)
+        same = [known[c].eqNullSafe(picked[f"__{c}"]) for c in BATCH_KEY] + [
+            known[c].eqNullSafe(picked["__pick"][c]) for c in payload]
+        pending = known.join(picked, same)
+        several = F.col("__pick.__copies") > 1
+        one = pending.where(~several)
+        if (totals.copies or 0) > 1:
+            one = one.unionByName(pending.where(several).dropDuplicates(BATCH_KEY))
+        yield one.select(*landed.columns), totals.landed
+
+
+def project_origin(landed: DataFrame) -> DataFrame:
+    """Batches with the columns of ORIGIN, NULL where they were not given."""
+    return landed.withColumns({
+        c: F.lit(None).cast("string") for c in ORIGIN if c not in landed.columns})
 
 
 def ingest_batches(
@@ -96,18 +124,19 @@ def ingest_batches(
     Every attempt writes below an id of its own, so that repeating one never touches confirmed rows.
     """
     ingest_id = f"{label}-{uuid.uuid4().hex}"
-    pending, batches = _pending(landed, manifest)
+    landed = project_origin(landed)
     keep = ["job_id", "batch_number", "retstart"]
-    # Written once: both bronze tables and the manifest read the parsed packages.
-    with stored(_counted(parse_packages(pending).drop("body")), "parsed") as parsed:
+    with _pending(landed, manifest) as (pending, batches), \
+            stored(_counted(parse_packages(pending).drop("body")), "parsed") as parsed:
+        # Written once: both bronze tables and the manifest read the parsed packages.
         good = parsed.where("parse_error IS NULL")
         attributes = categorize(
             normalize_names(sample_attributes(good, keep)), dictionary,
             ["sample_accession", "attribute_value"])
         for kind, rows in {"runs": run_records(good, keep), "attributes": attributes}.items():
             rows.write.parquet(f"{bronze}/{kind}/ingest_id={ingest_id}")
-        events = _events(parsed, ingest_id)
-        append_events(events, manifest)
+        events = _events(parsed, bronze, ingest_id)
+        append_batch_events(events, manifest)
         totals = events.agg(
             F.count_if(F.col("status") == "success").alias("completed_batches"),
             F.count_if(F.col("status") == "failure").alias("failed_batches"),
@@ -152,6 +181,7 @@ def landed_batches(landed: DataFrame) -> DataFrame:
         F.element_at(path_parts(F.col("source_path")), -2).alias("job_id"),
         (F.floor(F.try_divide(offset, size)) + 1).alias("batch_number"),
         offset.alias("retstart"), size.alias("retmax"), "body",
+        F.col("params")["term"].alias("query"), F.col("source_path").alias("raw_xml_path"),
     )
 
 

@@ -1,12 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from seqlake import cli, schemas
 from seqlake.plans import lake, serving, taxonomy
 from seqlake.plans.lake import LakePaths
 from seqlake.operators.attributes import attribute_dictionary
-from seqlake.sources import files, manifest
+from seqlake.sources import files, manifest, snapshots
 from seqlake.streaming import ingest
 from test_payloads import PACKAGES, taxon
 
@@ -91,12 +92,51 @@ def test_silver_reads_the_newest_combined_tables(spark, root):
     with pytest.raises(ValueError, match="No files matched sra-bronze-combined"):
         lake.build_silver(spark, paths)
     lake.combine(spark, paths)
-    old = files.latest_matching(spark, paths.combined, "sra-bronze-combined-*")
-    spark.read.parquet(old).where("run_accession = 'SRR1'").write.parquet(
-        f"{paths.combined}/sra-bronze-combined-29990101T000000Z.parquet")
+    old = snapshots.newest_tables(spark, paths.combined)
+    newer = f"{paths.combined}/sra-bronze-combined-29990101T000000Z.parquet"
+    spark.read.parquet(old["runs"]).where("run_accession = 'SRR1'").write.parquet(newer)
+    # nothing counts until it is committed, whatever its name and time
+    assert lake.build_silver(spark, paths)["sra_run"] == 2
+    assert snapshots.commit_snapshot(spark, paths.combined, {**old, "runs": newer}) == 2
     assert lake.build_silver(spark, paths)["sra_run"] == 1
 
 
+def test_a_combine_that_breaks_off_is_never_read(spark, root, monkeypatch):
+    paths = LakePaths(str(root))
+    lake.combine(spark, paths)
+    before = snapshots.newest_tables(spark, paths.combined)
+    whole = lake.write_parquet
+
+    def broken(df, path):
+        if "attributes" in path:
+            raise OSError("executor lost")
+        return whole(df, path)
+
+    monkeypatch.setattr(lake, "write_parquet", broken)
+    with pytest.raises(OSError):
+        lake.combine(spark, paths)
+    monkeypatch.setattr(lake, "write_parquet", whole)
+    assert snapshots.newest_tables(spark, paths.combined) == before
+    lake.combine(spark, paths)
+    assert snapshots.newest_tables(spark, paths.combined) != before
+
+
+def test_snapshot_log(spark, tmp_path):
+    folder = str(tmp_path)
+    assert snapshots.newest_tables(spark, folder) is None
+    assert [snapshots.commit_snapshot(spark, folder, {"t": f"p{i}"}) for i in (1, 2)] == [1, 2]
+    log = tmp_path / snapshots.LOG
+    # an entry that was not finished is passed over, and its number is not given twice
+    (log / "000000000003.json").write_text("")
+    (log / "000000000004.json").write_text('{"tables": {"t"')
+    assert snapshots.newest_tables(spark, folder) == {"t": "p2"}
+    assert snapshots.commit_snapshot(spark, folder, {"t": "p3"}) == 5
+    assert [e["number"] for e in snapshots.snapshots(spark, folder)] == [5, 2, 1]
+    # a number that another writer took in between is not overwritten
+    assert not snapshots._create(spark, f"{folder}/{snapshots.LOG}/000000000005.json", "x")
+    assert snapshots.newest_tables(spark, folder) == {"t": "p3"}
+
+
 def test_quality_report_stops_when_silver_is_missing(spark, tmp_path):
     report = lake.validate(spark, LakePaths(str(tmp_path)))
     rows = report.collect()
@@ -143,6 +183,66 @@ def test_publish_replaces_the_tables(spark, root, monkeypatch):
     assert stored.first().sample_count == 2
 
 
+STEPS = ["_stage_load", "_commit_load", "_ensure_views", "_drop_old_loads"]
+
+
+@pytest.mark.parametrize("stop", STEPS)
+def test_a_publish_that_stops_shows_one_load_in_all_views(spark, root, monkeypatch, stop):
+    """Stopped before or after any step, the six views show the old load or the new one."""
+    paths, schema = LakePaths(str(root)), f"gold_stop{stop}"
+    lake.combine(spark, paths)
+    lake.build_silver(spark, paths)
+    lake.build_gold(spark, paths)
+    whole, tag = serving.serving_table, {"v": "old"}
+    # every text column says which load it is from
+    monkeypatch.setattr(serving, "serving_table", lambda n, g: whole(n, g).withColumns({
+        c: F.lit(tag["v"]) for c, kind in schemas.GOLD[n].items() if kind == "string"}))
+    text = {n: next(c for c, kind in columns.items() if kind == "string")
+            for n, columns in schemas.GOLD.items() if "string" in columns.values()}
+
+    def shown():
+        return {r[0] for n, c in text.items() for r in spark.table(f"{schema}.{n}").select(c).collect()}
+
+    serving.publish_to_catalog(spark, paths.gold, schema)
+    assert shown() == {"old"}
+    tag["v"] = "new"
+    step = getattr(serving, stop)
+
+    def stopped(*args):
+        step(*args)
+        raise OSError("driver lost")
+
+    def before(*args):
+        raise OSError("driver lost")
+
+    for broken, then in ((before, STEPS.index(stop) > 1), (stopped, STEPS.index(stop) > 0)):
+        monkeypatch.setattr(serving, stop, broken)
+        with pytest.raises(OSError):
+            serving.publish_to_catalog(spark, paths.gold, schema)
+        assert shown() == ({"new"} if then else {"old"})
+        monkeypatch.setattr(serving, stop, step)
+        tag["v"] = "old"
+        serving.publish_to_catalog(spark, paths.gold, schema)
+        assert shown() == {"old"}
+        tag["v"] = "new"
+    # loads that were never published are gone with the old ones
+    loads = spark.sql(f"SHOW PARTITIONS `{schema}_loads`.`sra_domain_summary_by_load`").collect()
+    assert len(loads) == serving.KEPT_LOADS
+
+
+def test_views_from_before_the_pointer_are_replaced(spark, root):
+    paths = LakePaths(str(root))
+    lake.combine(spark, paths)
+    lake.build_silver(spark, paths)
+    counts = lake.build_gold(spark, paths)
+    spark.sql("CREATE SCHEMA IF NOT EXISTS gold_former")
+    spark.sql("CREATE OR REPLACE VIEW gold_former.sra_quality_summary AS SELECT 1 AS sample_count")
+    spark.range(1).write.mode("overwrite").saveAsTable("gold_former.sra_domain_summary")
+    assert serving.publish_to_catalog(spark, paths.gold, "gold_former") == counts
+    assert spark.table("gold_former.sra_quality_summary").first().sample_count == 2
+    assert spark.table("gold_former.sra_domain_summary").count() == 2
+
+
 # --- taxonomy update -------------------------------------------------------------------------
 
 def test_taxonomy_update_is_incremental(spark, rows, tmp_path):
@@ -265,13 +365,78 @@ def test_a_batch_that_landed_twice_is_ingested_once(spark, tmp_path):
 def test_payloads_are_not_shuffled(spark, tmp_path):
     landing = str(tmp_path / "landing")
     batches(spark, PACKAGES, PACKAGES).write.parquet(landing)
-    pending, landed = ingest._pending(spark.read.schema(ingest.BATCHES).parquet(landing),
-                                      str(tmp_path / "log"))
-    plan = pending._jdf.queryExecution().executedPlan().toString()
-    assert landed == 2 and pending.count() == 2
+    arrived = spark.read.schema(ingest.BATCHES).parquet(landing)
+    with ingest._pending(arrived, str(tmp_path / "log")) as (pending, landed):
+        plan = pending._jdf.queryExecution().executedPlan().toString()
+        assert landed == 2 and pending.count() == 2
     assert not any("body" in line for line in plan.split("\n") if "Exchange" in line)
 
 
+def test_copies_and_versions_of_a_payload(spark, tmp_path):
+    """Of several payloads under one key one is taken, the same one in whatever files they lie."""
+    dictionary = attribute_dictionary(spark)
+    other = PACKAGES.replace("SRR", "ERR")
+    rows = [batches(spark, b) for b in (PACKAGES, other, PACKAGES, other, PACKAGES)]
+    found = set()
+    for n, order in enumerate(([0, 1, 2, 3, 4], [4, 3, 1, 0, 2], [1, 3])):
+        landing, bronze, log = (str(tmp_path / f"{x}{n}") for x in ("landing", "bronze", "log"))
+        for i in order:
+            rows[i].coalesce(1).write.mode("append").parquet(landing)
+        result = ingest.ingest_batches(
+            spark.read.schema(ingest.BATCHES).parquet(landing), bronze, log, "one", dictionary)
+        assert (result["completed_batches"], result["run_rows"]) == (1, 4)
+        found.add((len(set(order) & {0, 2, 4}) > 0, frozenset(
+            r.run_accession for r in manifest.read_ingested(spark, bronze, log, "runs").collect())))
+    assert len({runs for both, runs in found if both}) == 1
+
+
+def test_a_manifest_is_read_by_job_and_range(spark, tmp_path):
+    log, step = str(tmp_path / "log"), manifest.RANGE
+    # lines from before there were ranges
+    manifest.append_events(spark.sql("SELECT 'success' AS status, 'a' AS job_id, 0L AS retstart"), log)
+    event = lambda job, at: spark.createDataFrame(
+        [("success", job, at)], "status string, job_id string, retstart bigint")
+    for job in ("a", "b/c d=ü", None):
+        for at in (0, 200, step, 5 * step + 7):
+            manifest.append_batch_events(event(job, at), log)
+    assert manifest.read_manifest(spark, log).count() == 13
+    wanted = spark.createDataFrame([("a", 400), ("b/c d=ü", 5 * step), ("absent", 0)],
+                                   "job_id string, retstart bigint")
+    some = manifest.read_manifest(spark, log, wanted)
+    assert sorted((r.job_id, r.retstart) for r in some.collect()) == [
+        ("a", 0), ("a", 0), ("a", 200), ("b/c d=ü", 5 * step + 7)]
+    # what is read does not grow with the rest of the manifest
+    files = lambda: len(set(manifest.read_manifest(spark, log, wanted).inputFiles()))
+    before = files()
+    for at in range(10, 16):
+        manifest.append_batch_events(event("a", at * step), log)
+    assert files() == before
+
+
+def test_manifest_folders_are_compacted(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for i in range(5):
+        manifest.append_batch_events(spark.createDataFrame(
+            [("success", "a", i * 200)], "status string, job_id string, retstart bigint"), log)
+    before = sorted(map(tuple, manifest.read_manifest(spark, log).collect()))
+    assert manifest.compact_manifest(spark, log, above=5) == 0
+    assert manifest.compact_manifest(spark, log, above=4) == 1
+    assert sorted(map(tuple, manifest.read_manifest(spark, log).collect())) == before
+    assert len(manifest.read_manifest(spark, log).inputFiles()) == 1
+
+
+def test_events_name_query_and_files(spark, tmp_path):
+    bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+    landed = batches(spark, PACKAGES, "<broken").withColumns(
+        {"query": F.lit("plants"), "raw_xml_path": F.lit("/raw/b1.xml")})
+    ingest.ingest_batches(landed, bronze, log, "one", attribute_dictionary(spark), quarantine=True)
+    good, bad = manifest.read_manifest(spark, log).orderBy("retstart").collect()
+    assert (good.query, good.raw_xml_path) == (bad.query, bad.raw_xml_path) == ("plants", "/raw/b1.xml")
+    assert spark.read.parquet(good.bronze_path).count() == 4
+    assert spark.read.parquet(good.sample_attributes_path).count() == 2
+    assert bad.bronze_path is None and bad.error
+
+
 def test_unconfirmed_rows_stay_invisible(spark, tmp_path):
     bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
     dictionary = attribute_dictionary(spark)
