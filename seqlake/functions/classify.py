@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqlake import vocab
 from seqlake.functions.text import or_else
 
 
+TERM_KEY = ["organism", "taxon_id", "source_dataset"]
+
+
 def _mentions(text: Column, *terms: str) -> Column:
     return text.rlike("|".join(re.escape(t) for t in terms))
 
@@ -71,26 +74,52 @@ def sample_domain(
     )
 
 
-def sample_context(
-    organism: Column, dataset: Column, domain: Column,
-    host: Column, environment: Column, clinical: Column, categories: Column,
+def context_terms(organism: Column, dataset: Column) -> tuple[Column, Column]:
+    """Whether name or dataset speak of the environment, and of an experiment."""
+    return (_mentions(F.lower(organism), "wastewater", "soil"),
+            _mentions(F.lower(dataset), "single-cell"))
+
+
+def context_rules(
+    domain: Column, host: Column, environment: Column, clinical: Column, categories: Column,
+    environmental_terms: Column, experimental_terms: Column,
 ) -> Column:
-    """`categories` is the array of attribute categories the sample has."""
-    name, source = F.lower(organism), F.lower(dataset)
     has = lambda category: F.array_contains(categories, category)
     return _first_match(
         [
             ((domain == "human") & clinical, "clinical"),
             (host, "host-associated"),
-            (environment | _mentions(name, "wastewater", "soil"), "environmental"),
+            (environment | environmental_terms, "environmental"),
             (domain == "metagenome", "metagenomic"),
             (has("host_material"), "tissue"),
-            (has("experimental_design") | _mentions(source, "single-cell"), "experimental"),
+            (has("experimental_design") | experimental_terms, "experimental"),
         ],
         "unknown",
     )
 
 
+def sample_context(
+    organism: Column, dataset: Column, domain: Column,
+    host: Column, environment: Column, clinical: Column, categories: Column,
+) -> Column:
+    """`categories` is the array of attribute categories the sample has."""
+    return context_rules(domain, host, environment, clinical, categories,
+                         *context_terms(organism, dataset))
+
+
+def term_rules(values: DataFrame) -> DataFrame:
+    """All that is decided by the text of (organism, taxon_id, source_dataset) alone: the group, the
+    domain with and without metagenome attributes, and the terms that contexts look for."""
+    organism, taxon_id, dataset = map(F.col, TERM_KEY)
+    group = F.col("term_group")
+    domain = lambda metagenome: sample_domain(
+        organism, taxon_id, dataset, group, F.lit(metagenome))
+    environmental, experimental = context_terms(organism, dataset)
+    return values.withColumn("term_group", organism_group(organism, taxon_id, dataset)).withColumns({
+        "term_domain": domain(False), "term_domain_metagenome": domain(True),
+        "environmental_terms": environmental, "experimental_terms": experimental})
+
+
 def lineage_group(taxon_id: Column, scientific_name: Column, lineage_names: Column) -> Column:
     """Group read off a taxonomic lineage (array of names)."""
     name = F.lower(scientific_name)

@@ -29,6 +29,11 @@ def attribute_dictionary(spark: SparkSession, path: str | None = None) -> DataFr
     return spark.sql(f"SELECT * FROM VALUES {values} AS dictionary(name, category)")
 
 
+def known_attribute_names(dictionary: DataFrame) -> DataFrame:
+    """Every name that the dictionary gives a category, once."""
+    return dictionary.select("name").where(~is_blank(F.col("name"))).distinct()
+
+
 def categorize(df: DataFrame, dictionary: DataFrame, spread_by: list[str]) -> DataFrame:
     """Set attribute_category from normalized_attribute_name: exact name, prefix, suffix, other."""
     name = F.col("normalized_attribute_name")

@@ -40,11 +40,24 @@ def silver_attributes(bronze_attributes: DataFrame) -> DataFrame:
     )
 
 
+def _with_term_rules(samples: DataFrame) -> DataFrame:
+    key = F.struct(*classify.TERM_KEY)
+    ruled = classify.term_rules(samples.select(*classify.TERM_KEY).distinct())
+    return lookup_join(
+        samples.withColumn("__terms", key),
+        ruled.withColumn("__terms", key).drop(*classify.TERM_KEY), "__terms",
+        ["sample_accession", "biosample_accession"]).drop("__terms")
+
+
 def classify_samples(
     samples: DataFrame, attributes: DataFrame, taxonomy: DataFrame | None = None
 ) -> DataFrame:
-    """Classification of every sample; a complete taxonomy row overrides the heuristic rules."""
-    rows = samples.fillna("")
+    """Classification of every sample; a complete taxonomy row overrides the heuristic rules.
+
+    The rules look for some hundred terms in name and datasets. They run once per distinct value of
+    those, of which there are far fewer than samples, and their result is looked up.
+    """
+    rows = _with_term_rules(samples.fillna(""))
     if taxonomy is None:
         unknown = F.lit(None).cast("string")
         rows = rows.withColumns({"__group": unknown, "__domain": unknown})
@@ -64,16 +77,18 @@ def classify_samples(
     flag = {name: F.coalesce(name, F.lit(False)) for name in SIGNAL_FLAGS.values()}
     counts = F.coalesce("category_counts", F.array().cast("array<struct<category:string,n:bigint>>"))
     group, domain, context = map(F.col, ("organism_group", "sample_domain", "sample_context"))
+    by_terms = F.when(F.col("metagenome_present"), F.col("term_domain_metagenome")) \
+        .otherwise(F.col("term_domain"))
+    # A reference row has both group and domain, so the rules for domains never meet its group.
     return (
         rows.withColumns(flag)
         .withColumn("category_counts", counts)
-        .withColumn("organism_group", F.coalesce(
-            "__group", classify.organism_group(organism, taxon_id, dataset)))
-        .withColumn("sample_domain", F.coalesce("__domain", classify.sample_domain(
-            organism, taxon_id, dataset, group, F.col("metagenome_present"))))
-        .withColumn("sample_context", classify.sample_context(
-            organism, dataset, domain, F.col("host_present"), F.col("environment_present"),
-            F.col("clinical_present"), F.col("category_counts.category")))
+        .withColumn("organism_group", F.coalesce("__group", "term_group"))
+        .withColumn("sample_domain", F.coalesce(F.col("__domain"), by_terms))
+        .withColumn("sample_context", classify.context_rules(
+            domain, F.col("host_present"), F.col("environment_present"), F.col("clinical_present"),
+            F.col("category_counts.category"), F.col("environmental_terms"),
+            F.col("experimental_terms")))
         .withColumn("attribute_category_summary", classify.category_summary(F.col("category_counts")))
         .withColumn("classification_basis", classify.classification_basis(
             organism, taxon_id, dataset, group, domain, context,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqlake import schemas
@@ -94,6 +94,33 @@ def parse_packages(
     )
 
 
+def read_package_dumps(
+    spark: SparkSession, path: str, runs: bool = True, attributes: bool = True
+) -> DataFrame:
+    """Packages of XML files of any size, parsed by as many tasks as the files have blocks.
+
+    Files are cut at the end tag of a package, which Spark's text reader finds across block borders,
+    so no file is held as one string. One row per package: `source_path`, `row_order` (block and
+    place in it), `packages` (the one package) and `parse_error`, as `parse_packages` gives them. A
+    file's text between and around packages is left out. A package that breaks off at the end of its
+    file is an error row unless all its elements are closed. The end tag must not occur inside
+    CDATA or comments.
+    """
+    end = "</EXPERIMENT_PACKAGE>"
+    cut = spark.read.option("lineSep", end).text(path)
+    starts = F.regexp_instr("value", F.lit(r"<EXPERIMENT_PACKAGE[\s>]"))
+    packages = cut.select(
+        F.col("_metadata.file_path").alias("source_path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("row_order"),
+        "value", starts.alias("start")).where("start > 0")
+    body = F.concat(F.lit("<EXPERIMENT_PACKAGE_SET>"), F.expr("substring(value, start)"),
+                    F.lit(f"{end}</EXPERIMENT_PACKAGE_SET>"))
+    return parse_packages(
+        packages.select("source_path", "row_order", body.alias("body")), "body", runs, attributes
+    ).drop("body")
+
+
 def _exploded(df: DataFrame, keep: list, array: str | Column, position: str, element: str) -> DataFrame:
     """One row per array element. An inner explode would make the optimizer add a filter on the
     array's size, and with it parse every payload again."""

@@ -142,3 +142,29 @@ def test_landing_appends_redacted_rows(spark, tmp_path):
     payloads.land(response, path)
     stored = spark.read.parquet(path)
     assert stored.count() == 2 and "k'" not in str(stored.select("url", "params").collect())
+
+
+def test_a_dump_is_cut_into_packages(spark, tmp_path):
+    """The same rows as from whole documents, from blocks much smaller than the file."""
+    again = PACKAGES.replace("SRR", "ERR").replace("<EXPERIMENT_PACKAGE>", "<EXPERIMENT_PACKAGE\n>", 1)
+    (tmp_path / "a.xml").write_text(PACKAGES)
+    (tmp_path / "b.xml").write_text(again)
+    (tmp_path / "c.xml").write_text(PACKAGES[: PACKAGES.index("<SAMPLE_ATTRIBUTE>")])
+    whole = payloads.parse_packages(landed(spark, PACKAGES, again))
+    wanted = sorted(map(str, payloads.run_records(whole).drop("package_index").collect()))
+    attributes = sorted(map(str, payloads.sample_attributes(whole).drop("package_index").collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        cut = payloads.read_package_dumps(spark, str(tmp_path))
+        assert spark.read.option("lineSep", "</EXPERIMENT_PACKAGE>").text(str(tmp_path)) \
+            .rdd.getNumPartitions() > 6
+        good, bad = cut.where("parse_error IS NULL"), cut.where("parse_error IS NOT NULL")
+        found = payloads.run_records(good).drop("package_index").collect()
+        assert sorted(map(str, found)) == wanted
+        rows = payloads.sample_attributes(good).drop("package_index").collect()
+        assert sorted(map(str, rows)) == attributes
+        assert [r.source_path.rsplit("/", 1)[1] for r in bad.collect()] == ["c.xml"]
+        first = good.where("source_path LIKE '%a.xml'").orderBy("row_order.block", "row_order.row").first()
+        assert first.packages[0]["EXPERIMENT"]["_accession"] == "SRX70"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
