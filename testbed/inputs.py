@@ -5,6 +5,8 @@ Spark fills the braces with DataFrames; the oracle fills them with table names.
 
 from __future__ import annotations
 
+from seqlake.vocab import core_dictionary
+
 ORGANISMS = [
     (0, "Homo sapiens", "9606"), (1, "Mus musculus", "10090"), (2, "Bos taurus", "9913"),
     (3, "Bombyx mori", "7091"), (4, "Drosophila simulans", "7240"), (5, "Zea mays", "4577"),
@@ -240,3 +242,7 @@ SELECT concat('job-', cast(l_suppkey AS string)) AS job_id, concat(
 FROM {lineitem}
 GROUP BY l_suppkey
 """
+
+
+#: Every category that the built-in dictionary knows.
+CATEGORIES = sorted({category for _, category in core_dictionary()})

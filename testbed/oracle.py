@@ -474,6 +474,7 @@ def statements() -> dict[str, str]:
 
     # landed payloads
     out["xml_run_records"] = XML_RUNS.format(extra="")
+    out["xml_bulk_run_records"] = out["xml_run_records"]
     out["xml_sample_attributes"] = XML_ATTRIBUTES.format(extra="")
     out["ingest_landed_batches"] = NUMBERED + XML_RUNS.format(extra=JOB).replace("FROM lineitem", "FROM numbered")
     out["ingest_incremental"] = NUMBERED + XML_ATTRIBUTES.format(extra=JOB).replace("FROM lineitem", "FROM numbered")
@@ -497,6 +498,10 @@ def statements() -> dict[str, str]:
         for c in schemas.BRONZE_RUN)
     out["scan_csv_by_name"] = f"""{LAKE} SELECT concat('source_dataset=', source_dataset)
         AS source_dataset, {kept} FROM raw_runs"""
+    quoted = {"organism": "concat(organism, ',', chr(10), '\"', platform, '\"', chr(10))",
+              "library_source": "concat(library_source, '\"')"}
+    out["scan_csv_split"] = f"""{LAKE} SELECT {", ".join(
+        f"{quoted.get(c, c)} AS {c}" for c in schemas.BRONZE_RUN)} FROM raw_runs"""
     out["latest_snapshot"] = """
         SELECT strftime(ts, '%Y%m%d') AS snapshot, event_id, event_type FROM events
         WHERE cast(ts AS date) = (SELECT max(cast(ts AS date)) FROM events)"""
@@ -520,6 +525,17 @@ def statements() -> dict[str, str]:
         {category} AS category, count(*) AS uses FROM raw_attributes
         WHERE normalized_attribute_name IN {_in(list(CATEGORIES))}
         GROUP BY normalized_attribute_name"""
+    brand = "cast(regexp_extract(p_brand, '([0-9]+)$', 1) AS int)"
+    name = _norm("concat(p_name, ' ', p_brand)")
+    known = f"[{', '.join(repr(c) for c in inputs.CATEGORIES)}]"
+    out["categorize_with_dictionary"] = f"""SELECT p_partkey,
+        concat(array_to_string(list_transform(string_split(p_name, ' '),
+            lambda w: concat(upper(w[1]), lower(w[2:]))), ' '), ' / ', p_brand) AS attribute_name,
+        {name} AS normalized_attribute_name,
+        CASE WHEN {brand} % 5 <> 0
+          THEN {known}[({brand} * 3 + length(p_name)) % {len(inputs.CATEGORIES)} + 1]
+          ELSE 'other' END AS attribute_category FROM part"""
+    out["dictionary_attribute_names"] = f"SELECT DISTINCT {name} AS name FROM part WHERE {brand} % 5 <> 0"
     out["renormalize_attributes"] = f"""{LAKE} SELECT ord1 AS event_id, sample_accession,
         biosample_accession, attribute_name, attribute_value, normalized_attribute_name,
         {category} AS attribute_category FROM raw_attributes"""
@@ -650,6 +666,7 @@ def statements() -> dict[str, str]:
     for name, columns in gold.items():
         rows = _from(name, columns)
         out[keys[name]] = out[f"serving_{name}"] = rows
+    out["gold_domain_library_strategy_snapshots"] = out["gold_domain_library_strategy"]
     out["gold_table_counts"] = out["serving_row_counts"] = _counts({n: n for n in gold})
     shown = {
         "domain_summary": (domains, [x for x in gold[domains]

@@ -11,7 +11,7 @@ from seqlake import schemas
 from seqlake.functions import classify, text
 from seqlake.operators import attributes, batches, dedupe
 from seqlake.plans import gold, quality, reports, serving, silver, summary, taxonomy
-from seqlake.sources import files, manifest, payloads
+from seqlake.sources import files, manifest, payloads, snapshots
 from seqlake.streaming import ingest
 from seqlake.vocab import LIST_SEPARATOR, SAMPLE_DOMAINS
 from testbed import inputs
@@ -28,6 +28,16 @@ def xml_run_records(s: Stages) -> DataFrame:
     return payloads.run_records(parsed).select(*schemas.BRONZE_RUN)
 
 
+def xml_bulk_run_records(s: Stages) -> DataFrame:
+    """The packages as large dump files, cut into packages by many tasks."""
+    def write(path: str) -> None:
+        bodies = s.packages().select("body").repartition(2)
+        bodies.write.option("lineSep", "\n").text(path)
+
+    dumps = payloads.read_package_dumps(s.spark, s.path("dumps", write), attributes=False)
+    return payloads.run_records(dumps).select(*schemas.BRONZE_RUN)
+
+
 def xml_sample_attributes(s: Stages) -> DataFrame:
     parsed = payloads.parse_packages(s.packages(), runs=False)
     rows = attributes.normalize_names(payloads.sample_attributes(parsed))
@@ -59,6 +69,21 @@ def scan_csv_strings(s: Stages) -> DataFrame:
     return scanned.select("source_dataset", *schemas.BRONZE_RUN)
 
 
+def scan_csv_split(s: Stages) -> DataFrame:
+    """All runs in one file with quotes, commas and line breaks in its fields, read block by block."""
+    def write(path: str) -> None:
+        files.write_csv(_quoted_runs(s.raw_runs()), path, single_file=True)
+
+    path = s.path("one-csv", write)
+    return files.read_csv_strings(s.spark, path, schemas.BRONZE_RUN, split_above=0)
+
+
+def _quoted_runs(runs: DataFrame) -> DataFrame:
+    return runs.select(*schemas.BRONZE_RUN).withColumns({
+        "organism": F.concat("organism", F.lit(',\n"'), "platform", F.lit('"\n')),
+        "library_source": F.concat("library_source", F.lit('"'))})
+
+
 def scan_csv_by_name(s: Stages) -> DataFrame:
     """Batch files whose headers differ: columns in another order, and without some of them."""
     short = ["library_strategy", "sample_accession", "run_accession", "experiment_accession"]
@@ -76,8 +101,19 @@ def scan_csv_by_name(s: Stages) -> DataFrame:
 
 
 def latest_snapshot(s: Stages) -> DataFrame:
-    events = s.table("events").withColumn("snapshot", F.date_format("ts", "yyyyMMdd"))
-    return files.latest_rows(events, "snapshot").select("snapshot", "event_id", "event_type")
+    """One table per day's events, committed day by day but for one that broke off before its end."""
+    def write(path: str) -> None:
+        events = s.table("events").select(
+            F.date_format("ts", "yyyyMMdd").alias("day"), "event_id", "event_type")
+        events.write.partitionBy("day").parquet(f"{path}/tables")
+        days = [r.day for r in events.select("day").distinct().orderBy("day").collect()]
+        for day in days:
+            snapshots.commit_snapshot(s.spark, path, {"events": f"{path}/tables/day={day}", "day": day})
+        events.limit(3).drop("day").write.parquet(f"{path}/tables/day=99991231")
+
+    newest = snapshots.newest_tables(s.spark, s.path("day-snapshots", write))
+    return s.spark.read.parquet(newest["events"]).select(
+        F.lit(newest["day"]).alias("snapshot"), "event_id", "event_type")
 
 
 def _manifest(s: Stages) -> DataFrame:
@@ -161,6 +197,36 @@ def known_attribute_names(s: Stages) -> DataFrame:
     return seen.join(F.broadcast(s.dictionary), "name").select("name", "category", "uses")
 
 
+def _part_names(s: Stages) -> DataFrame:
+    return s.table("part").select(
+        "p_partkey", F.concat(F.initcap("p_name"), F.lit(" / "), "p_brand").alias("attribute_name"))
+
+
+def _part_dictionary(s: Stages) -> DataFrame:
+    """A dictionary of names in all categories, derived from most parts and passed in as a CSV file."""
+    def write(path: str) -> None:
+        brand = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int")
+        at = (brand * 3 + F.length("p_name")) % len(inputs.CATEGORIES)
+        named = attributes.normalize_names(s.table("part").withColumn(
+            "attribute_name", F.concat("p_name", F.lit(" "), "p_brand")))
+        rows = named.where(brand % 5 != 0).select(
+            F.col("normalized_attribute_name").alias("name"),
+            F.element_at(F.array(*map(F.lit, inputs.CATEGORIES)), at + 1).alias("category"))
+        files.write_csv(rows.distinct(), path)
+
+    return attributes.attribute_dictionary(s.spark, s.path("part-dictionary", write))
+
+
+def categorize_with_dictionary(s: Stages) -> DataFrame:
+    named = attributes.normalize_names(_part_names(s))
+    return attributes.categorize(named, _part_dictionary(s), ["p_partkey"]).select(
+        "p_partkey", "attribute_name", "normalized_attribute_name", "attribute_category")
+
+
+def dictionary_attribute_names(s: Stages) -> DataFrame:
+    return attributes.known_attribute_names(_part_dictionary(s))
+
+
 def renormalize_attributes(s: Stages) -> DataFrame:
     stale = s.raw_attributes().withColumns({
         "normalized_attribute_name": F.col("attribute_name"),
@@ -459,8 +525,7 @@ def quality_taxonomy_coverage(s: Stages) -> DataFrame:
 
 def quality_report(s: Stages) -> DataFrame:
     tables = s.silver()
-    return quality.stack(
-        quality.content_checks(tables) + quality.taxonomy_checks(tables["sra_sample"], s.taxonomy))
+    return quality.content_report(tables, s.taxonomy)
 
 
 def quality_gate(s: Stages) -> DataFrame:
@@ -490,10 +555,11 @@ def lake_build_counts(s: Stages) -> DataFrame:
 # --- registry --------------------------------------------------------------------------------
 
 PLAIN = [
-    xml_run_records, xml_sample_attributes, xml_taxonomy_reference, json_search_ids,
-    json_search_history, scan_csv_strings, scan_csv_by_name, latest_snapshot, manifest_completed_offsets,
+    xml_run_records, xml_bulk_run_records, xml_sample_attributes, xml_taxonomy_reference, json_search_ids,
+    json_search_history, scan_csv_strings, scan_csv_split, scan_csv_by_name, latest_snapshot, manifest_completed_offsets,
     ingest_landed_batches, ingest_incremental,
-    normalize_attribute_name, categorize_attribute, known_attribute_names, renormalize_attributes,
+    normalize_attribute_name, categorize_attribute, known_attribute_names,
+    categorize_with_dictionary, dictionary_attribute_names, renormalize_attributes,
     source_dataset_name, redact_url, redact_params, slugify, merge_source_value, attribute_category_summary,
     classification_basis, batch_windows, batched_ids,
     bronze_runs_combined, bronze_attributes_combined, silver_run, silver_sample,
@@ -507,12 +573,22 @@ PLAIN = [
     attribute_profile, attribute_profile_other_count, lake_build_counts,
 ]
 
+def _strategy_snapshots(s: Stages) -> DataFrame:
+    """The same summary from the merged states of three snapshots of runs."""
+    runs, classified = s.silver()["sra_run"], s.silver()["sra_sample_classification"]
+    snapshot, state = F.pmod(F.xxhash64("run_accession"), F.lit(3)), None
+    for number in range(3):
+        state = gold.strategy_state(runs.where(snapshot == number), classified, state)
+    return gold.strategy_summary(state)
+
+
 # Query name: gold table and how it is built from silver.
 GOLD = {
     "gold_domain_summary": lambda s: gold.domain_summary(s.build_facts()),
     "gold_context_summary": lambda s: gold.context_summary(s.build_facts()),
     "gold_domain_library_strategy": lambda s: gold.domain_library_strategy(
         s.silver()["sra_run"], s.silver()["sra_sample_classification"]),
+    "gold_domain_library_strategy_snapshots": lambda s: _strategy_snapshots(s),
     "gold_top_organisms": lambda s: gold.top_organisms(
         s.silver()["sra_sample"], s.silver()["sra_sample_classification"]),
     "gold_attribute_category_by_domain": lambda s: gold.attribute_category_by_domain(
