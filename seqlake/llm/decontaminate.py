@@ -12,22 +12,23 @@ Benchmark items are taken in blocks of bounded size, each against all documents:
 3. A randomised SVD of the TF-IDF rows of these windows and of the block's passages: every task
    sketches its rows (A'A times a random matrix), sums are built in Spark, and only matrices of terms
    x rank reach the driver.
-4. Windows and passages are compared by their latent vectors. The latent product and the product of
-   the lengths that the latent space leaves out bound what both have in common from above; pairs
-   whose bound is below the least weight that `need` words of the passage can have are dropped. The
-   bound holds for any rank, so the rank decides on the work that is left but never on the result.
-   Windows that have `need` words of the passage, in any order, are its candidates.
-5. A candidate is confirmed on the words themselves: longest common subsequence of passage and
-   window, and how far its words are spread. From SURE of the passage on it is a leak; from LIKELY
-   on (paraphrases) only if the answer, the passage's last quarter, is found as well. Passages
-   shorter than SHORT words must occur word for word.
+4. Candidates are found by cosine: batches of window vectors times the passages' vectors. The latent
+   product and the product of the lengths that the latent space leaves out bound what both have in
+   common from above; pairs whose bound is below the least weight that `need` words of the passage
+   can have are dropped. The bound holds for any rank, so no leak is lost to it. Pairs whose window
+   has fewer than `need` words of the passage, in whatever order, are dropped as well.
+5. A candidate is confirmed on the words in order, which a window's row carries: longest common
+   subsequence of passage and window, and how far its words are spread. From SURE of the passage on
+   it is a leak; from LIKELY on (paraphrases) only if the answer, the passage's last quarter, is
+   found as well. Passages shorter than SHORT words must occur word for word.
 
 Words are runs of word characters in lower case, so changes of case, punctuation or white space do
 not hide a leak.
 
 Defined results: null and empty texts are clean; null and empty items are passed over; equal texts
-are judged once and get equal results, rows with equal ids are judged by their own text; equal
-items are all reported; empty tables give clean or empty results.
+get equal results, rows with equal ids are judged by their own text; equal items are all reported;
+empty tables give clean or empty results. A text is split as a whole, which takes some 60 bytes a byte
+of it while it is split.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ from seqlake.llm.shingles import U, run_hashes
 from seqlake.session import materialize
 
 WORD = re.compile(r"\w+")
-BLOCK_ITEMS = 2_000
+#: A block of items ends at either; its terms are at most its words.
+BLOCK_ITEMS, BLOCK_WORDS = 2_000, 100_000
 PASSAGE = 64
 RANK, OVERSAMPLING = 128, 16
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
@@ -56,8 +58,8 @@ SHORT = 13
 KEY_PART = 5
 #: Slack for rounding in cosines: the root of a difference of 1e-16 is 1e-8.
 ROUNDING = 1e-7
-#: Up to so many keys of texts are broadcast, with their few candidates or alone.
-BROADCAST_CANDIDATES, BROADCAST_KEYS = 50_000, 1_000_000
+#: Up to so many keys of texts (8 bytes each) are broadcast.
+BROADCAST_KEYS = 1_000_000
 NOT_ASCII_NOR_WORD = re.compile(r"[^\w\x00-\x7f]")
 IN_WORD = np.zeros(256, bool)
 IN_WORD[[*range(128, 256), *b"_abcdefghijklmnopqrstuvwxyz0123456789"]] = True
@@ -118,6 +120,7 @@ class Passages:
 
     item: list[int]
     words: list[list[str]]
+    order: list[list[int]]  # of each passage: the terms of its words, one after another
     terms: list[list[int]]
     counts: list[list[int]]  # how often each passage has each of its terms
     needed: list[int]  # of each passage: so many of its words does a leak have
@@ -160,12 +163,19 @@ class Passages:
         table = np.array(sorted(postings), np.int64).reshape(-1, 3)
         first = np.searchsorted(table[:, 0], np.arange(len(idf) + 1))
         fewest = max(1, min(-(-h // max(c.values())) for h, c in zip(hits, map(Counter, words))))
-        return cls(item, words, terms, times, needed, vocabulary, idf, np.array(least), np.array(hits), fewest,
+        order = [[number[x] for x in w] for w in words]
+        return cls(item, words, order, terms, times, needed, vocabulary, idf, np.array(least), np.array(hits), fewest,
                    np.diff(first) > 0, first, table[:, 1], table[:, 2])
 
-    def holds(self, p: int, terms: set[int]) -> bool:
-        """Whether a window of these terms can have as many words of passage p as a leak has."""
-        return sum(c for t, c in zip(self.terms[p], self.counts[p]) if t in terms) >= self.needed[p]
+    def holding(self, held: np.ndarray, r: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Of pairs (r, p): whether window r, whose terms are row r of `held`, has as many words of
+        passage p as a leak has."""
+        out = np.zeros(len(r), bool)
+        for passage in np.unique(p):
+            of = np.flatnonzero(p == passage)
+            found = held[r[of]][:, self.terms[passage]] @ np.array(self.counts[passage])
+            out[of] = found >= self.needed[passage]
+        return out
 
     def near(self, row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, passage) wherever the row's distinct terms have enough of the passage's rarest
@@ -183,37 +193,37 @@ class Passages:
         return row[enough], passage[enough]
 
 
-def windows(text: str, passages: Passages) -> list[tuple[int, list[int]]]:
-    """(window number, distinct terms) of the windows that can hold a passage."""
+def windows(text: str | None, passages: Passages) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, places, terms) of the windows that can hold a passage: the known words, in order,
+    and their places in the window."""
     place, term, n_words = passages.vocabulary.places(text)
     rare = passages.rare[term]
     if np.count_nonzero(rare) < passages.fewest:
         return []
     last = max(0, -(-n_words // PASSAGE) - 2)
     n_terms = len(passages.idf)
-
-    def of_windows(place, term, wanted=None):
-        cell, term = place // PASSAGE, np.tile(term, 2)
-        both = np.concatenate((np.minimum(cell, last), np.clip(cell - 1, 0, last)))
-        if wanted is not None:
-            both, term = both[wanted[both]], term[wanted[both]]
-        both = np.sort(both * n_terms + term)
-        return np.divmod(both[np.diff(both, prepend=-1) > 0], n_terms)
-
-    near, _ = passages.near(*of_windows(place[rare], term[rare]))
-    if not len(near):
-        return []
-    wanted = np.zeros(last + 1, bool)
-    wanted[near] = True
-    window, term = of_windows(place, term, wanted)
-    number, start = np.unique(window, return_index=True)
-    return [(int(n), t.tolist()) for n, t in zip(number, np.split(term, start[1:]))]
+    cell, twice = place[rare] // PASSAGE, np.tile(term[rare], 2)
+    both = np.concatenate((np.minimum(cell, last), np.clip(cell - 1, 0, last)))
+    both = np.sort(both * n_terms + twice)
+    near, _ = passages.near(*np.divmod(both[np.diff(both, prepend=-1) > 0], n_terms))
+    numbers = np.unique(near)
+    begin = np.searchsorted(place, numbers * PASSAGE)
+    end = np.searchsorted(place, (numbers + 2) * PASSAGE)
+    return [(int(n), place[i:j] - n * PASSAGE, term[i:j])
+            for n, i, j in zip(numbers.tolist(), begin.tolist(), end.tolist())]
+
+
+def _flat(terms: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and distinct terms of lists of terms, ascending."""
+    flat = np.concatenate([np.array(t, np.int64) for t in terms])
+    row = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+    width = int(flat.max(initial=0)) + 1
+    return np.divmod(np.unique(row * width + flat), width)
 
 
 def _rows(terms: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Terms, unit-length TF-IDF weights and row numbers of sparse rows."""
-    flat = np.concatenate([np.array(t, np.int64) for t in terms])
-    row = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+    row, flat = _flat(terms)
     weight = idf[flat]
     norm = np.sqrt(np.bincount(row, weight**2, len(terms)))
     return flat, weight / norm[row], row
@@ -249,20 +259,21 @@ def _sum_vectors(df: DataFrame, start, size: int) -> np.ndarray:
         for at in range(0, len(keys), 256):
             part = keys[at : at + 256]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()),
-                 pa.array([total[k] for k in part], pa.list_(pa.float64()))],
+                [pa.array(part, pa.int64()), pa.array([total[k].tobytes() for k in part], pa.binary())],
                 names=["key", "vector"])
 
-    partial = map_arrow(df.select("terms"), per_task, "key bigint, vector array<double>")
+    partial = map_arrow(df.select("terms"), per_task, "key bigint, vector binary")
     spark = df.sparkSession
+    # a block's terms x its width as bytes of doubles: BLOCK_WORDS x 144 x 8 bytes at most
     summed = map_groups(
-        partial, "key", "key bigint, vector array<double>",
-        lambda rows: [(rows[0]["key"], np.sum([r["vector"] for r in rows], axis=0).tolist())],
+        partial, "key", "key bigint, vector binary",
+        lambda rows: [(rows[0]["key"],
+                       np.sum([np.frombuffer(r["vector"]) for r in rows], axis=0).tobytes())],
         min(64, shuffle_partitions(spark))).collect()
-    width = len(summed[0]["vector"]) if summed else 0
+    width = len(summed[0]["vector"]) // 8 if summed else 0
     out = np.zeros((size, width))
     for r in summed:
-        out[r["key"]] = r["vector"]
+        out[r["key"]] = np.frombuffer(r["vector"])
     return out
 
 
@@ -320,11 +331,11 @@ def _latent(terms: list[list[int]], idf: np.ndarray, basis: np.ndarray):
     return vectors, rest, np.sqrt(np.bincount(sparse[2], idf[sparse[0]] ** 2, len(terms)))
 
 
-def common_weight(rows, targets, r: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Upper bound of the squared weights of the terms that row r and target p have in common, for
+def common_weight(rows, targets) -> np.ndarray:
+    """Rows x targets: upper bounds of the squared weights of the terms that both have in common, for
     any orthonormal basis."""
-    cosine = (rows[0][r] * targets[0][p]).sum(1) + rows[1][r] * targets[1][p]
-    return (cosine + ROUNDING) * rows[2][r] * targets[2][p]
+    cosine = rows[0] @ targets[0].T + np.outer(rows[1], targets[1])
+    return (cosine + ROUNDING) * np.outer(rows[2], targets[2])
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
@@ -360,15 +371,18 @@ def lcs_places(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def leak_score(passage: list[str], window: list[str]) -> float:
-    """Share of the passage that the window has in order and close together, 0 if it is no leak."""
+def leak_score(passage: list, window: list, at: list[int] | None = None) -> float:
+    """Share of the passage that the window has in order and close together, 0 if it is no leak.
+    `at` are the places of the window's words where other words in between are left out."""
     n = len(passage)
+    at = range(len(window)) if at is None else at
     if n < SHORT:
-        text, part = " ".join(("", *window, "")), " ".join(("", *passage, ""))
-        return 1.0 if part in text else 0.0
+        return float(any(
+            window[i] == passage[0] and window[i : i + n] == passage and at[i + n - 1] - at[i] == n - 1
+            for i in range(len(window) - n + 1)))
     if lcs_length(passage, window) < LIKELY * n:
         return 0.0
-    places = lcs_places(passage, window)
+    places = [(i, at[j]) for i, j in lcs_places(passage, window)]
     # words far from the others are chance finds: keep the densest stretch of twice the length
     best: list[tuple[int, int]] = []
     left = 0
@@ -423,14 +437,14 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         def step(key, text):
             out: tuple[list, list, list] = ([], [], [])
             for k, t in zip(key, text):
-                for number, terms in windows(t, block):
-                    for column, value in zip(out, (k, number, terms)):
+                for _, places, terms in windows(t, block):
+                    for column, value in zip(out, (k, places, terms)):
                         column.append(value)
             return out
         return step
 
     rows = materialize(
-        map_rows(docs.select("key", "text"), "key bigint, number int, terms array<int>", cut),
+        map_rows(docs.select("key", "text"), "key bigint, places array<int>, terms array<int>", cut),
         "windows")
     basis = latent_basis(rows, passages)
     latent = spark.sparkContext.broadcast((basis, *_latent(passages.terms, passages.idf, basis)))
@@ -438,45 +452,24 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
     def search():
         block, (directions, *targets) = shared.value, latent.value
 
-        def step(key, number, terms):
+        def step(key, places, terms):
             if not key:
                 return [], [], []
-            row = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
-            r, p = block.near(row, np.concatenate([np.array(t, np.int64) for t in terms]))
-            bound = common_weight(_latent(terms, block.idf, directions), targets, r, p)
-            likely = bound >= block.least[p]
-            held = {i: set(terms[i]) for i in r[likely].tolist()}
-            pairs = [(i, j) for i, j in zip(r[likely].tolist(), p[likely].tolist())
-                     if block.holds(j, held[i])]
-            return [key[i] for i, _ in pairs], [number[i] for i, _ in pairs], [j for _, j in pairs]
-        return step
-
-    found = map_rows(rows, "key bigint, number int, passage int", search).distinct()
-    asked = materialize(
-        found.groupBy("key").agg(F.collect_list(F.struct("number", "passage")).alias("pairs")),
-        "candidates")  # at most windows x passages of one block for one text
-    small = F.broadcast(asked) if asked.count() <= BROADCAST_CANDIDATES else asked
-    texts = docs.select("key", "text").join(small, "key").select("key", "text", "pairs")
-
-    def check():
-        block = shared.value
-
-        def step(key, text, pairs):
-            out: tuple[list, list, list] = ([], [], [])
-            for k, t, mine in zip(key, text, pairs):
-                words, best = words_of(t), {}
-                for pair in mine:
-                    first, p = pair["number"] * PASSAGE, pair["passage"]
-                    score = leak_score(block.words[p], words[first : first + 2 * PASSAGE])
-                    if score:
-                        best[block.item[p]] = max(score, best.get(block.item[p], 0.0))
-                for item, score in best.items():
-                    for column, value in zip(out, (k, item, score)):
-                        column.append(value)
-            return out
+            bound = common_weight(_latent(terms, block.idf, directions), targets)
+            r, p = np.nonzero(bound >= block.least)
+            held = np.zeros((len(terms), len(block.idf)), bool)
+            held[_flat(terms)] = True
+            likely = block.holding(held, r, p)
+            best: dict[tuple[int, int], float] = {}
+            for i, j in zip(r[likely].tolist(), p[likely].tolist()):
+                score = leak_score(block.order[j], terms[i], places[i])
+                if score:
+                    leak = key[i], block.item[j]
+                    best[leak] = max(score, best.get(leak, 0.0))
+            return [k for k, _ in best], [item for _, item in best], list(best.values())
         return step
 
-    return map_rows(texts, "key bigint, item bigint, score double", check)
+    return map_rows(rows, "key bigint, item bigint, score double", search)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -484,7 +477,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.xxhash64("text").alias("key"), "text").where("text is not null")
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(
+        F.sum(F.size(F.split("text", r"\W+"))), F.lit(0)).alias("words")).first()
+    blocks = max(1, -(-size["n"] // BLOCK_ITEMS), -(-size["words"] // BLOCK_WORDS))
     n_docs = texts.count()
     found = spark.createDataFrame([], "key bigint, item bigint, score double")
     for block in range(blocks):

@@ -13,9 +13,9 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Remembered pieces per Python worker and kind of cut, some 200 bytes each: bounds its memory, not
-#: what is encoded.
-MEMO_ENTRIES = 160_000
+#: Remembered pieces per Python worker by kind of cut, some 200 bytes each: bounds its memory (100 MB in
+#: all), not what is encoded. Most texts are prose.
+PROSE_ENTRIES, SPACED_ENTRIES = 400_000, 100_000
 #: Cuts a text into pieces; a text that has it is encoded otherwise.
 CUT = "\x1f"
 
@@ -32,9 +32,9 @@ class Memo:
     """Ids of pieces in two generations: when the young one is full it becomes the old one, so that
     frequent pieces survive. `check` raises Irregular for a piece that cannot stand alone."""
 
-    def __init__(self, check: Callable[[str], None],
+    def __init__(self, entries: int, check: Callable[[str], None],
                  encode_all: Callable[[list[str]], list[bytes]]) -> None:
-        self.check, self.encode_all = check, encode_all
+        self.entries, self.check, self.encode_all = entries, check, encode_all
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -54,7 +54,7 @@ class Memo:
         fresh.update(zip(wanted, self.encode_all(wanted)))
         for piece, ids in fresh.items():
             if len(piece) <= 64:
-                if len(self.young) >= MEMO_ENTRIES // 2:
+                if len(self.young) >= self.entries // 2:
                     self.old, self.young = self.young, {}
                 self.young[piece] = ids
         return [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
@@ -89,7 +89,8 @@ class PieceEncoder:
         """`encode_all` encodes pieces that passed a check, none of them blank, at once."""
         self.encode = encode
         encode_all = encode_all or (lambda pieces: [encode(p) for p in pieces])
-        self.prose, self.spaced = Memo(_prose, encode_all), Memo(_spaced, encode_all)
+        self.prose = Memo(PROSE_ENTRIES, _prose, encode_all)
+        self.spaced = Memo(SPACED_ENTRIES, _spaced, encode_all)
 
     def cut(self, text: str | None) -> tuple[Memo, list[str]] | None:
         """The memo and the pieces of the finest cut that the text may take."""

@@ -133,14 +133,18 @@ def test_no_window_that_the_words_confirm_is_dropped(kept):
     for number, passage in enumerate(block.words):
         changed = set(rng.sample(range(len(passage)), int((1 - kept) * len(passage))))
         text = [*prose(70), *["-new" if i in changed else w for i, w in enumerate(passage)]]
-        found = dict(dc.windows(" ".join(text), block))
+        found = {k: (at, term) for k, at, term in dc.windows(" ".join(text), block)}
         text = dc.words_of(" ".join(text))
         for k in range(max(1, -(-len(text) // dc.PASSAGE) - 1)):
             if dc.leak_score(passage, text[k * dc.PASSAGE :][: 2 * dc.PASSAGE]):
                 confirmed += 1
-                row, term = [0] * len(found[k]), found[k]
-                near = block.near(dc.np.array(row), dc.np.array(term))[1]
-                assert number in near and block.holds(number, set(term))
+                at, term = found[k]
+                score = dc.leak_score(block.order[number], term.tolist(), at.tolist())
+                assert score == dc.leak_score(passage, text[k * dc.PASSAGE :][: 2 * dc.PASSAGE])
+                held = dc.np.zeros((1, len(block.idf)), bool)
+                held[0, term] = True
+                zero = dc.np.zeros(1, int)
+                assert block.holding(held, zero, zero + number).all()
                 shared = dc.np.isin(block.terms[number], term)
                 assert (block.idf[dc.np.array(block.terms[number])[shared]] ** 2).sum() \
                     >= block.least[number] - 1e-6
@@ -154,10 +158,10 @@ def test_the_bound_on_common_weights_holds_for_any_basis():
     for rank in (1, 5, 40, 80):
         basis, _ = dc.np.linalg.qr(rng.standard_normal((80, rank)))
         latent = dc._latent(terms, idf, basis)
+        bound = dc.common_weight(latent, latent)
         for r in range(40):
-            bound = dc.common_weight(latent, latent, dc.np.full(40, r), dc.np.arange(40))
             common = [sum(idf[t] ** 2 for t in {*terms[r]} & {*u}) for u in terms]
-            assert all(bound >= common)
+            assert all(bound[r] >= common)
 
 
 def test_no_copy_is_lost_in_a_block_of_many_items(documents, benchmark):
@@ -167,3 +171,51 @@ def test_no_copy_is_lost_in_a_block_of_many_items(documents, benchmark):
     rows = [(i, f"{prose(rng.randrange(200))} {t} {prose(rng.randrange(200))}") for i, t in items]
     got = dc.judge(documents(rows), benchmark(items)).collect()
     assert [r["doc_id"] for r in got if r["doc_id"] not in r["items"]] == []
+
+
+def brute_leaks(text, passages):
+    """Items of the passages that some window of the text holds, by words alone."""
+    found, all_words = {}, dc.words_of(text)
+    for k in range(max(1, -(-len(all_words) // dc.PASSAGE) - 1)):
+        window = all_words[k * dc.PASSAGE :][: 2 * dc.PASSAGE]
+        for item, passage in passages:
+            score = dc.leak_score(passage, window)
+            if score:
+                found[item] = max(score, found.get(item, 0.0))
+    return found
+
+
+def test_whole_result_against_longest_common_subsequences_of_all_windows(documents, benchmark):
+    """Paraphrases of every strength: words replaced, left out, added and moved."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(250)]
+    prose = lambda n: rng.choices(vocabulary, [1 / (i + 1) for i in range(250)], k=n)
+    items = [(i, " ".join(prose(rng.randrange(1, 150)))) for i in range(25)]
+    rows = []
+    for n in range(120):
+        passage = dc.words_of(items[n % 25][1])
+        strength = rng.choice([0, 0.1, 0.25, 0.35, 0.45])
+        changed = [x for w in passage for x in (
+            [] if rng.random() < strength / 2 else
+            [rng.choice(vocabulary) if rng.random() < strength else w]
+            + prose(rng.random() < strength / 2))]
+        rows.append((n, " ".join([*prose(rng.randrange(150)), *changed, *prose(rng.randrange(150))])))
+    block = dc.Passages.of(items, {}, 1)
+    passages = list(zip(block.item, block.words))
+    got = {r["doc_id"]: (r["items"], r["score"]) for r in
+           dc.judge(documents(rows), benchmark(items)).collect()}
+    for n, text in rows:
+        want = brute_leaks(text, passages)
+        assert got[n][0] == sorted(want), n
+        assert abs(got[n][1] - max(want.values(), default=0.0)) < 1e-12
+    assert 30 < sum(bool(found) for found, _ in got.values())
+
+
+def test_very_long_text_and_repeated_rows(documents, benchmark):
+    rng = random.Random(12)
+    item = " ".join(words(rng, 40, "q"))
+    long = " ".join(words(rng, 150_000))
+    rows = [(1, long), (2, f"{long} {item} {long}"), (2, f"{long} {item} {long}"), (3, item), (3, "clean")]
+    got = dc.judge(documents(rows), benchmark([(9, item)])).collect()
+    assert sorted((r["doc_id"], r["contaminated"]) for r in got) == [
+        (1, False), (2, True), (2, True), (3, False), (3, True)]
