@@ -29,7 +29,7 @@ def number_values(values: DataFrame, column: str, known: DataFrame | None = None
             fresh.withColumn("number", F.monotonically_increasing_id()), "numbered-values")
     top = known.agg(F.coalesce(F.max("number"), F.lit(-1)).alias("top"))
     # the next free word, so that snapshots do not share words for want of a reason
-    start = (F.floor(F.col("top") / WORD) + 1) * WORD
+    start = F.expr(f"((top + {WORD}) div {WORD}) * {WORD}")
     added = fresh.join(known.select(column), column, "left_anti") \
         .withColumn("number", F.monotonically_increasing_id() + top.select(start).scalar())
     return materialize(known.select(column, "number").unionByName(added), "numbered-values")
@@ -41,7 +41,7 @@ def distinct_state(
     """groups, word, bits: the numbered values that each group has. NULL is no value."""
     seen = rows.where(F.col(column).isNotNull()).select(*groups, column).distinct()
     coded = lookup_join(seen, numbers, column, groups).withColumns({
-        "word": F.floor(F.col("number") / WORD),
+        "word": F.expr(f"number div {WORD}"),
         "bit": F.expr(f"shiftleft(1L, cast(number % {WORD} as int))")})
     return coded.groupBy(*groups, "word").agg(F.bit_or("bit").alias("bits"))
 

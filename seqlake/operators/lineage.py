@@ -26,7 +26,7 @@ def number_sources(df: DataFrame, source_order: list[Column]) -> DataFrame:
     source = F.struct(F.struct(*source_order).alias("at"), *LINEAGE)
     numbered = with_row_index(df.select(source.alias("source")).distinct(), ["source"])
     return numbered.select(
-        "source", F.floor(F.col("row_index") / WORD).alias("word"),
+        "source", F.expr(f"row_index div {WORD}").alias("word"),
         F.expr(f"shiftleft(1L, cast(row_index % {WORD} as int))").alias("bit"))
 
 

@@ -12,6 +12,7 @@ from seqlake import schemas
 from seqlake.functions.text import path_parts
 from seqlake.operators.attributes import categorize, normalize_names
 from seqlake.operators.dedupe import ORDER, merge_duplicates
+from seqlake.session import materialize
 from seqlake.sources.files import NoInputError, exists, read_bronze_batches
 from seqlake.sources.manifest import read_ingested
 
@@ -44,8 +45,9 @@ def combine_files(
 ) -> DataFrame:
     """Merge any set of batch files, with an optional transformation of the scanned rows."""
     rows = read_bronze_batches(spark, folder, pattern, columns)
-    return merge_duplicates(rows.transform(transform) if transform else rows, keys,
-                            source_path_order())
+    changed = rows.transform(transform) if transform else rows
+    # the merge reads keys, sources and whole rows apart: CSV is parsed once for all of them
+    return merge_duplicates(materialize(changed, "batch-rows"), keys, source_path_order())
 
 
 def ingested_rows(spark: SparkSession, folder: str, manifest: str, kind: str, root: str) -> DataFrame:
@@ -82,7 +84,8 @@ def combine_batches(
         except NoInputError:
             if not parts:
                 raise
-        return reduce(DataFrame.unionByName, parts)
+        # the merge reads keys, sources and whole rows apart: input is parsed once for all of them
+        return materialize(reduce(DataFrame.unionByName, parts), f"batch-{kind}")
 
     runs = rows("runs", RUN_PATTERN, schemas.BRONZE_RUN)
     attributes = rows("attributes", ATTRIBUTE_PATTERN, schemas.BRONZE_ATTRIBUTE)
