@@ -84,27 +84,53 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     return tried.select("conv_id", "turn", "role", "text", checked.alias("rendered"))
 
 
+def _running(lengths: Column) -> Column:
+    """The sums before each element of an array, and of all."""
+    return F.aggregate(lengths, F.array(F.lit(0).cast("bigint")), lambda sums, n: F.concat(
+        sums, F.array(F.element_at(sums, -1) + n)))
+
+
+def _spans(turns: Column) -> Column:
+    """(start, length) in code points of the assistant's texts in the rendering of some turns."""
+    starts = _running(F.transform(turns, lambda t: (t["header"] + t["body"] + len(END)).cast("bigint")))
+    found = F.transform(turns, lambda t, i: F.when(t["role"] == "assistant", F.struct(
+        (F.get(starts, i) + t["header"]).alias("start"), t["body"].cast("bigint").alias("length"))))
+    return F.filter(found, lambda span: span.isNotNull())
+
+
 def format_conversations(conversations: DataFrame) -> DataFrame:
-    """conv_id, formatted, and loss_mask: (skip, take) code points in turn, where taken ones are the
-    assistant's texts as they stand in `formatted`."""
+    """conv_id, formatted, and loss_mask: (start, length) in code points of `formatted`, from 0, of the
+    assistant's texts, in order."""
     turns = format_turns(conversations)
     row = F.struct("turn", "role", "text", "rendered")
+    # sums run over the turns of a bucket and over the buckets of a conversation, both short lists
     buckets = turns.withColumn("bucket", F.floor(F.col("turn") / BUCKET)) \
         .groupBy("conv_id", "bucket").agg(F.array_sort(F.collect_list(row)).alias("rows")) \
-        .select("conv_id", "bucket", F.array_join(F.col("rows.rendered"), "").alias("part"))
+        .select("conv_id", "bucket", F.array_join(F.col("rows.rendered"), "").alias("part")) \
+        .withColumn("spans", _spans(parse(F.col("part"))))
     whole = buckets.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "part"))).alias("parts"))
-    formatted = whole.select("conv_id", F.array_join(F.col("parts.part"), "").alias("formatted"))
-    mask = F.transform(parse(F.col("formatted")), lambda t: F.struct(
-        (t["header"] + F.when(t["role"] == "assistant", 0).otherwise(t["body"] + len(END)))
-        .alias("skip"),
-        F.when(t["role"] == "assistant", t["body"]).otherwise(0).alias("take")))
-    return formatted.withColumn("loss_mask", mask)
+        F.array_sort(F.collect_list(F.struct("bucket", "part", "spans"))).alias("parts"))
+    placed = whole.withColumn("starts", _running(F.transform(
+        "parts", lambda p: F.length(p["part"]).cast("bigint"))))
+    mask = F.flatten(F.transform("parts", lambda p, i: F.transform(p["spans"], lambda span: F.struct(
+        (span["start"] + F.get("starts", i)).alias("start"), span["length"].alias("length")))))
+    return placed.select("conv_id", F.array_join(F.col("parts.part"), "").alias("formatted"),
+                         mask.alias("loss_mask"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, formatted and the turns that a reader finds in it."""
-    return formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"))
+    """conv_id, formatted, loss_mask and the turns that a reader finds in `formatted`."""
+    return formatted.select(
+        "conv_id", "formatted", "loss_mask", parse(F.col("formatted")).alias("turns"))
+
+
+def masked_text(formatted: Column, mask: Column) -> Column:
+    """What the mask covers, unescaped. Code points have four bytes each here, so each span is cut
+    without a walk over what is before it."""
+    wide = F.encode(formatted, "UTF-32")
+    cut = F.transform(mask, lambda span: unescape(F.decode(F.substring(
+        wide, (4 * span["start"] + 1).cast("int"), (4 * span["length"]).cast("int")), "UTF-32")))
+    return F.array_join(cut, "")
 
 
 def conversation_digests(conversations: DataFrame) -> DataFrame:
@@ -112,11 +138,10 @@ def conversation_digests(conversations: DataFrame) -> DataFrame:
     turns = F.col("turns")
     whole = F.array_join(F.transform(
         turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(
-        F.filter(turns, lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
     return read_back(format_conversations(conversations)).select(
         "conv_id", F.size(turns).cast("bigint").alias("n_turns"),
-        F.sha2(F.encode(whole, "utf-8"), 256).alias("turns_sha256"), loss.alias("loss"),
+        F.sha2(F.encode(whole, "utf-8"), 256).alias("turns_sha256"),
+        masked_text(F.col("formatted"), F.col("loss_mask")).alias("loss"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     ).select(
         "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("bigint").alias("loss_chars"),

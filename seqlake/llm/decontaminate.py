@@ -12,8 +12,8 @@ Benchmark items are taken in blocks of bounded size, each against all documents:
 3. A randomised SVD of the TF-IDF rows of these windows and of the block's passages: every task
    sketches its rows (A'A times a random matrix), sums are built in Spark, and only matrices of terms
    x rank reach the driver.
-4. Candidates are found by cosine: batches of window vectors times the passages' vectors. The latent
-   product and the product of the lengths that the latent space leaves out bound what both have in
+4. Candidates are found by cosine: batches of window vectors times the passages' vectors, for the
+   pairs with k of the passage's rarest words (see 2). The latent product and the product of the lengths that the latent space leaves out bound what both have in
    common from above; pairs whose bound is below the least weight that `need` words of the passage
    can have are dropped. The bound holds for any rank, so no leak is lost to it. Pairs whose window
    has fewer than `need` words of the passage, in whatever order, are dropped as well.
@@ -56,10 +56,12 @@ SURE, LIKELY, ANSWER = 0.8, 0.6, 0.6
 SHORT = 13
 #: A leak has so many words of a passage; one in KEY_PART of them is asked among the rarest ones.
 KEY_PART = 5
-#: Slack for rounding in cosines: the root of a difference of 1e-16 is 1e-8.
-ROUNDING = 1e-7
+#: Slack for rounding in cosines, which are sums of single-precision products.
+ROUNDING = 1e-4
 #: Up to so many keys of texts (8 bytes each) are broadcast.
 BROADCAST_KEYS = 1_000_000
+#: Up to so many cells (4 bytes each) sparse rows are spread out for a matrix product, which is faster.
+DENSE_CELLS = 8_000_000
 NOT_ASCII_NOR_WORD = re.compile(r"[^\w\x00-\x7f]")
 IN_WORD = np.zeros(256, bool)
 IN_WORD[[*range(128, 256), *b"_abcdefghijklmnopqrstuvwxyz0123456789"]] = True
@@ -230,10 +232,17 @@ def _rows(terms: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _times(rows, dense: np.ndarray, n: int) -> np.ndarray:
-    """Sparse rows x dense matrix."""
+    """Sparse rows x dense matrix, in single precision."""
     term, weight, row = rows
+    dense = dense.astype(np.float32, copy=False)
+    if n * len(dense) <= DENSE_CELLS:
+        spread = np.zeros((n, len(dense)), np.float32)
+        spread[row, term] = weight
+        return spread @ dense
     starts = np.searchsorted(row, np.arange(n))
-    return np.add.reduceat(dense[term] * weight[:, None], starts, axis=0)
+    part = dense[term]
+    part *= weight.astype(np.float32)[:, None]
+    return np.add.reduceat(part, starts, axis=0)
 
 
 def _transposed(rows, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +263,7 @@ def _sum_vectors(df: DataFrame, start, size: int) -> np.ndarray:
             for at in range(0, batch.num_rows, 512):
                 for key, vector in zip(*step(batch.slice(at, 512).column(0).to_pylist())):
                     key = int(key)
-                    total[key] = total[key] + vector if key in total else vector
+                    total[key] = total[key] + vector if key in total else vector.astype(np.float64)
         keys = list(total)
         for at in range(0, len(keys), 256):
             part = keys[at : at + 256]
@@ -293,7 +302,7 @@ def latent_basis(rows: DataFrame, passages: Passages) -> np.ndarray:
         total[found] += share * sums
         return total
 
-    shared = spark.sparkContext.broadcast((idf, omega))
+    shared = spark.sparkContext.broadcast((idf, omega.astype(np.float32)))
 
     def sketch():
         weights, random = shared.value
@@ -306,7 +315,7 @@ def latent_basis(rows: DataFrame, passages: Passages) -> np.ndarray:
     ranged = with_own(_sum_vectors(rows, sketch, n_terms),
                       *_transposed(own, _times(own, omega, len(passages.terms))))
     q, _ = np.linalg.qr(ranged)
-    shared_q = spark.sparkContext.broadcast((idf, q))
+    shared_q = spark.sparkContext.broadcast((idf, q.astype(np.float32)))
 
     def gram():
         weights, basis = shared_q.value
@@ -447,6 +456,7 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         map_rows(docs.select("key", "text"), "key bigint, places array<int>, terms array<int>", cut),
         "windows")
     basis = latent_basis(rows, passages)
+    basis = basis.astype(np.float32)
     latent = spark.sparkContext.broadcast((basis, *_latent(passages.terms, passages.idf, basis)))
 
     def search():
@@ -455,10 +465,13 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[int, str]], n_docs: int)
         def step(key, places, terms):
             if not key:
                 return [], [], []
+            flat = _flat(terms)
             bound = common_weight(_latent(terms, block.idf, directions), targets)
-            r, p = np.nonzero(bound >= block.least)
+            r, p = block.near(*flat)
+            close = bound[r, p] >= block.least[p]
+            r, p = r[close], p[close]
             held = np.zeros((len(terms), len(block.idf)), bool)
-            held[_flat(terms)] = True
+            held[flat] = True
             likely = block.holding(held, r, p)
             best: dict[tuple[int, int], float] = {}
             for i, j in zip(r[likely].tolist(), p[likely].tolist()):

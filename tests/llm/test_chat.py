@@ -36,14 +36,20 @@ def test_loss_mask_covers_the_assistant(spark):
     rows = [(7, 0, "user", "q"), (7, 1, "assistant", "<|one|>"), (7, 2, "assistant", ""),
             (7, 3, "assistant", "two")]
     row = chat.format_conversations(turns(spark, rows)).first()
-    at, taken = 0, []
-    for m in row["loss_mask"]:
-        at += m["skip"]
-        taken.append(row["formatted"][at : at + m["take"]])
-        at += m["take"]
-        if m["take"] or row["formatted"].startswith(chat.END, at):
-            at += len(chat.END) if row["formatted"].startswith(chat.END, at) else 0
-    assert [t.replace("\\|", "|") for t in taken if t] == ["<|one|>", "two"]
+    taken = [row["formatted"][m["start"] : m["start"] + m["length"]] for m in row["loss_mask"]]
+    assert taken == ["<\\|one\\|>".replace("\\|>", "|>"), "", "two"]
+
+
+def test_the_loss_is_what_the_mask_covers(spark):
+    """Beyond the basic plane too; a mask that covers something else gives another loss."""
+    rows = [(1, i, "assistant" if i % 3 else "user", f"é😀{i} </s> 語") for i in range(200)]
+    formatted = chat.format_conversations(turns(spark, rows))
+    text = lambda df: df.select(
+        chat.masked_text(F.col("formatted"), F.col("loss_mask")).alias("x")).first()["x"]
+    assert text(formatted) == "".join(t for _, i, role, t in rows if role == "assistant")
+    off = formatted.withColumn("loss_mask", F.transform("loss_mask", lambda m: F.struct(
+        (m["start"] + 1).alias("start"), m["length"].alias("length"))))
+    assert text(off) != text(formatted)
 
 
 def digest(text):
