@@ -231,22 +231,34 @@ def _rows(terms: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return flat, weight / norm[row], row
 
 
+def _spread(rows, n: int, n_terms: int) -> np.ndarray | None:
+    """Sparse rows as a matrix, if that has no more than DENSE_CELLS cells."""
+    if n * n_terms > DENSE_CELLS:
+        return None
+    term, weight, row = rows
+    out = np.zeros((n, n_terms), np.float32)
+    out[row, term] = weight
+    return out
+
+
 def _times(rows, dense: np.ndarray, n: int) -> np.ndarray:
     """Sparse rows x dense matrix, in single precision."""
-    term, weight, row = rows
     dense = dense.astype(np.float32, copy=False)
-    if n * len(dense) <= DENSE_CELLS:
-        spread = np.zeros((n, len(dense)), np.float32)
-        spread[row, term] = weight
+    spread = _spread(rows, n, len(dense))
+    if spread is not None:
         return spread @ dense
+    term, weight, row = rows
     starts = np.searchsorted(row, np.arange(n))
     part = dense[term]
     part *= weight.astype(np.float32)[:, None]
     return np.add.reduceat(part, starts, axis=0)
 
 
-def _transposed(rows, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _transposed(rows, dense: np.ndarray, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
     """Transposed sparse rows x dense matrix: the terms that occur, and their sums."""
+    spread = _spread(rows, len(dense), n_terms)
+    if spread is not None:
+        return np.arange(n_terms), spread.T @ dense
     term, weight, row = rows
     order = np.argsort(term, kind="stable")
     found, starts = np.unique(term[order], return_index=True)
@@ -255,18 +267,19 @@ def _transposed(rows, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _sum_vectors(df: DataFrame, start, size: int) -> np.ndarray:
     """Sum, per key below `size`, of the vectors that tasks hold; `start()` returns a function
-    from a batch's term lists to (keys, vectors). Vectors are added up per task before the
-    shuffle."""
+    from a batch's term lists to (distinct keys, vectors). Vectors are added up per task before the
+    shuffle, in a matrix of `size` rows."""
     def per_task(batches):
-        step, total = start(), {}
+        step, total = start(), None
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                for key, vector in zip(*step(batch.slice(at, 512).column(0).to_pylist())):
-                    key = int(key)
-                    total[key] = total[key] + vector if key in total else vector.astype(np.float64)
-        keys = list(total)
-        for at in range(0, len(keys), 256):
-            part = keys[at : at + 256]
+                keys, vectors = step(batch.slice(at, 512).column(0).to_pylist())
+                if total is None:
+                    total = np.zeros((size, vectors.shape[1]))
+                total[keys] += vectors
+        held = np.flatnonzero(total.any(1)) if total is not None else []
+        for at in range(0, len(held), 256):
+            part = held[at : at + 256]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int64()), pa.array([total[k].tobytes() for k in part], pa.binary())],
                 names=["key", "vector"])
@@ -309,11 +322,11 @@ def latent_basis(rows: DataFrame, passages: Passages) -> np.ndarray:
 
         def step(terms):
             sparse = _rows(terms, weights)
-            return _transposed(sparse, _times(sparse, random, len(terms)))
+            return _transposed(sparse, _times(sparse, random, len(terms)), len(weights))
         return step
 
     ranged = with_own(_sum_vectors(rows, sketch, n_terms),
-                      *_transposed(own, _times(own, omega, len(passages.terms))))
+                      *_transposed(own, _times(own, omega, len(passages.terms)), n_terms))
     q, _ = np.linalg.qr(ranged)
     shared_q = spark.sparkContext.broadcast((idf, q.astype(np.float32)))
 
@@ -322,7 +335,7 @@ def latent_basis(rows: DataFrame, passages: Passages) -> np.ndarray:
 
         def step(terms):
             b = _times(_rows(terms, weights), basis, len(terms))
-            return range(b.shape[1]), b.T @ b
+            return np.arange(b.shape[1]), b.T @ b
         return step
 
     mine = _times(own, q, len(passages.terms))
