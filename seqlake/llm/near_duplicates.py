@@ -6,13 +6,14 @@
    link of similarity 0.8 shares no bucket with probability below 1e-7.
 3. The MinHash samples are folded into a parity bitmap, the odd sketch: the population count of the
    exclusive or of two sketches estimates the similarity. In every bucket each node meets the
-   bucket's least and greatest node; its most similar one above SKETCH_FLOOR is confirmed on the
+   bucket's least and greatest node by one of some hashes; its most similar one above SKETCH_FLOOR is confirmed on the
    full sets. A true link falls below that floor with probability below 1e-8.
 4. Buckets that still hold several components are compared in tiles of bounded size: the nodes
    outside the bucket's largest component against all of its nodes. Here the parity bitmap holds the
    whole set: its population count never exceeds the true difference, so a pair whose bound is
    below the limit is no link, without any chance of error. Of the possible pairs, a spanning forest
-   over the components, most similar pairs first, goes to confirmation. Confirmed pairs join their
+   over the components, most similar pairs first, goes to confirmation, and a number of the most similar
+   others that doubles with each round. Confirmed pairs join their
    components, refuted ones are passed over, and the tiles are run again until no possible pair
    between two components is left.
 5. Confirmed links are joined into components by alternating stars in Spark.
@@ -41,8 +42,10 @@ SAMPLES, BANDS = 128, 32
 SKETCH_BITS, SKETCH_FLOOR = 512, 0.55
 #: Bits per shingle of the whole-set bitmap.
 PARITY_BITS = 8
+#: Orders by which buckets choose the two nodes that all their nodes meet.
+LEADER_HASHES = 8
 #: Nodes and bitmap bytes of a tile's side.
-TILE_NODES, TILE_BYTES = 512, 4 << 20
+TILE_NODES, TILE_BYTES = 2048, 4 << 20
 #: Up to so many ids (8 bytes each) are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _RANDOM = np.random.default_rng(20_10)
@@ -210,9 +213,10 @@ def _forest(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.concatenate(taken)
 
 
-def compare_tile(rows: list[dict], percent: int):
+def compare_tile(rows: list[dict], percent: int, further: int = 0):
     """Pairs (a, b) of one tile to confirm: a spanning forest of its possible pairs over their
-    components. `left` rows meet `right` rows and each other; refuted pairs are passed over."""
+    components, and the `further` most similar ones. `left` rows meet `right` rows and each other;
+    refuted pairs are passed over."""
     node = np.array([r["node"] for r in rows])
     n = np.array([r["n"] for r in rows])
     is_left = np.array([r["left"] for r in rows])
@@ -250,7 +254,7 @@ def compare_tile(rows: list[dict], percent: int):
         return
     difference, a, b = (np.concatenate(column) for column in zip(*found))
     order = np.lexsort((node[b], node[a], difference))
-    for k in _forest(order, component[a], component[b]):
+    for k in np.union1d(_forest(order, component[a], component[b]), order[:further]):
         x, y = int(node[a[k]]), int(node[b[k]])
         yield min(x, y), max(x, y)
 
@@ -303,9 +307,13 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
     """node, component of all nodes that are linked with another node."""
     spark = docs.sparkSession
     spread = sketches.where("node is not null").select("node", F.explode("bands").alias("bucket"))
+    # The least and greatest node by a hash with one of LEADER_HASHES salts: buckets of one large group
+    # hold much the same nodes, and with one order for all of them a node would meet the same two.
+    order = F.xxhash64("node", F.pmod("bucket", F.lit(LEADER_HASHES)))
     buckets = materialize(
-        spread.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low < high"), "buckets")
+        spread.groupBy("bucket").agg(
+            F.min_by("node", order).alias("low"), F.max_by("node", order).alias("high"))
+        .where("low <> high"), "buckets")
     members = materialize(
         spread.join(buckets.select("bucket"), "bucket").select("bucket", "node").distinct(),
         "members")
@@ -326,17 +334,22 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
     # buckets of two nodes have met in full; larger ones go on in tiles
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
     twos = buckets.join(sizes.where("size = 2"), "bucket") \
-        .select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
+        .select(F.least("low", "high").alias("a"), F.greatest("low", "high").alias("b")).distinct()
     comp = lambda name: known.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
     apart = met.join(twos, ["a", "b"], "left_semi").join(comp("a"), "a", "left") \
         .join(comp("b"), "b", "left") \
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")) \
         .select("a", "b")
     wide = members.join(sizes.where("size > 2").select("bucket"), "bucket", "left_semi")
+    further = 8
     while True:
+        # Pairs that are possible but no links are refuted round by round: twice as many in each, so
+        # that the number of rounds grows with the logarithm of what one tile holds.
+        further *= 2
         found = map_groups(
             _tiles(wide, known, nodes, tested), "tile", "a bigint, b bigint",
-            lambda rows: compare_tile(rows, percent), shuffle_partitions(spark))
+            lambda rows, further=further: compare_tile(rows, percent, further),
+            shuffle_partitions(spark))
         pairs = found if apart is None else found.unionAll(apart)
         judged = confirm(pairs.distinct().join(tested, ["a", "b"], "left_anti"),
                          nodes, docs, words, percent)
@@ -370,7 +383,8 @@ def group_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with the row of least id of every group; all columns are kept. Rows without an id
-    cannot be named as a copy of another and stay."""
+    cannot be named as a copy of another and stay. Rows that repeat both id and text are one document
+    that was given twice: they stay or go together, as other columns may tell them apart."""
     # only rows that go are joined; they are fewer than those that stay
     gone = group_documents(docs, words, percent).where("not kept") \
         .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()

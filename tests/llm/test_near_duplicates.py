@@ -112,3 +112,10 @@ def test_components(spark, links):
 def test_long_chain(spark):
     chain = spark.range(300).selectExpr("id * 7 % 301 AS a", "(id + 1) * 7 % 301 AS b")
     assert {r["component"] for r in components(chain).collect()} == {0}
+
+
+def test_rows_that_repeat_id_and_text_stay_or_go_together(spark, documents):
+    text = "one two three four five six seven"
+    rows = [(2, text), (2, text), (5, text), (7, "quite another text of some length here"), (1, text), (1, text)]
+    kept = nd.keep_one_of_each(documents(rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 1, 7]
