@@ -21,8 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlake.llm.rows import map_rows
-from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file, per_worker
+from seqlake.llm.rows import map_rows, per_worker
+from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file
 
 LONG_WORD = 192
 NO_RANK = 1 << 60
@@ -112,7 +112,7 @@ class BpeCodec:
             if ids is None:
                 ids = self.encode_word(word)
                 if len(word) <= 64:
-                    if len(known) > 100_000:
+                    if len(known) > 50_000:
                         known.clear()
                     known[word] = ids
             out.append(ids)
@@ -140,7 +140,7 @@ def encode_documents(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     file = broadcast_file(docs.sparkSession, path)
 
     def start():
-        codec = per_worker("bpe", file.value, BpeCodec)
+        codec = per_worker(("bpe", path), lambda: BpeCodec(file.value))
         return lambda doc_id, text: (doc_id, [codec.encode(t) for t in text])
 
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids binary", start)
@@ -151,7 +151,7 @@ def decode_documents(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     file = broadcast_file(encoded.sparkSession, path)
 
     def start():
-        codec = per_worker("bpe", file.value, BpeCodec)
+        codec = per_worker(("bpe", path), lambda: BpeCodec(file.value))
         return lambda doc_id, ids: (doc_id, ids, [codec.decode(i) for i in ids])
 
     return map_rows(

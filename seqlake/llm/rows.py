@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -42,9 +43,35 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+#: What a Python worker keeps from task to task of one stage, and that stage.
+_kept: dict = {}
+_kept_for: list[int | None] = [None]
+
+
+def per_worker(key: tuple, make: Callable):
+    """What `make()` builds, once per Python worker and stage. A worker serves tasks of many stages;
+    what one stage keeps must not be held through the others."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def _enter_stage() -> None:
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if stage != _kept_for[0]:
+        _kept.clear()
+        _kept_for[0] = stage
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def in_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _enter_stage()
+        yield from run(batches)
+
+    return df.mapInArrow(in_stage, schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -30,8 +30,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 from tokenizers import Tokenizer
 
-from seqlake.llm.rows import map_arrow, map_rows
-from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file, per_worker
+from seqlake.llm.rows import map_arrow, map_rows, per_worker
+from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file
 from seqlake.session import scratch_path
 
 BLOCK = 1024
@@ -186,7 +186,7 @@ def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a task has one core; the library would start threads of its own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = per_worker("tokenizers", vocabulary.value, library_encoder)
+        encoder = per_worker(("tokenizers", path), lambda: library_encoder(vocabulary.value))
         end = END_ID.to_bytes(4, "little")
         file_no = TaskContext.get().partitionId()
         schema = to_arrow_schema(struct)

@@ -13,9 +13,9 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Remembered pieces per Python worker by kind of cut, some 200 bytes each: bounds its memory (100 MB in
+#: Remembered pieces per Python worker by kind of cut, some 200 bytes each: bounds its memory (50 MB in
 #: all), not what is encoded. Most texts are prose.
-PROSE_ENTRIES, SPACED_ENTRIES = 400_000, 100_000
+PROSE_ENTRIES, SPACED_ENTRIES = 200_000, 50_000
 #: Cuts a text into pieces; a text that has it is encoded otherwise.
 CUT = "\x1f"
 
@@ -117,13 +117,3 @@ class PieceEncoder:
     def ids(self, text: str | None) -> bytes:
         """Ids of a whole text; empty for null."""
         return self.joined(text, self.cut(text))
-
-
-_made: dict[tuple[str, bytes], object] = {}
-
-
-def per_worker(name: str, file: bytes, make: Callable[[bytes], object]):
-    """What `make` builds from a vocabulary file, once per Python worker rather than per task."""
-    if (name, file) not in _made:
-        _made[name, file] = make(file)
-    return _made[name, file]
