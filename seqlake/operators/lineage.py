@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from seqlake.operators.batches import with_row_index
 from seqlake.operators.skew import lookup_join
 from seqlake.schemas import LINEAGE
+from seqlake.session import materialize
 from seqlake.vocab import LIST_SEPARATOR
 
 WORD = 64
@@ -25,9 +26,9 @@ def number_sources(df: DataFrame, source_order: list[Column]) -> DataFrame:
     """source (struct of order, dataset, file), word and bit of every distinct source."""
     source = F.struct(F.struct(*source_order).alias("at"), *LINEAGE)
     numbered = with_row_index(df.select(source.alias("source")).distinct(), ["source"])
-    return numbered.select(
+    return materialize(numbered.select(
         "source", F.expr(f"row_index div {WORD}").alias("word"),
-        F.expr(f"shiftleft(1L, cast(row_index % {WORD} as int))").alias("bit"))
+        F.expr(f"shiftleft(1L, cast(row_index % {WORD} as int))").alias("bit")), "sources")
 
 
 def source_words(
