@@ -64,8 +64,19 @@ def _enter_stage() -> None:
         _kept_for[0] = stage
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch, at most: with Spark's 10,000, batches of texts take tens of MB on either side
+#: of every running Python worker.
+BATCH_ROWS = 1_000
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    ship_package(df.sparkSession)
+    """`mapInArrow` with the package on the workers. Lowers the session's rows per Arrow batch to
+    BATCH_ROWS, as plans take the setting when they run."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
     def in_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _enter_stage()
