@@ -14,8 +14,8 @@
    below the limit is no link, without any chance of error. Of the possible pairs, a spanning forest
    over the components, most similar pairs first, goes to confirmation, and a number of the most similar
    others that doubles with each round. Confirmed pairs join their
-   components, refuted ones are passed over, and the tiles are run again until no possible pair
-   between two components is left.
+   components, refuted ones are passed over, and the tiles of buckets that had possible pairs are run
+   again until no possible pair between two components is left.
 5. Confirmed links are joined into components by alternating stars in Spark.
 
 Pairs within a group are thus never all emitted: a group is first contracted by one link per node.
@@ -214,9 +214,9 @@ def _forest(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def compare_tile(rows: list[dict], percent: int, further: int = 0):
-    """Pairs (a, b) of one tile to confirm: a spanning forest of its possible pairs over their
-    components, and the `further` most similar ones. `left` rows meet `right` rows and each other;
-    refuted pairs are passed over."""
+    """Pairs (a, b) of one tile to confirm, with the tile's bucket: a spanning forest of its possible
+    pairs over their components, and the `further` most similar ones. `left` rows meet `right` rows and
+    each other; refuted pairs are passed over."""
     node = np.array([r["node"] for r in rows])
     n = np.array([r["n"] for r in rows])
     is_left = np.array([r["left"] for r in rows])
@@ -256,7 +256,7 @@ def compare_tile(rows: list[dict], percent: int, further: int = 0):
     order = np.lexsort((node[b], node[a], difference))
     for k in np.union1d(_forest(order, component[a], component[b]), order[:further]):
         x, y = int(node[a[k]]), int(node[b[k]])
-        yield min(x, y), max(x, y)
+        yield min(x, y), max(x, y), rows[0]["bucket"]
 
 
 def _tiles(
@@ -266,11 +266,10 @@ def _tiles(
     against blocks of all its nodes. Each row knows with whom it was refuted."""
     held = members.join(known, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component"))
-    still = held.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    held = held.join(still.select("bucket"), "bucket", "left_semi")
     per = held.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    largest = per.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"))
+    largest = per.groupBy("bucket").agg(
+        F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("several")) \
+        .where("several > 1").drop("several")
     refuted = tested.where("not link").select(
         F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")),
                           F.struct(F.col("b").alias("node"), F.col("a").alias("other"))))
@@ -297,7 +296,7 @@ def _tiles(
                          F.struct(i.alias("i"), (-1 - F.col("block")).alias("j")))
     places = F.when(F.col("left"), F.concat(left_lefts, left_rights)).otherwise(rights)
     return dealt.withColumn("place", F.explode(places)).select(
-        F.xxhash64("bucket", "place.i", "place.j").alias("tile"),
+        F.xxhash64("bucket", "place.i", "place.j").alias("tile"), "bucket",
         # in a tile of two different left blocks or of a left and a right block only pairs across
         # count; pairs within a block have their own tile
         "node", "component", "n", "bitmap", "refuted", "left")
@@ -346,11 +345,13 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
         # Pairs that are possible but no links are refuted round by round: twice as many in each, so
         # that the number of rounds grows with the logarithm of what one tile holds.
         further *= 2
-        found = map_groups(
-            _tiles(wide, known, nodes, tested), "tile", "a bigint, b bigint",
+        found = materialize(map_groups(
+            _tiles(wide, known, nodes, tested), "tile", "a bigint, b bigint, bucket bigint",
             lambda rows, further=further: compare_tile(rows, percent, further),
-            shuffle_partitions(spark))
-        pairs = found if apart is None else found.unionAll(apart)
+            shuffle_partitions(spark)), "found")
+        # Components only grow, and refuted pairs stay refuted: a bucket without a possible pair is done.
+        wide = materialize(wide.join(found.select("bucket").distinct(), "bucket", "left_semi"), "open")
+        pairs = found.select("a", "b") if apart is None else found.select("a", "b").unionAll(apart)
         judged = confirm(pairs.distinct().join(tested, ["a", "b"], "left_anti"),
                          nodes, docs, words, percent)
         if judged.isEmpty():

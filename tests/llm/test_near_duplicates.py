@@ -119,3 +119,21 @@ def test_rows_that_repeat_id_and_text_stay_or_go_together(spark, documents):
     rows = [(2, text), (2, text), (5, text), (7, "quite another text of some length here"), (1, text), (1, text)]
     kept = nd.keep_one_of_each(documents(rows)).collect()
     assert sorted(r["doc_id"] for r in kept) == [1, 1, 7]
+
+
+def test_settled_buckets_are_not_compared_again(documents, monkeypatch):
+    """A round takes up the buckets that had possible pairs in the round before, and no others."""
+    taken, tiles = [], nd._tiles
+
+    def watched(members, known, nodes, tested):
+        taken.append({r["bucket"] for r in members.select("bucket").distinct().collect()})
+        return tiles(members, known, nodes, tested)
+
+    monkeypatch.setattr(nd, "_tiles", watched)
+    rng = random.Random(3)
+    rows = []
+    for base in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [(len(rows) + i, edited(rng, words, rng.randrange(9))) for i in range(12)]
+    check(documents(rows), rows, 2)
+    assert len(taken) > 1 and all(b < a for a, b in zip(taken, taken[1:]))
