@@ -14,8 +14,8 @@
    below the limit is no link, without any chance of error. Of the possible pairs, a spanning forest
    over the components, most similar pairs first, goes to confirmation, and a number of the most similar
    others that doubles with each round. Confirmed pairs join their
-   components, refuted ones are passed over, and the tiles of buckets that had possible pairs are run
-   again until no possible pair between two components is left.
+   components, refuted ones are passed over, and the nodes that had other possible pairs meet again, bucket
+   by bucket, until no possible pair between two components is left.
 5. Confirmed links are joined into components by alternating stars in Spark.
 
 Pairs within a group are thus never all emitted: a group is first contracted by one link per node.
@@ -216,7 +216,8 @@ def _forest(order: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def compare_tile(rows: list[dict], percent: int, further: int = 0):
     """Pairs (a, b) of one tile to confirm, with the tile's bucket: a spanning forest of its possible
     pairs over their components, and the `further` most similar ones. `left` rows meet `right` rows and
-    each other; refuted pairs are passed over."""
+    each other; refuted pairs are passed over. Nodes of possible pairs that are not among these follow
+    as (node, None), with the bucket: only they can have something left to confirm."""
     node = np.array([r["node"] for r in rows])
     n = np.array([r["n"] for r in rows])
     is_left = np.array([r["left"] for r in rows])
@@ -254,9 +255,15 @@ def compare_tile(rows: list[dict], percent: int, further: int = 0):
         return
     difference, a, b = (np.concatenate(column) for column in zip(*found))
     order = np.lexsort((node[b], node[a], difference))
-    for k in np.union1d(_forest(order, component[a], component[b]), order[:further]):
+    asked = np.union1d(_forest(order, component[a], component[b]), order[:further])
+    bucket = rows[0]["bucket"]
+    for k in asked:
         x, y = int(node[a[k]]), int(node[b[k]])
-        yield min(x, y), max(x, y), rows[0]["bucket"]
+        yield min(x, y), max(x, y), bucket
+    waiting = np.ones(len(order), bool)
+    waiting[asked] = False
+    for x in np.unique(node[np.concatenate((a[waiting], b[waiting]))]).tolist():
+        yield x, None, bucket
 
 
 def _tiles(
@@ -349,9 +356,12 @@ def link_nodes(docs: DataFrame, sketches: DataFrame, words: int, percent: int) -
             _tiles(wide, known, nodes, tested), "tile", "a bigint, b bigint, bucket bigint",
             lambda rows, further=further: compare_tile(rows, percent, further),
             shuffle_partitions(spark)), "found")
-        # Components only grow, and refuted pairs stay refuted: a bucket without a possible pair is done.
-        wide = materialize(wide.join(found.select("bucket").distinct(), "bucket", "left_semi"), "open")
-        pairs = found.select("a", "b") if apart is None else found.select("a", "b").unionAll(apart)
+        # Components only grow, and refuted pairs stay refuted: a node whose possible pairs in a bucket
+        # are all up for confirmation is done there.
+        wide = materialize(
+            found.where("b is null").select("bucket", F.col("a").alias("node")).distinct(), "open")
+        pairs = found.where("b is not null").select("a", "b")
+        pairs = pairs if apart is None else pairs.unionAll(apart)
         judged = confirm(pairs.distinct().join(tested, ["a", "b"], "left_anti"),
                          nodes, docs, words, percent)
         if judged.isEmpty():

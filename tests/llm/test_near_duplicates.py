@@ -137,3 +137,20 @@ def test_settled_buckets_are_not_compared_again(documents, monkeypatch):
         rows += [(len(rows) + i, edited(rng, words, rng.randrange(9))) for i in range(12)]
     check(documents(rows), rows, 2)
     assert len(taken) > 1 and all(b < a for a, b in zip(taken, taken[1:]))
+
+
+def tile_row(node, words, left=True):
+    hashes = shingle_set(" ".join(words), 2)
+    return {"bucket": 9, "node": node, "component": node, "n": len(hashes),
+            "bitmap": nd.parity(hashes), "refuted": None, "left": left}
+
+
+def test_a_tile_names_the_nodes_that_wait():
+    words = [f"w{i}" for i in range(80)]
+    alike = [tile_row(i, [*words[:-1], f"x{i}"]) for i in range(5)]
+    other = tile_row(7, [f"y{i}" for i in range(80)])
+    told = list(nd.compare_tile([*alike, other], 80))
+    pairs, waiting = [r for r in told if r[1] is not None], [r for r in told if r[1] is None]
+    assert len(pairs) == 4 and sorted(waiting) == [(i, None, 9) for i in range(1, 5)]
+    # all pairs are up for confirmation
+    assert [r for r in nd.compare_tile([*alike, other], 80, 10) if r[1] is None] == []
