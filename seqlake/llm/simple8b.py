@@ -17,7 +17,9 @@ gives empty files.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -30,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 from tokenizers import Tokenizer
 
+from seqlake.llm.bpe import byte_symbols
 from seqlake.llm.rows import map_arrow, map_rows, per_worker
 from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file
 from seqlake.session import scratch_path
@@ -150,11 +153,41 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return _unpack_words(words[offsets[begin, 0] : stop])[first - skip : last - skip]
 
 
+#: Letters beyond ASCII whose code points have long been assigned: letters for every Unicode version.
+LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0400-\u0481\u048a-\u0527]+")
+
+
+def _leaves_words_whole(file: bytes) -> bool:
+    """Whether letters behind at most one space reach the tokenizer's model as they are, byte by byte."""
+    spec = json.loads(file)
+    splits = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    return (not spec.get("normalizer")
+            and splits == {k: (spec.get("pre_tokenizer") or {}).get(k) for k in splits}
+            and not any(t["content"].strip().isalpha() for t in spec["added_tokens"]))
+
+
 def library_encoder(file: bytes) -> PieceEncoder:
-    """The tokenizers library behind remembered pieces."""
+    """The tokenizers library behind remembered pieces. Its model takes single words as they are; all
+    else goes through the whole tokenizer."""
     tokenizer = Tokenizer.from_str(file.decode())
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    model = tokenizer.model.tokenize
+    symbols = byte_symbols()
+    space = symbols[32]
+    as_bytes = {i: i.to_bytes(4, "little") for i in tokenizer.get_vocab().values()}
+
+    def word(piece: str) -> bytes | None:
+        core = piece[1:] if piece[:1] == " " else piece
+        if not core.isalpha():
+            return None
+        if core.isascii():
+            spelled = core if core is piece else space + core
+        elif LETTERS.fullmatch(core):
+            spelled = "".join([symbols[b] for b in piece.encode()])
+        else:
+            return None
+        return b"".join([as_bytes[token.id] for token in model(spelled)])
 
     def encode(text: str) -> bytes:
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -173,7 +206,7 @@ def library_encoder(file: bytes) -> PieceEncoder:
                 return [data[i:j] for i, j in zip(starts, ends)]
         return [encode(p) for p in pieces]
 
-    return PieceEncoder(encode, encode_all)
+    return PieceEncoder(encode, encode_all, word if _leaves_words_whole(file) else None)
 
 
 def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> None:

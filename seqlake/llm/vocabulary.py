@@ -33,30 +33,33 @@ class Memo:
     frequent pieces survive. `check` raises Irregular for a piece that cannot stand alone."""
 
     def __init__(self, entries: int, check: Callable[[str], None],
-                 encode_all: Callable[[list[str]], list[bytes]]) -> None:
-        self.entries, self.check, self.encode_all = entries, check, encode_all
+                 encode_all: Callable[[list[str]], list[bytes]],
+                 word: Callable[[str], bytes | None] | None = None) -> None:
+        self.entries, self.check, self.encode_all, self.word = entries, check, encode_all, word
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; those not remembered are encoded together."""
+        """Ids of each piece; those not remembered that are no words are encoded together."""
         found = list(map(self.young.get, pieces))
         if None not in found:
             return found
-        fresh, wanted = {}, []
-        for piece in {p for p, ids in zip(pieces, found) if ids is None}:
-            ids = self.old.get(piece)
-            if ids is None:
-                self.check(piece)
-                wanted.append(piece)
-            else:
-                fresh[piece] = ids
-        fresh.update(zip(wanted, self.encode_all(wanted)))
-        for piece, ids in fresh.items():
-            if len(piece) <= 64:
-                if len(self.young) >= self.entries // 2:
-                    self.old, self.young = self.young, {}
-                self.young[piece] = ids
+        missing = set(pieces).difference(self.young)
+        fresh = {p: self.old[p] for p in missing if p in self.old}
+        wanted = [p for p in missing if p not in fresh]
+        if self.word:
+            words = list(map(self.word, wanted))
+            fresh.update((p, ids) for p, ids in zip(wanted, words) if ids is not None)
+            wanted = [p for p, ids in zip(wanted, words) if ids is None]
+        for piece in wanted:
+            self.check(piece)
+        if wanted:
+            fresh.update(zip(wanted, self.encode_all(wanted)))
+        short = {p: ids for p, ids in fresh.items() if len(p) <= 64}
+        if len(self.young) + len(short) > self.entries // 2:
+            self.old, self.young = self.young, {}
+        if len(short) <= self.entries // 2:
+            self.young.update(short)
         return [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
 
 
@@ -85,12 +88,14 @@ class PieceEncoder:
     """
 
     def __init__(self, encode: Callable[[str], bytes],
-                 encode_all: Callable[[list[str]], list[bytes]] | None = None) -> None:
-        """`encode_all` encodes pieces that passed a check, none of them blank, at once."""
+                 encode_all: Callable[[list[str]], list[bytes]] | None = None,
+                 word: Callable[[str], bytes | None] | None = None) -> None:
+        """`encode_all` encodes pieces that passed a check, none of them blank, at once. `word` encodes a
+        piece of letters behind at most one space, which passes every check, and gives None for others."""
         self.encode = encode
         encode_all = encode_all or (lambda pieces: [encode(p) for p in pieces])
-        self.prose = Memo(PROSE_ENTRIES, _prose, encode_all)
-        self.spaced = Memo(SPACED_ENTRIES, _spaced, encode_all)
+        self.prose = Memo(PROSE_ENTRIES, _prose, encode_all, word)
+        self.spaced = Memo(SPACED_ENTRIES, _spaced, encode_all, word)
 
     def cut(self, text: str | None) -> tuple[Memo, list[str]] | None:
         """The memo and the pieces of the finest cut that the text may take."""

@@ -1,4 +1,6 @@
+import json
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -64,3 +66,20 @@ def test_rows(spark, documents, monkeypatch):
     twice = simple8b.token_file_digests(documents([(1, "a"), (1, "a"), (1, "b")])).collect()
     assert sorted(r["start"] for r in twice) == [0, 2, 4]
     assert simple8b.token_file_digests(documents([])).collect() == []
+
+
+def test_words_go_straight_to_the_model():
+    file = Path(BYTE_BPE).read_bytes()
+    library, word = Tokenizer.from_str(file.decode()), simple8b.library_encoder(file).prose.word
+    for text in ["a", " a", "Wörterbuch", " élan", " словарь", "unhappily" * 9, " ǅ"]:
+        assert word(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert [word(t) for t in ["", " ", "  a", "don't", "a1", "\n", "a b", "語", "é", "ª"]] == [None] * 10
+    # a tokenizer that changes letters, or has a token of letters, sees every text whole
+    for change in ({"normalizer": {"type": "Lowercase"}},
+                   {"added_tokens": [{"id": 50256, "content": "abc", "single_word": False, "lstrip": False,
+                                      "rstrip": False, "normalized": False, "special": True}]}):
+        other = json.dumps({**json.loads(file), **change})
+        encoder, whole = simple8b.library_encoder(other.encode()), Tokenizer.from_str(other)
+        assert encoder.prose.word is None
+        ids = whole.encode("ABC abc xabcx", add_special_tokens=False).ids
+        assert encoder.ids("ABC abc xabcx") == np.array(ids, "<u4").tobytes()
