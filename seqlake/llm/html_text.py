@@ -6,15 +6,17 @@ id and role; character references are decoded; block elements end a block, and w
 a block becomes one space. A page that has an `article` or `main` element consists of the blocks
 inside it.
 
-Nearest-URL page differencing settles the other pages: within each host they stand in order of
+Nearest-URL page differencing follows for every page: within each host pages stand in order of
 their URL path, each page is paired with the neighbour whose path is most alike, both lists of
 blocks are aligned by their longest common subsequence, and the aligned blocks are template and
 deleted. A neighbour with which more than COPY of either page is shared is a copy, a preview or a near
 copy and says nothing about the template, so the next of the NEIGHBOURS on either side that differs
-takes its place; a page without any keeps its text. Pages with their own `article` are not differenced: copies and
-quotations between articles are content, and adverts that are unique to a page would stay.
+takes its place; a page without any keeps its text. Articles are differenced among themselves and with
+more care, as copies and quotations between them are content: a neighbour that shares more than
+ARTICLE_COPY is a copy, and a line is template only where all of the nearest 2 * NEIGHBOURS articles that
+are no copies, RECURS at least, have it at aligned places.
 
-Only hashes of the blocks of the pages that need it are sorted by URL, not the pages.
+Only hashes of the pages' blocks are sorted by URL, not the pages.
 
 Defined results: null and empty html give an empty text; a null url stands first, as a host of its
 own; rows with equal ids or urls stay, and equal rows get equal results; unclosed elements and
@@ -25,14 +27,16 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlake.llm.rows import map_rows
+from seqlake.llm.rows import map_groups, map_rows, shuffle_partitions
 from seqlake.operators.batches import with_row_index
+from seqlake.session import materialize
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -66,6 +70,10 @@ HIDDEN = re.compile(
     re.I)
 ARTICLES = ("article", "main")
 NEIGHBOURS, COPY = 2, 0.8
+#: Inside articles: what counts as a copy, and how many neighbours must have a line for it to be template.
+ARTICLE_COPY, RECURS = 0.5, 3
+#: Places in a run, which one task holds at a time; more than 4 * NEIGHBOURS.
+RUN = 1024
 
 
 def _furniture(name: str, attrs: str) -> bool:
@@ -186,16 +194,40 @@ def shared(mine: list[int], other: list[int]) -> list[int]:
     return [*range(front), *places, *range(len(mine) - back, len(mine))]
 
 
+def template_places(page: dict, near: list[dict]) -> list[int]:
+    """Places of the page's template among its blocks. The neighbours are taken by the likeness of their
+    paths. The first that is no copy tells the template; of an article only what recurs at aligned
+    places of all others that are no copies, which are at least RECURS in all."""
+    mine, article = page["hashes"], page["article"]
+    known = set(mine)
+
+    def alike(other: dict) -> tuple:
+        n = sum(1 for _ in _common(page["path"], other["path"]))
+        return n, -abs(other["place"] - page["place"]), -other["place"]
+
+    template, told = None, 0
+    for other in sorted(near, key=alike, reverse=True):
+        theirs = other["hashes"]
+        places = [] if known.isdisjoint(theirs) else shared(mine, theirs)
+        if len(places) > (ARTICLE_COPY if article else COPY) * min(len(mine), len(theirs)):
+            continue
+        template = places if template is None else sorted({*template}.intersection(places))
+        told += 1
+        if not article or not template:
+            return template
+    return template if template and told >= RECURS else []
+
+
 def template_blocks(pages: DataFrame) -> DataFrame:
-    """url, key (hash of the html) and the places of the blocks that a page without an own article
-    shares with the nearest URL of the same host that is no copy of it."""
+    """url, key (hash of the html) and the places of the blocks that a page shares with the nearest URL of
+    the same host that is no copy of it. Pages with an own article and others stand apart."""
     def start():
         def step(url, key, page):
-            out: tuple[list, list, list] = ([], [], [])
+            out: tuple[list, ...] = ([], [], [], [])
             for u, k, p in zip(url, key, page):
                 found, article = blocks(p)
-                if found and not article:
-                    for column, value in zip(out, (u, k, [block_hash(b) for b in found])):
+                if found:
+                    for column, value in zip(out, (u, k, article, [block_hash(b) for b in found])):
                         column.append(value)
             return out
         return step
@@ -203,41 +235,32 @@ def template_blocks(pages: DataFrame) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1)), F.lit(""))
     path = F.coalesce(F.regexp_extract("url", "^(?:[a-zA-Z]+://[^/?#]*)?(.*)$", 1), F.lit(""))
     rows = pages.select("url", F.xxhash64("html").alias("key"), "html")
-    undecided = map_rows(rows, "url string, key bigint, hashes array<bigint>", start) \
-        .distinct().select(host.alias("host"), path.alias("path"), "url", "key", "hashes")
+    undecided = map_rows(rows, "url string, key bigint, article boolean, hashes array<bigint>", start) \
+        .distinct().select(host.alias("host"), path.alias("path"), "url", "key", "article", "hashes")
     # a sort by range, not a window by host: one host may have a third of all pages
-    placed = with_row_index(undecided, ["host", "path", "key"]) \
+    placed = with_row_index(undecided, ["host", "article", "path", "key"]) \
         .withColumnRenamed("row_index", "place")
-    beside = placed.select(
-        F.explode(F.array(*[F.col("place") + n for n in range(-NEIGHBOURS, NEIGHBOURS + 1) if n]))
-        .alias("place"),
-        F.struct("host", "path", "hashes", F.col("place").alias("of")).alias("other"))
-    pairs = placed.join(beside, "place").where(
-        F.col("host") == F.col("other.host"))
-
-    def compare():
-        def step(place, url, key, path, hashes, others):
-            out: tuple[list, list, list] = ([], [], [])
-            for at, u, k, own, mine, near in zip(place, url, key, path, hashes, others):
-                def alike(o):
-                    n = sum(1 for _ in _common(own, o["path"]))
-                    return n, -abs(o["of"] - at), -o["of"]
-                for other in sorted(near, key=alike, reverse=True):
-                    places = shared(mine, other["hashes"])
-                    if len(places) <= COPY * min(len(mine), len(other["hashes"])):
-                        break
-                else:
-                    places = []
-                for column, value in zip(out, (u, k, places)):
-                    column.append(value)
-            return out
-        return step
+    # runs of places, each with the neighbours of its ends: nearly all rows go to one run only
+    ends = [F.floor((F.col("place") + n) / RUN) for n in (-2 * NEIGHBOURS, 2 * NEIGHBOURS)]
+    dealt = placed.withColumn("run", F.explode(F.array_distinct(F.array(*ends))))
+
+    def work(held: list[dict]) -> Iterator[tuple]:
+        held.sort(key=lambda row: row["place"])
+        for at, row in enumerate(held):
+            if row["place"] // RUN != row["run"]:
+                continue
+            near = [o for o in held[max(0, at - 2 * NEIGHBOURS) : at + 2 * NEIGHBOURS + 1]
+                    if o is not row and (o["host"], o["article"]) == (row["host"], row["article"])]
+            if row["article"]:  # as many at the ends of a host
+                near = sorted(near, key=lambda o: abs(o["place"] - row["place"]))[: 2 * NEIGHBOURS]
+            else:
+                near = [o for o in near if abs(o["place"] - row["place"]) <= NEIGHBOURS]
+            places = template_places(row, near)
+            if places:
+                yield row["url"], row["key"], places
 
-    nearest = pairs.groupBy("place").agg(
-        F.first("url").alias("url"), F.first("key").alias("key"), F.first("path").alias("path"),
-        F.first("hashes").alias("hashes"), F.collect_list("other").alias("others"))
-    return map_rows(nearest.select("place", "url", "key", "path", "hashes", "others"),
-                    "url string, key bigint, template array<int>", compare)
+    return map_groups(dealt, "run", "url string, key bigint, template array<int>", work,
+                      shuffle_partitions(pages.sparkSession))
 
 
 def _common(a: str, b: str):
@@ -250,9 +273,10 @@ def _common(a: str, b: str):
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages` (columns page_id, url, html)."""
     rows = pages.select("page_id", "url", "html")
-    template = template_blocks(rows).where(F.size("template") > 0) \
+    # written first, so that Spark knows its size when it picks the join: pages are shuffled only where
+    # the template is no small table
+    template = materialize(template_blocks(rows), "page-template") \
         .select(F.col("url").alias("t_url"), F.col("key").alias("t_key"), "template")
-    # few or no rows where pages have their own article; Spark picks the join by its size
     joined = rows.withColumn("key", F.xxhash64("html")).join(
         template, (F.col("key") == F.col("t_key")) & F.col("url").eqNullSafe(F.col("t_url")), "left"
     ).select("page_id", "url", "html", "template")

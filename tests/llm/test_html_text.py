@@ -88,3 +88,35 @@ def test_copies_and_previews_keep_their_text(spark):
                    5: [*article, "1 May"], 6: [*article, "2 May"],
                    # only the aligned place of a repeated block goes
                    7: ["one", "two", "Start", "three"]}
+
+
+def test_articles_are_differenced(spark):
+    """A line without a mark that all near articles of a host have goes; a quotation of two articles,
+    copies and hosts of few articles stay whole."""
+    def article(*lines):
+        return "<nav>Menu</nav><article>" + "".join(f"<p>{x}" for x in lines) + "</article>"
+
+    own = {i: [f"{i} {part}" for part in "abcde"] for i in range(9)}
+    quoted = {3: ["quoted"], 4: ["quoted"]}
+    rows = [(i, f"http://a.org/x/{i}", article("Our letters", *own[i], *quoted.get(i, []), "Legal line"))
+            for i in range(9)]
+    rows += [(20 + i, f"http://b.org/{i}", article("Our letters", *own[i])) for i in range(3)]
+    rows += [(30 + i, f"http://c.org/{i}", article(*own[0], *own[1][:3], f"day {i}")) for i in range(6)]
+    # the other pages of a host have their own neighbours
+    rows += [(40, "http://a.org/x/4x", page("A", "first")), (41, "http://a.org/x/5x", page("A", "second"))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(pages).collect()}
+    want = {i: own[i] + quoted.get(i, []) for i in range(9)}
+    want |= {20 + i: ["Our letters", *own[i]] for i in range(3)}
+    want |= {30 + i: [*own[0], *own[1][:3], f"day {i}"] for i in range(6)}
+    assert got == want | {40: ["first"], 41: ["second"]}
+
+
+def test_runs_do_not_change_the_template(spark, monkeypatch):
+    rows = [(i, f"http://{'ab'[i % 2]}.org/{i:03}", f"<article><p>Line<p>own {i}<p>text {i}</article>")
+            for i in range(150)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for size in (9, 1024):
+        monkeypatch.setattr(html_text, "RUN", size)
+        got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+        assert got == {i: f"own {i}\ntext {i}" for i in range(150)}
