@@ -61,7 +61,7 @@ class BpeCodec:
         longest_first = sorted(added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, longest_first)))
         self.words: dict[str, bytes] = {}
-        self.pieces = PieceEncoder(self.encode_whole)
+        self.pieces = PieceEncoder(self.encode_whole, pattern_word=self.encode_word, added=added)
 
     def merge_short(self, ids: list[int]) -> list[int]:
         pair = self.merges.get

@@ -34,13 +34,15 @@ from tokenizers import Tokenizer
 
 from seqlake.llm.bpe import byte_symbols
 from seqlake.llm.rows import map_arrow, map_rows, per_worker
-from seqlake.llm.vocabulary import BYTE_BPE, PieceEncoder, broadcast_file
+from seqlake.llm.vocabulary import BYTE_BPE, LETTERS, PieceEncoder, broadcast_file
 from seqlake.session import scratch_path
 
 BLOCK = 1024
 RUN_IDS = 1 << 18
 RUN_DOCS = 4096
 END_ID = 0
+#: Words that a writing task remembers, some 200 bytes each.
+REMEMBERED = 400_000
 MAGIC = 0x31423853  # "S8B1"
 #: (values per word, bits per value) of selectors 1 to 14; fixed values.
 LAYOUTS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
@@ -153,12 +155,11 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return _unpack_words(words[offsets[begin, 0] : stop])[first - skip : last - skip]
 
 
-#: Letters beyond ASCII whose code points have long been assigned: letters for every Unicode version.
-LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0400-\u0481\u048a-\u0527]+")
+WORD = re.compile(f"[{LETTERS}]+")
 
 
 def _leaves_words_whole(file: bytes) -> bool:
-    """Whether letters behind at most one space reach the tokenizer's model as they are, byte by byte."""
+    """Whether words of the byte-level pattern reach the tokenizer's model as they are, byte by byte."""
     spec = json.loads(file)
     splits = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
     return (not spec.get("normalizer")
@@ -167,8 +168,8 @@ def _leaves_words_whole(file: bytes) -> bool:
 
 
 def library_encoder(file: bytes) -> PieceEncoder:
-    """The tokenizers library behind remembered pieces. Its model takes single words as they are; all
-    else goes through the whole tokenizer."""
+    """The tokenizers library behind remembered pieces. Its model takes words of the byte-level pattern as
+    they are; all else goes through the whole tokenizer."""
     tokenizer = Tokenizer.from_str(file.decode())
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -183,12 +184,19 @@ def library_encoder(file: bytes) -> PieceEncoder:
             return None
         if core.isascii():
             spelled = core if core is piece else space + core
-        elif LETTERS.fullmatch(core):
-            spelled = "".join([symbols[b] for b in piece.encode()])
+        elif WORD.fullmatch(core):
+            return pattern_word(piece)
         else:
             return None
         return b"".join([as_bytes[token.id] for token in model(spelled)])
 
+    def pattern_word(piece: str) -> bytes:
+        if piece.isascii() and "\n" not in piece:
+            spelled = piece.replace(" ", space)
+        else:
+            spelled = "".join([symbols[b] for b in piece.encode()])
+        return b"".join([as_bytes[token.id] for token in model(spelled)])
+
     def encode(text: str) -> bytes:
         return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -206,7 +214,10 @@ def library_encoder(file: bytes) -> PieceEncoder:
                 return [data[i:j] for i, j in zip(starts, ends)]
         return [encode(p) for p in pieces]
 
-    return PieceEncoder(encode, encode_all, word if _leaves_words_whole(file) else None)
+    if not _leaves_words_whole(file):
+        return PieceEncoder(encode, encode_all)
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    return PieceEncoder(encode, encode_all, word, pattern_word, added, REMEMBERED)
 
 
 def write_token_files(docs: DataFrame, target: str, path: str = BYTE_BPE) -> None:

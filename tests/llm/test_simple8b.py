@@ -1,14 +1,17 @@
 import json
+import re
 import zlib
 from pathlib import Path
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from seqlake.llm import simple8b
+from seqlake.llm import simple8b, vocabulary
+from seqlake.llm.bpe import BpeCodec
 from seqlake.llm.rows import table
 from seqlake.llm.vocabulary import BYTE_BPE
 
@@ -83,3 +86,47 @@ def test_words_go_straight_to_the_model():
         assert encoder.prose.word is None
         ids = whole.encode("ABC abc xabcx", add_special_tokens=False).ids
         assert encoder.ids("ABC abc xabcx") == np.array(ids, "<u4").tobytes()
+
+
+PLAIN = ["ab", "Straße", "слово", " ", "\n", ".", "&&&", "'", "'s", "'ll", "12", "’", "—", "\xd7", "<|endoftext|>"]
+OTHER = ["\t", "\xa0", "語", "\xbd", "́", " ", "\x1f", "\xaa"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PLAIN + OTHER), max_size=14).map("".join))
+def test_plain_words(text):
+    if "encoder" not in KEPT:
+        file = Path(BYTE_BPE).read_bytes()
+        KEPT.update(encoder=simple8b.library_encoder(file), library=Tokenizer.from_str(file.decode()),
+                    codec=BpeCodec(file))
+    want = np.array(KEPT["library"].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert KEPT["encoder"].ids(text) == want == KEPT["codec"].encode(text)
+
+
+KEPT: dict = {}
+
+
+def test_plain_texts_are_cut_into_words_only(monkeypatch):
+    file = Path(BYTE_BPE).read_bytes()
+    library, text = Tokenizer.from_str(file.decode()), "A Straße&&& of 12, don't\n\n\"so\"  b..  "
+    want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for encoder in (simple8b.library_encoder(file), BpeCodec(file).pieces):
+        monkeypatch.setattr(encoder, "joined", lambda *_: b"cut otherwise")
+        assert encoder.ids(text) == encoder.ids(text) == want
+        assert encoder.ids(text + "\t") == encoder.ids("a<|endoftext|>") == b"cut otherwise"
+
+
+def test_remembered_words_are_bounded():
+    asked = []
+    words = vocabulary.Words(8, lambda word: asked.append(word) or word.encode())
+    for i in [*range(20), *range(16, 20)]:
+        assert words["a"] == b"a" and words[str(i)] == b"%d" % i
+        assert len(words) <= 4 and len(words.old) <= 4
+    assert words["x" * 65] == b"x" * 65 and "x" * 65 not in words
+    assert asked == ["a", *map(str, range(20)), "x" * 65]
+
+
+def test_plain_classes():
+    for of, inside in ((vocabulary.LETTERS, r"\p{L}"), (vocabulary.MARKS, r"[^\s\p{L}\p{N}]")):
+        listed = "".join(filter(re.compile(f"[{of}]").match, map(chr, range(0x3000))))
+        assert listed and regex.fullmatch(f"{inside}+", listed)
