@@ -14,9 +14,9 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: Remembered pieces per Python worker by kind of cut, some 200 bytes each: bounds its memory (70 MB in
+#: Remembered pieces per Python worker by kind of cut, some 200 bytes each: bounds its memory (50 MB in
 #: all), not what is encoded. Most texts consist of plain words.
-WORD_ENTRIES, PROSE_ENTRIES, SPACED_ENTRIES = 200_000, 100_000, 50_000
+WORD_ENTRIES, PROSE_ENTRIES, SPACED_ENTRIES = 120_000, 80_000, 50_000
 #: Letters, and marks that are no letters, digits or white space, whose code points have long been assigned:
 #: the same in every Unicode version.
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0400-\u0481\u048a-\u0527"
