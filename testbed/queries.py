@@ -28,11 +28,16 @@ def xml_run_records(s: Stages) -> DataFrame:
     return payloads.run_records(parsed).select(*schemas.BRONZE_RUN)
 
 
+def dump_bodies(s: Stages) -> DataFrame:
+    """The payloads of few large files, half as many as there are cores: read one after the other, so that
+    no payload is shuffled, sorted or held."""
+    return s.packages().select("body").coalesce(max(2, s.spark.sparkContext.defaultParallelism // 2))
+
+
 def xml_bulk_run_records(s: Stages) -> DataFrame:
     """The packages as large dump files, cut into packages by many tasks."""
     def write(path: str) -> None:
-        bodies = s.packages().select("body").repartition(2)
-        bodies.write.option("lineSep", "\n").text(path)
+        dump_bodies(s).write.option("lineSep", "\n").text(path)
 
     dumps = payloads.read_package_dumps(s.spark, s.path("dumps", write), attributes=False)
     return payloads.run_records(dumps).select(*schemas.BRONZE_RUN)

@@ -8,7 +8,7 @@ from seqlake.operators.attributes import attribute_dictionary
 from seqlake.sources import payloads
 from seqlake.streaming import ingest
 from test_payloads import PACKAGES
-from testbed import inputs
+from testbed import inputs, queries
 from testbed.stages import Stages
 
 FEW = 64
@@ -68,3 +68,23 @@ def test_parsed_packages(spark, tmp_path, monkeypatch):
                                    attribute_dictionary(spark))
     assert result["completed_batches"] == 200
     assert groups["parsed"] <= FEW
+
+
+def test_package_dumps_are_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "PACKAGES_PER_BATCH", 3)
+    (spark.range(100).selectExpr(
+        "id AS l_orderkey", "1 AS l_linenumber", "id AS l_partkey", "id AS l_suppkey",
+        "1.0D AS l_extendedprice", "2.0D AS l_quantity", "'N' AS l_returnflag", "'O' AS l_linestatus")
+     .write.parquet(f"{tmp_path}/lineitem.parquet"))
+    stages, written = Stages(spark, str(tmp_path)), []
+    read = payloads.read_package_dumps
+
+    def watched(session, path, **options):
+        written.append(session.read.text(path).inputFiles())
+        return read(session, path, **options)
+
+    monkeypatch.setattr(payloads, "read_package_dumps", watched)
+    assert queries.xml_bulk_run_records(stages).count() == 100
+    assert 2 <= len(written[0]) <= max(2, spark.sparkContext.defaultParallelism // 2)
+    plan = queries.dump_bodies(stages)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" in plan and "Exchange" not in plan
