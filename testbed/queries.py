@@ -18,6 +18,8 @@ from testbed import inputs
 from testbed.stages import Stages, Tables
 
 BATCH_SIZE = 200
+#: Bytes of package dumps that lie on disk at once.
+DUMP_BYTES = 4 << 30
 ROOT = "/lake/batches"
 
 
@@ -28,19 +30,44 @@ def xml_run_records(s: Stages) -> DataFrame:
     return payloads.run_records(parsed).select(*schemas.BRONZE_RUN)
 
 
-def dump_bodies(s: Stages) -> DataFrame:
+def dump_bodies(s: Stages, names: list[str] | None = None) -> DataFrame:
     """The payloads of few large files, half as many as there are cores: read one after the other, so that
-    no payload is shuffled, sorted or held."""
-    return s.packages().select("body").coalesce(max(2, s.spark.sparkContext.defaultParallelism // 2))
+    no payload is shuffled, sorted or held. `names` are the landed files to take, by default all."""
+    packages = s.packages()
+    if names is not None:
+        folder = s.path("landed/packages", lambda p: None)
+        packages = s.spark.read.schema(packages.schema).parquet(*[f"{folder}/{n}" for n in names])
+    return packages.select("body").coalesce(max(2, s.spark.sparkContext.defaultParallelism // 2))
+
+
+def dump_rounds(s: Stages) -> list[list[str]]:
+    """The landed files in groups of at most DUMP_BYTES of payloads each, or of one file that has more."""
+    sizes = s.packages().groupBy(F.col("_metadata.file_name").alias("name")).agg(
+        F.sum(F.octet_length("body")).alias("bytes")).orderBy("name").collect()
+    rounds, filled = [], DUMP_BYTES
+    for file in sizes:
+        if filled + file.bytes > DUMP_BYTES:
+            rounds.append([])
+            filled = 0
+        rounds[-1].append(file.name)
+        filled += file.bytes
+    return rounds
 
 
 def xml_bulk_run_records(s: Stages) -> DataFrame:
-    """The packages as large dump files, cut into packages by many tasks."""
+    """The packages as large dump files, cut into packages by many tasks. A round of dumps is read and
+    deleted before the next is written, as all of them would take the disk of the whole text."""
     def write(path: str) -> None:
-        dump_bodies(s).write.option("lineSep", "\n").text(path)
-
-    dumps = payloads.read_package_dumps(s.spark, s.path("dumps", write), attributes=False)
-    return payloads.run_records(dumps).select(*schemas.BRONZE_RUN)
+        for number, names in enumerate(dump_rounds(s) or [None]):
+            dump = f"{path}/dumps-{number}"
+            dump_bodies(s, names).write.option("lineSep", "\n").text(dump)
+            dumps = payloads.read_package_dumps(s.spark, dump, attributes=False)
+            rows = payloads.run_records(dumps).select(*schemas.BRONZE_RUN)
+            rows.write.mode("append").option("compression", "zstd").parquet(f"{path}/runs")
+            files.delete(s.spark, dump)
+
+    path = s.path("dumped", write)
+    return s.spark.read.schema(schemas.strings(schemas.BRONZE_RUN)).parquet(f"{path}/runs")
 
 
 def xml_sample_attributes(s: Stages) -> DataFrame:

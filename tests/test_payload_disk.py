@@ -1,4 +1,4 @@
-"""What the payload queries leave on disk: no shuffled texts."""
+"""What the payload queries leave on disk: no shuffled texts, dumps in rounds, compressed tables."""
 
 from pathlib import Path
 
@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from seqlake.operators import batches
 from seqlake.session import shared_dir
-from testbed import inputs, stages
+from seqlake.sources import payloads
+from testbed import inputs, queries, stages
 from testbed.stages import Stages
 
 
@@ -47,3 +48,30 @@ def test_only_lines_are_sorted_for_landed_packages(spark, lines, monkeypatch):
     assert len(found) == -(-len(plain) // 3)
     files = lines.packages().groupBy(F.col("_metadata.file_path")).count().collect()
     assert max(r["count"] for r in files) <= 2
+
+
+def test_dumps_are_written_and_deleted_in_rounds(spark, lines, monkeypatch):
+    monkeypatch.setattr(queries, "DUMP_BYTES", 1)
+    rounds, read = [], payloads.read_package_dumps
+
+    def watched(session, path, **options):
+        parent = Path(path.removeprefix("file:")).parent
+        rounds.append(sorted(p.name for p in parent.glob("dumps-*")))
+        return read(session, path, **options)
+
+    monkeypatch.setattr(payloads, "read_package_dumps", watched)
+    found = queries.xml_bulk_run_records(lines)
+    landed = lines.packages().select(F.col("_metadata.file_name")).distinct().count()
+    assert rounds == [[f"dumps-{n}"] for n in range(landed)] and landed > 1
+    wanted = queries.xml_run_records(lines)
+    assert sorted(found.collect()) == sorted(wanted.collect()) and found.columns == wanted.columns
+    path = Path(lines.path("dumped", lambda p: None).removeprefix("file:"))
+    assert not list(path.glob("dumps-*"))
+
+
+def test_dumps_of_no_packages(spark, tmp_path):
+    spark.range(0).selectExpr(
+        "id AS l_orderkey", "1 AS l_linenumber", "id AS l_partkey", "id AS l_suppkey",
+        "1.0D AS l_extendedprice", "2.0D AS l_quantity", "'N' AS l_returnflag", "'O' AS l_linestatus") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert queries.xml_bulk_run_records(Stages(spark, str(tmp_path))).collect() == []
