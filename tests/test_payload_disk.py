@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from seqlake.operators import batches
 from seqlake.session import shared_dir
 from seqlake.sources import payloads
+from seqlake.streaming import ingest
 from testbed import inputs, queries, stages
 from testbed.stages import Stages
 
@@ -75,3 +76,20 @@ def test_dumps_of_no_packages(spark, tmp_path):
         "1.0D AS l_extendedprice", "2.0D AS l_quantity", "'N' AS l_returnflag", "'O' AS l_linestatus") \
         .write.parquet(f"{tmp_path}/lineitem.parquet")
     assert queries.xml_bulk_run_records(Stages(spark, str(tmp_path))).collect() == []
+
+
+def test_ingested_tables_are_stored_with_zstd(spark, lines, tmp_path, monkeypatch):
+    options, stored = {}, ingest.stored
+
+    def watched(df, label, **given):
+        options[label] = given
+        return stored(df, label, **given)
+
+    monkeypatch.setattr(ingest, "stored", watched)
+    bronze = f"{tmp_path}/bronze"
+    done = ingest.ingest_batches(lines.packages(), bronze, f"{tmp_path}/log", "one", lines.dictionary)
+    assert done["completed_batches"] == lines.packages().count() and not done["failed_batches"]
+    assert {o["compression"] for o in options.values()} == {"zstd"} and set(options) == {"landed-batches", "parsed"}
+    for kind in ("runs", "attributes"):
+        files = [p.name for p in Path(bronze).glob(f"{kind}/*/*.parquet")]
+        assert files and all(name.endswith(".zstd.parquet") for name in files)
