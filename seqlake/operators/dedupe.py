@@ -107,11 +107,12 @@ def _merge_dealt(
     types = dict(filled.dtypes)
     texts = [c for c in rest if types[c] == "string"]
     others = [c for c in rest if types[c] != "string"]
-    whole = F.struct(order, *others, *[pack(texts).alias("__texts")] * bool(texts))
-    rows = filled.select(*keys, whole.alias("__row"), source(source_order).alias("source"))
-    coded = lookup_join(rows, sources, "source", keys).select(*keys, "__row", "word", "bit")
+    packed = [pack(texts).alias("__texts")] * bool(texts)
+    rows = filled.select(*keys, order, *others, *packed, source(source_order).alias("source"))
+    coded = lookup_join(rows, sources, "source", keys).drop("source")
+    whole = F.struct(order, *others, *["__texts"] * bool(texts))
     per_word = coded.repartition(*keys).groupBy(*keys, "word").agg(
-        F.min("__row").alias("__first"), F.bit_or("bit").alias("bits"))
+        F.min(whole).alias("__first"), F.bit_or("bit").alias("bits"))
 
     def listed(words: DataFrame) -> DataFrame:
         return with_names(words, keys, sources, ["__first"])
